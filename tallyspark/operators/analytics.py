@@ -94,7 +94,7 @@ def ranked_customers(orders: DataFrame, customers: DataFrame, k: int = 5, descen
 
 
 def single_order_customers(orders: DataFrame, customers: DataFrame, n: int = 1) -> DataFrame:
-    j = orders.join(customers.select("customer_id", "customer_name"), "customer_id")
+    j = orders.select("customer_id", "order_id").join(customers.select("customer_id", "customer_name"), "customer_id")
     return (
         j.groupBy("customer_id", "customer_name")
         .agg(F.countDistinct("order_id").alias("total_lifetime_orders"))

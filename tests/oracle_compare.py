@@ -97,7 +97,8 @@ def main() -> None:
             r = {"name": n, "status": f"ERROR {type(e).__name__}: {str(e)[:400]}"}
         if r["status"] not in ("ok", "rows-only"):
             bad += 1
-        print(r, flush=True)
+        print(f"{r['name']:<28} spark={r.get('spark_rows')} oracle={r.get('oracle_rows')} "
+              f"sec={r.get('spark_sec')} {r['status'][:900]}", flush=True)
     print(f"mismatches: {bad} of {len(names)}")
 
 
