@@ -32,7 +32,7 @@ def _doubles(df: DataFrame) -> DataFrame:
 
 
 def _sales(spark: SparkSession, d: str) -> DataFrame:
-    return binding.sales(spark, d)
+    return binding.sales_table(spark, d)
 
 
 def _report(fn: Callable[..., DataFrame], **kw) -> Query:
