@@ -163,8 +163,8 @@ def rolling_rows(
     copied into the next chunk as a halo, and only rows of the same group
     count toward the frame.
     """
-    if preceding < 0 or preceding >= chunk_rows:
-        raise ValueError("need 0 <= preceding < chunk_rows")
+    if preceding < 0 or preceding > chunk_rows:
+        raise ValueError("need 0 <= preceding <= chunk_rows")
     positioned = global_positions(df, [*_cols(list(partition)), *_cols(order)])
     chunk = F.floor(F.col(POS) / F.lit(chunk_rows))
     own = positioned.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
