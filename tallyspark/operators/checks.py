@@ -74,3 +74,24 @@ def normalised_model_checks(
             foreign_key(sales, products, "product_id", "product_id", "orders"),
         ]
     )
+
+
+def load_verification(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
+    """For each (table, expected rows, loaded rows): both counts and whether they agree.
+
+    ``expected`` is what the load should produce (e.g. the distinct staging
+    keys), ``loaded`` the table as written.
+    """
+    parts = []
+    for name, expected, loaded in pairs:
+        a = expected.agg(F.count(F.lit(1)).alias("expected_rows"))
+        b = loaded.agg(F.count(F.lit(1)).alias("loaded_rows"))
+        parts.append(
+            a.crossJoin(b).select(
+                F.lit(name).alias("table_name"),
+                "expected_rows",
+                "loaded_rows",
+                (F.col("expected_rows") == F.col("loaded_rows")).alias("matched"),
+            )
+        )
+    return union_checks(parts)

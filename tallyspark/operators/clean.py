@@ -191,3 +191,32 @@ def row_audit(retail: DataFrame, id_column: str = "transaction_id") -> DataFrame
     )
 
 
+
+
+# ------------------------------------------------------------- exploration
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """Per column: name, Spark type and non-NULL count (one aggregate pass)."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    pairs = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', _n{i}" for i, f in enumerate(df.schema.fields))
+    return counts.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (column_name, data_type, non_null)").select(
+        "column_name", "data_type", F.col("non_null").cast("bigint")
+    )
+
+
+def preview(df: DataFrame, order: Sequence[str], n: int = 5, last: bool = False) -> DataFrame:
+    """First (or last) ``n`` rows in a stated order: a distributed top-k, never a full sort."""
+    keys = [F.col(c).desc() if last else F.col(c).asc() for c in order]
+    return df.orderBy(*keys).limit(n)
+
+
+def drop_sparse_rows(df: DataFrame, min_non_null: int, columns: Sequence[str] | None = None) -> DataFrame:
+    """Keep rows with at least ``min_non_null`` non-NULL values (``na.drop(thresh=...)``)."""
+    cols = list(columns) if columns is not None else df.columns
+    return df.na.drop(thresh=min_non_null, subset=cols)
+
+
+def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Drop rows with a NULL in any of ``columns`` (``na.drop()``)."""
+    return df.na.drop(how="any", subset=list(columns) if columns is not None else None)

@@ -27,3 +27,5 @@ MIN_PAYMENT_COUNT = 100
 AGE_LOW, AGE_HIGH, GENDER = 18, 30, "F"
 SEED = 42
 LOAD_TIME = "2025-01-01 00:00:00"  # fixed created_at so repeated loads compare equal
+PREVIEW_ROWS = 5
+MIN_NON_NULL = 10  # of the catalogue's 11 data columns

@@ -173,10 +173,31 @@ def _queries() -> dict[str, Query]:
         "r_spelling_audit": lambda s, d: clean.spelling_audit(binding.retail_dirty(s, d)),
         "r_null_profile": lambda s, d: clean.null_profile(binding.retail_dirty(s, d), binding.RETAIL_COLUMNS),
         "r_row_audit": lambda s, d: clean.row_audit(binding.retail_dirty(s, d)),
+        "r_complete_rows": lambda s, d: clean.drop_incomplete(clean.retail_rows(binding.retail_dirty(s, d))),
+        # ------------------------------------------------------ exploration
+        "c_catalog_info": lambda s, d: clean.column_profile(binding.catalog_dirty(s, d).drop("ordinal")),
+        "c_catalog_head": lambda s, d: clean.preview(binding.catalog_dirty(s, d), ["ordinal"], P.PREVIEW_ROWS),
+        "c_catalog_tail": lambda s, d: clean.preview(binding.catalog_dirty(s, d), ["ordinal"], P.PREVIEW_ROWS, last=True),
+        "c_catalog_sparse": lambda s, d: clean.drop_sparse_rows(
+            binding.catalog_dirty(s, d).drop("ordinal"), P.MIN_NON_NULL
+        ),
+        "n_load_verification": _on_sales(_load_verification),
     }
     return q
 
 
+def _load_verification(s: DataFrame) -> DataFrame:
+    geo = model.dim_geography(s)
+    return checks.load_verification(
+        [
+            ("customers", s.select("customer_id").distinct(), model.customers(s)),
+            ("products", s.select("product_id").distinct(), model.products(s)),
+            ("dim_geography", s.select("city", "state").distinct(), geo),
+            ("fact_sales", s, model.fact_sales_unkeyed(s, geo)),
+        ]
+    )
+
+
 def _integrity(spark: SparkSession, d: str) -> DataFrame:
     s = _sales(spark, d)
     distinct_customers = s.select("customer_id", "customer_name", "segment", "city", "state").distinct()
