@@ -1,4 +1,4 @@
-"""Declared table layouts (DDL as StructType), column-name normalising and
+"""Declared table layouts (DDL text, parsed to StructType on use), column-name normalising and
 insert-by-name with column defaults.
 """
 
@@ -12,47 +12,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Normalised model.
-CUSTOMERS = StructType.fromDDL(
+CUSTOMERS = (
     "customer_id STRING NOT NULL, customer_name STRING NOT NULL, segment STRING, city STRING, state STRING"
 )
-PRODUCTS = StructType.fromDDL("product_id STRING NOT NULL, product_name STRING NOT NULL, category STRING, sub_category STRING")
-ORDERS = StructType.fromDDL(
+PRODUCTS = "product_id STRING NOT NULL, product_name STRING NOT NULL, category STRING, sub_category STRING"
+ORDERS = (
     "row_id BIGINT NOT NULL, order_id STRING NOT NULL, order_date DATE NOT NULL, ship_date DATE, ship_mode STRING, "
     "customer_id STRING, product_id STRING, sales DECIMAL(18,2), quantity INT, discount DECIMAL(4,2), profit DECIMAL(18,2)"
 )
 
 # Star schema and audit log.
-DIM_CUSTOMERS = StructType.fromDDL(
+DIM_CUSTOMERS = (
     "customer_key STRING NOT NULL, customer_name STRING NOT NULL, market_segment STRING, loyalty_tier STRING, "
     "created_at TIMESTAMP_NTZ"
 )
-DIM_PRODUCTS = StructType.fromDDL(
+DIM_PRODUCTS = (
     "product_key STRING NOT NULL, product_title STRING NOT NULL, major_category STRING, sub_category STRING, "
     "unit_cost DOUBLE, is_active BOOLEAN"
 )
-DIM_GEOGRAPHY = StructType.fromDDL(
+DIM_GEOGRAPHY = (
     "geo_key BIGINT NOT NULL, city_name STRING, state_province STRING, region_zone STRING, postal_code STRING"
 )
-DIM_CALENDAR = StructType.fromDDL(
+DIM_CALENDAR = (
     "date_key STRING NOT NULL, calendar_year INT, calendar_quarter INT, calendar_month INT, day_of_week STRING, "
     "is_business_day BOOLEAN"
 )
-FACT_SALES = StructType.fromDDL(
+FACT_SALES = (
     "txn_id BIGINT NOT NULL, order_id STRING NOT NULL, customer_key STRING, product_key STRING, geo_key BIGINT, "
     "order_date DATE, ship_date DATE, ship_mode STRING, quantity INT, revenue DECIMAL(18,2), "
     "discount_applied DECIMAL(4,2), net_profit DECIMAL(18,2)"
 )
-MIGRATION_LOG = StructType.fromDDL(
+MIGRATION_LOG = (
     "log_id STRING NOT NULL, step_name STRING, records_processed BIGINT, status STRING, timestamp TIMESTAMP_NTZ"
 )
 
 # Column defaults declared by the star schema.
-STAR_DEFAULTS: Mapping[str, Mapping[str, Column]] = {
-    "dim_customers": {"loyalty_tier": F.lit("Standard"), "created_at": F.localtimestamp()},
-    "dim_products": {"is_active": F.lit(True)},
+_STAR_DEFAULTS = {
+    "dim_customers": {"loyalty_tier": "'Standard'", "created_at": "localtimestamp()"},
+    "dim_products": {"is_active": "true"},
 }
 
 
+def star_defaults(table: str) -> dict[str, Column]:
+    """Declared defaults of a star table as columns (built on call: Columns need a session)."""
+    return {name: F.expr(sql) for name, sql in _STAR_DEFAULTS.get(table, {}).items()}
+
+
 def snake_case(name: str) -> str:
     """'Customer ID' -> 'customer_id', 'Sub-Category' -> 'sub_category'."""
     return re.sub(r"[^0-9a-zA-Z]+", "_", name.strip()).strip("_").lower()
@@ -63,9 +68,15 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(snake_case(c)) for c in df.columns])
 
 
-def align_to(df: DataFrame, schema: StructType, defaults: Mapping[str, Column] | None = None) -> DataFrame:
+def layout(ddl: str | StructType) -> StructType:
+    """Parse a declared layout (needs an active session, so not done at import)."""
+    return ddl if isinstance(ddl, StructType) else StructType.fromDDL(ddl)
+
+
+def align_to(df: DataFrame, schema: str | StructType, defaults: Mapping[str, Column] | None = None) -> DataFrame:
     """``INSERT INTO t(cols) SELECT ...`` by name: matching columns are cast to the
     table's types, absent ones take their declared default (else NULL)."""
+    schema = layout(schema)
     defaults = defaults or {}
     present = set(df.columns)
     cols = []
@@ -80,5 +91,5 @@ def align_to(df: DataFrame, schema: StructType, defaults: Mapping[str, Column] |
     return df.select(*cols)
 
 
-def append_by_name(df: DataFrame, path: str, schema: StructType, defaults: Mapping[str, Column] | None = None) -> None:
+def append_by_name(df: DataFrame, path: str, schema: str | StructType, defaults: Mapping[str, Column] | None = None) -> None:
     align_to(df, schema, defaults).write.mode("append").parquet(path)

@@ -18,7 +18,7 @@ def test_snake_case_columns(spark):
 def test_align_to_fills_defaults_and_casts(spark):
     df = spark.createDataFrame([("C1", "Ann", "Consumer", "extra")], "customer_key string, customer_name string, market_segment string, junk string")
     out = schema.align_to(df, schema.DIM_CUSTOMERS, {"loyalty_tier": F.lit("Standard"), "created_at": F.lit("2024-01-01").cast("timestamp_ntz")})
-    assert out.columns == [f.name for f in schema.DIM_CUSTOMERS.fields]
+    assert out.columns == [f.name for f in schema.layout(schema.DIM_CUSTOMERS).fields]
     r = out.first()
     assert (r.loyalty_tier, r.created_at.year) == ("Standard", 2024)
 
@@ -26,8 +26,8 @@ def test_align_to_fills_defaults_and_casts(spark):
 def test_append_by_name(spark, tmp_path):
     path = str(tmp_path / "dim_products")
     df = spark.createDataFrame([("P1", "Pen")], "product_key string, product_title string")
-    schema.append_by_name(df, path, schema.DIM_PRODUCTS, schema.STAR_DEFAULTS["dim_products"])
-    schema.append_by_name(df, path, schema.DIM_PRODUCTS, schema.STAR_DEFAULTS["dim_products"])
+    schema.append_by_name(df, path, schema.DIM_PRODUCTS, schema.star_defaults("dim_products"))
+    schema.append_by_name(df, path, schema.DIM_PRODUCTS, schema.star_defaults("dim_products"))
     back = spark.read.parquet(path).collect()
     assert len(back) == 2 and all(r.is_active and r.unit_cost is None for r in back)
 
