@@ -59,7 +59,9 @@ def customers_above_mean(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def sequence_and_rank(orders: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
     """Per-customer sequence (newest first) and the global dense rank of each line by sales."""
     seq_order = [F.col("order_date").desc_nulls_last(), *[F.col(c).asc() for c in tiebreak]]
-    numbered = ordered.row_number_within(orders, ["customer_id"], seq_order, out="internal_order_sequence")
+    # Project before the checkpointed sort: a checkpoint materialises every column it is given.
+    needed = list(dict.fromkeys(["customer_id", "order_id", "sales", "order_date", *tiebreak]))
+    numbered = ordered.row_number_within(orders.select(*needed), ["customer_id"], seq_order, out="internal_order_sequence")
     ranked = ordered.dense_rank(numbered, "sales", descending=True, out="global_revenue_line_rank")
     return ranked.select(
         "customer_id",
@@ -111,7 +113,8 @@ def peak_cart(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def rolling_average(fact: DataFrame, tiebreak: Sequence[str], rows: int = 3, chunk_rows: int = ordered.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Mean revenue over each customer's last ``rows`` lines (current included), 6 decimals."""
     order = [F.col("order_date").asc_nulls_first(), *[F.col(c).asc() for c in tiebreak]]
-    rolled = ordered.rolling_rows(fact, ["customer_key"], order, "revenue", rows - 1, chunk_rows=chunk_rows)
+    needed = list(dict.fromkeys(["customer_key", "order_date", "revenue", *tiebreak]))
+    rolled = ordered.rolling_rows(fact.select(*needed), ["customer_key"], order, "revenue", rows - 1, chunk_rows=chunk_rows)
     return rolled.select(
         "customer_key",
         "order_date",

@@ -41,7 +41,8 @@ def products(sales: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
 
 def orders(sales: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
     """Order-line table with a dense ``row_id`` in line order."""
-    positioned = global_positions(sales, list(order))
+    cols = ["order_id", "order_date", "ship_date", "ship_mode", "customer_id", "product_id", "sales", "quantity", "discount", "profit"]
+    positioned = global_positions(sales.select(*dict.fromkeys([*cols, *order])), list(order))
     return positioned.select(
         (F.col(POS) + F.lit(1)).alias("row_id"),
         "order_id",
@@ -117,7 +118,8 @@ def fact_sales(sales: DataFrame, geography: DataFrame, order: Sequence[str] = LI
         sales["city"].eqNullSafe(geo["_city"]) & sales["state"].eqNullSafe(geo["_state"]),
         "left",
     )
-    positioned = global_positions(looked_up, list(order))
+    cols = ["order_id", "customer_id", "product_id", "geo_key", "order_date", "ship_date", "ship_mode", "quantity", "sales", "discount", "profit"]
+    positioned = global_positions(looked_up.select(*dict.fromkeys([*cols, *order])), list(order))
     return positioned.select(
         (F.col(POS) + F.lit(1)).alias("txn_id"),
         "order_id",

@@ -48,7 +48,8 @@ def global_positions(df: DataFrame, order: Sequence[str | Column], pos_col: str
     """Add consecutive 0-based positions following ``order``.
 
     ``order`` must be a total order (unique keys); otherwise positions of
-    tied rows are arbitrary, exactly as for ``row_number``.
+    tied rows are arbitrary, exactly as for ``row_number``. The sorted rows
+    are checkpointed with every column of ``df``, so callers project first.
     """
     ensure_checkpoint_dir(df.sparkSession)
     ranged = df.orderBy(*_cols(order)).checkpoint(eager=True)

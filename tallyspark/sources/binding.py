@@ -82,14 +82,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 SALES_SOURCES = ("lineitem", "orders", "customer", "nation", "region", "part")
 
 
-def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """``sales`` as a table written once per version of its source files.
 
     Reading the written table also gives reports a scan that splits by
     file, and keeps the join out of every report's plan.
     """
     sources = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SALES_SOURCES]
-    return persisted(spark, "sales", sources, lambda: sales(spark, sf_dir)).select(*SALES_COLUMNS)
+    return persisted(spark, "sales", sources, lambda: sales(spark, sf_dir), rebuild=rebuild).select(*SALES_COLUMNS)
 
 
 # ----------------------------------------------------------------- catalogue

@@ -35,18 +35,31 @@ def source_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
     return h.hexdigest()[:20]
 
 
+def tables_root(spark: SparkSession) -> str:
+    """The shared folder for derived tables.
+
+    The configured ``spark.checkpoint.dir`` itself (not the per-application
+    subfolder Spark creates inside it), so later applications find tables
+    written by earlier ones.
+    """
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = configured or ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/tallyspark-tables"
+
+
 def persisted(
     spark: SparkSession,
     name: str,
     sources: Sequence[str],
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (),
+    rebuild: bool = False,
 ) -> DataFrame:
-    """Read ``name`` from the shared folder, writing it with ``build()`` first if needed."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    target = f"{root}/tallyspark-tables/{name}-{source_fingerprint(spark, sources)}"
+    """Read ``name`` from the shared folder, writing it with ``build()`` first if needed
+    (or always, with ``rebuild``)."""
+    target = f"{tables_root(spark)}/{name}-{source_fingerprint(spark, sources)}"
     marker, fs = _hadoop_fs(spark, f"{target}/_SUCCESS")
-    if not fs.exists(marker):
+    if rebuild or not fs.exists(marker):
         writer = build().write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
