@@ -205,4 +205,8 @@ def _integrity(spark: SparkSession, d: str) -> DataFrame:
     return checks.normalised_model_checks(s, model.customers(s), model.products(s), distinct_customers, distinct_products)
 
 
-QUERIES: dict[str, Query] = _queries()
+def _money_as_double(q: Query) -> Query:
+    return lambda spark, d: _doubles(q(spark, d))
+
+
+QUERIES: dict[str, Query] = {name: _money_as_double(q) for name, q in _queries().items()}

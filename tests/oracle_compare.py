@@ -52,6 +52,18 @@ def canon(columns, rows):
     return cols, body
 
 
+# Spark type -> DuckDB type that holds the same values.
+TYPE_PAIRS = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
     t0 = time.time()
     sdf = query(spark, sf_dir)
@@ -67,8 +79,13 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
     drows = res.fetchall()
     out["oracle_rows"] = len(drows)
     a, b = canon(scols, srows), canon(dcols, drows)
+    stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    bad_types = {c: (stypes[c], dtypes.get(c)) for c in stypes if TYPE_PAIRS.get(stypes[c]) != dtypes.get(c)}
     if a[0] != b[0]:
         out["status"] = f"COLUMNS {a[0]} vs {b[0]}"
+    elif bad_types:
+        out["status"] = f"TYPES {bad_types}"
     elif a[1] != b[1]:
         diff = [x for x in a[1] if x not in set(b[1])][:3]
         diff2 = [x for x in b[1] if x not in set(a[1])][:3]
