@@ -110,7 +110,7 @@ def peak_cart(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return j.groupBy("customer_id", "customer_name").agg(_money(F.max("_cart")).alias("peak_historical_order_value"))
 
 
-def rolling_average(fact: DataFrame, tiebreak: Sequence[str], rows: int = 3, chunk_rows: int = ordered.DEFAULT_CHUNK_ROWS) -> DataFrame:
+def rolling_average(fact: DataFrame, tiebreak: Sequence[str], rows: int = 3, chunk_rows: int | None = None) -> DataFrame:
     """Mean revenue over each customer's last ``rows`` lines (current included), 6 decimals."""
     order = [F.col("order_date").asc_nulls_first(), *[F.col(c).asc() for c in tiebreak]]
     needed = list(dict.fromkeys(["customer_key", "order_date", "revenue", *tiebreak]))
@@ -151,7 +151,7 @@ def yoy_monthly(fact: DataFrame, lag: int = 12) -> DataFrame:
     )
 
 
-def pareto(fact: DataFrame, limit_pct: int = 80, chunk_rows: int = ordered.DEFAULT_CHUNK_ROWS) -> DataFrame:
+def pareto(fact: DataFrame, limit_pct: int = 80, chunk_rows: int | None = None) -> DataFrame:
     """Customers, largest first, while cumulative revenue share stays <= ``limit_pct``.
 
     Ties in total revenue share one running total (RANGE frame). The filter

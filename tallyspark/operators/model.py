@@ -136,19 +136,13 @@ def fact_sales(sales: DataFrame, geography: DataFrame, order: Sequence[str] = LI
     )
 
 
-def fact_sales_unkeyed(sales: DataFrame, geography: DataFrame) -> DataFrame:
-    """Fact rows without ``txn_id`` (for analytics that never read it; skips the global sort)."""
-    geo = geography.select("geo_key", F.col("city_name").alias("_city"), F.col("state_province").alias("_state"))
-    looked_up = sales.join(
-        geo,
-        sales["city"].eqNullSafe(geo["_city"]) & sales["state"].eqNullSafe(geo["_state"]),
-        "left",
-    )
-    return looked_up.select(
+def fact_lines(sales: DataFrame) -> DataFrame:
+    """Fact rows under star names, without ``txn_id`` or ``geo_key`` (for analytics
+    that read neither; skips the global sort and the geography build)."""
+    return sales.select(
         "order_id",
         F.col("customer_id").alias("customer_key"),
         F.col("product_id").alias("product_key"),
-        "geo_key",
         "order_date",
         "ship_date",
         "ship_mode",
@@ -158,4 +152,22 @@ def fact_sales_unkeyed(sales: DataFrame, geography: DataFrame) -> DataFrame:
         F.col("profit").alias("net_profit"),
         "supp_id",
         "line_number",
+        "city",
+        "state",
     )
+
+
+def with_geo_key(fact: DataFrame, geography: DataFrame) -> DataFrame:
+    """Look the geography surrogate key up from (city, state); unmatched rows keep NULL."""
+    geo = geography.select("geo_key", F.col("city_name").alias("_city"), F.col("state_province").alias("_state"))
+    looked_up = fact.join(
+        geo,
+        fact["city"].eqNullSafe(geo["_city"]) & fact["state"].eqNullSafe(geo["_state"]),
+        "left",
+    )
+    return looked_up.drop("_city", "_state")
+
+
+def fact_sales_unkeyed(sales: DataFrame, geography: DataFrame) -> DataFrame:
+    """Fact rows with ``geo_key`` but without ``txn_id``."""
+    return with_geo_key(fact_lines(sales), geography).drop("city", "state")

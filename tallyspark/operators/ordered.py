@@ -44,13 +44,7 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def global_positions(df: DataFrame, order: Sequence[str | Column], pos_col: str = POS) -> DataFrame:
-    """Add consecutive 0-based positions following ``order``.
-
-    ``order`` must be a total order (unique keys); otherwise positions of
-    tied rows are arbitrary, exactly as for ``row_number``. The sorted rows
-    are checkpointed with every column of ``df``, so callers project first.
-    """
+def _positioned(df: DataFrame, order: Sequence[str | Column], pos_col: str) -> tuple[DataFrame, int]:
     ensure_checkpoint_dir(df.sparkSession)
     ranged = df.orderBy(*_cols(order)).checkpoint(eager=True)
     n_parts = ranged.rdd.getNumPartitions()
@@ -62,12 +56,39 @@ def global_positions(df: DataFrame, order: Sequence[str | Column], pos_col: str
         F.shiftright(mid, _LOCAL_BITS).alias("_pid"),
         mid.bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("_local"),
     )
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per sort partition (bounded by n_parts, checked above); written
+    # once so later references do not recount the checkpoint.
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # One row per sort partition: bounded by n_parts, checked above.
+    total = counts.agg(F.sum("_n")).first()[0] or 0
     out = tagged.join(F.broadcast(offsets), "_pid")
-    return out.withColumn(pos_col, F.col("_offset") + F.col("_local")).drop("_pid", "_local", "_offset")
+    out = out.withColumn(pos_col, F.col("_offset") + F.col("_local")).drop("_pid", "_local", "_offset")
+    return out, int(total)
+
+
+def global_positions(df: DataFrame, order: Sequence[str | Column], pos_col: str = POS) -> DataFrame:
+    """Add consecutive 0-based positions following ``order``.
+
+    ``order`` must be a total order (unique keys); otherwise positions of
+    tied rows are arbitrary, exactly as for ``row_number``. The sorted rows
+    are checkpointed with every column of ``df``, so callers project first.
+    """
+    return _positioned(df, order, pos_col)[0]
+
+
+def chunk_size(spark, total_rows: int, cap: int = DEFAULT_CHUNK_ROWS, floor: int = 1024) -> int:
+    """Rows per window chunk: about two chunks per core, never above ``cap``.
+
+    The cap bounds the rows one window task holds at any scale; below it,
+    small inputs still spread over all cores.
+    """
+    per_core = -(-total_rows // max(1, 2 * spark.sparkContext.defaultParallelism))
+    return int(min(cap, max(floor, per_core)))
+
+
+def _chunk_of(pos: Column, chunk_rows: int) -> Column:
+    return F.call_function("div", pos, F.lit(chunk_rows).cast("bigint"))
 
 
 def _sort_key(value: str, descending: bool) -> Column:
@@ -85,7 +106,7 @@ def dense_rank(df: DataFrame, value: str, descending: bool = True, out: str = "d
 
 def _chunked_prefix_sum(df: DataFrame, measure: str, out: str, chunk_rows: int) -> DataFrame:
     """Inclusive prefix sum of ``measure`` along POS, one bounded window per chunk."""
-    chunked = df.withColumn("_chunk", F.floor(F.col(POS) / F.lit(chunk_rows)))
+    chunked = df.withColumn("_chunk", _chunk_of(F.col(POS), chunk_rows))
     inside = Window.partitionBy("_chunk").orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = chunked.withColumn("_local_sum", F.sum(measure).over(inside))
     totals = chunked.groupBy("_chunk").agg(F.sum(measure).alias("_chunk_sum"))
@@ -105,7 +126,7 @@ def running_total(
     measure: str | None = None,
     descending: bool = True,
     out: str = "running_total",
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """``SUM(measure) OVER (ORDER BY value [DESC])`` with the default RANGE frame.
 
@@ -114,7 +135,8 @@ def running_total(
     """
     measure = measure or value
     per_value = df.groupBy(F.col(value).alias("_v")).agg(F.sum(measure).alias("_tie_sum"))
-    positioned = global_positions(per_value, [_sort_key("_v", descending)])
+    positioned, total = _positioned(per_value, [_sort_key("_v", descending)], POS)
+    chunk_rows = chunk_rows or chunk_size(df.sparkSession, total)
     summed = _chunked_prefix_sum(positioned, "_tie_sum", out, chunk_rows).select("_v", out)
     return df.join(summed, df[value].eqNullSafe(summed["_v"])).drop("_v")
 
@@ -154,7 +176,7 @@ def rolling_rows(
     preceding: int,
     sum_out: str = "_roll_sum",
     count_out: str = "_roll_count",
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Sum and count of ``value`` over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW``
     inside each partition group, without a per-group task.
@@ -164,10 +186,11 @@ def rolling_rows(
     copied into the next chunk as a halo, and only rows of the same group
     count toward the frame.
     """
+    positioned, total = _positioned(df, [*_cols(list(partition)), *_cols(order)], POS)
+    chunk_rows = chunk_rows or max(preceding, chunk_size(df.sparkSession, total))
     if preceding < 0 or preceding > chunk_rows:
         raise ValueError("need 0 <= preceding <= chunk_rows")
-    positioned = global_positions(df, [*_cols(list(partition)), *_cols(order)])
-    chunk = F.floor(F.col(POS) / F.lit(chunk_rows))
+    chunk = _chunk_of(F.col(POS), chunk_rows)
     own = positioned.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
     halo = (
         positioned.filter(F.col(POS) % F.lit(chunk_rows) >= F.lit(chunk_rows - preceding))

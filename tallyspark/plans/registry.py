@@ -44,15 +44,14 @@ def _on_sales(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: build(_sales(spark, d))
 
 
-def _on_star(build: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Query:
-    """``build(sales, fact, geography)`` over one ``sales`` plan."""
+def _on_star(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """``build(sales, fact)`` over one ``sales`` plan (fact without surrogate keys)."""
+    return lambda spark, d: (lambda s: build(s, model.fact_lines(s)))(_sales(spark, d))
 
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        s = _sales(spark, d)
-        geo = model.dim_geography(s)
-        return build(s, model.fact_sales_unkeyed(s, geo), geo)
 
-    return run
+def _hot_geographies(s: DataFrame) -> DataFrame:
+    geo = model.dim_geography(s)
+    return analytics.hot_geographies(model.fact_sales_unkeyed(s, geo), geo, factor=P.HOT_FACTOR)
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -132,19 +131,15 @@ def _queries() -> dict[str, Query]:
         "a_bottom5_customers": _on_sales(lambda x: analytics.ranked_customers(x, model.customers(x), P.RANK_K, False)),
         "a_single_order_customers": _on_sales(lambda x: analytics.single_order_customers(x, model.customers(x))),
         "a_peak_cart": _on_sales(lambda x: analytics.peak_cart(x, model.customers(x))),
-        "a_rolling3": _on_star(lambda s, f, g: analytics.rolling_average(f, FACT_ORDER, P.ROLLING_ROWS)),
-        "a_hot_geographies": _on_star(lambda s, f, g: analytics.hot_geographies(f, g, factor=P.HOT_FACTOR)),
-        "a_yoy_monthly": _on_star(lambda s, f, g: analytics.yoy_monthly(f, lag=P.YOY_LAG)),
-        "a_pareto80": _on_star(lambda s, f, g: analytics.pareto(f, limit_pct=P.PARETO_LIMIT)),
-        "a_ship_latency": _on_star(lambda s, f, g: analytics.ship_latency(f, P.ELITE_DAYS, P.STANDARD_DAYS)),
+        "a_rolling3": _on_star(lambda s, f: analytics.rolling_average(f, FACT_ORDER, P.ROLLING_ROWS)),
+        "a_hot_geographies": _on_sales(_hot_geographies),
+        "a_yoy_monthly": _on_star(lambda s, f: analytics.yoy_monthly(f, lag=P.YOY_LAG)),
+        "a_pareto80": _on_star(lambda s, f: analytics.pareto(f, limit_pct=P.PARETO_LIMIT)),
+        "a_ship_latency": _on_star(lambda s, f: analytics.ship_latency(f, P.ELITE_DAYS, P.STANDARD_DAYS)),
         "a_discount_cannibal": _on_star(
-            lambda s, f, g: analytics.discount_cannibal(
-                f, model.dim_products(s), P.CANNIBAL_MIN_DISCOUNT, P.CANNIBAL_MAX_IMPACT
-            )
-        ),
-        "v_executive": _on_star(
-            lambda s, f, g: analytics.executive_view(f, model.dim_customers(s), model.dim_products(s))
+            lambda s, f: analytics.discount_cannibal(f, model.dim_products(s), P.CANNIBAL_MIN_DISCOUNT, P.CANNIBAL_MAX_IMPACT)
         ),
+        "v_executive": _on_star(lambda s, f: analytics.executive_view(f, model.dim_customers(s), model.dim_products(s))),
         # ------------------------------------------------------------ files
         "f_metadata": _f_metadata,
         "f_copy_verify": _f_copy_verify,
