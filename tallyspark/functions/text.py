@@ -70,3 +70,15 @@ def quarter_label(d: str | Column) -> Column:
         .when(m.between(7, 9), "Q3")
         .otherwise("Q4")
     )
+
+
+def parse_us_date(c: str | Column) -> Column:
+    """'11/8/2024' or '11/08/2024' (month first) -> DATE; anything else NULL."""
+    return F.to_date(F.try_to_timestamp(_col(c), F.lit("M/d/yyyy")))
+
+
+def day_difference(later: str | Column, earlier: str | Column) -> Column:
+    """Days between two dates or timestamps; fractional for timestamps (julian-day style)."""
+    a, b = _col(later), _col(earlier)
+    micros = F.unix_micros(a.cast("timestamp")) - F.unix_micros(b.cast("timestamp"))
+    return micros / F.lit(86_400_000_000.0)

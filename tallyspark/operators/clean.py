@@ -220,3 +220,8 @@ def drop_sparse_rows(df: DataFrame, min_non_null: int, columns: Sequence[str] |
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a NULL in any of ``columns`` (``na.drop()``)."""
     return df.na.drop(how="any", subset=list(columns) if columns is not None else None)
+
+
+def drop_duplicates_any(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``dropDuplicates(subset)``: one row per key, any survivor (use ``keep_first`` for a stable one)."""
+    return df.dropDuplicates(list(columns)) if columns is not None else df.dropDuplicates()
