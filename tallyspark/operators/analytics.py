@@ -56,13 +56,15 @@ def customers_above_mean(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return named.select("customer_id", "customer_name", _money("_t").alias("total_customer_revenue"))
 
 
-def sequence_and_rank(orders: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
+def sequence_and_rank(orders: DataFrame, tiebreak: Sequence[str], small_rows: int = ordered.SMALL_ROWS) -> DataFrame:
     """Per-customer sequence (newest first) and the global dense rank of each line by sales."""
     seq_order = [F.col("order_date").desc_nulls_last(), *[F.col(c).asc() for c in tiebreak]]
     # Project before the checkpointed sort: a checkpoint materialises every column it is given.
     needed = list(dict.fromkeys(["customer_id", "order_id", "sales", "order_date", *tiebreak]))
-    numbered = ordered.row_number_within(orders.select(*needed), ["customer_id"], seq_order, out="internal_order_sequence")
-    ranked = ordered.dense_rank(numbered, "sales", descending=True, out="global_revenue_line_rank")
+    numbered = ordered.row_number_within(
+        orders.select(*needed), ["customer_id"], seq_order, out="internal_order_sequence", small_rows=small_rows
+    )
+    ranked = ordered.dense_rank(numbered, "sales", descending=True, out="global_revenue_line_rank", small_rows=small_rows)
     return ranked.select(
         "customer_id",
         "order_id",
@@ -72,9 +74,11 @@ def sequence_and_rank(orders: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
     )
 
 
-def master_ledger(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def master_ledger(orders: DataFrame, customers: DataFrame, small_rows: int = ordered.SMALL_ROWS) -> DataFrame:
     totals = _customer_totals(orders, "lifetime_gross_sales")
-    ranked = ordered.dense_rank(totals, "lifetime_gross_sales", descending=True, out="strategic_customer_rank")
+    ranked = ordered.dense_rank(
+        totals, "lifetime_gross_sales", descending=True, out="strategic_customer_rank", small_rows=small_rows
+    )
     named = ranked.join(customers.select("customer_id", "customer_name"), "customer_id")
     return named.select(
         "customer_name", _money("lifetime_gross_sales").alias("lifetime_gross_sales"), "strategic_customer_rank"
@@ -110,11 +114,15 @@ def peak_cart(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return j.groupBy("customer_id", "customer_name").agg(_money(F.max("_cart")).alias("peak_historical_order_value"))
 
 
-def rolling_average(fact: DataFrame, tiebreak: Sequence[str], rows: int = 3, chunk_rows: int | None = None) -> DataFrame:
+def rolling_average(
+    fact: DataFrame, tiebreak: Sequence[str], rows: int = 3, chunk_rows: int | None = None, small_rows: int = ordered.SMALL_ROWS
+) -> DataFrame:
     """Mean revenue over each customer's last ``rows`` lines (current included), 6 decimals."""
     order = [F.col("order_date").asc_nulls_first(), *[F.col(c).asc() for c in tiebreak]]
     needed = list(dict.fromkeys(["customer_key", "order_date", "revenue", *tiebreak]))
-    rolled = ordered.rolling_rows(fact.select(*needed), ["customer_key"], order, "revenue", rows - 1, chunk_rows=chunk_rows)
+    rolled = ordered.rolling_rows(
+        fact.select(*needed), ["customer_key"], order, "revenue", rows - 1, chunk_rows=chunk_rows, small_rows=small_rows
+    )
     return rolled.select(
         "customer_key",
         "order_date",
@@ -151,14 +159,18 @@ def yoy_monthly(fact: DataFrame, lag: int = 12) -> DataFrame:
     )
 
 
-def pareto(fact: DataFrame, limit_pct: int = 80, chunk_rows: int | None = None) -> DataFrame:
+def pareto(
+    fact: DataFrame, limit_pct: int = 80, chunk_rows: int | None = None, small_rows: int = ordered.SMALL_ROWS
+) -> DataFrame:
     """Customers, largest first, while cumulative revenue share stays <= ``limit_pct``.
 
     Ties in total revenue share one running total (RANGE frame). The filter
     compares exactly: running * 100 <= limit * grand total.
     """
     totals = fact.groupBy("customer_key").agg(F.sum("revenue").alias("total_revenue"))
-    run = ordered.running_total(totals, "total_revenue", descending=True, out="_run", chunk_rows=chunk_rows)
+    run = ordered.running_total(
+        totals, "total_revenue", descending=True, out="_run", chunk_rows=chunk_rows, small_rows=small_rows
+    )
     grand = totals.agg(F.sum("total_revenue").alias("_grand"))
     j = run.crossJoin(F.broadcast(grand))  # one-row side
     kept = j.filter(F.col("_run") * F.lit(100) <= F.lit(limit_pct) * F.col("_grand"))

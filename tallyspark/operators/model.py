@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.ordered import POS, global_positions, surrogate_keys
+from tallyspark.operators.ordered import SMALL_ROWS, sequential_ids, surrogate_keys
 from tallyspark.sources.binding import LINE_ORDER
 
 # Fixed value: the default loyalty tier of a new customer.
@@ -39,12 +39,12 @@ def products(sales: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
     return keep_first(sales, ["product_id"], order, cols)
 
 
-def orders(sales: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
+def orders(sales: DataFrame, order: Sequence[str] = LINE_ORDER, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Order-line table with a dense ``row_id`` in line order."""
     cols = ["order_id", "order_date", "ship_date", "ship_mode", "customer_id", "product_id", "sales", "quantity", "discount", "profit"]
-    positioned = global_positions(sales.select(*dict.fromkeys([*cols, *order])), list(order))
+    positioned = sequential_ids(sales.select(*dict.fromkeys([*cols, *order])), list(order), "_id", small_rows=small_rows)
     return positioned.select(
-        (F.col(POS) + F.lit(1)).alias("row_id"),
+        F.col("_id").cast("bigint").alias("row_id"),
         "order_id",
         "order_date",
         "ship_date",
@@ -110,7 +110,9 @@ def dim_calendar(sales: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(sales: DataFrame, geography: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
+def fact_sales(
+    sales: DataFrame, geography: DataFrame, order: Sequence[str] = LINE_ORDER, small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """Fact rows with a dense ``txn_id`` and the geography key looked up from (city, state)."""
     geo = geography.select("geo_key", F.col("city_name").alias("_city"), F.col("state_province").alias("_state"))
     looked_up = sales.join(
@@ -119,9 +121,9 @@ def fact_sales(sales: DataFrame, geography: DataFrame, order: Sequence[str] = LI
         "left",
     )
     cols = ["order_id", "customer_id", "product_id", "geo_key", "order_date", "ship_date", "ship_mode", "quantity", "sales", "discount", "profit"]
-    positioned = global_positions(looked_up.select(*dict.fromkeys([*cols, *order])), list(order))
+    positioned = sequential_ids(looked_up.select(*dict.fromkeys([*cols, *order])), list(order), "_id", small_rows=small_rows)
     return positioned.select(
-        (F.col(POS) + F.lit(1)).alias("txn_id"),
+        F.col("_id").cast("bigint").alias("txn_id"),
         "order_id",
         F.col("customer_id").alias("customer_key"),
         F.col("product_id").alias("product_key"),

@@ -22,6 +22,12 @@ operators here keep every step distributed:
 
 Every window here is partitioned by a chunk id, so no task holds more than
 ``chunk_rows`` (+ halo) rows whatever the key distribution.
+
+Size check first: each operator measures the quantity that bounds a plain
+Spark window (distinct sort values for a global rank or running total, the
+largest group for per-group row numbers and row frames). When it is at most
+``small_rows`` the plain window is used, since that check bounds what one task
+holds; beyond it the distributed path above runs.
 """
 
 from __future__ import annotations
@@ -36,6 +42,7 @@ from tallyspark.session import ensure_checkpoint_dir
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition index in the low 33 bits
 _MAX_SORT_PARTITIONS = 1 << 20
 DEFAULT_CHUNK_ROWS = 1 << 20
+SMALL_ROWS = DEFAULT_CHUNK_ROWS  # largest input a single window task may hold
 
 POS = "_pos"
 
@@ -96,11 +103,18 @@ def _sort_key(value: str, descending: bool) -> Column:
     return F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
 
 
-def dense_rank(df: DataFrame, value: str, descending: bool = True, out: str = "dense_rank") -> DataFrame:
+def dense_rank(
+    df: DataFrame, value: str, descending: bool = True, out: str = "dense_rank", small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """``DENSE_RANK() OVER (ORDER BY value [DESC])`` over the whole table."""
-    distinct = df.select(F.col(value).alias("_v")).distinct()
-    ranked = global_positions(distinct, [_sort_key("_v", descending)])
-    ranked = ranked.select("_v", (F.col(POS) + F.lit(1)).alias(out))
+    key = _sort_key("_v", descending)
+    # Distinct values written once: sized, then ranked, without a second aggregation.
+    distinct = df.select(F.col(value).alias("_v")).distinct().checkpoint(eager=True)
+    if distinct.count() <= small_rows:
+        # Checked bound: at most small_rows distinct values in the one window task.
+        ranked = distinct.select("_v", F.row_number().over(Window.orderBy(key)).cast("bigint").alias(out))
+    else:
+        ranked = global_positions(distinct, [key]).select("_v", (F.col(POS) + F.lit(1)).alias(out))
     return df.join(ranked, df[value].eqNullSafe(ranked["_v"])).drop("_v")
 
 
@@ -127,6 +141,7 @@ def running_total(
     descending: bool = True,
     out: str = "running_total",
     chunk_rows: int | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """``SUM(measure) OVER (ORDER BY value [DESC])`` with the default RANGE frame.
 
@@ -134,13 +149,25 @@ def running_total(
     Use a DECIMAL measure for a partition-independent exact result.
     """
     measure = measure or value
-    per_value = df.groupBy(F.col(value).alias("_v")).agg(F.sum(measure).alias("_tie_sum"))
-    positioned, total = _positioned(per_value, [_sort_key("_v", descending)], POS)
-    chunk_rows = chunk_rows or chunk_size(df.sparkSession, total)
-    summed = _chunked_prefix_sum(positioned, "_tie_sum", out, chunk_rows).select("_v", out)
+    key = _sort_key("_v", descending)
+    per_value = df.groupBy(F.col(value).alias("_v")).agg(F.sum(measure).alias("_tie_sum")).checkpoint(eager=True)
+    n = per_value.count()
+    if n <= small_rows:
+        # Checked bound: at most small_rows distinct values in the one window task.
+        frame = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        summed = per_value.select("_v", F.sum("_tie_sum").over(frame).alias(out))
+    else:
+        positioned = global_positions(per_value, [key])
+        chunk_rows = chunk_rows or chunk_size(df.sparkSession, n)
+        summed = _chunked_prefix_sum(positioned, "_tie_sum", out, chunk_rows).select("_v", out)
     return df.join(summed, df[value].eqNullSafe(summed["_v"])).drop("_v")
 
 
+def largest_group(df: DataFrame, partition: Sequence[str]) -> int:
+    """Rows in the biggest group (partial aggregation, then one number to the driver)."""
+    return df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = None
@@ -155,6 +182,7 @@ def row_number_within(
     partition: Sequence[str],
     order: Sequence[str | Column],
     out: str = "row_number",
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY order)``, skew-safe.
 
@@ -162,6 +190,10 @@ def row_number_within(
     group); the join back is an equi-join that AQE splits when one group is
     hot. ``order`` should make rows unique within a group.
     """
+    if largest_group(df, partition) <= small_rows:
+        # Checked bound: no group holds more than small_rows rows.
+        w = Window.partitionBy(*partition).orderBy(*_cols(order))
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     positioned = global_positions(df, [*_cols(list(partition)), *_cols(order)])
     starts = positioned.groupBy(*partition).agg(F.min(POS).alias("_start"))
     joined = _null_safe_join(positioned, starts, partition)
@@ -177,6 +209,7 @@ def rolling_rows(
     sum_out: str = "_roll_sum",
     count_out: str = "_roll_count",
     chunk_rows: int | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Sum and count of ``value`` over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW``
     inside each partition group, without a per-group task.
@@ -186,6 +219,10 @@ def rolling_rows(
     copied into the next chunk as a halo, and only rows of the same group
     count toward the frame.
     """
+    if largest_group(df, partition) <= small_rows:
+        # Checked bound: no group holds more than small_rows rows.
+        frame = Window.partitionBy(*partition).orderBy(*_cols(order)).rowsBetween(-preceding, Window.currentRow)
+        return df.select("*", F.sum(value).over(frame).alias(sum_out), F.count(value).over(frame).alias(count_out))
     positioned, total = _positioned(df, [*_cols(list(partition)), *_cols(order)], POS)
     chunk_rows = chunk_rows or max(preceding, chunk_size(df.sparkSession, total))
     if preceding < 0 or preceding > chunk_rows:
@@ -212,12 +249,22 @@ def rolling_rows(
     return rolled.filter(~F.col("_halo")).drop("_chunk", "_halo", POS)
 
 
-def surrogate_keys(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+def sequential_ids(
+    df: DataFrame, order: Sequence[str | Column], out: str, start: int = 1, small_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """Consecutive ids ``start, start+1, ...`` following a total ``order``."""
+    if df.count() <= small_rows:
+        # Checked bound: at most small_rows rows in the one window task.
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*_cols(order))) + F.lit(start - 1))
+    return global_positions(df, order).withColumn(out, F.col(POS) + F.lit(start)).drop(POS)
+
+
+def surrogate_keys(df: DataFrame, keys: Sequence[str], out: str, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Dense consecutive integer keys 1..n over the distinct ``keys``, ordered by them.
 
     Deterministic (a pure function of the key set), so reloading gives the
     same numbering.
     """
-    distinct = df.select(*keys).distinct()
-    positioned = global_positions(distinct, [F.col(k).asc_nulls_first() for k in keys])
-    return positioned.select(*keys, (F.col(POS) + F.lit(1)).alias(out))
+    distinct = df.select(*keys).distinct().checkpoint(eager=True)
+    keyed = sequential_ids(distinct, [F.col(k).asc_nulls_first() for k in keys], out, small_rows=small_rows)
+    return keyed.select(*keys, F.col(out).cast("bigint").alias(out))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import analytics, checks, model, reports
@@ -27,9 +28,10 @@ def test_above_mean(flat10):
     assert sorted(r.sales for r in got) == [731.94, 907.15, 957.57]
 
 
-def test_customer_totals_and_rank(flat10):
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_customer_totals_and_rank(flat10, small):
     customers = model.customers(flat10, TIE)
-    got = _rows(analytics.master_ledger(flat10, customers), "strategic_customer_rank", "lifetime_gross_sales")
+    got = _rows(analytics.master_ledger(flat10, customers, small_rows=small), "strategic_customer_rank", "lifetime_gross_sales")
     assert got == [(1, 993.9), (2, 979.93), (3, 963.29), (4, 114.9), (5, 18.5), (6, 14.62)]
 
 
@@ -43,8 +45,9 @@ def test_peak_line(flat10):
     assert sorted(r.sales for r in got.collect()) == sorted([731.94, 14.62, 957.57, 907.15, 18.50, 114.90])
 
 
-def test_global_line_rank(flat10):
-    got = analytics.sequence_and_rank(flat10, TIE)
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_global_line_rank(flat10, small):
+    got = analytics.sequence_and_rank(flat10, TIE, small_rows=small)
     by_rank = [r.sales for r in sorted(got.collect(), key=lambda r: r.global_revenue_line_rank)]
     assert by_rank == [957.57, 907.15, 731.94, 261.96, 114.90, 48.86, 22.36, 18.50, 14.62, 7.28]
     seq = {(r.customer_id, r.sales): r.internal_order_sequence for r in got.collect()}
@@ -115,17 +118,18 @@ def test_yoy_empty(flat10):
     assert analytics.yoy_monthly(fact).count() == 0
 
 
-def test_pareto(flat10):
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_pareto(flat10, small):
     fact, _ = _star(flat10)
-    got = _rows(analytics.pareto(fact, chunk_rows=2), "customer_key", "cumulative_percentage")
+    got = _rows(analytics.pareto(fact, chunk_rows=2, small_rows=small), "customer_key", "cumulative_percentage")
     assert [(k, round(v, 4)) for k, v in got] == [("CG-12520", 32.2157), ("SO-20335", 63.9786)]
 
 
 def test_rolling3_across_chunks(flat10):
     fact, _ = _star(flat10)
-    for chunk in (2, 3, 1 << 20):
+    for chunk, small in ((2, 0), (3, 0), (None, 0), (None, 1 << 20)):
         got = {}
-        for r in analytics.rolling_average(fact, FACT_TIE, 3, chunk_rows=chunk).collect():
+        for r in analytics.rolling_average(fact, FACT_TIE, 3, chunk_rows=chunk, small_rows=small).collect():
             got.setdefault(r.customer_key, []).append((r.revenue, r.rolling_3_order_avg))
         assert [v for _, v in sorted(got["CG-12520"])] == sorted([261.96, 496.95])
         bh = dict(got["BH-11710"])
@@ -171,6 +175,7 @@ def test_dims_and_integrity(flat10):
     assert res.count() == 11
 
 
-def test_orders_row_id_dense(flat10):
-    got = model.orders(flat10, TIE).collect()
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_orders_row_id_dense(flat10, small):
+    got = model.orders(flat10, TIE, small_rows=small).collect()
     assert sorted(r.row_id for r in got) == list(range(1, 11))

@@ -34,32 +34,38 @@ def _set(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
 
 
+PATHS = [0, ordered.SMALL_ROWS]  # 0 forces the distributed path; the default takes the checked plain window
+
+
+@pytest.mark.parametrize("small", PATHS)
 @pytest.mark.parametrize("descending", [True, False])
-def test_dense_rank(lines, descending):
+def test_dense_rank(lines, descending, small):
     with_null = lines.withColumn("v", F.when(F.col("o") % 17 == 0, F.lit(None)).otherwise(F.col("v")))
-    got = ordered.dense_rank(with_null, "v", descending=descending, out="r")
+    got = ordered.dense_rank(with_null, "v", descending=descending, out="r", small_rows=small)
     key = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
     want = with_null.withColumn("r", F.dense_rank().over(Window.orderBy(key)))
     assert _set(got, UNIQUE + ["r"]) == _set(want, UNIQUE + ["r"])
 
 
-def test_running_total_range_ties(lines):
-    got = ordered.running_total(lines, "q", measure="v", descending=True, out="rt", chunk_rows=5)
+@pytest.mark.parametrize("small", PATHS)
+def test_running_total_range_ties(lines, small):
+    got = ordered.running_total(lines, "q", measure="v", descending=True, out="rt", chunk_rows=5, small_rows=small)
     want = lines.withColumn("rt", F.sum("v").over(Window.orderBy(F.col("q").desc())))
     assert _set(got, UNIQUE + ["rt"]) == _set(want, UNIQUE + ["rt"])
 
 
-def test_row_number_hot_key(lines):
+@pytest.mark.parametrize("small", PATHS)
+def test_row_number_hot_key(lines, small):
     order = [F.col("d").desc(), *[F.col(c) for c in UNIQUE]]
-    got = ordered.row_number_within(lines, ["k"], order, out="rn")
+    got = ordered.row_number_within(lines, ["k"], order, out="rn", small_rows=small)
     want = lines.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
     assert _set(got, UNIQUE + ["rn"]) == _set(want, UNIQUE + ["rn"])
 
 
-@pytest.mark.parametrize("chunk", [2, 7, 1 << 20])
-def test_rolling_rows_hot_key(lines, chunk):
+@pytest.mark.parametrize("chunk,small", [(2, 0), (7, 0), (None, 0), (None, ordered.SMALL_ROWS)])
+def test_rolling_rows_hot_key(lines, chunk, small):
     order = [F.col("d"), *[F.col(c) for c in UNIQUE]]
-    got = ordered.rolling_rows(lines, ["k"], order, "v", 2, chunk_rows=chunk)
+    got = ordered.rolling_rows(lines, ["k"], order, "v", 2, chunk_rows=chunk, small_rows=small)
     w = Window.partitionBy("k").orderBy(*order).rowsBetween(-2, 0)
     want = lines.withColumn("_roll_sum", F.sum("v").over(w)).withColumn("_roll_count", F.count("v").over(w))
     cols = UNIQUE + ["_roll_sum", "_roll_count"]
@@ -72,18 +78,26 @@ def test_global_positions_dense_and_unique(lines):
     assert pos == list(range(lines.count()))
 
 
-def test_surrogate_keys(lines):
-    got = ordered.surrogate_keys(lines, ["k"], "sk").orderBy("k").collect()
+@pytest.mark.parametrize("small", PATHS)
+def test_surrogate_keys(lines, small):
+    got = ordered.surrogate_keys(lines, ["k"], "sk", small_rows=small).orderBy("k").collect()
     assert [r.sk for r in got] == list(range(1, len(got) + 1))
 
 
+@pytest.mark.parametrize("small", PATHS)
+def test_sequential_ids(lines, small):
+    got = ordered.sequential_ids(lines, UNIQUE, "id", start=1, small_rows=small)
+    want = lines.withColumn("id", F.row_number().over(Window.orderBy(*UNIQUE)))
+    assert _set(got, UNIQUE + ["id"]) == _set(want, UNIQUE + ["id"])
+
+
 @pytest.mark.parametrize("parts", [1, 4, 32])
 def test_partition_independence(spark, lines, parts):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        got = ordered.running_total(lines, "v", descending=True, out="rt", chunk_rows=11)
-        rank = ordered.dense_rank(lines, "v", out="r")
+        got = ordered.running_total(lines, "v", descending=True, out="rt", chunk_rows=11, small_rows=0)
+        rank = ordered.dense_rank(lines, "v", out="r", small_rows=0)
         a, b = _set(got, UNIQUE + ["rt"]), _set(rank, UNIQUE + ["r"])
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
@@ -91,3 +105,7 @@ def test_partition_independence(spark, lines, parts):
     want_r = lines.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc())))
     assert a == _set(want_rt, UNIQUE + ["rt"])
     assert b == _set(want_r, UNIQUE + ["r"])
+
+
+def test_largest_group(lines):
+    assert ordered.largest_group(lines, ["k"]) == lines.filter(F.col("k") == 0).count()
