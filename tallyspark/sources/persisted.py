@@ -12,6 +12,7 @@ mid-write leaves no ``_SUCCESS`` marker and is rebuilt.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,12 +57,24 @@ def persisted(
     rebuild: bool = False,
 ) -> DataFrame:
     """Read ``name`` from the shared folder, writing it with ``build()`` first if needed
-    (or always, with ``rebuild``)."""
+    (or always, with ``rebuild``).
+
+    The table is written to a private folder and renamed into place, so a
+    reader (or a concurrent builder) sees either no table or a whole one.
+    """
     target = f"{tables_root(spark)}/{name}-{source_fingerprint(spark, sources)}"
     marker, fs = _hadoop_fs(spark, f"{target}/_SUCCESS")
     if rebuild or not fs.exists(marker):
+        staging = f"{target}.{uuid.uuid4().hex}.tmp"
         writer = build().write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(target)
+        writer.parquet(staging)
+        final, _ = _hadoop_fs(spark, target)
+        if rebuild and fs.exists(final):
+            fs.delete(final, True)
+        if fs.exists(final):  # another builder published first; its table is equivalent
+            fs.delete(_hadoop_fs(spark, staging)[0], True)
+        else:
+            fs.rename(_hadoop_fs(spark, staging)[0], final)
     return spark.read.parquet(target)
