@@ -89,7 +89,8 @@ def sales_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Data
     file, and keeps the join out of every report's plan.
     """
     sources = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SALES_SOURCES]
-    return persisted(spark, "sales", sources, lambda: sales(spark, sf_dir), rebuild=rebuild).select(*SALES_COLUMNS)
+    table_ = persisted(spark, "sales", sources, lambda: sales(spark, sf_dir), rebuild=rebuild, sort_within=("order_date",))
+    return table_.select(*SALES_COLUMNS)
 
 
 # ----------------------------------------------------------------- catalogue

@@ -55,18 +55,26 @@ def persisted(
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (),
     rebuild: bool = False,
+    sort_within: Sequence[str] = (),
+    max_records_per_file: int = 20_000_000,
 ) -> DataFrame:
     """Read ``name`` from the shared folder, writing it with ``build()`` first if needed
     (or always, with ``rebuild``).
 
     The table is written to a private folder and renamed into place, so a
     reader (or a concurrent builder) sees either no table or a whole one.
+    ``sort_within`` orders each file (tight Parquet min/max statistics for
+    filters on those columns, no global sort); ``max_records_per_file`` keeps
+    files near a gigabyte however large the shuffle partitions are.
     """
     target = f"{tables_root(spark)}/{name}-{source_fingerprint(spark, sources)}"
     marker, fs = _hadoop_fs(spark, f"{target}/_SUCCESS")
     if rebuild or not fs.exists(marker):
         staging = f"{target}.{uuid.uuid4().hex}.tmp"
-        writer = build().write.mode("overwrite")
+        data = build()
+        if sort_within:
+            data = data.sortWithinPartitions(*sort_within)
+        writer = data.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(staging)
