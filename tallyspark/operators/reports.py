@@ -283,17 +283,19 @@ def duplicate_lines(sales: DataFrame, k: int = 5) -> DataFrame:
 
 
 def loss_orders(sales: DataFrame) -> DataFrame:
-    everything = sales.agg(_lines().alias("_all"))
-    losses = sales.filter(F.col("profit") < 0).agg(
-        _lines().alias("loss_making_orders"),
-        _sum_money("profit").alias("total_loss"),
-        round_ratio(F.sum("discount"), F.count("discount"), 1, num_scale=2, mult=100).alias("avg_discount_pct"),
+    """Loss-making lines and their share of all lines, in one pass (conditional aggregates)."""
+    loss = F.col("profit") < 0
+    agg = sales.agg(
+        F.count_if(loss).alias("loss_making_orders"),
+        F.sum(F.when(loss, F.col("profit"))).alias("_loss"),
+        F.sum(F.when(loss, F.col("discount"))).alias("_disc"),
+        F.count(F.when(loss, F.col("discount"))).alias("_ndisc"),
+        F.count(F.lit(1)).alias("_all"),
     )
-    # Both sides are one-row aggregates.
-    return losses.crossJoin(everything).select(
+    return agg.select(
         "loss_making_orders",
-        "total_loss",
-        "avg_discount_pct",
+        round_money(F.col("_loss")).alias("total_loss"),
+        round_ratio(F.col("_disc"), F.col("_ndisc"), 1, num_scale=2, mult=100).alias("avg_discount_pct"),
         round_ratio(F.col("loss_making_orders"), F.col("_all"), 1, mult=100).alias("pct_of_all_orders"),
     )
 
@@ -312,8 +314,8 @@ def value_ranges(sales: DataFrame) -> DataFrame:
 def category_share(sales: DataFrame) -> DataFrame:
     """Revenue share per category in percent (one decimal); the window runs on the grouped rows."""
     per = sales.groupBy("category").agg(F.sum("sales").alias("_s"))
-    # Grand total as a one-row aggregate joined to every group (no global window).
-    total = sales.agg(F.sum("sales").alias("_t"))
+    # Grand total from the group rows (no second scan), joined as one row (no global window).
+    total = per.agg(F.sum("_s").alias("_t"))
     return (
         per.crossJoin(F.broadcast(total))
         .select(

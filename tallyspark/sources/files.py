@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -54,6 +54,10 @@ def file_metadata(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return scan.load(path).select("path", "length", "modificationTime")
 
 
+def _row_hash(df: DataFrame, cols: list[str]):
+    return F.xxhash64(*[F.col(c).cast("string") for c in cols]).cast("decimal(20,0)")
+
+
 def table_fingerprint(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Row count and an order-independent checksum of the rows, in one pass.
 
@@ -61,8 +65,10 @@ def table_fingerprint(df: DataFrame, columns: Iterable[str] | None = None) -> Da
     overflows nor depends on partitioning or row order.
     """
     cols = list(columns) if columns is not None else df.columns
-    h = F.xxhash64(*[F.col(c).cast("string") for c in cols]).cast("decimal(20,0)")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(30,0)")).cast("string").alias("checksum"))
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(_row_hash(df, cols)), F.lit(0).cast("decimal(30,0)")).cast("string").alias("checksum"),
+    )
 
 
 def copy_verified(
@@ -74,17 +80,23 @@ def copy_verified(
 ) -> DataFrame:
     """Copy a delimited folder to ``destination`` and compare both sides.
 
-    The copy is written once; verification re-reads the written files (not
-    the source plan), so a silently lost or doubled part file shows up as a
-    count or checksum mismatch.
+    The source fingerprint is observed while the copy is written (one read
+    of the source); verification re-reads the written files, so a lost or
+    doubled part file shows up as a count or checksum mismatch.
     """
     src = read_delimited(spark, source, schema=schema, sep=sep, normalise_nulls=False)
-    write_delimited(src, destination, sep=sep)
+    seen = Observation("copy_source")
+    observed = src.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(_row_hash(src, src.columns)), F.lit(0).cast("decimal(30,0)")).cast("string").alias("checksum"),
+    )
+    write_delimited(observed, destination, sep=sep)
+    metrics = seen.get
     dst = read_delimited(spark, destination, schema=schema, sep=sep, normalise_nulls=False)
-    a = table_fingerprint(src).select(F.col("rows").alias("source_rows"), F.col("checksum").alias("source_checksum"))
+    a = spark.createDataFrame([(int(metrics["rows"]), str(metrics["checksum"]))], "source_rows bigint, source_checksum string")
     b = table_fingerprint(dst).select(F.col("rows").alias("dest_rows"), F.col("checksum").alias("dest_checksum"))
-    both = a.crossJoin(b)
-    return both.select(
+    return a.crossJoin(b).select(
         "source_rows",
         "dest_rows",
         "source_checksum",
