@@ -144,37 +144,37 @@ def _queries() -> dict[str, Query]:
         "f_metadata": _f_metadata,
         "f_copy_verify": _f_copy_verify,
         # -------------------------------------------------------- catalogue
-        "c_catalog_clean": lambda s, d: clean.catalog_clean(binding.catalog_dirty(s, d), seed=P.SEED),
-        "c_catalog_nulls": lambda s, d: clean.catalog_nulls(binding.catalog_dirty(s, d)),
-        "c_catalog_dupes": lambda s, d: clean.duplicate_count(binding.catalog_dirty(s, d), ["product_id"]),
-        "c_premium": lambda s, d: clean.premium(binding.catalog_dirty(s, d), P.PREMIUM_PRICE),
+        "c_catalog_clean": lambda s, d: clean.catalog_clean(binding.catalog_file(s, d), seed=P.SEED),
+        "c_catalog_nulls": lambda s, d: clean.catalog_nulls(binding.catalog_file(s, d)),
+        "c_catalog_dupes": lambda s, d: clean.duplicate_count(binding.catalog_file(s, d), ["product_id"]),
+        "c_premium": lambda s, d: clean.premium(binding.catalog_file(s, d), P.PREMIUM_PRICE),
         # ----------------------------------------------------------- retail
-        "r_dedupe_key": lambda s, d: clean.dedupe_on(binding.retail_dirty(s, d)),
+        "r_dedupe_key": lambda s, d: clean.dedupe_on(binding.retail_file(s, d)),
         "r_dedupe_counts": lambda s, d: clean.before_after(
-            binding.retail_dirty(s, d), clean.dedupe_on(binding.retail_dirty(s, d))
+            binding.retail_file(s, d), clean.dedupe_on(binding.retail_file(s, d))
         ),
-        "r_west_avg": lambda s, d: clean.region_category_avg(binding.retail_dirty(s, d), P.CLEAN_REGION),
-        "r_fill_payment": lambda s, d: clean.fill_payment(binding.retail_dirty(s, d)),
-        "r_payment_counts": lambda s, d: clean.frequent_values(binding.retail_dirty(s, d), "payment_method", P.MIN_PAYMENT_COUNT),
-        "r_age_gender": lambda s, d: clean.age_gender(binding.retail_dirty(s, d), P.AGE_LOW, P.AGE_HIGH, P.GENDER),
-        "r_parse_report": lambda s, d: clean.parse_report(binding.retail_dirty(s, d)),
-        "r_parse_multi": lambda s, d: clean.parse_multi(binding.retail_dirty(s, d)),
-        "r_valid_contacts": lambda s, d: clean.valid_contacts(binding.retail_dirty(s, d)),
+        "r_west_avg": lambda s, d: clean.region_category_avg(binding.retail_file(s, d), P.CLEAN_REGION),
+        "r_fill_payment": lambda s, d: clean.fill_payment(binding.retail_file(s, d)),
+        "r_payment_counts": lambda s, d: clean.frequent_values(binding.retail_file(s, d), "payment_method", P.MIN_PAYMENT_COUNT),
+        "r_age_gender": lambda s, d: clean.age_gender(binding.retail_file(s, d), P.AGE_LOW, P.AGE_HIGH, P.GENDER),
+        "r_parse_report": lambda s, d: clean.parse_report(binding.retail_file(s, d)),
+        "r_parse_multi": lambda s, d: clean.parse_multi(binding.retail_file(s, d)),
+        "r_valid_contacts": lambda s, d: clean.valid_contacts(binding.retail_file(s, d)),
         "r_valid_counts": lambda s, d: clean.before_after(
-            binding.retail_dirty(s, d), clean.valid_contacts(binding.retail_dirty(s, d))
+            binding.retail_file(s, d), clean.valid_contacts(binding.retail_file(s, d))
         ),
-        "r_price_stats": lambda s, d: clean.price_stats(binding.retail_dirty(s, d)),
-        "r_region_revenue": lambda s, d: clean.region_revenue(binding.retail_dirty(s, d)),
-        "r_spelling_audit": lambda s, d: clean.spelling_audit(binding.retail_dirty(s, d)),
-        "r_null_profile": lambda s, d: clean.null_profile(binding.retail_dirty(s, d), binding.RETAIL_COLUMNS),
-        "r_row_audit": lambda s, d: clean.row_audit(binding.retail_dirty(s, d)),
-        "r_complete_rows": lambda s, d: clean.drop_incomplete(clean.retail_rows(binding.retail_dirty(s, d))),
+        "r_price_stats": lambda s, d: clean.price_stats(binding.retail_file(s, d)),
+        "r_region_revenue": lambda s, d: clean.region_revenue(binding.retail_file(s, d)),
+        "r_spelling_audit": lambda s, d: clean.spelling_audit(binding.retail_file(s, d)),
+        "r_null_profile": lambda s, d: clean.null_profile(binding.retail_file(s, d), binding.RETAIL_COLUMNS),
+        "r_row_audit": lambda s, d: clean.row_audit(binding.retail_file(s, d)),
+        "r_complete_rows": lambda s, d: clean.drop_incomplete(clean.retail_rows(binding.retail_file(s, d))),
         # ------------------------------------------------------ exploration
-        "c_catalog_info": lambda s, d: clean.column_profile(binding.catalog_dirty(s, d).drop("ordinal")),
-        "c_catalog_head": lambda s, d: clean.preview(binding.catalog_dirty(s, d), ["ordinal"], P.PREVIEW_ROWS),
-        "c_catalog_tail": lambda s, d: clean.preview(binding.catalog_dirty(s, d), ["ordinal"], P.PREVIEW_ROWS, last=True),
+        "c_catalog_info": lambda s, d: clean.column_profile(binding.catalog_file(s, d).drop("ordinal")),
+        "c_catalog_head": lambda s, d: clean.preview(binding.catalog_file(s, d), ["ordinal"], P.PREVIEW_ROWS),
+        "c_catalog_tail": lambda s, d: clean.preview(binding.catalog_file(s, d), ["ordinal"], P.PREVIEW_ROWS, last=True),
         "c_catalog_sparse": lambda s, d: clean.drop_sparse_rows(
-            binding.catalog_dirty(s, d).drop("ordinal"), P.MIN_NON_NULL
+            binding.catalog_file(s, d).drop("ordinal"), P.MIN_NON_NULL
         ),
         "n_load_verification": _on_sales(_load_verification),
     }

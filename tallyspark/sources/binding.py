@@ -198,3 +198,37 @@ def retail_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.lit(None).cast(base.schema[name].dataType).alias(name) for name in RETAIL_COLUMNS[1:]],
     )
     return base.unionByName(copies).unionByName(blank)
+
+
+# ------------------------------------------------------- files on shared storage
+
+CATALOG_FILE_SCHEMA = (
+    "ordinal BIGINT, product_id BIGINT, title STRING, category STRING, initial_price DOUBLE, rating INT, "
+    "discount DECIMAL(4,2), what_customers_said STRING, seller_name STRING, videos STRING, variations STRING, "
+    "seller_information STRING"
+)
+RETAIL_FILE_SCHEMA = (
+    "row_ordinal BIGINT, transaction_id STRING, customer_id STRING, customer_name STRING, age BIGINT, gender STRING, "
+    "category STRING, region STRING, quantity INT, unit_price DECIMAL(18,2), purchase_amount DECIMAL(18,2), "
+    "rating BIGINT, payment_method STRING, purchase_date STRING, signup_date STRING, email STRING"
+)
+
+
+def _sources(sf_dir: str, names: tuple[str, ...]) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in names]
+
+
+def catalog_file(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """The catalogue as a CSV file (how the cleaning job receives it), written once per source version."""
+    return persisted(
+        spark, "catalog-csv", _sources(sf_dir, ("part",)), lambda: catalog_dirty(spark, sf_dir),
+        rebuild=rebuild, csv_schema=CATALOG_FILE_SCHEMA,
+    )
+
+
+def retail_file(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """The transaction file as CSV (how the cleaning job receives it), written once per source version."""
+    return persisted(
+        spark, "retail-csv", _sources(sf_dir, ("orders", "customer", "nation", "region")),
+        lambda: retail_dirty(spark, sf_dir), rebuild=rebuild, csv_schema=RETAIL_FILE_SCHEMA,
+    )

@@ -57,6 +57,7 @@ def persisted(
     rebuild: bool = False,
     sort_within: Sequence[str] = (),
     max_records_per_file: int = 20_000_000,
+    csv_schema: str | None = None,
 ) -> DataFrame:
     """Read ``name`` from the shared folder, writing it with ``build()`` first if needed
     (or always, with ``rebuild``).
@@ -65,7 +66,10 @@ def persisted(
     reader (or a concurrent builder) sees either no table or a whole one.
     ``sort_within`` orders each file (tight Parquet min/max statistics for
     filters on those columns, no global sort); ``max_records_per_file`` keeps
-    files near a gigabyte however large the shuffle partitions are.
+    files near a gigabyte however large the shuffle partitions are. With
+    ``csv_schema`` the table is a delimited text file with a header instead,
+    written verbatim (no whitespace trimming) and read back with that declared
+    schema, failing on any malformed record.
     """
     target = f"{tables_root(spark)}/{name}-{source_fingerprint(spark, sources)}"
     marker, fs = _hadoop_fs(spark, f"{target}/_SUCCESS")
@@ -77,7 +81,10 @@ def persisted(
         writer = data.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(staging)
+        if csv_schema is None:
+            writer.parquet(staging)
+        else:
+            writer.options(**_CSV_OPTIONS).csv(staging)
         final, _ = _hadoop_fs(spark, target)
         if rebuild and fs.exists(final):
             fs.delete(final, True)
@@ -85,4 +92,9 @@ def persisted(
             fs.delete(_hadoop_fs(spark, staging)[0], True)
         else:
             fs.rename(_hadoop_fs(spark, staging)[0], final)
-    return spark.read.parquet(target)
+    if csv_schema is None:
+        return spark.read.parquet(target)
+    return spark.read.schema(csv_schema).options(**_CSV_OPTIONS).option("mode", "FAILFAST").csv(target)
+
+
+_CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
