@@ -13,15 +13,17 @@ operators here keep every step distributed:
    bound), so it is broadcast.
 2. Dense rank = position among the *distinct* sort values, joined back.
 3. Running totals (RANGE frame, ties share a value) = prefix sums over the
-   distinct values, computed inside fixed-size chunks of positions plus the
-   totals of earlier chunks.
+   distinct values, computed inside chunks of positions plus the totals of
+   earlier chunks.
 4. Row numbers within a group = position minus the group's first position.
 5. Row-frame windows within a group (e.g. a 3-row moving average) run inside
-   fixed-size chunks of positions, each chunk carrying the last rows of the
-   previous chunk as a halo.
+   chunks of positions, each chunk carrying the last rows of the previous
+   chunk as a halo.
 
-Every window here is partitioned by a chunk id, so no task holds more than
-``chunk_rows`` (+ halo) rows whatever the key distribution.
+Chunks hold about two per core of the rows and never more than
+``DEFAULT_CHUNK_ROWS``; every window on this path is partitioned by a chunk
+id, so no task holds more than a chunk (+ halo) whatever the key
+distribution.
 
 Size check first: each operator measures the quantity that bounds a plain
 Spark window (distinct sort values for a global rank or running total, the
