@@ -62,21 +62,14 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def _f_metadata(spark: SparkSession, d: str) -> DataFrame:
-    folder = _scratch(spark, "metadata")
-    files.write_delimited(table(spark, d, "orders"), folder)
-    return files.file_metadata(spark, folder, "*.csv")
-
-
-ORDERS_CSV_SCHEMA = (
-    "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
-    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
-)
+    """Name, size and modification time of each part of the transaction CSV file."""
+    return files.file_metadata(spark, binding.retail_file_location(spark, d), "*.csv")
 
 
 def _f_copy_verify(spark: SparkSession, d: str) -> DataFrame:
-    src, dst = _scratch(spark, "copy-src"), _scratch(spark, "copy-dst")
-    files.write_delimited(table(spark, d, "orders"), src)
-    return files.copy_verified(spark, src, dst, ORDERS_CSV_SCHEMA)
+    """Copy the transaction CSV file to a fresh folder and compare both sides."""
+    source = binding.retail_file_location(spark, d)
+    return files.copy_verified(spark, source, _scratch(spark, "copy-dst"), binding.RETAIL_FILE_SCHEMA)
 
 
 def _queries() -> dict[str, Query]:

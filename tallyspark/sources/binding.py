@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.rounding import MONEY, RATE
 from tallyspark.functions.text import nan_to_null
-from tallyspark.sources.persisted import persisted
+from tallyspark.sources.persisted import persisted, table_path
 from tallyspark.sources.tables import table
 
 # Columns that order order lines totally (l_orderkey/l_linenumber alone repeat).
@@ -226,9 +226,18 @@ def catalog_file(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Dat
     )
 
 
+RETAIL_SOURCES = ("orders", "customer", "nation", "region")
+
+
 def retail_file(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The transaction file as CSV (how the cleaning job receives it), written once per source version."""
     return persisted(
-        spark, "retail-csv", _sources(sf_dir, ("orders", "customer", "nation", "region")),
+        spark, "retail-csv", _sources(sf_dir, RETAIL_SOURCES),
         lambda: retail_dirty(spark, sf_dir), rebuild=rebuild, csv_schema=RETAIL_FILE_SCHEMA,
     )
+
+
+def retail_file_location(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the transaction CSV file (written first if needed)."""
+    retail_file(spark, sf_dir)
+    return table_path(spark, "retail-csv", _sources(sf_dir, RETAIL_SOURCES))

@@ -41,8 +41,14 @@ def read_delimited(
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """CSV sink with a header and no index column (a folder of part files)."""
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """CSV sink with a header and no index column (a folder of part files).
+
+    Values are written verbatim: Spark's CSV writer trims leading and
+    trailing spaces unless told not to, which would silently alter text.
+    """
+    writer = df.write.mode(mode).option("header", True).option("sep", sep)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
 
 
 def file_metadata(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -48,6 +48,11 @@ def tables_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tallyspark-tables"
 
 
+def table_path(spark: SparkSession, name: str, sources: Sequence[str]) -> str:
+    """Where the version of ``name`` built from the current ``sources`` lives."""
+    return f"{tables_root(spark)}/{name}-{source_fingerprint(spark, sources)}"
+
+
 def persisted(
     spark: SparkSession,
     name: str,
@@ -71,7 +76,7 @@ def persisted(
     written verbatim (no whitespace trimming) and read back with that declared
     schema, failing on any malformed record.
     """
-    target = f"{tables_root(spark)}/{name}-{source_fingerprint(spark, sources)}"
+    target = table_path(spark, name, sources)
     marker, fs = _hadoop_fs(spark, f"{target}/_SUCCESS")
     if rebuild or not fs.exists(marker):
         staging = f"{target}.{uuid.uuid4().hex}.tmp"

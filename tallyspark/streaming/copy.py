@@ -35,6 +35,8 @@ def copy_new_files(
         stream.writeStream.format("csv")
         .option("header", True)
         .option("sep", sep)
+        .option("ignoreLeadingWhiteSpace", False)  # verbatim text, as in the batch sink
+        .option("ignoreTrailingWhiteSpace", False)
         .option("path", destination)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
