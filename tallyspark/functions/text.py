@@ -33,9 +33,9 @@ def parse_timestamp_multi(c: str | Column, formats: Sequence[str] = DATE_FORMATS
 
 
 def null_tokens_to_null(c: str | Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    """Treat the usual missing-value spellings of CSV files as NULL."""
+    """Treat the usual missing-value spellings of CSV files as NULL (exact match, as pandas does)."""
     col = _col(c)
-    return F.when(F.trim(col).isin(list(tokens)), F.lit(None)).otherwise(col)
+    return F.when(col.isin(list(tokens)), F.lit(None)).otherwise(col)
 
 
 def nan_to_null(c: str | Column) -> Column:

@@ -100,6 +100,6 @@ def test_null_tokens(spark, tmp_path):
     from tallyspark.sources.files import read_delimited
 
     p = tmp_path / "t.csv"
-    p.write_text("id,v\n1,NA\n2,null\n3,N/A\n4,ok\n5,\n")
+    p.write_text('id,v\n1,NA\n2,null\n3,N/A\n4,ok\n5,\n6," NA"\n')
     got = read_delimited(spark, str(p), schema="id int, v string").orderBy("id").collect()
-    assert [r.v for r in got] == [None, None, None, "ok", None]
+    assert [r.v for r in got] == [None, None, None, "ok", None, " NA"]
