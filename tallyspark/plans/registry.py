@@ -100,6 +100,8 @@ def _queries() -> dict[str, Query]:
         "q_value_ranges": _report(reports.value_ranges),
         "q_category_share": _report(reports.category_share),
         "q_tier_ordered": _report(reports.tier_ordered, edges=P.TIER_EDGES),
+        "q_table_info": _on_sales(clean.column_profile),
+        "q_preview": _on_sales(lambda x: clean.preview(x, LINE_ORDER, P.PREVIEW_ROWS)),
         # ------------------------------------------------------------ model
         "n_dim_customer": _on_sales(model.customers),
         "n_dim_product": _on_sales(model.products),
