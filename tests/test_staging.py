@@ -66,7 +66,7 @@ def test_csv_ingest_matches_parquet_path(spark, tmp_path):
         F.col("profit").cast("double").alias("Profit"),
         F.col("sub_category").alias("Sub-Category"),
     )
-    out = str(tmp_path / "superstore")
+    out = str(tmp_path / "flat_sales_csv")
     raw.write.option("header", True).option("encoding", "ISO-8859-1").csv(out)
     schema = (
         "`Order ID` string, `Order Date` string, `Ship Date` string, `Region` string, `Sales` double, "
