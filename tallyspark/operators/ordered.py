@@ -45,6 +45,7 @@ _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition index in
 _MAX_SORT_PARTITIONS = 1 << 20
 DEFAULT_CHUNK_ROWS = 1 << 20
 SMALL_ROWS = DEFAULT_CHUNK_ROWS  # largest input a single window task may hold
+MAX_CHUNKS = 1 << 20  # bound on the chunk-offset table
 
 POS = "_pos"
 
@@ -87,13 +88,18 @@ def global_positions(df: DataFrame, order: Sequence[str | Column], pos_col: str
 
 
 def chunk_size(spark, total_rows: int, cap: int = DEFAULT_CHUNK_ROWS, floor: int = 1024) -> int:
-    """Rows per window chunk: about two chunks per core, never above ``cap``.
-
-    The cap bounds the rows one window task holds at any scale; below it,
-    small inputs still spread over all cores.
+    """Rows per window chunk: about two chunks per core, at most ``cap`` rows,
+    and never more than ``MAX_CHUNKS`` chunks.
+
+    The cap bounds the rows one window task holds; the chunk-count bound keeps
+    the chunk-offset table (broadcast, and windowed in one task) at most
+    ``MAX_CHUNKS`` rows. Both hold up to ``cap * MAX_CHUNKS`` (about 10^12)
+    rows; beyond that chunks grow past ``cap`` (window buffers spill to disk)
+    rather than the offset table growing.
     """
     per_core = -(-total_rows // max(1, 2 * spark.sparkContext.defaultParallelism))
-    return int(min(cap, max(floor, per_core)))
+    at_least = -(-total_rows // MAX_CHUNKS)
+    return int(max(at_least, min(cap, max(floor, per_core))))
 
 
 def _chunk_of(pos: Column, chunk_rows: int) -> Column:
@@ -128,7 +134,7 @@ def _chunked_prefix_sum(df: DataFrame, measure: str, out: str, chunk_rows: int)
     totals = chunked.groupBy("_chunk").agg(F.sum(measure).alias("_chunk_sum"))
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast(df.schema[measure].dataType)
-    # One row per chunk: rows / chunk_rows, a bounded table.
+    # One row per chunk: at most MAX_CHUNKS rows (chunk_size guarantees it).
     offsets = totals.select("_chunk", F.coalesce(F.sum("_chunk_sum").over(before), zero).alias("_chunk_offset"))
     joined = local.join(F.broadcast(offsets), "_chunk")
     return joined.withColumn(out, F.col("_chunk_offset") + F.col("_local_sum")).drop(
