@@ -19,6 +19,7 @@ from tallyspark.session import ensure_checkpoint_dir
 from tallyspark.sources import binding, files
 from tallyspark.sources.binding import LINE_ORDER
 from tallyspark.sources.tables import table
+from tallyspark.streaming import copy as stream_copy
 
 Query = Callable[[SparkSession, str], DataFrame]
 FACT_ORDER = ("order_id", "product_key", "supp_id", "line_number", "ship_date", "revenue")
@@ -72,6 +73,14 @@ def _f_copy_verify(spark: SparkSession, d: str) -> DataFrame:
     return files.copy_verified(spark, source, _scratch(spark, "copy-dst"), binding.RETAIL_FILE_SCHEMA)
 
 
+def _f_copy_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Triggered incremental copy of the transaction CSV file (a file stream run once), then verified."""
+    source = binding.retail_file_location(spark, d)
+    dest, ck = _scratch(spark, "stream-dst"), _scratch(spark, "stream-ck")
+    stream_copy.copy_new_files(spark, source, dest, binding.RETAIL_FILE_SCHEMA, ck)
+    return stream_copy.verify_copy(spark, source, dest, binding.RETAIL_FILE_SCHEMA)
+
+
 def _queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # ---------------------------------------------------------- reports
@@ -138,6 +147,7 @@ def _queries() -> dict[str, Query]:
         # ------------------------------------------------------------ files
         "f_metadata": _f_metadata,
         "f_copy_verify": _f_copy_verify,
+        "f_copy_stream": _f_copy_stream,
         # -------------------------------------------------------- catalogue
         "c_catalog_clean": lambda s, d: clean.catalog_clean(binding.catalog_file(s, d), seed=P.SEED),
         "c_catalog_nulls": lambda s, d: clean.catalog_nulls(binding.catalog_file(s, d)),

@@ -77,3 +77,10 @@ def test_copy_of_transaction_file_matches(spark):
 
     r = E.queries()["f_copy_verify"](spark, SF_SMALL).first()
     assert r.matched and r.source_rows == r.dest_rows > 0
+
+
+def test_registered_stream_copy_matches(spark):
+    import __spark_entry__ as E
+
+    r = E.queries()["f_copy_stream"](spark, SF_SMALL).first()
+    assert r.matched and r.source_rows == r.dest_rows > 0
