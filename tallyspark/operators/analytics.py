@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.rounding import round_money, round_ratio
-from tallyspark.functions.text import month_text, year_text
+from tallyspark.functions.text import year_text
 from tallyspark.operators import ordered
 
 # Latency bands of the shipping audit.
