@@ -152,7 +152,8 @@ def _queries() -> dict[str, Query]:
         "c_catalog_clean": lambda s, d: clean.catalog_clean(binding.catalog_file(s, d), seed=P.SEED),
         "c_catalog_nulls": lambda s, d: clean.catalog_nulls(binding.catalog_file(s, d)),
         "c_catalog_dupes": lambda s, d: clean.duplicate_count(binding.catalog_file(s, d), ["product_id"]),
-        "c_premium": lambda s, d: clean.premium(binding.catalog_file(s, d), P.PREMIUM_PRICE),
+        # The premium view is taken after the gaps are filled, as in the source notebook.
+        "c_premium": lambda s, d: clean.premium(clean.catalog_fill(binding.catalog_file(s, d)), P.PREMIUM_PRICE),
         # ----------------------------------------------------------- retail
         "r_dedupe_key": lambda s, d: clean.dedupe_on(binding.retail_file(s, d)),
         "r_dedupe_counts": lambda s, d: clean.before_after(
