@@ -27,7 +27,7 @@ def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
         "sales": s,
         "customers": model.customers(s),
         "products": model.products(s),
-        "orders": s.drop("customer_name", "segment", "region", "state", "city", "product_name", "category", "sub_category"),
+        "orders": model.orders(s),
         "dim_customers": dim_c,
         "dim_products": dim_p,
         "dim_geography": geo,

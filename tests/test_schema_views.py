@@ -43,3 +43,5 @@ def test_views_answer_sql(spark):
         "SELECT category, AVG(discount) AS avg_discount FROM sales GROUP BY category HAVING avg_discount >= 0 ORDER BY category"
     ).collect()
     assert len(top) == 6
+    ids = spark.sql("SELECT MIN(row_id) AS lo, MAX(row_id) AS hi, COUNT(*) AS n FROM orders").first()
+    assert (ids.lo, ids.hi) == (1, ids.n)
