@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -52,6 +53,7 @@ def test_dense_rank_matches_pandas(spark, rows, small):
     assert got == want
 
 
+@pytest.mark.filterwarnings("ignore::FutureWarning")  # pandas object-dtype downcast notice
 @SETTINGS
 @given(ROWS)
 def test_fill_matches_fillna(spark, rows):
