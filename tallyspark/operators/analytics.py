@@ -100,18 +100,24 @@ def ranked_customers(orders: DataFrame, customers: DataFrame, k: int = 5, descen
 
 
 def single_order_customers(orders: DataFrame, customers: DataFrame, n: int = 1) -> DataFrame:
-    j = orders.select("customer_id", "order_id").join(customers.select("customer_id", "customer_name"), "customer_id")
-    return (
-        j.groupBy("customer_id", "customer_name")
-        .agg(F.countDistinct("order_id").alias("total_lifetime_orders"))
-        .filter(F.col("total_lifetime_orders") == n)
-    )
+    """Customers with exactly ``n`` distinct orders.
+
+    Counted per customer before the join (one row per customer then meets
+    the customer table), which equals grouping the joined lines by id and
+    name because the customer table has one name per id.
+    """
+    counts = orders.groupBy("customer_id").agg(F.countDistinct("order_id").alias("total_lifetime_orders"))
+    hit = counts.filter(F.col("total_lifetime_orders") == n)
+    named = hit.join(customers.select("customer_id", "customer_name"), "customer_id")
+    return named.select("customer_id", "customer_name", "total_lifetime_orders")
 
 
 def peak_cart(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Largest order total per customer (aggregated to one row per customer before the join)."""
     carts = orders.groupBy("customer_id", "order_id").agg(F.sum("sales").alias("_cart"))
-    j = carts.join(customers.select("customer_id", "customer_name"), "customer_id")
-    return j.groupBy("customer_id", "customer_name").agg(_money(F.max("_cart")).alias("peak_historical_order_value"))
+    peaks = carts.groupBy("customer_id").agg(F.max("_cart").alias("_peak"))
+    named = peaks.join(customers.select("customer_id", "customer_name"), "customer_id")
+    return named.select("customer_id", "customer_name", _money("_peak").alias("peak_historical_order_value"))
 
 
 def rolling_average(
@@ -194,14 +200,18 @@ def ship_latency(fact: DataFrame, elite_days: int = 2, standard_days: int = 5) -
 def discount_cannibal(
     fact: DataFrame, products: DataFrame, min_avg_discount: float = 0.2, max_total_impact: float = 0.0
 ) -> DataFrame:
-    """Products whose mean discount exceeds a bound while total profit stays below one."""
-    j = fact.join(products.select("product_key", "product_title"), "product_key")
-    agg = j.groupBy("product_key", "product_title").agg(
+    """Products whose mean discount exceeds a bound while total profit stays below one.
+
+    Aggregated per product key before the product titles are joined on (one
+    row per product meets the dimension instead of every fact row).
+    """
+    agg = fact.groupBy("product_key").agg(
         F.sum("discount_applied").alias("_d"), F.count("discount_applied").alias("_n"), F.sum("net_profit").alias("_p")
     )
     bound_d = F.lit(str(min_avg_discount)).cast("decimal(10,4)")
     bound_p = F.lit(str(max_total_impact)).cast("decimal(20,2)")
     hit = agg.filter((F.col("_d") > bound_d * F.col("_n")) & (F.col("_p") < bound_p))
+    hit = hit.join(products.select("product_key", "product_title"), "product_key")
     return hit.select(
         "product_title",
         round_ratio(F.col("_d"), F.col("_n"), 6, num_scale=2).alias("avg_discount"),

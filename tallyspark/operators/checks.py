@@ -34,10 +34,15 @@ def not_null_rules(columns: Sequence[str]) -> dict[str, Column]:
 
 
 def foreign_key(child: DataFrame, parent: DataFrame, key: str, parent_key: str, table: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (left-anti join)."""
+    """Child rows whose non-NULL key has no parent row.
+
+    Child rows are counted per key first (partial aggregation), so the
+    left-anti join sees one row per key rather than every child row.
+    """
     parent_keys = parent.select(F.col(parent_key).alias("_pk")).distinct()
-    orphans = child.filter(F.col(key).isNotNull()).join(parent_keys, F.col(key) == F.col("_pk"), "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("violations")).select(
+    per_key = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    orphans = per_key.join(parent_keys, F.col(key) == F.col("_pk"), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("violations")).select(
         F.lit(f"foreign_key:{key}").alias("check_name"), F.lit(table).alias("table_name"), "violations"
     )
 

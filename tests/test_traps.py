@@ -103,3 +103,19 @@ def test_null_tokens(spark, tmp_path):
     p.write_text('id,v\n1,NA\n2,null\n3,N/A\n4,ok\n5,\n6," NA"\n')
     got = read_delimited(spark, str(p), schema="id int, v string").orderBy("id").collect()
     assert [r.v for r in got] == [None, None, None, "ok", None, " NA"]
+
+
+def test_foreign_key_counts_orphan_rows_not_nulls(spark):
+    from tallyspark.operators import checks
+
+    child = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,), (5,), (5,)], "k int")
+    parent = spark.createDataFrame([(1,), (3,)], "k int")
+    assert checks.foreign_key(child, parent, "k", "k", "t").first().violations == 4
+
+
+def test_check_rules_null_is_not_a_violation(spark):
+    from tallyspark.operators import checks
+
+    df = spark.createDataFrame([(1.0,), (-1.0,), (None,)], "sales double")
+    got = checks.row_rules(df, {"check:sales>=0": F.col("sales") >= 0}, "orders").first()
+    assert got.violations == 1
