@@ -51,8 +51,10 @@ def _on_star(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
 
 
 def _hot_geographies(s: DataFrame) -> DataFrame:
+    # Profit is summed per place before the geography key is looked up (one row per place joins).
     geo = model.dim_geography(s)
-    return analytics.hot_geographies(model.fact_sales_unkeyed(s, geo), geo, factor=P.HOT_FACTOR)
+    per_place = model.fact_lines(s).groupBy("city", "state").agg(F.sum("net_profit").alias("net_profit"))
+    return analytics.hot_geographies(model.with_geo_key(per_place, geo), geo, factor=P.HOT_FACTOR)
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
