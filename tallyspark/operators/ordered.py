@@ -20,10 +20,10 @@ operators here keep every step distributed:
    chunks of positions, each chunk carrying the last rows of the previous
    chunk as a halo.
 
-Chunks hold about two per core of the rows and never more than
-``DEFAULT_CHUNK_ROWS``; every window on this path is partitioned by a chunk
-id, so no task holds more than a chunk (+ halo) whatever the key
-distribution.
+Chunk size comes from the row count: about two chunks per core, at most
+``DEFAULT_CHUNK_ROWS`` rows per chunk and at most ``MAX_CHUNKS`` chunks. Every
+window on this path is partitioned by a chunk id, so no task holds more than
+a chunk (+ halo) whatever the key distribution.
 
 Size check first: each operator measures the quantity that bounds a plain
 Spark window (distinct sort values for a global rank or running total, the
