@@ -126,9 +126,10 @@ def dense_rank(
     return df.join(ranked, df[value].eqNullSafe(ranked["_v"])).drop("_v")
 
 
-def _chunked_prefix_sum(df: DataFrame, measure: str, out: str, chunk_rows: int) -> DataFrame:
+def _chunked_prefix_sum(df: DataFrame, measure: str, out: str, chunk_rows: int, total: int) -> DataFrame:
     """Inclusive prefix sum of ``measure`` along POS, one bounded window per chunk."""
-    chunked = df.withColumn("_chunk", _chunk_of(F.col(POS), chunk_rows))
+    n_chunks = -(-total // chunk_rows)
+    chunked = df.withColumn("_chunk", _chunk_of(F.col(POS), chunk_rows)).repartitionByRange(max(1, n_chunks), "_chunk")
     inside = Window.partitionBy("_chunk").orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = chunked.withColumn("_local_sum", F.sum(measure).over(inside))
     totals = chunked.groupBy("_chunk").agg(F.sum(measure).alias("_chunk_sum"))
@@ -167,7 +168,7 @@ def running_total(
     else:
         positioned = global_positions(per_value, [key])
         chunk_rows = chunk_rows or chunk_size(df.sparkSession, n)
-        summed = _chunked_prefix_sum(positioned, "_tie_sum", out, chunk_rows).select("_v", out)
+        summed = _chunked_prefix_sum(positioned, "_tie_sum", out, chunk_rows, n).select("_v", out)
     return df.join(summed, df[value].eqNullSafe(summed["_v"])).drop("_v")
 
 
@@ -242,7 +243,10 @@ def rolling_rows(
         .withColumn("_chunk", chunk + F.lit(1))
         .withColumn("_halo", F.lit(True))
     )
-    both = own.unionByName(halo)
+    # One range partition per chunk (chunk ids are dense), so tasks get one chunk each
+    # rather than several hash-colliding ones; it also satisfies the window's clustering.
+    n_chunks = -(-total // chunk_rows) + 1
+    both = own.unionByName(halo).repartitionByRange(n_chunks, "_chunk")
     w = Window.partitionBy("_chunk").orderBy(POS)
     group = F.struct(*[F.col(k) for k in partition])
     total = F.col(value)
