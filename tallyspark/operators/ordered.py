@@ -15,7 +15,9 @@ operators here keep every step distributed:
 3. Running totals (RANGE frame, ties share a value) = prefix sums over the
    distinct values, computed inside chunks of positions plus the totals of
    earlier chunks.
-4. Row numbers within a group = position minus the group's first position.
+4. Row numbers within a group = position minus the group's first position;
+   group starts are found where the previous row has another group, inside
+   a chunk or carried from earlier chunks, so nothing is keyed by the group.
 5. Row-frame windows within a group (e.g. a 3-row moving average) run inside
    chunks of positions, each chunk carrying the last rows of the previous
    chunk as a halo.
@@ -177,36 +179,58 @@ def largest_group(df: DataFrame, partition: Sequence[str]) -> int:
     return df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        term = left[k].eqNullSafe(renamed[f"_r_{k}"])
-        cond = term if cond is None else cond & term
-    return left.join(renamed, cond).drop(*[f"_r_{k}" for k in keys])
-
-
 def row_number_within(
     df: DataFrame,
     partition: Sequence[str],
     order: Sequence[str | Column],
     out: str = "row_number",
     small_rows: int = SMALL_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY order)``, skew-safe.
 
-    The group starts come from a partial-aggregated ``min`` (one row per
-    group); the join back is an equi-join that AQE splits when one group is
-    hot. ``order`` should make rows unique within a group.
+    Beyond the size check no step is keyed by the group: rows are positioned
+    in (group, order) order and cut into chunks; a row starts a group when
+    the previous row (from the halo at a chunk edge) has another group; each
+    row's group start is the last start at or before it, found inside its
+    chunk or carried from the last start of earlier chunks (a table of one
+    row per chunk). ``order`` should make rows unique within a group.
     """
     if largest_group(df, partition) <= small_rows:
         # Checked bound: no group holds more than small_rows rows.
         w = Window.partitionBy(*partition).orderBy(*_cols(order))
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    positioned = global_positions(df, [*_cols(list(partition)), *_cols(order)])
-    starts = positioned.groupBy(*partition).agg(F.min(POS).alias("_start"))
-    joined = _null_safe_join(positioned, starts, partition)
-    return joined.withColumn(out, F.col(POS) - F.col("_start") + F.lit(1)).drop(POS, "_start")
+    positioned, total = _positioned(df, [*_cols(list(partition)), *_cols(order)], POS)
+    chunk_rows = chunk_rows or chunk_size(df.sparkSession, total)
+    group = F.struct(*[F.col(k) for k in partition])
+    chunked = _with_halo(positioned, chunk_rows, 1, total)
+    w = Window.partitionBy("_chunk").orderBy(POS)
+    previous = F.lag(group, 1).over(w)
+    starts = chunked.withColumn("_is_start", previous.isNull() | ~previous.eqNullSafe(group)).filter(~F.col("_halo"))
+    # Within a chunk: the latest start at or before the row (NULL if the group began earlier).
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = starts.withColumn("_start", F.max(F.when(F.col("_is_start"), F.col(POS))).over(upto))
+    # Carry: the latest start in all earlier chunks (one row per chunk, at most MAX_CHUNKS).
+    last = starts.groupBy("_chunk").agg(F.max(F.when(F.col("_is_start"), F.col(POS))).alias("_last"))
+    carry = last.select("_chunk", F.max("_last").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    joined = local.join(F.broadcast(carry), "_chunk")
+    start = F.coalesce(F.col("_start"), F.col("_carry"))
+    return joined.withColumn(out, F.col(POS) - start + F.lit(1)).drop(POS, "_chunk", "_halo", "_is_start", "_start", "_carry")
+
+
+def _with_halo(positioned: DataFrame, chunk_rows: int, halo: int, total: int) -> DataFrame:
+    """Rows tagged with their chunk, plus copies of each chunk's last ``halo`` rows in the
+    next chunk (``_halo`` true), one range partition per chunk."""
+    chunk = _chunk_of(F.col(POS), chunk_rows)
+    own = positioned.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
+    copies = (
+        positioned.filter(F.col(POS) % F.lit(chunk_rows) >= F.lit(chunk_rows - halo))
+        .withColumn("_chunk", chunk + F.lit(1))
+        .withColumn("_halo", F.lit(True))
+    )
+    # Chunk ids are dense, so one range partition per chunk gives each task one chunk.
+    n_chunks = -(-total // chunk_rows) + 1
+    return own.unionByName(copies).repartitionByRange(n_chunks, "_chunk")
 
 
 def rolling_rows(
@@ -236,28 +260,18 @@ def rolling_rows(
     chunk_rows = chunk_rows or max(preceding, chunk_size(df.sparkSession, total))
     if preceding < 0 or preceding > chunk_rows:
         raise ValueError("need 0 <= preceding <= chunk_rows")
-    chunk = _chunk_of(F.col(POS), chunk_rows)
-    own = positioned.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
-    halo = (
-        positioned.filter(F.col(POS) % F.lit(chunk_rows) >= F.lit(chunk_rows - preceding))
-        .withColumn("_chunk", chunk + F.lit(1))
-        .withColumn("_halo", F.lit(True))
-    )
-    # One range partition per chunk (chunk ids are dense), so tasks get one chunk each
-    # rather than several hash-colliding ones; it also satisfies the window's clustering.
-    n_chunks = -(-total // chunk_rows) + 1
-    both = own.unionByName(halo).repartitionByRange(n_chunks, "_chunk")
+    both = _with_halo(positioned, chunk_rows, preceding, total)
     w = Window.partitionBy("_chunk").orderBy(POS)
     group = F.struct(*[F.col(k) for k in partition])
-    total = F.col(value)
+    frame_sum = F.col(value)
     count = F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(F.lit(0))
     for i in range(1, preceding + 1):
-        same = F.lag(group, i).over(w).eqNullSafe(group) & F.lag(F.lit(True), i).over(w).isNotNull()
+        same = F.lag(group, i).over(w).eqNullSafe(group)  # NULL (no such row) is not the same group
         prev = F.lag(F.col(value), i).over(w)
         take = same & prev.isNotNull()
-        total = F.when(take, F.coalesce(total, F.lit(0)) + prev).otherwise(total)
+        frame_sum = F.when(take, F.coalesce(frame_sum, F.lit(0)) + prev).otherwise(frame_sum)
         count = count + F.when(take, F.lit(1)).otherwise(F.lit(0))
-    rolled = both.select("*", total.alias(sum_out), count.alias(count_out))
+    rolled = both.select("*", frame_sum.alias(sum_out), count.alias(count_out))
     return rolled.filter(~F.col("_halo")).drop("_chunk", "_halo", POS)
 
 

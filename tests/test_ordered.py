@@ -31,7 +31,8 @@ UNIQUE = ["o", "p", "s", "n", "d", "v"]
 
 
 def _set(df, cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
+    rows = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
+    return sorted(rows, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
 
 
 PATHS = [0, ordered.SMALL_ROWS]  # 0 forces the distributed path; the default takes the checked plain window
@@ -54,10 +55,10 @@ def test_running_total_range_ties(lines, small):
     assert _set(got, UNIQUE + ["rt"]) == _set(want, UNIQUE + ["rt"])
 
 
-@pytest.mark.parametrize("small", PATHS)
-def test_row_number_hot_key(lines, small):
+@pytest.mark.parametrize("chunk,small", [(2, 0), (5, 0), (None, 0), (None, ordered.SMALL_ROWS)])
+def test_row_number_hot_key(lines, chunk, small):
     order = [F.col("d").desc(), *[F.col(c) for c in UNIQUE]]
-    got = ordered.row_number_within(lines, ["k"], order, out="rn", small_rows=small)
+    got = ordered.row_number_within(lines, ["k"], order, out="rn", small_rows=small, chunk_rows=chunk)
     want = lines.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
     assert _set(got, UNIQUE + ["rn"]) == _set(want, UNIQUE + ["rn"])
 
@@ -109,3 +110,13 @@ def test_partition_independence(spark, lines, parts):
 
 def test_largest_group(lines):
     assert ordered.largest_group(lines, ["k"]) == lines.filter(F.col("k") == 0).count()
+
+
+@pytest.mark.parametrize("chunk", [1, 3])
+def test_row_number_null_groups_and_tiny_chunks(spark, chunk):
+    df = spark.createDataFrame(
+        [(None, 1), (None, 2), ("a", 1), ("a", 2), ("a", 3), ("b", 1), (None, 3)], "g string, t int"
+    )
+    got = ordered.row_number_within(df, ["g"], ["t"], out="rn", small_rows=0, chunk_rows=chunk)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("t")))
+    assert _set(got, ["g", "t", "rn"]) == _set(want, ["g", "t", "rn"])
