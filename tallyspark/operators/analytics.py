@@ -64,7 +64,9 @@ def sequence_and_rank(orders: DataFrame, tiebreak: Sequence[str], small_rows: in
     numbered = ordered.row_number_within(
         orders.select(*needed), ["customer_id"], seq_order, out="internal_order_sequence", small_rows=small_rows
     )
-    ranked = ordered.dense_rank(numbered, "sales", descending=True, out="global_revenue_line_rank", small_rows=small_rows)
+    ranked = ordered.dense_rank(
+        numbered, "sales", descending=True, out="global_revenue_line_rank", small_rows=small_rows, tiebreak=tiebreak
+    )
     return ranked.select(
         "customer_id",
         "order_id",

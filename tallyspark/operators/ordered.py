@@ -114,20 +114,54 @@ def _sort_key(value: str, descending: bool) -> Column:
 
 
 def dense_rank(
-    df: DataFrame, value: str, descending: bool = True, out: str = "dense_rank", small_rows: int = SMALL_ROWS
+    df: DataFrame,
+    value: str,
+    descending: bool = True,
+    out: str = "dense_rank",
+    small_rows: int = SMALL_ROWS,
+    tiebreak: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``DENSE_RANK() OVER (ORDER BY value [DESC])`` over the whole table."""
+    """``DENSE_RANK() OVER (ORDER BY value [DESC])`` over the whole table.
+
+    Up to ``small_rows`` distinct values: ranked in one bounded window and
+    broadcast back (a proven size bound). Beyond that, with ``tiebreak``
+    columns that make rows unique, rows are positioned by (value, tiebreak)
+    and the rank is the running count of value changes, counted inside
+    chunks and carried across them, so nothing is keyed by the value (a hot
+    value cannot pile up in one task). Without ``tiebreak`` the distinct
+    values are positioned and joined back on the value.
+    """
     key = _sort_key("_v", descending)
     # Distinct values written once: sized, then ranked, without a second aggregation.
     distinct = df.select(F.col(value).alias("_v")).distinct().checkpoint(eager=True)
     if distinct.count() <= small_rows:
-        # Checked bound: at most small_rows distinct values in the one window task.
+        # Checked bound: at most small_rows distinct values in the one window task and the broadcast.
         ranked = distinct.select("_v", F.row_number().over(Window.orderBy(key)).cast("bigint").alias(out))
-    else:
-        ranked = global_positions(distinct, [key]).select("_v", (F.col(POS) + F.lit(1)).alias(out))
+        return df.join(F.broadcast(ranked), df[value].eqNullSafe(ranked["_v"])).drop("_v")
+    if tiebreak:
+        return _dense_rank_by_changes(df, value, descending, out, list(tiebreak))
+    ranked = global_positions(distinct, [key]).select("_v", (F.col(POS) + F.lit(1)).alias(out))
     return df.join(ranked, df[value].eqNullSafe(ranked["_v"])).drop("_v")
 
 
+def _dense_rank_by_changes(df: DataFrame, value: str, descending: bool, out: str, tiebreak: list[str]) -> DataFrame:
+    positioned, total = _positioned(df, [_sort_key(value, descending), *_cols(tiebreak)], POS)
+    chunk_rows = chunk_size(df.sparkSession, total)
+    chunked = _with_halo(positioned, chunk_rows, 1, total)
+    w = Window.partitionBy("_chunk").orderBy(POS)
+    previous = F.lag(F.struct(F.col(value).alias("v")), 1).over(w)
+    changed = previous.isNull() | ~previous["v"].eqNullSafe(F.col(value))
+    marked = chunked.withColumn("_new", changed.cast("bigint")).filter(~F.col("_halo"))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = marked.withColumn("_local", F.sum("_new").over(upto))
+    # Changes in all earlier chunks (one row per chunk, at most MAX_CHUNKS).
+    per_chunk = marked.groupBy("_chunk").agg(F.sum("_new").alias("_n"))
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_chunk.select("_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
+    ranked = local.join(F.broadcast(carry), "_chunk")
+    return ranked.withColumn(out, F.col("_carry") + F.col("_local")).drop(POS, "_chunk", "_halo", "_new", "_local", "_carry")
+
+
 def _chunked_prefix_sum(df: DataFrame, measure: str, out: str, chunk_rows: int, total: int) -> DataFrame:
     """Inclusive prefix sum of ``measure`` along POS, one bounded window per chunk."""
     n_chunks = -(-total // chunk_rows)
@@ -167,6 +201,7 @@ def running_total(
         # Checked bound: at most small_rows distinct values in the one window task.
         frame = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         summed = per_value.select("_v", F.sum("_tie_sum").over(frame).alias(out))
+        return df.join(F.broadcast(summed), df[value].eqNullSafe(summed["_v"])).drop("_v")
     else:
         positioned = global_positions(per_value, [key])
         chunk_rows = chunk_rows or chunk_size(df.sparkSession, n)

@@ -38,11 +38,12 @@ def _set(df, cols):
 PATHS = [0, ordered.SMALL_ROWS]  # 0 forces the distributed path; the default takes the checked plain window
 
 
+@pytest.mark.parametrize("tiebreak", [None, ["o", "p", "s", "n", "d"]])
 @pytest.mark.parametrize("small", PATHS)
 @pytest.mark.parametrize("descending", [True, False])
-def test_dense_rank(lines, descending, small):
+def test_dense_rank(lines, descending, small, tiebreak):
     with_null = lines.withColumn("v", F.when(F.col("o") % 17 == 0, F.lit(None)).otherwise(F.col("v")))
-    got = ordered.dense_rank(with_null, "v", descending=descending, out="r", small_rows=small)
+    got = ordered.dense_rank(with_null, "v", descending=descending, out="r", small_rows=small, tiebreak=tiebreak)
     key = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
     want = with_null.withColumn("r", F.dense_rank().over(Window.orderBy(key)))
     assert _set(got, UNIQUE + ["r"]) == _set(want, UNIQUE + ["r"])
@@ -120,3 +121,11 @@ def test_row_number_null_groups_and_tiny_chunks(spark, chunk):
     got = ordered.row_number_within(df, ["g"], ["t"], out="rn", small_rows=0, chunk_rows=chunk)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("t")))
     assert _set(got, ["g", "t", "rn"]) == _set(want, ["g", "t", "rn"])
+
+
+def test_dense_rank_hot_value_by_changes(spark, lines):
+    # A third of the rows share one value; ties and NULLs across chunk edges.
+    hot = lines.withColumn("v", F.when(F.col("k") == 0, F.lit(None).cast("decimal(18,2)")).otherwise(F.col("v")))
+    got = ordered.dense_rank(hot, "v", out="r", small_rows=0, tiebreak=["o", "p", "s", "n", "d"])
+    want = hot.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc())))
+    assert _set(got, UNIQUE + ["r"]) == _set(want, UNIQUE + ["r"])

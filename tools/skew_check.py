@@ -56,6 +56,7 @@ def main() -> None:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").repartition(8)
     hot = F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey"))
     df = li.select(hot.alias("k"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+    df = df.withColumn("v", F.when(F.col("k") == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice")))
     order = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
     hot_rows, total = df.filter("k = 0").count(), df.count()
     sc = spark.sparkContext
@@ -63,6 +64,9 @@ def main() -> None:
         "plain window": lambda: df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order))),
         "distributed row numbers": lambda: ordered.row_number_within(df, ["k"], order, out="rn", small_rows=0),
         "distributed 3-row window": lambda: ordered.rolling_rows(df, ["k"], order, "l_extendedprice", 2, small_rows=0),
+        # A third of the rows share one value: a global dense rank over it.
+        "plain global dense rank": lambda: df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc()))),
+        "distributed global dense rank": lambda: ordered.dense_rank(df, "v", out="r", small_rows=0, tiebreak=order),
     }
     for name, build in runs.items():
         sc.setJobDescription(name)
