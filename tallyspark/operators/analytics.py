@@ -177,7 +177,8 @@ def pareto(
     """
     totals = fact.groupBy("customer_key").agg(F.sum("revenue").alias("total_revenue"))
     run = ordered.running_total(
-        totals, "total_revenue", descending=True, out="_run", chunk_rows=chunk_rows, small_rows=small_rows
+        totals, "total_revenue", descending=True, out="_run", chunk_rows=chunk_rows, small_rows=small_rows,
+        tiebreak=["customer_key"],
     )
     grand = totals.agg(F.sum("total_revenue").alias("_grand"))
     j = run.crossJoin(F.broadcast(grand))  # one-row side

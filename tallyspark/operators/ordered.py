@@ -187,11 +187,14 @@ def running_total(
     out: str = "running_total",
     chunk_rows: int | None = None,
     small_rows: int = SMALL_ROWS,
+    tiebreak: Sequence[str] | None = None,
 ) -> DataFrame:
     """``SUM(measure) OVER (ORDER BY value [DESC])`` with the default RANGE frame.
 
     Rows tied on ``value`` share one running total that includes all of them.
-    Use a DECIMAL measure for a partition-independent exact result.
+    Use a DECIMAL measure for a partition-independent exact result. Beyond
+    ``small_rows`` distinct values and with ``tiebreak`` columns that make
+    rows unique, nothing is keyed by the value (see ``_running_total_by_groups``).
     """
     measure = measure or value
     key = _sort_key("_v", descending)
@@ -202,6 +205,8 @@ def running_total(
         frame = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         summed = per_value.select("_v", F.sum("_tie_sum").over(frame).alias(out))
         return df.join(F.broadcast(summed), df[value].eqNullSafe(summed["_v"])).drop("_v")
+    if tiebreak:
+        return _running_total_by_groups(df, value, measure, descending, out, list(tiebreak), chunk_rows)
     else:
         positioned = global_positions(per_value, [key])
         chunk_rows = chunk_rows or chunk_size(df.sparkSession, n)
@@ -209,6 +214,42 @@ def running_total(
     return df.join(summed, df[value].eqNullSafe(summed["_v"])).drop("_v")
 
 
+def _running_total_by_groups(
+    df: DataFrame, value: str, measure: str, descending: bool, out: str, tiebreak: list[str], chunk_rows: int | None
+) -> DataFrame:
+    """RANGE running total without a value-keyed shuffle.
+
+    Rows are positioned in the *opposite* order and given ROWS prefix sums;
+    the total in the requested order is the grand total minus the sum of all
+    rows before the value's tie group in the opposite order. That "before"
+    sum is read at the group's first row (found by comparing neighbours) and
+    carried forward inside the chunk or from earlier chunks.
+    """
+    positioned, total = _positioned(df, [_sort_key(value, not descending), *_cols(tiebreak)], POS)
+    chunk_rows = chunk_rows or chunk_size(df.sparkSession, total)
+    prefixed = _chunked_prefix_sum(positioned, measure, "_prefix", chunk_rows, total)
+    chunked = _with_halo(prefixed, chunk_rows, 1, total)
+    w = Window.partitionBy("_chunk").orderBy(POS)
+    previous = F.lag(F.struct(F.col(value).alias("v")), 1).over(w)
+    starts = previous.isNull() | ~previous["v"].eqNullSafe(F.col(value))
+    zero = F.lit(0).cast(df.schema[measure].dataType)
+    before = F.when(starts, F.col("_prefix") - F.coalesce(F.col(measure), zero))
+    marked = chunked.withColumn("_before", before).filter(~F.col("_halo"))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = marked.withColumn("_group_before", F.last("_before", ignorenulls=True).over(upto))
+    # The "before" sum of the last group start in each chunk, carried to later chunks
+    # (one row per chunk, at most MAX_CHUNKS).
+    last = marked.groupBy("_chunk").agg(F.max_by("_before", F.when(F.col("_before").isNotNull(), F.col(POS))).alias("_last"))
+    earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select("_chunk", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    grand = df.agg(F.coalesce(F.sum(measure), zero).alias("_grand"))  # one row
+    joined = local.join(F.broadcast(carry), "_chunk").crossJoin(F.broadcast(grand))
+    result = F.col("_grand") - F.coalesce(F.col("_group_before"), F.col("_carry"))
+    return joined.withColumn(out, result).drop(
+        POS, "_chunk", "_halo", "_prefix", "_before", "_group_before", "_carry", "_grand"
+    )
+
+
 def largest_group(df: DataFrame, partition: Sequence[str]) -> int:
     """Rows in the biggest group (partial aggregation, then one number to the driver)."""
     return df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0

@@ -49,10 +49,17 @@ def test_dense_rank(lines, descending, small, tiebreak):
     assert _set(got, UNIQUE + ["r"]) == _set(want, UNIQUE + ["r"])
 
 
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("tiebreak", [None, ["o", "p", "s", "n", "d", "v"]])
 @pytest.mark.parametrize("small", PATHS)
-def test_running_total_range_ties(lines, small):
-    got = ordered.running_total(lines, "q", measure="v", descending=True, out="rt", chunk_rows=5, small_rows=small)
-    want = lines.withColumn("rt", F.sum("v").over(Window.orderBy(F.col("q").desc())))
+def test_running_total_range_ties(lines, small, tiebreak, descending):
+    # q has 50 values, so long tie groups cross chunk edges; some q are NULL.
+    data = lines.withColumn("q", F.when(F.col("o") % 13 == 0, F.lit(None)).otherwise(F.col("q")))
+    got = ordered.running_total(
+        data, "q", measure="v", descending=descending, out="rt", chunk_rows=5, small_rows=small, tiebreak=tiebreak
+    )
+    key = F.col("q").desc_nulls_last() if descending else F.col("q").asc_nulls_first()
+    want = data.withColumn("rt", F.sum("v").over(Window.orderBy(key)))
     assert _set(got, UNIQUE + ["rt"]) == _set(want, UNIQUE + ["rt"])
 
 
