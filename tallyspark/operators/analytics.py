@@ -79,7 +79,8 @@ def sequence_and_rank(orders: DataFrame, tiebreak: Sequence[str], small_rows: in
 def master_ledger(orders: DataFrame, customers: DataFrame, small_rows: int = ordered.SMALL_ROWS) -> DataFrame:
     totals = _customer_totals(orders, "lifetime_gross_sales")
     ranked = ordered.dense_rank(
-        totals, "lifetime_gross_sales", descending=True, out="strategic_customer_rank", small_rows=small_rows
+        totals, "lifetime_gross_sales", descending=True, out="strategic_customer_rank", small_rows=small_rows,
+        tiebreak=["customer_id"],
     )
     named = ranked.join(customers.select("customer_id", "customer_name"), "customer_id")
     return named.select(
