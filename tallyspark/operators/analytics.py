@@ -29,9 +29,9 @@ def _money(c: str | Column) -> Column:
 
 def above_mean(orders: DataFrame) -> DataFrame:
     """Lines whose sales beat the mean line sales."""
-    stats = orders.agg(F.sum("sales").alias("_sum"), F.count("sales").alias("_n"))
-    joined = orders.crossJoin(F.broadcast(stats))  # one-row side
-    return joined.filter(F.col("sales") * F.col("_n") > F.col("_sum")).select(
+    # Scalar subqueries (Catalyst merges them into one aggregate pass).
+    total, n = orders.agg(F.sum("sales")).scalar(), orders.agg(F.count("sales")).scalar()
+    return orders.filter(F.col("sales") * n > total).select(
         "order_id", "customer_id", F.col("sales").cast("double").alias("sales")
     )
 
@@ -50,8 +50,8 @@ def _customer_totals(orders: DataFrame, out: str) -> DataFrame:
 
 def customers_above_mean(orders: DataFrame, customers: DataFrame) -> DataFrame:
     totals = _customer_totals(orders, "_t")
-    stats = totals.agg(F.sum("_t").alias("_sum"), F.count("_t").alias("_n"))
-    above = totals.crossJoin(F.broadcast(stats)).filter(F.col("_t") * F.col("_n") > F.col("_sum"))
+    total, n = totals.agg(F.sum("_t")).scalar(), totals.agg(F.count("_t")).scalar()
+    above = totals.filter(F.col("_t") * n > total)
     named = above.join(customers.select("customer_id", "customer_name"), "customer_id")
     return named.select("customer_id", "customer_name", _money("_t").alias("total_customer_revenue"))
 
@@ -143,9 +143,9 @@ def rolling_average(
 def hot_geographies(fact: DataFrame, geography: DataFrame, factor: float = 1.5) -> DataFrame:
     """Places whose total profit exceeds ``factor`` x the mean place total (NULL keys excluded)."""
     per_geo = fact.filter(F.col("geo_key").isNotNull()).groupBy("geo_key").agg(F.sum("net_profit").alias("_p"))
-    stats = per_geo.agg(F.sum("_p").alias("_sum"), F.count("_p").alias("_n"))
+    total, n = per_geo.agg(F.sum("_p")).scalar(), per_geo.agg(F.count("_p")).scalar()
     f = F.lit(str(factor)).cast("decimal(10,4)")
-    hot = per_geo.crossJoin(F.broadcast(stats)).filter(F.col("_p") * F.col("_n") > f * F.col("_sum"))
+    hot = per_geo.filter(F.col("_p") * n > f * total)
     return geography.join(hot.select("geo_key"), "geo_key", "left_semi").select("city_name", "state_province")
 
 
@@ -181,9 +181,8 @@ def pareto(
         totals, "total_revenue", descending=True, out="_run", chunk_rows=chunk_rows, small_rows=small_rows,
         tiebreak=["customer_key"],
     )
-    grand = totals.agg(F.sum("total_revenue").alias("_grand"))
-    j = run.crossJoin(F.broadcast(grand))  # one-row side
-    kept = j.filter(F.col("_run") * F.lit(100) <= F.lit(limit_pct) * F.col("_grand"))
+    grand = totals.agg(F.sum("total_revenue")).scalar()  # scalar subquery
+    kept = run.withColumn("_grand", grand).filter(F.col("_run") * F.lit(100) <= F.lit(limit_pct) * F.col("_grand"))
     return kept.select(
         "customer_key",
         _money("total_revenue").alias("total_revenue"),

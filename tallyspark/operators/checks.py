@@ -89,10 +89,11 @@ def load_verification(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> Data
     """
     parts = []
     for name, expected, loaded in pairs:
-        a = expected.agg(F.count(F.lit(1)).alias("expected_rows"))
-        b = loaded.agg(F.count(F.lit(1)).alias("loaded_rows"))
+        loaded_rows = loaded.agg(F.count(F.lit(1))).scalar()
         parts.append(
-            a.crossJoin(b).select(
+            expected.agg(F.count(F.lit(1)).alias("expected_rows"))
+            .withColumn("loaded_rows", loaded_rows)
+            .select(
                 F.lit(name).alias("table_name"),
                 "expected_rows",
                 "loaded_rows",

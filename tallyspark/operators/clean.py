@@ -89,9 +89,8 @@ def dedupe_on(retail: DataFrame, keys: Sequence[str] = ("customer_id", "purchase
 
 
 def before_after(before: DataFrame, after: DataFrame) -> DataFrame:
-    a = before.agg(F.count(F.lit(1)).alias("rows_before"))
-    b = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    return a.crossJoin(b)
+    rows_after = after.agg(F.count(F.lit(1))).scalar()
+    return before.agg(F.count(F.lit(1)).alias("rows_before")).select("rows_before", rows_after.alias("rows_after"))
 
 
 def with_clean_spelling(df: DataFrame, columns: Sequence[str] = ("region", "category")) -> DataFrame:

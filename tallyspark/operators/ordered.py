@@ -242,8 +242,8 @@ def _running_total_by_groups(
     last = marked.groupBy("_chunk").agg(F.max_by("_before", F.when(F.col("_before").isNotNull(), F.col(POS))).alias("_last"))
     earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = last.select("_chunk", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
-    grand = df.agg(F.coalesce(F.sum(measure), zero).alias("_grand"))  # one row
-    joined = local.join(F.broadcast(carry), "_chunk").crossJoin(F.broadcast(grand))
+    grand = df.agg(F.coalesce(F.sum(measure), zero)).scalar()  # scalar subquery
+    joined = local.join(F.broadcast(carry), "_chunk").withColumn("_grand", grand)
     result = F.col("_grand") - F.coalesce(F.col("_group_before"), F.col("_carry"))
     return joined.withColumn(out, result).drop(
         POS, "_chunk", "_halo", "_prefix", "_before", "_group_before", "_carry", "_grand"

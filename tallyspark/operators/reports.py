@@ -314,10 +314,10 @@ def value_ranges(sales: DataFrame) -> DataFrame:
 def category_share(sales: DataFrame) -> DataFrame:
     """Revenue share per category in percent (one decimal); the window runs on the grouped rows."""
     per = sales.groupBy("category").agg(F.sum("sales").alias("_s"))
-    # Grand total from the group rows (no second scan), joined as one row (no global window).
-    total = per.agg(F.sum("_s").alias("_t"))
+    # Grand total from the group rows as a scalar subquery (no global window, no join).
+    total = per.agg(F.sum("_s")).scalar()
     return (
-        per.crossJoin(F.broadcast(total))
+        per.withColumn("_t", total)
         .select(
             "category",
             round_money(F.col("_s")).alias("total_sales"),

@@ -100,9 +100,15 @@ def copy_verified(
     write_delimited(observed, destination, sep=sep)
     metrics = seen.get
     dst = read_delimited(spark, destination, schema=schema, sep=sep, normalise_nulls=False)
-    a = spark.createDataFrame([(int(metrics["rows"]), str(metrics["checksum"]))], "source_rows bigint, source_checksum string")
-    b = table_fingerprint(dst).select(F.col("rows").alias("dest_rows"), F.col("checksum").alias("dest_checksum"))
-    return a.crossJoin(b).select(
+    # Source metrics are two observed numbers; the destination side is one aggregate.
+    dest = table_fingerprint(dst).select(F.col("rows").alias("dest_rows"), F.col("checksum").alias("dest_checksum"))
+    both = dest.select(
+        F.lit(int(metrics["rows"])).cast("bigint").alias("source_rows"),
+        F.lit(str(metrics["checksum"])).alias("source_checksum"),
+        "dest_rows",
+        "dest_checksum",
+    )
+    return both.select(
         "source_rows",
         "dest_rows",
         "source_checksum",

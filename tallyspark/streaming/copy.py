@@ -51,8 +51,14 @@ def verify_copy(spark: SparkSession, source: str, destination: str, schema: Stru
     """Row counts and order-independent checksums of both sides, and whether they agree."""
     src = read_delimited(spark, source, schema=schema, sep=sep, normalise_nulls=False)
     dst = read_delimited(spark, destination, schema=schema, sep=sep, normalise_nulls=False)
-    a = table_fingerprint(src).select(F.col("rows").alias("source_rows"), F.col("checksum").alias("source_checksum"))
-    b = table_fingerprint(dst).select(F.col("rows").alias("dest_rows"), F.col("checksum").alias("dest_checksum"))
-    return a.crossJoin(b).withColumn(
+    source = table_fingerprint(src)
+    dest = table_fingerprint(dst)
+    both = source.select(
+        F.col("rows").alias("source_rows"),
+        F.col("checksum").alias("source_checksum"),
+        dest.select("rows").scalar().alias("dest_rows"),
+        dest.select("checksum").scalar().alias("dest_checksum"),
+    )
+    return both.withColumn(
         "matched", (F.col("source_rows") == F.col("dest_rows")) & (F.col("source_checksum") == F.col("dest_checksum"))
     )

@@ -55,7 +55,13 @@ def test_keep_first_uses_partial_aggregation(spark):
     assert "partial_min_by" in text and "Window" not in text
 
 
-def test_grand_totals_are_one_row_broadcasts(spark):
-    for name in ("a_above_mean", "q_category_share"):
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_cross_joins(spark, name):
+    text = plan(E.queries()[name](spark, SF_SMALL), "simple")
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_grand_totals_are_scalar_subqueries(spark):
+    for name in ("a_above_mean", "q_category_share", "a_pareto80", "a_customers_above_mean"):
         text = plan(E.queries()[name](spark, SF_SMALL), "simple")
-        assert "BroadcastNestedLoopJoin" in text and "CartesianProduct" not in text
+        assert "Subquery" in text
