@@ -66,7 +66,7 @@ def main() -> None:
         f"Final adaptive plans of every registered query (`tools/plan_report.py`, data `{sf_dir}`, local[8]).",
         "Single-partition exchanges only feed bounded tables: one-row aggregates, offset tables with one row",
         "per sort partition or chunk, top-k merges, calendar months, and windows over at most 2^20 rows after a",
-        "size check. Nested-loop joins only attach one-row aggregates. Checkpoint scans are the distributed",
+        "size check. Grand totals and means are scalar subqueries, so no plan has a nested-loop join. Checkpoint scans are the distributed",
         "ordering path reading its reliably checkpointed sort.",
         "",
         head,
