@@ -124,12 +124,12 @@ def dense_rank(
     """``DENSE_RANK() OVER (ORDER BY value [DESC])`` over the whole table.
 
     Up to ``small_rows`` distinct values: ranked in one bounded window and
-    broadcast back (a proven size bound). Beyond that, with ``tiebreak``
-    columns that make rows unique, rows are positioned by (value, tiebreak)
-    and the rank is the running count of value changes, counted inside
-    chunks and carried across them, so nothing is keyed by the value (a hot
-    value cannot pile up in one task). Without ``tiebreak`` the distinct
-    values are positioned and joined back on the value.
+    broadcast back (a proven size bound). Beyond that, rows are positioned by
+    (value, tiebreak) and the rank is the running count of value changes,
+    counted inside chunks and carried across them, so nothing is keyed by the
+    value. The tiebreak only has to split a hot value across sort partitions
+    (tied rows share a rank whatever their order); by default it is a hash
+    of the row.
     """
     key = _sort_key("_v", descending)
     # Distinct values written once: sized, then ranked, without a second aggregation.
@@ -138,14 +138,18 @@ def dense_rank(
         # Checked bound: at most small_rows distinct values in the one window task and the broadcast.
         ranked = distinct.select("_v", F.row_number().over(Window.orderBy(key)).cast("bigint").alias(out))
         return df.join(F.broadcast(ranked), df[value].eqNullSafe(ranked["_v"])).drop("_v")
+    return _dense_rank_by_changes(df, value, descending, out, _tiebreak(df, tiebreak))
+
+
+def _tiebreak(df: DataFrame, tiebreak: Sequence[str] | None) -> list[Column]:
+    """Secondary sort keys that split a run of equal values: the given columns, else a row hash."""
     if tiebreak:
-        return _dense_rank_by_changes(df, value, descending, out, list(tiebreak))
-    ranked = global_positions(distinct, [key]).select("_v", (F.col(POS) + F.lit(1)).alias(out))
-    return df.join(ranked, df[value].eqNullSafe(ranked["_v"])).drop("_v")
+        return _cols(list(tiebreak))
+    return [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
 
 
-def _dense_rank_by_changes(df: DataFrame, value: str, descending: bool, out: str, tiebreak: list[str]) -> DataFrame:
-    positioned, total = _positioned(df, [_sort_key(value, descending), *_cols(tiebreak)], POS)
+def _dense_rank_by_changes(df: DataFrame, value: str, descending: bool, out: str, tiebreak: list[Column]) -> DataFrame:
+    positioned, total = _positioned(df, [_sort_key(value, descending), *tiebreak], POS)
     chunk_rows = chunk_size(df.sparkSession, total)
     chunked = _with_halo(positioned, chunk_rows, 1, total)
     w = Window.partitionBy("_chunk").orderBy(POS)
@@ -193,8 +197,9 @@ def running_total(
 
     Rows tied on ``value`` share one running total that includes all of them.
     Use a DECIMAL measure for a partition-independent exact result. Beyond
-    ``small_rows`` distinct values and with ``tiebreak`` columns that make
-    rows unique, nothing is keyed by the value (see ``_running_total_by_groups``).
+    ``small_rows`` distinct values nothing is keyed by the value (see
+    ``_running_total_by_groups``); ``tiebreak`` (default: a row hash) only
+    splits a hot value across sort partitions.
     """
     measure = measure or value
     key = _sort_key("_v", descending)
@@ -205,17 +210,11 @@ def running_total(
         frame = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         summed = per_value.select("_v", F.sum("_tie_sum").over(frame).alias(out))
         return df.join(F.broadcast(summed), df[value].eqNullSafe(summed["_v"])).drop("_v")
-    if tiebreak:
-        return _running_total_by_groups(df, value, measure, descending, out, list(tiebreak), chunk_rows)
-    else:
-        positioned = global_positions(per_value, [key])
-        chunk_rows = chunk_rows or chunk_size(df.sparkSession, n)
-        summed = _chunked_prefix_sum(positioned, "_tie_sum", out, chunk_rows, n).select("_v", out)
-    return df.join(summed, df[value].eqNullSafe(summed["_v"])).drop("_v")
+    return _running_total_by_groups(df, value, measure, descending, out, _tiebreak(df, tiebreak), chunk_rows)
 
 
 def _running_total_by_groups(
-    df: DataFrame, value: str, measure: str, descending: bool, out: str, tiebreak: list[str], chunk_rows: int | None
+    df: DataFrame, value: str, measure: str, descending: bool, out: str, tiebreak: list[Column], chunk_rows: int | None
 ) -> DataFrame:
     """RANGE running total without a value-keyed shuffle.
 
@@ -225,7 +224,7 @@ def _running_total_by_groups(
     sum is read at the group's first row (found by comparing neighbours) and
     carried forward inside the chunk or from earlier chunks.
     """
-    positioned, total = _positioned(df, [_sort_key(value, not descending), *_cols(tiebreak)], POS)
+    positioned, total = _positioned(df, [_sort_key(value, not descending), *tiebreak], POS)
     chunk_rows = chunk_rows or chunk_size(df.sparkSession, total)
     prefixed = _chunked_prefix_sum(positioned, measure, "_prefix", chunk_rows, total)
     chunked = _with_halo(prefixed, chunk_rows, 1, total)
