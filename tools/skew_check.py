@@ -67,6 +67,7 @@ def main() -> None:
         # A third of the rows share one value: a global dense rank over it.
         "plain global dense rank": lambda: df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc()))),
         "distributed global dense rank": lambda: ordered.dense_rank(df, "v", out="r", small_rows=0, tiebreak=order),
+        "distributed global dense rank (row-hash tiebreak)": lambda: ordered.dense_rank(df, "v", out="r", small_rows=0),
         "plain running total": lambda: df.withColumn("rt", F.sum("l_extendedprice").over(Window.orderBy(F.col("v").desc()))),
         "distributed running total": lambda: ordered.running_total(
             df, "v", measure="l_extendedprice", out="rt", small_rows=0, tiebreak=order
