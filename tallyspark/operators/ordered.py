@@ -40,6 +40,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tallyspark.session import ensure_checkpoint_dir
 
@@ -145,7 +146,9 @@ def _tiebreak(df: DataFrame, tiebreak: Sequence[str] | None) -> list[Column]:
     """Secondary sort keys that split a run of equal values: the given columns, else a row hash."""
     if tiebreak:
         return _cols(list(tiebreak))
-    return [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    # Map columns cannot be hashed; any other column may serve to split a run.
+    hashable = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return [F.xxhash64(*[F.col(c) for c in hashable])] if hashable else []
 
 
 def _dense_rank_by_changes(df: DataFrame, value: str, descending: bool, out: str, tiebreak: list[Column]) -> DataFrame:
