@@ -96,9 +96,17 @@ def dim_products(sales: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFra
 
 
 def dim_calendar(sales: DataFrame) -> DataFrame:
-    """One row per day from the first to the last order date (bounded by the date span)."""
+    """One row per day from the first to the last order date.
+
+    The span is cut into calendar years first (one row per year, spread
+    across tasks by a tiny exchange), and each year row expands to at most
+    366 days, so no single row expands the whole span.
+    """
     span = sales.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
-    days = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d"))
+    years = span.select("lo", "hi", F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("y")).repartition("y")
+    first = F.greatest(F.col("lo"), F.make_date(F.col("y"), F.lit(1), F.lit(1)))
+    last = F.least(F.col("hi"), F.make_date(F.col("y"), F.lit(12), F.lit(31)))
+    days = years.select(F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY"))).alias("d"))
     dow = F.dayofweek("d")  # 1 = Sunday .. 7 = Saturday
     return days.select(
         F.date_format("d", "yyyy-MM-dd").alias("date_key"),
