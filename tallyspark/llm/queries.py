@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import decontaminate, simhash
+from tallyspark.llm import bpe, decontaminate, pii, simhash, toxicity
 from tallyspark.llm.common import read
 
+RANKS = "byte_bpe_50k.tiktoken"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,13 +19,28 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_pii": op3_pii,
     "op5_simhash": op5_simhash,
+    "op7_bpe": op7_bpe,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -30,12 +48,12 @@ ORACLE_SQL: dict[str, str] = {
 WITH d AS (
     SELECT doc_id, list_filter(regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
     FROM documents
 ), b AS (
     SELECT item_id, list_filter(regexp_split_to_array(
         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
     FROM benchmark WHERE text IS NOT NULL
 ), places AS (
     SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0
