@@ -7,12 +7,18 @@ columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import decontaminate, simhash
+from tallyspark.llm import bpe, decontaminate, pii, simhash, toxicity
 from tallyspark.llm.common import read, stored
 
 
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose expected severity is too high go; the model is fitted on the labelled documents."""
+    return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"), read(spark, sf_dir, "documents"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays, that with the smallest doc_id."""
     return simhash.keep_one(docs)
@@ -23,12 +29,25 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return decontaminate.hits(docs, read(spark, sf_dir, "benchmark")).filter("n_hit = 0").select("row.*")
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind; n_chars follows."""
+    return pii.mask(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the texts that are left."""
+    return bpe.report(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 STAGES = [
-    ("near_duplicates", near_duplicates),
-    ("benchmark_passages", benchmark_passages),
+    ("toxicity", toxic_documents),
+    ("simhash_near_dedup", near_duplicates),
+    ("decontamination", benchmark_passages),
+    ("pii", personal_data),
+    ("bpe", tokens),
 ]
 
-ORACLE_SQL = None  # XXH64 fingerprints and their components have no SQL form in DuckDB
+ORACLE_SQL = None  # the fitted model, XXH64 fingerprints and byte-pair merges have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
