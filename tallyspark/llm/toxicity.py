@@ -24,10 +24,11 @@ from tallyspark.llm.common import stored
 PER_CLASS = 5000  # labelled documents of either class in the fit, at most
 FEATURES = 1024  # features in the model, at most
 STEMS = (4, 5, 6)  # lengths of the word beginnings
-LIFT = 6.0  # a feature is this many times as frequent in toxic documents, at least
-CHI2 = 10.83  # and its association with the label has p < 0.001
+LIFT = 12.0  # a feature is this many times as frequent in toxic documents, at least
+CHI2 = 24.0  # and its association with the label is far beyond chance among all features tried
+MIN_DOCS = 4  # toxic documents that hold a feature, at least
 GRADES = 3  # toxic grades; 0 is clean
-REJECT = 0.35  # expected severity from which a document is toxic
+REJECT = 0.4  # expected severity from which a document is toxic
 
 _word = re.compile(r"[^\W\d_]+")
 
@@ -95,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = (
         rows.groupBy("feature")
         .agg(a.cast("double").alias("a"), b.cast("double").alias("b"))
-        .filter((F.col("a") >= 3) & (F.col("a") / bad >= LIFT * (F.col("b") + 0.5) / good))
+        .filter((F.col("a") >= MIN_DOCS) & (F.col("a") / bad >= LIFT * (F.col("b") + 0.5) / good))
         .withColumn("chi2", chi2)
         .filter(F.col("chi2") >= CHI2)
         .orderBy(F.desc("chi2"), "feature")
