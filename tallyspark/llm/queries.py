@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, decontaminate, pii, simhash, toxicity
+from tallyspark.llm import bpe, decontaminate, extract, neighbours, pii, sharding, simhash, toxicity, warc
 from tallyspark.llm.common import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -19,10 +19,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(read(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(read(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -31,16 +39,28 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.report(read(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.report(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_sharding": op2_sharding,
     "op3_pii": op3_pii,
+    "op4_warc": op4_warc,
     "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,
+    "op8_neighbours": op8_neighbours,
     "op9_toxicity": op9_toxicity,
+    "op10_extract": op10_extract,
 }
 
 ORACLE_SQL: dict[str, str] = {
