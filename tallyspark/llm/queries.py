@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, decontaminate, extract, neighbours, pii, sharding, simhash, toxicity, warc
+from tallyspark.llm import bpe, decontaminate, extract, neighbours, pii, secrets, sharding, simhash, toxicity, warc
 from tallyspark.llm.common import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -35,6 +35,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op3_pii": op3_pii,
     "op4_warc": op4_warc,
     "op5_simhash": op5_simhash,
+    "op6_secrets": op6_secrets,
     "op7_bpe": op7_bpe,
     "op8_neighbours": op8_neighbours,
     "op9_toxicity": op9_toxicity,
