@@ -206,6 +206,10 @@ def added_spans(scanned: DataFrame) -> DataFrame:
     )
 
 
+def _number(kind: int) -> Column:
+    return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long")
+
+
 def _listed(spans: Column) -> Column:
     name = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s.kind), s.start, s.end)), ",")
@@ -220,7 +224,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     added = F.coalesce("added", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
     return scanned.join(small(stored(added_spans(scanned))), ["k1", "k2"], "left").select(
         "doc_id",
-        *[F.size(F.filter("base", lambda s, i=i: s.kind == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)],
+        *[_number(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.array_sort(F.concat("base", added))).alias("spans"),
         F.size(added).cast("long").alias("n_learnt"),

@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from tallyspark.llm import neighbours
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(ids, v, k, every):
+    out = set()
+    for i in np.flatnonzero(ids % every == 0):
+        s = np.einsum("ij,j->i", v, v[i])
+        order = [j for j in np.lexsort((ids, -s)) if ids[j] != ids[i]][:k]
+        out |= {(int(ids[i]), r + 1, int(ids[j])) for r, j in enumerate(order)}
+    return out
+
+
+def _run(spark, ids, v, **how):
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], SCHEMA)
+    return neighbours.report(df, **how).collect()
+
+
+@pytest.fixture(scope="module")
+def clusters():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 16)) * 3
+    v = np.concatenate([centres[rng.integers(12, size=1800)] + rng.normal(size=(1800, 16)), np.repeat(rng.normal(size=(1, 16)), 700, 0)])
+    v = v.astype(np.float32).astype(np.float64)
+    return rng.permutation(len(v)), v
+
+
+def test_factor_one_is_exact_with_hot_equal_vectors(spark, clusters):
+    ids, v = clusters
+    rows = _run(spark, ids, v, factor=1.0)
+    assert {(r["query_id"], r["rank"], r["vec_id"]) for r in rows} == brute(ids, v, 20, 20)
+    at = {int(i): x for i, x in zip(ids, v, strict=True)}
+    assert all(abs(r["score"] - at[r["query_id"]] @ at[r["vec_id"]]) < 1e-9 for r in rows)
+
+
+def test_recall_with_the_production_factor(spark, clusters):
+    ids, v = clusters
+    got = {(r["query_id"], r["vec_id"]) for r in _run(spark, ids, v)}
+    want = {(q, i) for q, _, i in brute(ids, v, 20, 20)}
+    assert len(got & want) / len(want) >= 0.95
+
+
+def test_many_shards_and_blocks(spark, clusters, monkeypatch):
+    ids, v = clusters
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 30)
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], SCHEMA)
+    rows = neighbours.usable(df)
+    got = neighbours.search_all(rows, rows.filter("vec_id % 20 = 0"), k=5, factor=1.0, shard_rows=200).collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"]) for r in got} == brute(ids, v, 5, 20)
+
+
+def test_unusable_vectors_take_no_part(spark):
+    rows = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (60, [1.0, float("nan")]), (80, [float("inf"), 1.0]), (3, [1.0, None]), (5, [2.0, 1.0]), (5, [2.0, 1.0]), (None, [9.0, 9.0]), (100, []), (6, [1.0])]
+    got = neighbours.report(spark.createDataFrame(rows, SCHEMA))
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    assert [tuple(r) for r in got.collect()] == [(0, 1, 5, 2.0)]
+
+
+def test_ties_go_to_the_smaller_id_and_few_rows_give_all(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(6)] + [(20, [0.0, 1.0])]
+    got = [tuple(r)[:3] for r in neighbours.report(spark.createDataFrame(rows, SCHEMA)).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (0, 4, 4), (0, 5, 5), (0, 6, 20)] + [(20, i + 1, i) for i in range(6)]
+
+
+def test_empty_table(spark):
+    assert neighbours.report(spark.createDataFrame([], SCHEMA)).collect() == []

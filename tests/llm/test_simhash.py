@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import xxhash
+
+from tallyspark.llm import simhash
+
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def fingerprint(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
+    runs = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    h = [xxhash.xxh64_intdigest(r.encode(), seed=42) for r in runs]
+    return sum(1 << b for b in range(64) if h and sum(x >> b & 1 for x in h) * 2 > len(h))
+
+
+def classes(prints):
+    """Smallest position reachable from each position."""
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    v = np.array(prints, np.uint64)
+    for i in range(len(v)):
+        for j in np.flatnonzero(np.bitwise_count(v[i + 1 :] ^ v[i]) <= 3):
+            a, b = find(i), find(i + 1 + int(j))
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(v))]
+
+
+def _check(docs):
+    rows = docs.select("doc_id", "text").collect()
+    prints = [fingerprint(r["text"]) for r in rows]
+    groups = {}
+    for r, c in zip(rows, classes(prints), strict=True):
+        groups.setdefault(c, []).append(r["doc_id"])
+    least = {c: min((i for i in ids if i is not None), default=None) for c, ids in groups.items()}
+    want = sorted(((r["doc_id"], f"{p:016x}", least[c]) for r, p, c in zip(rows, prints, classes(prints), strict=True)), key=str)
+    got = simhash.near_duplicates(docs)
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    return len(groups)
+
+
+def test_odd_rows(odd):
+    _check(odd)
+
+
+def test_generated_documents(real):
+    assert _check(real) < real.count()
+
+
+def test_empty_table(no_docs):
+    assert simhash.near_duplicates(no_docs).collect() == []
+    assert simhash.keep_one(no_docs).collect() == []
+
+
+def test_dense_groups_are_walked_down_and_batches_cut(spark):
+    rng = random.Random(5)
+    prints = set()
+    for _ in range(6):
+        centre = rng.getrandbits(64)
+        for _ in range(150):
+            p = centre
+            for b in rng.sample(range(64), rng.randrange(7)):
+                p ^= 1 << b
+            prints.add(p)
+    prints |= {0, 1, 3, 7, 15, (1 << 64) - 1, (1 << 63)}
+    prints = sorted(prints)
+    want = classes(prints)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    fps = spark.createDataFrame([(p,) for p in signed], "fp long")
+    for group, batch in ((8, 60), (64, 10_000)):
+        links = simhash.links(fps, 3, group=group, batch_rows=batch)
+        at = {p: i for i, p in enumerate(signed)}
+        assert all(bin(prints[at[u]] ^ prints[at[v]]).count("1") > 0 for u, v in links.collect())
+        root = {r["fp"]: r["root"] for r in simhash.components(links).collect()}
+        seen = {}
+        for i, p in enumerate(signed):
+            assert seen.setdefault(root.get(p, p), want[i]) == want[i]
+        assert len(seen) == len(set(want))
+
+
+def test_smaller_budgets(spark):
+    fps = spark.createDataFrame([(0,), (1,), (7,), (1 << 40,)], "fp long")
+    assert simhash.links(fps, 0).count() == 0
+    assert {tuple(r) for r in simhash.links(fps, 1).collect()} in ({(1, 0), (1 << 40, 0)}, {(1, 0), (1 << 40, 0), (0, 1)})
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (9, 9)], "u long, v long")
+    root = {r["fp"]: r["root"] for r in simhash.components(edges).collect()}
+    assert {root[i] for i in range(201)} == {0} and root[500] == root[501] == 500
+
+
+def test_keep_one(odd):
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    want = simhash.near_duplicates(odd).select("component_id").distinct().collect()
+    assert sorted(map(str, ids)) == sorted(str(r["component_id"]) for r in want)
