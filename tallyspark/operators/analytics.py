@@ -56,16 +56,16 @@ def customers_above_mean(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return named.select("customer_id", "customer_name", _money("_t").alias("total_customer_revenue"))
 
 
-def sequence_and_rank(orders: DataFrame, tiebreak: Sequence[str], small_rows: int = ordered.SMALL_ROWS) -> DataFrame:
+def sequence_and_rank(orders: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
     """Per-customer sequence (newest first) and the global dense rank of each line by sales."""
     seq_order = [F.col("order_date").desc_nulls_last(), *[F.col(c).asc() for c in tiebreak]]
     # Project before the checkpointed sort: a checkpoint materialises every column it is given.
     needed = list(dict.fromkeys(["customer_id", "order_id", "sales", "order_date", *tiebreak]))
     numbered = ordered.row_number_within(
-        orders.select(*needed), ["customer_id"], seq_order, out="internal_order_sequence", small_rows=small_rows
+        orders.select(*needed), ["customer_id"], seq_order, out="internal_order_sequence"
     )
     ranked = ordered.dense_rank(
-        numbered, "sales", descending=True, out="global_revenue_line_rank", small_rows=small_rows, tiebreak=tiebreak
+        numbered, "sales", descending=True, out="global_revenue_line_rank", tiebreak=tiebreak
     )
     return ranked.select(
         "customer_id",
@@ -76,10 +76,10 @@ def sequence_and_rank(orders: DataFrame, tiebreak: Sequence[str], small_rows: in
     )
 
 
-def master_ledger(orders: DataFrame, customers: DataFrame, small_rows: int = ordered.SMALL_ROWS) -> DataFrame:
+def master_ledger(orders: DataFrame, customers: DataFrame) -> DataFrame:
     totals = _customer_totals(orders, "lifetime_gross_sales")
     ranked = ordered.dense_rank(
-        totals, "lifetime_gross_sales", descending=True, out="strategic_customer_rank", small_rows=small_rows,
+        totals, "lifetime_gross_sales", descending=True, out="strategic_customer_rank",
         tiebreak=["customer_id"],
     )
     named = ranked.join(customers.select("customer_id", "customer_name"), "customer_id")
@@ -124,13 +124,13 @@ def peak_cart(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def rolling_average(
-    fact: DataFrame, tiebreak: Sequence[str], rows: int = 3, chunk_rows: int | None = None, small_rows: int = ordered.SMALL_ROWS
+    fact: DataFrame, tiebreak: Sequence[str], rows: int = 3, chunk_rows: int | None = None
 ) -> DataFrame:
     """Mean revenue over each customer's last ``rows`` lines (current included), 6 decimals."""
     order = [F.col("order_date").asc_nulls_first(), *[F.col(c).asc() for c in tiebreak]]
     needed = list(dict.fromkeys(["customer_key", "order_date", "revenue", *tiebreak]))
     rolled = ordered.rolling_rows(
-        fact.select(*needed), ["customer_key"], order, "revenue", rows - 1, chunk_rows=chunk_rows, small_rows=small_rows
+        fact.select(*needed), ["customer_key"], order, "revenue", rows - 1, chunk_rows=chunk_rows
     )
     return rolled.select(
         "customer_key",
@@ -169,7 +169,7 @@ def yoy_monthly(fact: DataFrame, lag: int = 12) -> DataFrame:
 
 
 def pareto(
-    fact: DataFrame, limit_pct: int = 80, chunk_rows: int | None = None, small_rows: int = ordered.SMALL_ROWS
+    fact: DataFrame, limit_pct: int = 80, chunk_rows: int | None = None
 ) -> DataFrame:
     """Customers, largest first, while cumulative revenue share stays <= ``limit_pct``.
 
@@ -178,7 +178,7 @@ def pareto(
     """
     totals = fact.groupBy("customer_key").agg(F.sum("revenue").alias("total_revenue"))
     run = ordered.running_total(
-        totals, "total_revenue", descending=True, out="_run", chunk_rows=chunk_rows, small_rows=small_rows,
+        totals, "total_revenue", descending=True, out="_run", chunk_rows=chunk_rows,
         tiebreak=["customer_key"],
     )
     grand = totals.agg(F.sum("total_revenue")).scalar()  # scalar subquery

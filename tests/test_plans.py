@@ -8,7 +8,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from tallyspark.plans.registry import QUERIES
 
 from .conftest import SF_SMALL
 
@@ -20,48 +20,61 @@ def plan(df, mode: str = "formatted") -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_the_plan(spark, name):
-    text = plan(E.queries()[name](spark, SF_SMALL), "extended")
+    text = plan(QUERIES[name](spark, SF_SMALL), "extended")
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", text)
 
 
 def test_year_filter_bounds_reach_the_scan(spark):
-    text = plan(E.queries()["q_year_filter"](spark, SF_SMALL))
+    text = plan(QUERIES["q_year_filter"](spark, SF_SMALL))
     pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
     assert "GreaterThanOrEqual(order_date," in pushed and "LessThan(order_date," in pushed
     assert re.search(r"ReadSchema: struct<order_date:date,sales:decimal\(18,2\)>", text)
 
 
 def test_report_reads_only_needed_columns(spark):
-    text = plan(E.queries()["q_region_summary"](spark, SF_SMALL))
+    text = plan(QUERIES["q_region_summary"](spark, SF_SMALL))
     schema = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
     assert sorted(re.findall(r"(\w+):", schema)) == ["profit", "quantity", "region", "sales"]
 
 
 @pytest.mark.parametrize("name", ["q_top_products", "q_high_value", "q_duplicate_lines", "c_catalog_head"])
 def test_top_k_without_global_sort(spark, name):
-    text = plan(E.queries()[name](spark, SF_SMALL), "simple")
+    text = plan(QUERIES[name](spark, SF_SMALL), "simple")
     assert "TakeOrderedAndProject" in text
 
 
 def test_correlated_max_is_aggregate_plus_semi_join(spark):
-    text = plan(E.queries()["a_customer_peak_line"](spark, SF_SMALL), "simple")
+    text = plan(QUERIES["a_customer_peak_line"](spark, SF_SMALL), "simple")
     assert "Window" not in text and "LeftSemi" in text
 
 
 def test_keep_first_uses_partial_aggregation(spark):
-    text = plan(E.queries()["r_dedupe_key"](spark, SF_SMALL), "simple")
+    text = plan(QUERIES["r_dedupe_key"](spark, SF_SMALL), "simple")
     assert "partial_min_by" in text and "Window" not in text
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_joins(spark, name):
-    text = plan(E.queries()[name](spark, SF_SMALL), "simple")
+    text = plan(QUERIES[name](spark, SF_SMALL), "simple")
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 def test_grand_totals_are_scalar_subqueries(spark):
     for name in ("a_above_mean", "q_category_share", "a_pareto80", "a_customers_above_mean"):
-        text = plan(E.queries()[name](spark, SF_SMALL), "simple")
+        text = plan(QUERIES[name](spark, SF_SMALL), "simple")
         assert "Subquery" in text
+
+
+ORDERING = "a_sequence_and_rank a_master_ledger a_rolling3 a_pareto80 n_fact_orders n_fact_sales n_dim_geography".split()
+
+
+@pytest.mark.parametrize("name", ORDERING)
+def test_windows_over_rows_are_partitioned_by_chunk(spark, name):
+    """A window without partition keys stands over offset tables only (one row per chunk or sort partition)."""
+    text = plan(QUERIES[name](spark, SF_SMALL), "extended").split("== Optimized Logical Plan ==")[1].split("== Physical")[0]
+    for line in text.splitlines():
+        if re.search(r"\bWindow \[", line):
+            spec = re.findall(r"windowspecdefinition\((.*?),? ?specifiedwindowframe", line)
+            assert spec and all("_chunk" in x or "_pid" in x or x == "" for x in spec), line

@@ -48,7 +48,7 @@ def test_parse_counts_balance(retail):
 
 def test_running_total_ends_at_grand_total(sales):
     totals = sales.groupBy("customer_id").agg(F.sum("sales").alias("t"))
-    run = ordered.running_total(totals, "t", descending=True, out="rt", small_rows=0)
+    run = ordered.running_total(totals, "t", descending=True, out="rt")
     last = run.agg(F.max("rt")).first()[0]
     assert last == totals.agg(F.sum("t")).first()[0]
 

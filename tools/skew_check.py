@@ -62,15 +62,15 @@ def main() -> None:
     sc = spark.sparkContext
     runs = {
         "plain window": lambda: df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order))),
-        "distributed row numbers": lambda: ordered.row_number_within(df, ["k"], order, out="rn", small_rows=0),
-        "distributed 3-row window": lambda: ordered.rolling_rows(df, ["k"], order, "l_extendedprice", 2, small_rows=0),
+        "distributed row numbers": lambda: ordered.row_number_within(df, ["k"], order, out="rn"),
+        "distributed 3-row window": lambda: ordered.rolling_rows(df, ["k"], order, "l_extendedprice", 2),
         # A third of the rows share one value: a global dense rank over it.
         "plain global dense rank": lambda: df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc()))),
-        "distributed global dense rank": lambda: ordered.dense_rank(df, "v", out="r", small_rows=0, tiebreak=order),
-        "distributed global dense rank (row-hash tiebreak)": lambda: ordered.dense_rank(df, "v", out="r", small_rows=0),
+        "distributed global dense rank": lambda: ordered.dense_rank(df, "v", out="r", tiebreak=order),
+        "distributed global dense rank (row-hash tiebreak)": lambda: ordered.dense_rank(df, "v", out="r"),
         "plain running total": lambda: df.withColumn("rt", F.sum("l_extendedprice").over(Window.orderBy(F.col("v").desc()))),
         "distributed running total": lambda: ordered.running_total(
-            df, "v", measure="l_extendedprice", out="rt", small_rows=0, tiebreak=order
+            df, "v", measure="l_extendedprice", out="rt", tiebreak=order
         ),
     }
     for name, build in runs.items():
