@@ -14,7 +14,6 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -122,17 +121,17 @@ class Vocabulary:
 
 
 class _Memo(dict):
-    """Ids of recent pre-tokens; when full, it becomes the old generation and a new one starts."""
+    """Ids of recent pre-tokens, as 32-bit bytes; when full, it becomes the old generation and a new one starts."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
-        self.old: dict[str, list[int]] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = self.vocabulary.encode_piece(piece.encode())
+            ids = np.array(self.vocabulary.encode_piece(piece.encode()), "<u4").tobytes()
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO:
                 self.old = dict(self)
@@ -141,6 +140,10 @@ class _Memo(dict):
         return ids
 
 
+def _ids(memo: _Memo, pieces: list[str]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(memo.__getitem__, pieces)), "<u4")
+
+
 def load(path: str, pattern: str) -> Vocabulary:
     with open(path, "rb") as f:
         return Vocabulary(f.read(), pattern)
@@ -152,9 +155,7 @@ def _encoder(shared):
         memo = _Memo(vocabulary)
         split = regex.compile(vocabulary.pattern).findall
         for batch in texts:
-            yield pd.Series(
-                [np.fromiter(chain.from_iterable(map(memo.__getitem__, split(t or ""))), np.int32) for t in batch], dtype=object
-            )
+            yield pd.Series([_ids(memo, split(t or "")).astype(np.int32) for t in batch], dtype=object)
 
     return run
 
@@ -171,14 +172,17 @@ def _decoder(shared):
 def _digests(shared):
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vocabulary = shared.value
+        memo = _Memo(vocabulary)
+        split = regex.compile(vocabulary.pattern).findall
         token = vocabulary.token.__getitem__
-        for encoded in _encoder(shared)(texts):
+        for batch in texts:
             rows = []
-            for ids in encoded:
+            for text in batch:
+                ids = _ids(memo, split(text or ""))
                 back = hashlib.sha256()
                 for at in range(0, len(ids), 1 << 16):
                     back.update(b"".join(map(token, ids[at : at + (1 << 16)].tolist())))
-                rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), back.hexdigest()))
+                rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), back.hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
