@@ -7,6 +7,7 @@ whole tables. Output money is DOUBLE, counts BIGINT.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,9 @@ from pyspark.sql.types import DecimalType
 
 from tallyspark.operators import analytics, checks, clean, model, reports
 from tallyspark.plans import params as P
-from tallyspark.session import ensure_checkpoint_dir
 from tallyspark.sources import binding, files
 from tallyspark.sources.binding import LINE_ORDER
+from tallyspark.sources.persisted import prune, tables_root
 from tallyspark.sources.tables import table
 from tallyspark.streaming import copy as stream_copy
 
@@ -58,21 +59,29 @@ def _hot_geographies(s: DataFrame) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder."""
-    import uuid
-
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tallyspark-files/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the shared folder; those of earlier runs go after a day."""
+    root = f"{tables_root(spark)}/files"
+    prune(spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def _f_metadata(spark: SparkSession, d: str) -> DataFrame:
-    """Name, size and modification time of each part of the transaction CSV file."""
-    return files.file_metadata(spark, binding.retail_file_location(spark, d), "*.csv")
+    """The transaction file: rows in its parts, and whether the file listing names every part that has rows."""
+    path = binding.retail_file_location(spark, d)
+    listed = files.file_metadata(spark, path, "*.csv").filter("length > 0").select(F.element_at(F.split("path", "/"), -1).alias("part"))
+    scan = files.read_delimited(spark, path, files.text_schema(binding.RETAIL_FILE_SCHEMA), normalise_nulls=False)
+    read = scan.groupBy(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    both = read.join(listed.withColumn("listed", F.lit(True)), "part", "left")
+    return both.agg(F.sum("rows").alias("total_rows"), F.count_if(F.col("listed").isNull()).alias("missing")).select(
+        F.lit("retail").alias("file_set"), (F.col("missing") == 0).alias("every_part_listed"), "total_rows"
+    )
 
 
 def _f_copy_verify(spark: SparkSession, d: str) -> DataFrame:
     """Copy the transaction CSV file to a fresh folder and compare both sides."""
     source = binding.retail_file_location(spark, d)
-    return files.copy_verified(spark, source, _scratch(spark, "copy-dst"), binding.RETAIL_FILE_SCHEMA)
+    copied = files.copy_verified(spark, source, _scratch(spark, "copy-dst"), binding.RETAIL_FILE_SCHEMA)
+    return copied.select("source_rows", "dest_rows", "matched")
 
 
 def _f_copy_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -80,7 +89,7 @@ def _f_copy_stream(spark: SparkSession, d: str) -> DataFrame:
     source = binding.retail_file_location(spark, d)
     dest, ck = _scratch(spark, "stream-dst"), _scratch(spark, "stream-ck")
     stream_copy.copy_new_files(spark, source, dest, binding.RETAIL_FILE_SCHEMA, ck)
-    return stream_copy.verify_copy(spark, source, dest, binding.RETAIL_FILE_SCHEMA)
+    return stream_copy.verify_copy(spark, source, dest, binding.RETAIL_FILE_SCHEMA).select("source_rows", "dest_rows", "matched")
 
 
 def _queries() -> dict[str, Query]:

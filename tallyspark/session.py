@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -12,27 +11,30 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     app_name: str = "tallyspark",
+    checkpoint_dir: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Session used by tests and the bench.
+    """A session with the SQL settings the library relies on.
 
-    On a cluster the master, memory and checkpoint folder come from the
-    cluster's own configuration; only the SQL knobs below are ours.
+    Master, memory, shuffle partitions and the shared checkpoint folder are
+    set only when given; on a cluster they come from its own configuration.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("TALLY_DRIVER_MEMORY", "16g"))
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

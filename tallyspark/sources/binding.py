@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.rounding import MONEY, RATE
 from tallyspark.functions.text import nan_to_null
-from tallyspark.sources.persisted import persisted, table_path
+from tallyspark.sources.persisted import location, persisted
 from tallyspark.sources.tables import table
 
 # Columns that order order lines totally (l_orderkey/l_linenumber alone repeat).
@@ -41,8 +41,8 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     is left to the planner: AQE broadcasts a side only when its measured size
     is under ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    li = table(spark, sf_dir, "lineitem", spread=True)
-    o = table(spark, sf_dir, "orders", spread=True)
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
@@ -152,7 +152,7 @@ def _spelling(value: Column, k: Column) -> Column:
 
 def retail_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transaction file with dirt; ``row_ordinal`` is its file order (copies after originals)."""
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
@@ -239,5 +239,6 @@ def retail_file(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Data
 
 def retail_file_location(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the transaction CSV file (written first if needed)."""
-    retail_file(spark, sf_dir)
-    return table_path(spark, "retail-csv", _sources(sf_dir, RETAIL_SOURCES))
+    return location(
+        spark, "retail-csv", _sources(sf_dir, RETAIL_SOURCES), lambda: retail_dirty(spark, sf_dir), csv_schema=RETAIL_FILE_SCHEMA
+    )

@@ -4,11 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyspark.functions.text import NULL_TOKENS, null_tokens_to_null
+from tallyspark.sources.schema import layout
+
+# Standard quoting: a quote inside a quoted value is doubled, a quoted value may span lines, text is kept verbatim.
+# Files with values over several lines are not split: one task reads one file, so writers bound the rows of a file.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+MAX_ROWS_PER_FILE = 5_000_000
+
+
+def text_schema(schema: StructType | str) -> StructType:
+    """The same column names, all strings: what a file holds before any cast."""
+    return StructType([StructField(f.name, StringType()) for f in layout(schema).fields])
 
 
 def read_delimited(
@@ -19,19 +37,24 @@ def read_delimited(
     header: bool = True,
     encoding: str = "UTF-8",
     normalise_nulls: bool = True,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Delimited text scan with header.
+    """Delimited text scan with header and standard quoting.
 
     With ``schema`` the scan needs no inference pass (the production path);
     without it Spark infers types with one extra pass over the files
-    (exploration only). String columns get pandas-style missing-value tokens
-    turned into NULL.
+    (exploration only). A record that doesn't fit the schema fails the scan;
+    pass ``mode="PERMISSIVE"`` to get NULLs instead. String columns get
+    pandas-style missing-value tokens turned into NULL.
     """
-    reader = spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
-    reader = reader.option("mode", "PERMISSIVE")
+    reader = spark.read.options(**CSV_OPTIONS).option("header", header).option("sep", sep).option("encoding", encoding)
+    reader = reader.option("mode", mode)
     df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
-    if not normalise_nulls:
-        return df
+    return normalised(df) if normalise_nulls else df
+
+
+def normalised(df: DataFrame) -> DataFrame:
+    """String columns with missing-value tokens as NULL."""
     return df.select(
         *[
             null_tokens_to_null(F.col(f.name), NULL_TOKENS).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
@@ -43,12 +66,10 @@ def read_delimited(
 def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
     """CSV sink with a header and no index column (a folder of part files).
 
-    Values are written verbatim: Spark's CSV writer trims leading and
-    trailing spaces unless told not to, which would silently alter text.
+    Values are written verbatim (Spark's writer trims spaces unless told not
+    to) and quotes are doubled, so any standard reader gets them back.
     """
-    writer = df.write.mode(mode).option("header", True).option("sep", sep)
-    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).option("sep", sep).option("maxRecordsPerFile", MAX_ROWS_PER_FILE).csv(path)
 
 
 def file_metadata(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -60,8 +81,10 @@ def file_metadata(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return scan.load(path).select("path", "length", "modificationTime")
 
 
-def _row_hash(df: DataFrame, cols: list[str]):
-    return F.xxhash64(*[F.col(c).cast("string") for c in cols]).cast("decimal(20,0)")
+def _row_hash(df: DataFrame, cols: list[str]) -> Column:
+    # A null flag beside each value: (NULL, 'a') and ('a', NULL) differ.
+    parts = [p for c in cols for p in (F.col(c).isNull(), F.col(c).cast("string"))]
+    return F.xxhash64(*parts).cast("decimal(20,0)")
 
 
 def table_fingerprint(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -71,10 +94,12 @@ def table_fingerprint(df: DataFrame, columns: Iterable[str] | None = None) -> Da
     overflows nor depends on partitioning or row order.
     """
     cols = list(columns) if columns is not None else df.columns
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(_row_hash(df, cols)), F.lit(0).cast("decimal(30,0)")).cast("string").alias("checksum"),
-    )
+    return df.agg(*_fingerprint_columns(df.select(*cols)))
+
+
+def _fingerprint_columns(df: DataFrame) -> list[Column]:
+    checksum = F.coalesce(F.sum(_row_hash(df, df.columns)), F.lit(0).cast("decimal(30,0)")).cast("string")
+    return [F.count(F.lit(1)).alias("rows"), checksum.alias("checksum")]
 
 
 def copy_verified(
@@ -86,20 +111,18 @@ def copy_verified(
 ) -> DataFrame:
     """Copy a delimited folder to ``destination`` and compare both sides.
 
-    The source fingerprint is observed while the copy is written (one read
-    of the source); verification re-reads the written files, so a lost or
-    doubled part file shows up as a count or checksum mismatch.
+    Every column is copied as text (``schema`` gives the names), so no value is
+    cast; a record that doesn't have these columns fails the copy. The source
+    fingerprint is observed while the copy is written (one read of the
+    source); verification re-reads the written files, so a lost or doubled
+    part file or a changed value shows up as a count or checksum mismatch.
     """
-    src = read_delimited(spark, source, schema=schema, sep=sep, normalise_nulls=False)
+    names = text_schema(schema)
+    src = read_delimited(spark, source, schema=names, sep=sep, normalise_nulls=False)
     seen = Observation("copy_source")
-    observed = src.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(_row_hash(src, src.columns)), F.lit(0).cast("decimal(30,0)")).cast("string").alias("checksum"),
-    )
-    write_delimited(observed, destination, sep=sep)
+    write_delimited(src.observe(seen, *_fingerprint_columns(src)), destination, sep=sep)
     metrics = seen.get
-    dst = read_delimited(spark, destination, schema=schema, sep=sep, normalise_nulls=False)
+    dst = read_delimited(spark, destination, schema=names, sep=sep, normalise_nulls=False)
     # Source metrics are two observed numbers; the destination side is one aggregate.
     dest = table_fingerprint(dst).select(F.col("rows").alias("dest_rows"), F.col("checksum").alias("dest_checksum"))
     both = dest.select(
@@ -108,10 +131,10 @@ def copy_verified(
         "dest_rows",
         "dest_checksum",
     )
-    return both.select(
-        "source_rows",
-        "dest_rows",
-        "source_checksum",
-        "dest_checksum",
-        ((F.col("source_rows") == F.col("dest_rows")) & (F.col("source_checksum") == F.col("dest_checksum"))).alias("matched"),
-    )
+    return with_match(both)
+
+
+def with_match(both: DataFrame) -> DataFrame:
+    """Counts and checksums of both sides, and whether they agree."""
+    same = (F.col("source_rows") == F.col("dest_rows")) & (F.col("source_checksum") == F.col("dest_checksum"))
+    return both.select("source_rows", "dest_rows", "source_checksum", "dest_checksum", same.alias("matched"))

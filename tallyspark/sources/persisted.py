@@ -3,21 +3,31 @@
 The flat ``sales`` table is an ETL product: reports in the source read an
 already-loaded flat table. Building it (a six-way join) inside every report
 would repeat the same join per query, so it is written once as Parquet under
-``spark.checkpoint.dir`` (the cluster's shared folder) and read back. The
-folder name carries a fingerprint of the source tables (path, size,
-modification time), so changed inputs get a fresh build; a job that dies
-mid-write leaves no ``_SUCCESS`` marker and is rebuilt.
+``spark.checkpoint.dir`` (the cluster's shared folder) and read back.
+
+The folder name carries a fingerprint of the plan that builds the table, its
+schema, the write options and every source file (path, length, time), so a
+changed builder or a changed input gets a fresh table. Each build writes a
+version folder of its own below it; a version counts once Spark's ``_SUCCESS``
+marker is there and the newest counting version is the one that is read, so
+nothing is renamed or replaced under a reader. Versions that have been
+superseded for ``KEEP_SECONDS`` are deleted by later builds.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.session import ensure_checkpoint_dir
+from tallyspark.sources.files import CSV_OPTIONS
+
+KEEP_SECONDS = 24 * 3600
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -26,14 +36,27 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def source_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
-    h = hashlib.sha256()
+def source_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """``path|length|time`` of every file under ``paths``, sorted."""
+    out = []
     for path in paths:
         p, fs = _hadoop_fs(spark, path)
-        status = fs.getFileStatus(p)
-        summary = fs.getContentSummary(p)
-        h.update(f"{path}|{summary.getLength()}|{summary.getFileCount()}|{status.getModificationTime()};".encode())
-    return h.hexdigest()[:20]
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            out.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return sorted(out)
+
+
+def plan_text(df: DataFrame) -> str:
+    """The analysed plan and schema of ``df`` without the ids that change from run to run."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    return re.sub(r"#\d+L?|plan_id=\d+|@[0-9a-f]+", "", plan) + df.schema.json()
+
+
+def fingerprint(spark: SparkSession, df: DataFrame, sources: Sequence[str], *options: object) -> str:
+    text = "\n".join([plan_text(df), *source_files(spark, sources), *map(repr, options)])
+    return hashlib.sha256(text.encode()).hexdigest()[:20]
 
 
 def tables_root(spark: SparkSession) -> str:
@@ -48,9 +71,27 @@ def tables_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tallyspark-tables"
 
 
-def table_path(spark: SparkSession, name: str, sources: Sequence[str]) -> str:
-    """Where the version of ``name`` built from the current ``sources`` lives."""
-    return f"{tables_root(spark)}/{name}-{source_fingerprint(spark, sources)}"
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    """Complete versions below ``folder``, oldest first (their names begin with the time of the build)."""
+    p, fs = _hadoop_fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    names = [str(s.getPath()) for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(n for n in names if fs.exists(_hadoop_fs(spark, f"{n}/_SUCCESS")[0]))
+
+
+def prune(spark: SparkSession, folder: str, keep: Sequence[str] = (), keep_seconds: float = KEEP_SECONDS) -> list[str]:
+    """Delete what has stood directly in ``folder`` for longer than ``keep_seconds``, but ``keep``; returns what went."""
+    p, fs = _hadoop_fs(spark, folder)
+    gone = []
+    if fs.exists(p):
+        kept = {_hadoop_fs(spark, k)[0].toUri().getPath() for k in keep}
+        for s in fs.listStatus(p):
+            old = s.getModificationTime() < (time.time() - keep_seconds) * 1000
+            if old and s.getPath().toUri().getPath() not in kept:
+                fs.delete(s.getPath(), True)
+                gone.append(str(s.getPath()))
+    return gone
 
 
 def persisted(
@@ -64,42 +105,49 @@ def persisted(
     max_records_per_file: int = 20_000_000,
     csv_schema: str | None = None,
 ) -> DataFrame:
-    """Read ``name`` from the shared folder, writing it with ``build()`` first if needed
-    (or always, with ``rebuild``).
+    """Read ``name`` from the shared folder, writing it with ``build()`` first if needed (or always, with ``rebuild``).
 
-    The table is written to a private folder and renamed into place, so a
-    reader (or a concurrent builder) sees either no table or a whole one.
     ``sort_within`` orders each file (tight Parquet min/max statistics for
     filters on those columns, no global sort); ``max_records_per_file`` keeps
     files near a gigabyte however large the shuffle partitions are. With
     ``csv_schema`` the table is a delimited text file with a header instead,
-    written verbatim (no whitespace trimming) and read back with that declared
-    schema, failing on any malformed record.
+    written verbatim and read back with that declared schema, failing on any
+    malformed record.
     """
-    target = table_path(spark, name, sources)
-    marker, fs = _hadoop_fs(spark, f"{target}/_SUCCESS")
-    if rebuild or not fs.exists(marker):
-        staging = f"{target}.{uuid.uuid4().hex}.tmp"
-        data = build()
-        if sort_within:
-            data = data.sortWithinPartitions(*sort_within)
-        writer = data.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        if csv_schema is None:
-            writer.parquet(staging)
-        else:
-            writer.options(**_CSV_OPTIONS).csv(staging)
-        final, _ = _hadoop_fs(spark, target)
-        if rebuild and fs.exists(final):
-            fs.delete(final, True)
-        if fs.exists(final):  # another builder published first; its table is equivalent
-            fs.delete(_hadoop_fs(spark, staging)[0], True)
-        else:
-            fs.rename(_hadoop_fs(spark, staging)[0], final)
+    path = location(spark, name, sources, build, partition_by, rebuild, sort_within, max_records_per_file, csv_schema)
     if csv_schema is None:
-        return spark.read.parquet(target)
-    return spark.read.schema(csv_schema).options(**_CSV_OPTIONS).option("mode", "FAILFAST").csv(target)
+        return spark.read.parquet(path)
+    return spark.read.schema(csv_schema).options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path)
 
 
-_CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+def location(
+    spark: SparkSession,
+    name: str,
+    sources: Sequence[str],
+    build: Callable[[], DataFrame],
+    partition_by: Sequence[str] = (),
+    rebuild: bool = False,
+    sort_within: Sequence[str] = (),
+    max_records_per_file: int = 20_000_000,
+    csv_schema: str | None = None,
+) -> str:
+    """The folder of the newest version of the table (see :func:`persisted`), built first if there is none."""
+    data = build()
+    key = fingerprint(spark, data, sources, tuple(partition_by), tuple(sort_within), max_records_per_file, csv_schema)
+    folder = f"{tables_root(spark)}/{name}/{key}"
+    versions = _versions(spark, folder)
+    if versions and not rebuild:
+        return versions[-1]
+    target = f"{folder}/{time.time_ns():020d}-{uuid.uuid4().hex}"
+    if sort_within:
+        data = data.sortWithinPartitions(*sort_within)
+    writer = data.write.option("maxRecordsPerFile", max_records_per_file)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if csv_schema is None:
+        writer.parquet(target)
+    else:
+        writer.options(**CSV_OPTIONS).csv(target)
+    prune(spark, folder, keep=[target])
+    prune(spark, f"{tables_root(spark)}/{name}", keep=[folder])
+    return _versions(spark, folder)[-1]

@@ -14,20 +14,8 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Scan one table.
-
-    ``spread`` is for the table that drives a job (the fact side): when the
-    files give fewer read splits than the cluster has cores (a few large,
-    unsplittable row groups), rows are dealt round-robin to one partition
-    per core so the pipeline after the scan runs in parallel. On big inputs
-    the scan already has more splits than cores and nothing is added.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one table."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

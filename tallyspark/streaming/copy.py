@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyspark.sources.files import read_delimited, table_fingerprint
+from tallyspark.sources.files import CSV_OPTIONS, read_delimited, table_fingerprint, text_schema, with_match
+
+# Progress records kept by a run: one per batch of files.
+KEPT_BATCHES = 1_000_000
 
 
 def copy_new_files(
@@ -26,39 +29,43 @@ def copy_new_files(
     sep: str = ",",
     max_files_per_trigger: int | None = None,
 ) -> int:
-    """Copy files not yet copied; returns the number of rows this run wrote."""
-    reader = spark.readStream.schema(schema).option("header", True).option("sep", sep)
+    """Copy files not yet copied, every column as text; returns the number of rows this run wrote."""
+    reader = spark.readStream.schema(text_schema(schema)).options(**CSV_OPTIONS).option("sep", sep).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(source)
-    query = (
-        stream.writeStream.format("csv")
-        .option("header", True)
-        .option("sep", sep)
-        .option("ignoreLeadingWhiteSpace", False)  # verbatim text, as in the batch sink
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("path", destination)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    progress = query.recentProgress
-    return int(sum(p["numInputRows"] for p in progress)) if progress else 0
+    setting = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, KEPT_BATCHES)  # by default only 100 batches are remembered
+    try:
+        query = (
+            stream.observe("copied", F.count(F.lit(1)).alias("rows"))
+            .writeStream.format("csv")
+            .options(**CSV_OPTIONS)
+            .option("sep", sep)
+            .option("path", destination)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        progress = query.recentProgress
+    finally:
+        spark.conf.set(setting, before)
+    if len(progress) >= KEPT_BATCHES:
+        raise RuntimeError(f"a run of {KEPT_BATCHES} or more batches can't be counted; raise max_files_per_trigger")
+    return sum(int(p.observedMetrics["copied"]["rows"]) for p in progress if "copied" in p.observedMetrics)
 
 
 def verify_copy(spark: SparkSession, source: str, destination: str, schema: StructType | str, sep: str = ",") -> DataFrame:
-    """Row counts and order-independent checksums of both sides, and whether they agree."""
-    src = read_delimited(spark, source, schema=schema, sep=sep, normalise_nulls=False)
-    dst = read_delimited(spark, destination, schema=schema, sep=sep, normalise_nulls=False)
-    source = table_fingerprint(src)
-    dest = table_fingerprint(dst)
-    both = source.select(
+    """Row counts and order-independent checksums of both sides, compared as text, and whether they agree."""
+    names = text_schema(schema)
+    src = table_fingerprint(read_delimited(spark, source, schema=names, sep=sep, normalise_nulls=False))
+    dest = table_fingerprint(read_delimited(spark, destination, schema=names, sep=sep, normalise_nulls=False))
+    both = src.select(
         F.col("rows").alias("source_rows"),
         F.col("checksum").alias("source_checksum"),
         dest.select("rows").scalar().alias("dest_rows"),
         dest.select("checksum").scalar().alias("dest_checksum"),
     )
-    return both.withColumn(
-        "matched", (F.col("source_rows") == F.col("dest_rows")) & (F.col("source_checksum") == F.col("dest_checksum"))
-    )
+    return with_match(both)

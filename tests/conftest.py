@@ -18,8 +18,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session(master="local[4]", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = build_session("local[4]", 8, checkpoint_dir=shared, extra={"spark.driver.memory": "8g"})
     yield s
     s.stop()
 

@@ -72,6 +72,55 @@ def test_copy_keeps_padded_text(spark, tmp_path):
     assert r.matched and r.source_rows == 3
 
 
+FOUR = 'id,age,note\r\n1,abc,"say ""hi"", ok"\r\n2,41,"two\nlines"\r\n3,,plain\r\n4,7,"a,b"\r\n'
+
+
+def test_copy_of_untyped_quoted_and_multi_line_records_is_whole(spark, tmp_path):
+    import pandas as pd
+
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "f.csv").write_bytes(FOUR.encode())
+    schema = "id INT, age INT, note STRING"
+    r = files.copy_verified(spark, str(src), str(tmp_path / "dst"), schema).first()
+    assert r.matched and r.source_rows == r.dest_rows == 4
+    want = pd.read_csv(src / "f.csv", dtype=str, keep_default_na=False)
+    got = pd.concat([pd.read_csv(f, dtype=str, keep_default_na=False) for f in (tmp_path / "dst").glob("*.csv")])
+    assert sorted(map(tuple, got.to_numpy())) == sorted((a, b, c.replace("\r\n", "\n")) for a, b, c in want.to_numpy())
+    stream_copy.copy_new_files(spark, str(src), str(tmp_path / "out"), schema, str(tmp_path / "ck"))
+    assert stream_copy.verify_copy(spark, str(src), str(tmp_path / "out"), schema).first().matched
+
+
+def test_records_that_do_not_fit_fail_the_copy(spark, tmp_path):
+    import pytest
+
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "f.csv").write_text("id,name\n1,a\n2,b,c,d\n")
+    with pytest.raises(Exception, match="(?i)malformed|csv"):
+        files.copy_verified(spark, str(src), str(tmp_path / "dst"), "id INT, name STRING").collect()
+
+
+def test_damage_and_swapped_nulls_change_the_match(spark, tmp_path):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    rows = [(None, "a", 1), ("b", None, 2), ("c", "d", 3)]
+    files.write_delimited(spark.createDataFrame(rows, "x string, y string, n int"), src)
+    for damaged in ([("a", None, 1), *rows[1:]], rows[:2], [*rows[:2], ("c", "e", 3)]):
+        files.write_delimited(spark.createDataFrame(damaged, "x string, y string, n int"), dst)
+        r = stream_copy.verify_copy(spark, src, dst, "x string, y string, n int").first()
+        assert not r.matched
+    a = files.table_fingerprint(spark.createDataFrame([(None, "a")], "x string, y string")).first()
+    b = files.table_fingerprint(spark.createDataFrame([("a", None)], "x string, y string")).first()
+    assert a.checksum != b.checksum
+
+
+def test_stream_copy_counts_every_batch(spark, tmp_path):
+    src = str(tmp_path / "in")
+    files.write_delimited(spark.range(230).repartition(115), src)
+    n = stream_copy.copy_new_files(spark, src, str(tmp_path / "out"), "id BIGINT", str(tmp_path / "ck"), max_files_per_trigger=1)
+    assert n == 230  # more batches than the 100 that a query remembers by default
+
+
 def test_copy_of_transaction_file_matches(spark):
     import __spark_entry__ as E
 

@@ -1,43 +1,94 @@
-"""Derived tables are built once per source version and published whole."""
+"""Derived tables are built once per plan and source version; older versions go by a retention rule."""
 
 from __future__ import annotations
 
-import glob
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from tallyspark.sources import persisted
 
 from .conftest import SF_SMALL
 
 
-def test_build_once_rebuild_on_change(spark, tmp_path):
-    src = str(tmp_path / "region_src")
-    spark.read.parquet(f"{SF_SMALL}/region.parquet").write.parquet(src)
-    calls = []
+@pytest.fixture
+def name(tmp_path):
+    return f"probe-{os.getpid()}-{tmp_path.name}"
+
+
+@pytest.fixture
+def src(spark, tmp_path):
+    path = str(tmp_path / "region_src")
+    spark.read.parquet(f"{SF_SMALL}/region.parquet").coalesce(1).write.parquet(path)
+    return path
 
+
+def test_build_once_and_again_when_the_source_changes(spark, src, name):
     def build():
-        calls.append(1)
         return spark.read.parquet(src)
 
-    name = f"probe-{os.getpid()}-{tmp_path.name}"
-    a = persisted.persisted(spark, name, [src], build)
-    b = persisted.persisted(spark, name, [src], build)
-    assert a.count() == b.count() == 5 and len(calls) == 1
-
-    # A changed source (different content, size and time) gets a new version.
+    first = persisted.location(spark, name, [src], build)
+    assert persisted.location(spark, name, [src], build) == first
+    assert spark.read.parquet(first).count() == 5
     spark.read.parquet(f"{SF_SMALL}/nation.parquet").write.mode("overwrite").parquet(src)
-    c = persisted.persisted(spark, name, [src], build)
-    assert c.count() == 25 and len(calls) == 2
+    assert persisted.persisted(spark, name, [src], build).count() == 25
+    assert persisted.location(spark, name, [src], build) != first
+
+
+def test_two_builders_under_one_name_get_two_tables(spark, src, name):
+    a = persisted.persisted(spark, name, [src], lambda: spark.read.parquet(src).filter("r_regionkey < 3"))
+    b = persisted.persisted(spark, name, [src], lambda: spark.read.parquet(src).filter("r_regionkey < 4"))
+    c = persisted.persisted(spark, name, [src], lambda: spark.read.parquet(src).filter("r_regionkey < 3").withColumn("x", F.lit(1)))
+    assert (a.count(), b.count(), c.columns[-1]) == (3, 4, "x")
+
+
+def test_a_file_rewritten_with_the_same_length_is_seen(spark, tmp_path, name):
+    deep = tmp_path / "deep" / "p=1"
+    deep.mkdir(parents=True)
+    file = deep / "part-0.csv"
+    file.write_text("1\n")
+    os.utime(file, (1_000_000, 1_000_000))
+    path = str(tmp_path / "deep")
+
+    def build():
+        return spark.read.schema("v int, p int").csv(path)
+
+    assert persisted.persisted(spark, name, [path], build).first()["v"] == 1
+    file.write_text("2\n")
+    os.utime(file, (2_000_000, 2_000_000))
+    assert persisted.persisted(spark, name, [path], build).first()["v"] == 2
+
+
+def test_rebuild_leaves_readers_their_version_and_an_unfinished_build_is_not_read(spark, src, name):
+    def build():
+        return spark.read.parquet(src)
+
+    old = persisted.location(spark, name, [src], build)
+    reader = spark.read.parquet(old)
+    new = persisted.location(spark, name, [src], build, rebuild=True)
+    assert new > old and reader.count() == 5
+    assert persisted.location(spark, name, [src], build) == new
+    p, fs = persisted._hadoop_fs(spark, f"{new}/_SUCCESS")
+    fs.delete(p, False)
+    assert persisted.location(spark, name, [src], build) == old
+
+
+def test_superseded_versions_go_after_their_time(spark, src, name):
+    def build():
+        return spark.read.parquet(src)
 
-    persisted.persisted(spark, name, [src], build, rebuild=True)
-    assert len(calls) == 3
-    root = persisted.tables_root(spark).replace("file:", "")
-    assert not glob.glob(f"{root}/{name}-*.tmp"), "staging folders are renamed or removed"
+    old = persisted.location(spark, name, [src], build)
+    new = persisted.location(spark, name, [src], build, rebuild=True)
+    folder = new.rsplit("/", 1)[0]
+    assert persisted.prune(spark, folder, keep=[new]) == []
+    gone = persisted.prune(spark, folder, keep=[new], keep_seconds=-10)
+    assert len(gone) == 1 and gone[0].endswith(old.rsplit("/", 1)[1])
+    assert spark.read.parquet(new).count() == 5
 
 
-def test_csv_table_round_trip(spark, tmp_path):
+def test_csv_table_round_trip(spark, tmp_path, name):
     src = str(tmp_path / "src")
-    spark.createDataFrame([(1, " a "), (2, None)], "id int, t string").write.parquet(src)
-    name = f"probe-csv-{os.getpid()}-{tmp_path.name}"
+    spark.createDataFrame([(1, " a "), (2, None), (3, 'say "hi", ok'), (4, "two\nlines")], "id int, t string").write.parquet(src)
     out = persisted.persisted(spark, name, [src], lambda: spark.read.parquet(src), csv_schema="id int, t string")
-    assert sorted(out.collect()) == sorted(spark.read.parquet(src).collect())
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, spark.read.parquet(src).collect()))
