@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import row_key, scratch
+from tallyspark.llm.common import row_key, scratch, small, stored
 
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
@@ -209,26 +209,26 @@ def captures(trans: DataFrame) -> DataFrame:
     A revisit has the size and digest of the response it refers to (null if that record is missing).
     """
     page = F.regexp_extract(F.col("metadata.head"), r"(?:^|\r\n)page-id: (-?\d+)", 1)
-    flat = trans.select(
-        "record_id",
-        F.when(page != "", page.cast("long")).alias("page_id"),
-        F.col("response.type").alias("record_type"),
-        F.col("response.refers_to").alias("of"),
-        F.col("response.bytes").alias("bytes"),
-        F.col("response.digest").alias("digest"),
+    flat = stored(
+        trans.select(
+            "record_id",
+            F.when(page != "", page.cast("long")).alias("page_id"),
+            F.col("response.type").alias("record_type"),
+            F.col("response.refers_to").alias("of"),
+            F.col("response.bytes").alias("payload_bytes"),
+            F.col("response.digest").alias("payload_digest"),
+        )
     )
-    source = (
-        flat.filter("record_type = 'response'")
+    own, revisits = flat.filter("record_type = 'response'"), flat.filter("record_type = 'revisit'")
+    # Only revisits need a partner; a hot one is one row on its side, and the side is broadcast or the join split.
+    source = stored(
+        own.join(revisits.select(F.col("of").alias("record_id")).distinct(), "record_id", "left_semi")
         .dropDuplicates(["record_id"])
-        .select(F.col("record_id").alias("of"), F.col("page_id").alias("refers_to"), F.col("bytes").alias("of_bytes"), F.col("digest").alias("of_digest"))
-    )
-    return flat.join(source, "of", "left").select(
-        "page_id",
-        F.coalesce("bytes", "of_bytes").alias("payload_bytes"),
-        F.coalesce("digest", "of_digest").alias("payload_digest"),
-        "record_type",
-        "refers_to",
+        .select(F.col("record_id").alias("of"), F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest")
     )
+    cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    referring = revisits.drop("payload_bytes", "payload_digest").join(small(source), "of", "left").select(*cols)
+    return own.withColumn("refers_to", F.lit(None).cast("long")).select(*cols).unionByName(referring)
 
 
 def report(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
