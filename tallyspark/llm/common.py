@@ -11,6 +11,7 @@ from tallyspark.session import ensure_checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BROADCAST_ROWS = 100_000  # a small row each; larger sides are joined by shuffle
 
 
@@ -23,14 +24,20 @@ def scratch(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{spark.sparkContext.applicationId}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read back: lineage is cut, nothing is kept in memory.
 
-    The tables live until :func:`drop_scratch`.
+    ``batch_rows`` bounds the rows that a Python worker gets at once in this job. The tables live until
+    :func:`drop_scratch`.
     """
     spark = df.sparkSession
     path = f"{scratch(spark)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_BATCH)
+    try:
+        spark.conf.set(_BATCH, str(batch_rows or before))
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -28,6 +28,7 @@ SHINGLE = 3
 BUDGET = 3
 BLOCK = 16  # bits that agree in one of four layouts
 GROUP = 4096  # fingerprints of a node pair that one task walks
+TEXTS = 1000  # texts whose hashes a task holds at once
 BATCH = 400_000  # fingerprints that a task holds at once (whole node pairs)
 
 
@@ -282,7 +283,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts without words (null, empty) have fingerprint zero and link like any other. Rows without an id take part but
     are never the smallest; a component of such rows alone has a null id. Repeated rows are each returned.
     """
-    prints = stored(fingerprints(docs, text_col, shingle).select(F.col("row").getField(id_col).alias("doc_id"), "fp"))
+    prints = stored(fingerprints(docs, text_col, shingle).select(F.col("row").getField(id_col).alias("doc_id"), "fp"), TEXTS)
     per_print = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(per_print.select("fp"), budget))
     named = per_print.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -293,7 +294,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
     """``docs`` with one row of each group left: that with the smallest id, of repeated ids any one; rows without id come last."""
-    prints = stored(fingerprints(docs, text_col, shingle).withColumn("rid", F.monotonically_increasing_id()))
+    prints = stored(fingerprints(docs, text_col, shingle).withColumn("rid", F.monotonically_increasing_id()), TEXTS)
     thin = prints.select("fp", "rid", F.col("row").getField(id_col).alias("id"))
     order = F.struct(F.col("id").isNull().alias("no"), "id", "rid")
     best = stored(thin.groupBy("fp").agg(F.min(order).alias("best")))
