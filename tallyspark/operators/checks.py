@@ -81,6 +81,28 @@ def normalised_model_checks(
     )
 
 
+def given_table_checks(customer: DataFrame, part: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The model's rules on the source tables themselves: keys, NOT NULL, CHECK, and foreign keys against real parents."""
+    line_rules = {
+        "check:l_extendedprice>=0": F.col("l_extendedprice") >= 0,
+        "check:l_quantity>0": F.col("l_quantity") > 0,
+        "check:0<=l_discount<=1": F.col("l_discount").between(0, 1),
+    }
+    return union_checks(
+        [
+            primary_key(customer, ["c_custkey"], "customer"),
+            primary_key(part, ["p_partkey"], "part"),
+            row_rules(customer, not_null_rules(["c_custkey", "c_name"]), "customer"),
+            row_rules(part, not_null_rules(["p_partkey", "p_name"]), "part"),
+            row_rules(orders, not_null_rules(["o_orderkey", "o_orderdate"]), "orders"),
+            row_rules(lineitem, line_rules, "lineitem"),
+            foreign_key(orders, customer, "o_custkey", "c_custkey", "orders"),
+            foreign_key(lineitem, orders, "l_orderkey", "o_orderkey", "lineitem"),
+            foreign_key(lineitem, part, "l_partkey", "p_partkey", "lineitem"),
+        ]
+    )
+
+
 def load_verification(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
     """For each (table, expected rows, loaded rows): both counts and whether they agree.
 

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.rounding import round_money, round_ratio
 from tallyspark.functions.text import DATE_FORMATS, clean_text, keyed_int, parse_timestamp, parse_timestamp_multi
-from tallyspark.operators.model import keep_first
+from tallyspark.operators.model import first_by_ordinal
 from tallyspark.sources.binding import CATALOG_TEXT_COLUMNS, RETAIL_COLUMNS
 
 # Fill-ins of the catalogue clean-up.
@@ -51,7 +51,7 @@ def catalog_fill(catalog: DataFrame) -> DataFrame:
 def catalog_clean(catalog: DataFrame, seed: int = 42) -> DataFrame:
     """Fill gaps, keep the first row per product id, add price/quantity/amount, keep 7 columns."""
     filled = catalog_fill(catalog)
-    first = keep_first(filled, ["product_id"], ["ordinal"], filled.columns)
+    first = first_by_ordinal(filled, ["product_id"], "ordinal")
     price = F.col("initial_price").cast("double")
     quantity = keyed_int("product_id", 1, 5, seed).cast("int")
     derived = first.select("*", price.alias("price"), quantity.alias("quantity"))
@@ -84,13 +84,22 @@ def retail_rows(retail: DataFrame) -> DataFrame:
 
 
 def dedupe_on(retail: DataFrame, keys: Sequence[str] = ("customer_id", "purchase_date")) -> DataFrame:
-    """Drop rows repeating ``keys``; the survivor is the first in file order (stable across runs)."""
-    return keep_first(retail, list(keys), ["row_ordinal"], ["row_ordinal", *RETAIL_COLUMNS]).select(*RETAIL_COLUMNS)
+    """Drop rows repeating ``keys``; the survivor is the first in file order (stable across runs).
 
+    The smallest ordinal per key is a hash aggregate over two or three columns; whole rows meet it in a semi-join.
+    """
+    return first_by_ordinal(retail, list(keys), "row_ordinal").select(*RETAIL_COLUMNS)
 
-def before_after(before: DataFrame, after: DataFrame) -> DataFrame:
-    rows_after = after.agg(F.count(F.lit(1))).scalar()
-    return before.agg(F.count(F.lit(1)).alias("rows_before")).select("rows_before", rows_after.alias("rows_after"))
+
+def dedupe_counts(retail: DataFrame, keys: Sequence[str] = ("customer_id", "purchase_date")) -> DataFrame:
+    """Rows before and after :func:`dedupe_on`, in one pass: rows per key, then their sum and number."""
+    per_key = retail.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
+
+
+def filter_counts(df: DataFrame, keep: Column) -> DataFrame:
+    """Rows before a filter and rows that pass it, in one pass."""
+    return df.agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(keep).alias("rows_after"))
 
 
 def with_clean_spelling(df: DataFrame, columns: Sequence[str] = ("region", "category")) -> DataFrame:
@@ -138,9 +147,15 @@ def parse_multi(retail: DataFrame, formats: Sequence[str] = DATE_FORMATS, column
     return retail.select("transaction_id", parse_timestamp_multi(column, formats).alias("purchase_timestamp"))
 
 
-def valid_contacts(retail: DataFrame) -> DataFrame:
-    hit = retail.filter(F.col("email").isNotNull() & F.col("customer_name").isNotNull())
-    return hit.select("transaction_id", "email", "customer_name")
+def has_contact(include_blank: bool = True) -> Column:
+    """Email and customer name are there; without ``include_blank`` empty and white-space names don't count."""
+    name = F.col("customer_name")
+    there = F.col("email").isNotNull() & name.isNotNull()
+    return there if include_blank else there & (F.length(F.trim(name)) > 0) & (F.length(F.trim("email")) > 0)
+
+
+def valid_contacts(retail: DataFrame, include_blank: bool = True) -> DataFrame:
+    return retail.filter(has_contact(include_blank)).select("transaction_id", "email", "customer_name")
 
 
 def price_stats(retail: DataFrame, column: str = "unit_price") -> DataFrame:
@@ -158,23 +173,15 @@ def region_revenue(retail: DataFrame) -> DataFrame:
     return (
         filled.groupBy(clean_text("region").alias("region_clean"))
         .agg(round_money(F.sum("purchase_amount")).alias("total_revenue"))
-        .orderBy(F.col("total_revenue").desc())
+        .orderBy(F.col("total_revenue").desc(), "region_clean")
     )
 
 
 def spelling_audit(retail: DataFrame, columns: Sequence[str] = ("region", "category")) -> DataFrame:
-    """Raw spellings behind each clean value, per column."""
-    parts = [
-        retail.filter(F.col(c).isNotNull())
-        .groupBy(clean_text(c).alias("clean_value"))
-        .agg(F.countDistinct(c).alias("raw_spellings"))
-        .select(F.lit(c).alias("column_name"), "clean_value", "raw_spellings")
-        for c in columns
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Raw spellings behind each clean value, per column (one read: the columns are unpivoted first)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("raw")) for c in columns])
+    raw = retail.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("raw").isNotNull()).distinct()
+    return raw.groupBy("column_name", clean_text("raw").alias("clean_value")).agg(F.count(F.lit(1)).alias("raw_spellings"))
 
 
 def row_audit(retail: DataFrame, id_column: str = "transaction_id") -> DataFrame:
@@ -191,7 +198,6 @@ def row_audit(retail: DataFrame, id_column: str = "transaction_id") -> DataFrame
 
 
 
-
 # ------------------------------------------------------------- exploration
 
 

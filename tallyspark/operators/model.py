@@ -1,10 +1,10 @@
 """Normalised (3-table) and star-schema builds from the flat sales table.
 
-Dimensions keep one row per natural key: the first row in line order wins
-(``min_by`` over a partial aggregate, so a hot key never lands whole in one
-task); conflicting attribute sets are reported by ``checks`` instead of
-failing the load. Surrogate keys are dense and deterministic
-(``ordered.surrogate_keys``).
+Dimensions keep one row per natural key: the first row in line order wins.
+Rows are reduced to distinct attribute sets first (a hash aggregate that
+only groups), and only keys with several attribute sets look at line order;
+such conflicts are reported by ``checks`` instead of failing the load.
+Surrogate keys are dense and deterministic (``ordered.surrogate_keys``).
 """
 
 from __future__ import annotations
@@ -21,12 +21,32 @@ from tallyspark.sources.binding import LINE_ORDER
 DEFAULT_LOYALTY_TIER = "Standard"
 
 
+def first_by_ordinal(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
+    """The row of each key (NULL keys equal each other) with the smallest ``ordinal``, a unique number per row."""
+    least = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(ordinal).alias("_first"))
+    same = F.col(ordinal) == F.col("_first")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(least, same, "left_semi")
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per key: the row smallest in ``order`` (file/line order)."""
-    payload = F.struct(*[F.col(c) for c in columns if c not in keys])
-    rank = F.struct(*[F.col(c) for c in order])
-    picked = df.groupBy(*keys).agg(F.min_by(payload, rank).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns if c not in keys]).select(*columns)
+    rest = [c for c in columns if c not in keys]
+    sets = df.select(*columns).distinct()
+    if not rest:
+        return sets
+    per_key = sets.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sets"))
+    held = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    of = per_key.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_sets")
+    same = held[0]
+    for h in held[1:]:
+        same = same & h
+    single = sets.join(of.filter("_sets = 1"), same, "left_semi")
+    # Keys with several attribute sets: the earliest line decides.
+    lines = df.join(of.filter("_sets > 1"), same, "left_semi")
+    picked = lines.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return single.unionByName(picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])).select(*columns)
 
 
 def customers(sales: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:

@@ -29,3 +29,4 @@ SEED = 42
 LOAD_TIME = "2025-01-01 00:00:00"  # fixed created_at so repeated loads compare equal
 PREVIEW_ROWS = 5
 MIN_NON_NULL = 10  # of the catalogue's 11 data columns
+LOST_EVERY = 10  # customers left out of the load that must not verify

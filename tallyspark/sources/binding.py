@@ -13,6 +13,8 @@ source tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,9 +90,42 @@ def sales_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Data
     Reading the written table also gives reports a scan that splits by
     file, and keeps the join out of every report's plan.
     """
-    sources = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SALES_SOURCES]
-    table_ = persisted(spark, "sales", sources, lambda: sales(spark, sf_dir), rebuild=rebuild, sort_within=("order_date",))
-    return table_.select(*SALES_COLUMNS)
+    return spark.read.parquet(_sales_location(spark, sf_dir, rebuild)).select(*SALES_COLUMNS)
+
+
+def _sales_location(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
+    sources = _sources(sf_dir, SALES_SOURCES)
+    return location(spark, "sales", sources, lambda: sales(spark, sf_dir), rebuild=rebuild, sort_within=("order_date",))
+
+
+def dimension_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A dimension of ``sales`` written once per version of that table, for the queries that join it."""
+    path = _sales_location(spark, sf_dir)
+    return persisted(spark, f"dim-{name}", [path], lambda: build(spark.read.parquet(path).select(*SALES_COLUMNS)))
+
+
+# Foreign keys of the given tables, child column and parent column.
+FOREIGN_KEYS = (
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+)
+
+
+def lost_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of each child table that the joins of :func:`sales` drop: NULL keys and keys without a parent row."""
+    out = None
+    for child, key, parent, parent_key in FOREIGN_KEYS:
+        per_key = tables[child].groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+        parents = tables[parent].select(F.col(parent_key).alias("_key")).distinct()
+        orphans = per_key.join(parents, "_key", "left_anti")
+        row = orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("lost_rows")).select(
+            F.lit(child).alias("table_name"), F.lit(key).alias("key_column"), "lost_rows"
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 # ----------------------------------------------------------------- catalogue
