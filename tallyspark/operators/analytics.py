@@ -11,6 +11,7 @@ Comparisons against means are done exactly on decimals
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -144,19 +145,29 @@ def hot_geographies(fact: DataFrame, geography: DataFrame, factor: float = 1.5)
     """Places whose total profit exceeds ``factor`` x the mean place total (NULL keys excluded)."""
     per_geo = fact.filter(F.col("geo_key").isNotNull()).groupBy("geo_key").agg(F.sum("net_profit").alias("_p"))
     total, n = per_geo.agg(F.sum("_p")).scalar(), per_geo.agg(F.count("_p")).scalar()
-    f = F.lit(str(factor)).cast("decimal(10,4)")
+    f = F.lit(Decimal(str(factor)))
     hot = per_geo.filter(F.col("_p") * n > f * total)
     return geography.join(hot.select("geo_key"), "geo_key", "left_semi").select("city_name", "state_province")
 
 
-def yoy_monthly(fact: DataFrame, lag: int = 12) -> DataFrame:
-    """Monthly revenue against ``lag`` rows earlier (row offset, as LAG counts rows)."""
+def yoy_monthly(fact: DataFrame, lag: int = 12, complete: bool = False) -> DataFrame:
+    """Monthly revenue against ``lag`` rows earlier (row offset, as LAG counts rows).
+
+    With ``complete`` the months without lines are filled in first, so the
+    offset counts calendar months; such months have no revenue and no row.
+    """
     monthly = fact.groupBy(year_text("order_date").alias("yr"), F.date_format("order_date", "MM").alias("mo")).agg(
         F.sum("revenue").alias("_m")
     )
+    if complete:
+        first = F.make_date(F.col("yr").cast("int"), F.col("mo").cast("int"), F.lit(1))
+        span = monthly.agg(F.min(first).alias("lo"), F.max(first).alias("hi"))
+        months = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("d"))
+        names = months.select(year_text("d").alias("yr"), F.date_format("d", "MM").alias("mo"))
+        monthly = names.join(monthly, ["yr", "mo"], "left")
     # One row per calendar month: bounded by the date span, not by data volume.
     w = Window.orderBy("yr", "mo")
-    with_prev = monthly.withColumn("_prev", F.lag("_m", lag).over(w)).filter(F.col("_prev").isNotNull())
+    with_prev = monthly.withColumn("_prev", F.lag("_m", lag).over(w)).filter(F.col("_prev").isNotNull() & F.col("_m").isNotNull())
     return with_prev.select(
         "yr",
         "mo",
@@ -211,8 +222,8 @@ def discount_cannibal(
     agg = fact.groupBy("product_key").agg(
         F.sum("discount_applied").alias("_d"), F.count("discount_applied").alias("_n"), F.sum("net_profit").alias("_p")
     )
-    bound_d = F.lit(str(min_avg_discount)).cast("decimal(10,4)")
-    bound_p = F.lit(str(max_total_impact)).cast("decimal(20,2)")
+    bound_d = F.lit(Decimal(str(min_avg_discount)))
+    bound_p = F.lit(Decimal(str(max_total_impact)))
     hit = agg.filter((F.col("_d") > bound_d * F.col("_n")) & (F.col("_p") < bound_p))
     hit = hit.join(products.select("product_key", "product_title"), "product_key")
     return hit.select(

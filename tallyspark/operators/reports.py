@@ -1,6 +1,8 @@
 """Sales reports over the flat ``sales`` table (filters, group summaries, top-k, quality).
 
-Every function is ``f(sales, **params) -> DataFrame``. "orders" counts order
+Every function is ``f(sales, **params) -> DataFrame``; ``columns`` maps the
+names used here to those of another table (``columns={"sales": "Amount"}``).
+"orders" counts order
 lines (rows), as in the source reports; distinct orders are named as such.
 Money sums are exact decimals rounded at the end; averages and ratios use
 exact integer rounding (``tallyspark.functions.rounding``).
@@ -8,7 +10,11 @@ exact integer rounding (``tallyspark.functions.rounding``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import inspect
+import sys
+from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,17 +35,26 @@ def _sum_money(c: str) -> Column:
     return round_money(F.sum(c))
 
 
+def _percent(edge: float) -> Decimal:
+    p = Decimal(str(edge)) * 100
+    return p.quantize(Decimal(1)) if p == p.to_integral_value() else p.normalize()
+
+
 def tier_labels(edges: Sequence[float] = DEFAULT_TIER_EDGES) -> list[str]:
-    """Tier labels in business order, e.g. 'Low (1-20%)', 'Medium (21-40%)', 'High (>40%)'."""
-    low, high = (round(e * 100) for e in edges)
-    return [TIER_NO_DISCOUNT, f"Low (1-{low}%)", f"Medium ({low + 1}-{high}%)", f"High (>{high}%)"]
+    """Tier labels in business order, e.g. 'Low (1-20%)', 'Medium (21-40%)', 'High (>40%)'.
+
+    An edge with a fraction of a percent begins the next tier at itself: 'Medium (12.5-40%)'.
+    """
+    low, high = (_percent(e) for e in edges)
+    begin = low + 1 if low == low.to_integral_value() else low
+    return [TIER_NO_DISCOUNT, f"Low (1-{low}%)", f"Medium ({begin}-{high}%)", f"High (>{high}%)"]
 
 
 def discount_tier(discount: str | Column, edges: Sequence[float] = DEFAULT_TIER_EDGES) -> Column:
-    """CASE tiering; edges inclusive; NULL (and anything above) falls to the last tier."""
+    """CASE tiering; edges inclusive and as exact as given; NULL (and anything above) falls to the last tier."""
     d = F.col(discount) if isinstance(discount, str) else discount
     labels = tier_labels(edges)
-    e1, e2 = (F.lit(str(e)).cast("decimal(4,2)") for e in edges)
+    e1, e2 = (F.lit(Decimal(str(e))) for e in edges)
     return (
         F.when(d == F.lit(0), labels[0])
         .when(d <= e1, labels[1])
@@ -91,7 +106,7 @@ def year_filter(sales: DataFrame, year: int) -> DataFrame:
 
 
 def high_value(sales: DataFrame, min_sales: float, k: int, tiebreak: Sequence[str]) -> DataFrame:
-    top = sales.filter(F.col("sales") > F.lit(str(min_sales)).cast("decimal(18,2)")).orderBy(
+    top = sales.filter(F.col("sales") > F.lit(Decimal(str(min_sales)))).orderBy(
         F.col("sales").desc(), *[F.col(c).asc() for c in tiebreak]
     )
     return top.limit(k).select(
@@ -244,13 +259,16 @@ def quarter_category(sales: DataFrame) -> DataFrame:
     )
 
 
-def discount_tiers(sales: DataFrame, edges: Sequence[float] = DEFAULT_TIER_EDGES) -> DataFrame:
+def discount_tiers(sales: DataFrame, edges: Sequence[float] = DEFAULT_TIER_EDGES, count_nulls: bool = False) -> DataFrame:
+    """Lines, mean profit and sales per tier; ``count_nulls`` adds how many lines of the last tier have no discount value."""
+    nulls = [F.count_if(F.col("discount").isNull()).alias("null_discounts")] if count_nulls else []
     return (
         sales.groupBy(discount_tier("discount", edges).alias("discount_tier"))
         .agg(
             _lines().alias("orders"),
             avg_round(F.col("profit"), 2, 2).alias("avg_profit"),
             _sum_money("sales").alias("total_sales"),
+            *nulls,
         )
         .orderBy(F.col("avg_profit").desc(), "discount_tier")
     )
@@ -325,3 +343,20 @@ def category_share(sales: DataFrame) -> DataFrame:
         )
         .orderBy(F.col("total_sales").desc(), "category")
     )
+
+
+def _takes_columns(report: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    @functools.wraps(report)
+    def run(sales: DataFrame, *args, columns: Mapping[str, str] | None = None, **kw) -> DataFrame:
+        if columns:
+            kept = [c for c in sales.columns if c not in columns and c not in columns.values()]
+            sales = sales.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+        return report(sales, *args, **kw)
+
+    return run
+
+
+# Every report (a public function whose first parameter is ``sales``) takes ``columns``.
+for _name, _f in list(vars(sys.modules[__name__]).items()):
+    if inspect.isfunction(_f) and not _name.startswith("_") and next(iter(inspect.signature(_f).parameters), "") == "sales":
+        globals()[_name] = _takes_columns(_f)

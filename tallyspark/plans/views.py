@@ -7,7 +7,9 @@ be queried with ``spark.sql`` under their model names, and
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.operators import analytics, model
 from tallyspark.sources import binding
@@ -18,25 +20,25 @@ VIEWS = (
 ).split()
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+def register_views(spark: SparkSession, sf_dir: str, only: Sequence[str] = VIEWS) -> list[str]:
+    """Register the named views (all by default); tables with ordered ids sort when they are registered."""
     s = binding.sales_table(spark, sf_dir)
-    geo = model.dim_geography(s)
-    fact = model.fact_sales_unkeyed(s, geo)
-    dim_c, dim_p = model.dim_customers(s), model.dim_products(s)
-    frames = {
-        "sales": s,
-        "customers": model.customers(s),
-        "products": model.products(s),
-        "orders": model.orders(s),
-        "dim_customers": dim_c,
-        "dim_products": dim_p,
-        "dim_geography": geo,
-        "dim_calendar": model.dim_calendar(s),
-        "fact_sales": fact,
-        "view_executive_dashboard": analytics.executive_view(fact, dim_c, dim_p),
-        "catalog_raw": binding.catalog_dirty(spark, sf_dir),
-        "retail_raw": binding.retail_dirty(spark, sf_dir),
+    build: dict[str, Callable[[], DataFrame]] = {
+        "sales": lambda: s,
+        "customers": lambda: binding.dimension_table(spark, sf_dir, "customers", model.customers),
+        "products": lambda: binding.dimension_table(spark, sf_dir, "products", model.products),
+        "orders": lambda: model.orders(s),
+        "dim_customers": lambda: model.dim_customers(s),
+        "dim_products": lambda: model.dim_products(s),
+        "dim_geography": lambda: model.dim_geography(s),
+        "dim_calendar": lambda: model.dim_calendar(s),
+        "fact_sales": lambda: model.fact_sales(s, model.dim_geography(s)),
+        "view_executive_dashboard": lambda: analytics.executive_view(
+            model.fact_lines(s), model.dim_customers(s), model.dim_products(s)
+        ),
+        "catalog_raw": lambda: binding.catalog_dirty(spark, sf_dir),
+        "retail_raw": lambda: binding.retail_dirty(spark, sf_dir),
     }
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-    return list(frames)
+    for name in only:
+        build[name]().createOrReplaceTempView(name)
+    return list(only)

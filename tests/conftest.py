@@ -25,30 +25,19 @@ def spark(tmp_path_factory):
     s.stop()
 
 
-# The 10-row staging literal of the source (dates in ISO here).
-_ROWS = [
-    (1, "CA-2024-152156", "2024-11-08", "2024-11-11", "Second Class", "CG-12520", "Claire Gute", "Consumer", "Henderson", "Kentucky",
-     "FUR-BO-10001798", "Furniture", "Bookcases", "Bush Somerset Bookcase", "261.96", 2, "0.00", "41.91"),
-    (2, "CA-2024-152156", "2024-11-08", "2024-11-11", "Second Class", "CG-12520", "Claire Gute", "Consumer", "Henderson", "Kentucky",
-     "FUR-CH-10000454", "Furniture", "Chairs", "Hon Deluxe Fabric Upholstered Chairs", "731.94", 3, "0.00", "219.58"),
-    (3, "CA-2024-138688", "2024-06-12", "2024-06-16", "Second Class", "DV-13045", "Darrin Van Huff", "Corporate", "Los Angeles", "California",
-     "OFF-LA-10000240", "Office Supplies", "Labels", "Self-Adhesive Address Labels", "14.62", 2, "0.00", "6.87"),
-    (4, "US-2024-108966", "2024-10-11", "2024-10-18", "Standard Class", "SO-20335", "Sean O'Donnell", "Consumer", "Fort Lauderdale", "Florida",
-     "FUR-TA-10000577", "Furniture", "Tables", "Bretford Conference Table", "957.57", 5, "0.45", "-383.03"),
-    (5, "US-2024-108966", "2024-10-11", "2024-10-18", "Standard Class", "SO-20335", "Sean O'Donnell", "Consumer", "Fort Lauderdale", "Florida",
-     "OFF-ST-10000760", "Office Supplies", "Storage", "Eldon Fold 'N Roll Cart", "22.36", 2, "0.20", "2.51"),
-    (6, "CA-2024-115812", "2024-06-09", "2024-06-14", "Standard Class", "BH-11710", "Brosina Hoffman", "Consumer", "Los Angeles", "California",
-     "FUR-FU-10001487", "Furniture", "Furnishings", "Floodlight Pixel Lamp", "48.86", 7, "0.00", "14.17"),
-    (7, "CA-2024-115812", "2024-06-09", "2024-06-14", "Standard Class", "BH-11710", "Brosina Hoffman", "Consumer", "Los Angeles", "California",
-     "OFF-AR-10002833", "Office Supplies", "Art", "Sanford Canvas Markers", "7.28", 4, "0.00", "1.97"),
-    (8, "CA-2024-115812", "2024-06-09", "2024-06-14", "Standard Class", "BH-11710", "Brosina Hoffman", "Consumer", "Los Angeles", "California",
-     "TEC-PH-10002275", "Technology", "Phones", "Mitel 5320 IP Phone", "907.15", 6, "0.20", "90.72"),
-    (9, "CA-2024-167164", "2024-05-12", "2024-05-15", "Second Class", "AG-10270", "Alejandro Grove", "Consumer", "West Jordan", "Utah",
-     "OFF-BI-10003910", "Office Supplies", "Binders", "DXL Angle-View Binders", "18.50", 3, "0.00", "9.25"),
-    (10, "CA-2024-143336", "2024-08-27", "2024-09-01", "Second Class", "ZD-21925", "Zuschlich Donelson", "Consumer", "San Francisco", "California",
-     "OFF-AP-10002892", "Office Supplies", "Appliances", "Hoover Portable Vacuum", "114.90", 5, "0.00", "34.47"),
-]
-
+# Ten invented lines: two lines of one order on one day, a loss, a customer with three lines of one date, a tie in sales.
+_LINES = """
+1|B-100|2023-03-02|2023-03-04|Boat|C1|Ada Quill|Home|Brig|Alba|P10|Glass|Vases|Tall vase|120.50|1|0.00|30.25
+2|B-100|2023-03-02|2023-03-04|Boat|C1|Ada Quill|Home|Brig|Alba|P11|Wood|Stools|Low stool|410.00|2|0.10|55.00
+3|B-101|2023-03-19|2023-03-20|Cart|C2|Ben Oster|Trade|Cove|Bree|P12|Glass|Cups|Blue cup|8.40|6|0.00|2.10
+4|B-102|2023-07-07|2023-07-15|Boat|C3|Cy Palm|Home|Dune|Bree|P13|Wood|Desks|Wide desk|640.75|1|0.50|-210.40
+5|B-102|2023-07-07|2023-07-15|Boat|C3|Cy Palm|Home|Dune|Bree|P14|Metal|Lamps|Arc lamp|75.00|3|0.20|9.90
+6|B-103|2023-07-21|2023-07-26|Mule|C4|Di Reed|Trade|Esk|Alba|P15|Wood|Chairs|Reed chair|75.00|4|0.00|18.00
+7|B-103|2023-07-21|2023-07-26|Mule|C4|Di Reed|Trade|Esk|Alba|P16|Glass|Bowls|Clear bowl|14.20|5|0.00|4.05
+8|B-103|2023-07-21|2023-07-26|Mule|C4|Di Reed|Trade|Esk|Alba|P17|Metal|Tools|Hand drill|512.30|2|0.20|61.00
+9|B-104|2023-11-30|2023-12-03|Cart|C5|Ed Sorrel|Home|Fell|Calm|P18|Metal|Hooks|Brass hook|21.00|7|0.00|8.00
+10|B-105|2024-01-05|2024-01-05|Cart|C6|Fay Thorn|Trade|Cove|Bree|P19|Glass|Jars|Seed jar|33.60|3|0.00|11.20
+"""
 FLAT_SCHEMA = (
     "row_id long, order_id string, order_date date, ship_date date, ship_mode string, customer_id string, "
     "customer_name string, segment string, city string, state string, product_id string, category string, "
@@ -57,12 +46,22 @@ FLAT_SCHEMA = (
 )
 
 
+def flat_rows() -> list[dict]:
+    names = [f.split()[0] for f in FLAT_SCHEMA.replace("decimal(18,2)", "m").replace("decimal(4,2)", "m").split(", ")]
+    out = []
+    for line in _LINES.strip().splitlines():
+        r = dict(zip(names, line.split("|"), strict=True))
+        r["row_id"], r["quantity"] = int(r["row_id"]), int(r["quantity"])
+        for c in ("order_date", "ship_date"):
+            r[c] = dt.date.fromisoformat(r[c])
+        for c in ("sales", "discount", "profit"):
+            r[c] = Decimal(r[c])
+        out.append(r)
+    return out
+
+
 @pytest.fixture(scope="session")
 def flat10(spark):
-    rows = [
-        (r[0], r[1], dt.date.fromisoformat(r[2]), dt.date.fromisoformat(r[3]), *r[4:14], Decimal(r[14]), r[15], Decimal(r[16]), Decimal(r[17]))
-        for r in _ROWS
-    ]
-    df = spark.createDataFrame(rows, FLAT_SCHEMA)
+    df = spark.createDataFrame([tuple(r.values()) for r in flat_rows()], FLAT_SCHEMA)
     # Tie-break columns of the canonical sales table (unique per line here).
     return df.withColumn("supp_id", F.col("row_id")).withColumn("line_number", F.lit(1))
