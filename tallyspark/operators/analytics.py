@@ -96,11 +96,12 @@ def ranked_customers(orders: DataFrame, customers: DataFrame, k: int = 5, descen
     total, so the dense rank computed on those k rows equals the rank over
     all customers: a distributed top-k, then a k-row window.
     """
-    totals = _customer_totals(orders, "ts").join(customers.select("customer_id", "customer_name"), "customer_id")
+    totals = _customer_totals(orders, "ts").filter(F.col("customer_id").isNotNull())
     key = F.col("ts").desc() if descending else F.col("ts").asc()
     top = totals.orderBy(key, F.col("customer_id").asc()).limit(k)
     rank = F.dense_rank().over(Window.orderBy(key))  # over the k rows only
-    return top.select("customer_id", "customer_name", _money("ts").alias("total_sales"), rank.cast("bigint").alias("rk"))
+    named = top.withColumn("rk", rank.cast("bigint")).join(customers.select("customer_id", "customer_name"), "customer_id")
+    return named.select("customer_id", "customer_name", _money("ts").alias("total_sales"), "rk")
 
 
 def single_order_customers(orders: DataFrame, customers: DataFrame, n: int = 1) -> DataFrame:

@@ -16,7 +16,7 @@ import sys
 from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.rounding import avg_round, round_money, round_ratio
@@ -64,15 +64,17 @@ def discount_tier(discount: str | Column, edges: Sequence[float] = DEFAULT_TIER_
 
 
 def distinct_profile(sales: DataFrame) -> DataFrame:
-    return sales.agg(
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("order_id").alias("unique_orders"),
-        F.countDistinct("product_id").alias("unique_products"),
-        F.countDistinct("region").alias("regions"),
-        F.countDistinct("category").alias("categories"),
-        F.countDistinct("state").alias("states"),
-        _lines().alias("total_rows"),
-    )
+    """Distinct values per column: one narrow scan and hash aggregate each, so no line is multiplied."""
+    names = {
+        "customer_id": "unique_customers",
+        "order_id": "unique_orders",
+        "product_id": "unique_products",
+        "region": "regions",
+        "category": "categories",
+        "state": "states",
+    }
+    counts = [sales.select(c).distinct().agg(F.count(c)).scalar().alias(out) for c, out in names.items()]
+    return sales.agg(_lines().alias("total_rows")).select(*counts, "total_rows")
 
 
 def date_range(sales: DataFrame) -> DataFrame:
@@ -332,10 +334,9 @@ def value_ranges(sales: DataFrame) -> DataFrame:
 def category_share(sales: DataFrame) -> DataFrame:
     """Revenue share per category in percent (one decimal); the window runs on the grouped rows."""
     per = sales.groupBy("category").agg(F.sum("sales").alias("_s"))
-    # Grand total from the group rows as a scalar subquery (no global window, no join).
-    total = per.agg(F.sum("_s")).scalar()
+    # The total comes from the group rows: one row per category in the window.
     return (
-        per.withColumn("_t", total)
+        per.withColumn("_t", F.sum("_s").over(Window.partitionBy()))
         .select(
             "category",
             round_money(F.col("_s")).alias("total_sales"),

@@ -16,7 +16,8 @@ from pyspark.sql.types import DecimalType
 
 from tallyspark.operators import analytics, checks, clean, model, reports
 from tallyspark.plans import params as P
-from tallyspark.sources import binding, files
+from tallyspark.plans import views
+from tallyspark.sources import binding, files, runlog, schema, staging
 from tallyspark.sources.binding import LINE_ORDER
 from tallyspark.sources.persisted import prune, tables_root
 from tallyspark.sources.tables import table
@@ -205,10 +206,102 @@ def _queries() -> dict[str, Query]:
             binding.catalog_file(s, d).drop("ordinal"), P.MIN_NON_NULL
         ),
         "n_load_verification": _on_sales(_load_verification),
+        # ------------------------------------------- options and load helpers
+        "a_yoy_complete": _on_star(lambda s, f: analytics.yoy_monthly(f, lag=P.YOY_LAG, complete=True)),
+        "q_tiers_null_counter": _on_sales(_tiers_null_counter),
+        "q_priority_margin_mapped": _priority_margin,
+        "q_priority_names": _priority_names,
+        "f_latin1_read": _f_latin1_read,
+        "f_null_tokens": _f_null_tokens,
+        "n_insert_by_name": _insert_by_name,
+        "n_run_log": _run_log,
+        "n_stage_flat": _on_sales(_stage_flat),
+        "v_fact_view": _fact_view,
+        "r_drop_any": lambda s, d: clean.drop_duplicates_any(binding.retail_file(s, d).select("customer_id"), ["customer_id"]),
     }
     return q
 
 
+def _tiers_null_counter(s: DataFrame) -> DataFrame:
+    some = s.withColumn("discount", F.when(F.col("line_number") != 1, F.col("discount")))
+    return reports.discount_tiers(some, edges=P.TIER_EDGES, count_nulls=True)
+
+
+def _priority_margin(spark: SparkSession, d: str) -> DataFrame:
+    """A sales report over the orders table, by its own column names."""
+    amount = F.col("o_totalprice").cast("decimal(18,2)")
+    orders = table(spark, d, "orders").select("o_orderpriority", amount.alias("total"), F.lit(0).cast("decimal(4,2)").alias("cut"))
+    names = {"category": "o_orderpriority", "sales": "total", "discount": "cut"}
+    return reports.category_margin(orders.withColumn("profit", F.col("total")), columns=names)
+
+
+def _priority_names(spark: SparkSession, d: str) -> DataFrame:
+    """Orders per priority under names from a literal table (five rows, broadcast)."""
+    names = spark.createDataFrame(list(zip("12345", ("first", "second", "third", "fourth", "fifth"), strict=True)), "code string, priority_name string")
+    per_code = table(spark, d, "orders").groupBy(F.substring("o_orderpriority", 1, 1).alias("code")).agg(F.count(F.lit(1)).alias("orders"))
+    return per_code.join(F.broadcast(names), "code", "left").select("priority_name", "orders")
+
+
+def _f_latin1_read(spark: SparkSession, d: str) -> DataFrame:
+    """Customers written as a semicolon-separated Latin-1 file and read back."""
+    path = _scratch(spark, "latin1")
+    named = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.concat("c_name", F.lit(" (é; ö)")).alias("name"))
+    files.write_delimited(named, path, sep=";", encoding="ISO-8859-1")
+    return files.read_delimited(spark, path, "id BIGINT, name STRING", sep=";", encoding="ISO-8859-1")
+
+
+def _f_null_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """NULLs per column of a catalogue file with missing-value words, read as text and then cast."""
+    path = _scratch(spark, "tokens")
+    cat, k = binding.catalog_dirty(spark, d), F.col("ordinal") % 15
+    word = F.when(k == 0, "NA").when(k == 1, "N/A").when(k == 2, "null").when(k == 3, "").otherwise(F.col("seller_name"))
+    price = F.when(F.col("ordinal") % 9 == 0, "NaN").otherwise(F.col("initial_price").cast("string"))
+    told = cat.select(word.alias("seller_name"), price.alias("initial_price"), "title")
+    files.write_delimited(told, path)
+    text = files.read_delimited(spark, path, files.text_schema("seller_name STRING, initial_price STRING, title STRING"))
+    return clean.null_profile(text.withColumn("initial_price", F.col("initial_price").cast("double")), text.columns)
+
+
+def _insert_by_name(spark: SparkSession, d: str) -> DataFrame:
+    """Two inserts by name into one typed table, the first with a declared default, then read back."""
+    path = _scratch(spark, "insert")
+    layout = "customer_key BIGINT NOT NULL, customer_name STRING NOT NULL, market_segment STRING, loyalty_tier STRING"
+    first = model.customers(_sales(spark, d)).select(F.col("customer_id").alias("customer_key"), "customer_name", F.col("segment").alias("market_segment"))
+    schema.append_by_name(first, path, layout, defaults={"loyalty_tier": F.lit("Standard")})
+    second = table(spark, d, "part").select(F.col("p_name").alias("customer_name"), F.col("p_partkey").alias("customer_key"), F.lit("Part").alias("loyalty_tier"))
+    schema.append_by_name(second, path, layout)
+    return spark.read.schema(layout).parquet(path)
+
+
+def _run_log(spark: SparkSession, d: str) -> DataFrame:
+    """Two logged loads; the log says what each wrote."""
+    log, s = _scratch(spark, "log"), _sales(spark, d)
+    runlog.logged_write(model.customers(s), _scratch(spark, "log-customers"), "load_customers", log)
+    runlog.logged_write(s, _scratch(spark, "log-lines"), "load_lines", log)
+    return runlog.read_log(spark, log).select("step_name", "records_processed", "status")
+
+
+def _stage_flat(s: DataFrame) -> DataFrame:
+    """Sales lines as raw text columns with spaced headers, staged back to typed columns."""
+    us = lambda c: F.date_format(c, "MM/dd/yyyy")
+    raw = s.select(
+        F.col("line_number").alias("Row ID"),
+        F.col("order_id").alias("Order ID"),
+        us("order_date").alias("Order Date"),
+        us("ship_date").alias("Ship-Date"),
+        *[F.col(c).cast("double").alias(c.title()) for c in ("sales", "discount", "profit")],
+        F.col("quantity").alias("Quantity"),
+    )
+    staged = staging.stage_flat_sales(raw)
+    return staged.select("order_id", "order_date", "ship_date", "sales", "quantity", "discount", "profit", F.col("row_id").cast("int").alias("row_id"))
+
+
+def _fact_view(spark: SparkSession, d: str) -> DataFrame:
+    """SQL over the registered fact view."""
+    views.register_views(spark, d, only=("fact_sales",))
+    return spark.sql("SELECT ship_mode, count(*) AS lines, sum(txn_id) AS txn_sum FROM fact_sales GROUP BY ship_mode")
+
+
 def _loaded(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a fresh folder and read back: what a load left there."""
     path = _scratch(spark, f"load-{name}")

@@ -63,13 +63,14 @@ def normalised(df: DataFrame) -> DataFrame:
     )
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
+def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", encoding: str = "UTF-8") -> None:
     """CSV sink with a header and no index column (a folder of part files).
 
     Values are written verbatim (Spark's writer trims spaces unless told not
     to) and quotes are doubled, so any standard reader gets them back.
     """
-    df.write.mode(mode).options(**CSV_OPTIONS).option("sep", sep).option("maxRecordsPerFile", MAX_ROWS_PER_FILE).csv(path)
+    writer = df.write.mode(mode).options(**CSV_OPTIONS).option("sep", sep).option("encoding", encoding)
+    writer.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).csv(path)
 
 
 def file_metadata(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -92,4 +92,13 @@ def align_to(df: DataFrame, schema: str | StructType, defaults: Mapping[str, Col
 
 
 def append_by_name(df: DataFrame, path: str, schema: str | StructType, defaults: Mapping[str, Column] | None = None) -> None:
-    align_to(df, schema, defaults).write.mode("append").parquet(path)
+    """Insert by name; a NULL in a NOT NULL column fails the insert, and nothing of it is committed."""
+    schema = layout(schema)
+    aligned = align_to(df, schema, defaults)
+    checked = [
+        F.coalesce(F.col(f.name), F.raise_error(F.lit(f"NULL in NOT NULL column {f.name}")).cast(f.dataType)).alias(f.name)
+        if not f.nullable
+        else F.col(f.name)
+        for f in schema.fields
+    ]
+    aligned.select(*checked).write.mode("append").parquet(path)

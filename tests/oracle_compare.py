@@ -13,6 +13,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -103,7 +104,7 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(E.queries())
-    spark = build_session(shuffle_partitions=8)
+    spark = build_session("local[8]", 8, checkpoint_dir=tempfile.mkdtemp(prefix="oracle-shared-"))
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

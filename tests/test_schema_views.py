@@ -45,3 +45,16 @@ def test_views_answer_sql(spark):
     assert len(top) == 6
     ids = spark.sql("SELECT MIN(row_id) AS lo, MAX(row_id) AS hi, COUNT(*) AS n FROM orders").first()
     assert (ids.lo, ids.hi) == (1, ids.n)
+
+
+def test_a_null_key_fails_the_insert_and_leaves_nothing(spark, tmp_path):
+    import pytest
+
+    from tallyspark.sources import schema
+
+    path = str(tmp_path / "t")
+    ddl = "k BIGINT NOT NULL, v STRING"
+    schema.append_by_name(spark.createDataFrame([(1, "a")], "k long, v string"), path, ddl)
+    with pytest.raises(Exception, match="NULL in NOT NULL column k"):
+        schema.append_by_name(spark.createDataFrame([(None, "b"), (2, "c")], "k long, v string"), path, ddl)
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(1, "a")]

@@ -15,6 +15,7 @@ import io
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -35,7 +36,7 @@ def main() -> None:
     from tallyspark.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session(shuffle_partitions=16)
+    spark = build_session("local[8]", 16, checkpoint_dir=tempfile.mkdtemp(prefix="plans-shared-"))
     rows = []
     for name, q in E.queries().items():
         df = q(spark, sf_dir)
