@@ -8,13 +8,15 @@ random forest are used.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+import uuid
+
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import LOWER, UPPER, small, stored
+from tallyspark.llm.common import LOWER, UPPER, scratch, small, stored
 
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
 PER_CLASS = 10_000  # labelled findings of either class in the fit, at most
@@ -135,7 +137,10 @@ def fit(judged: DataFrame, per_class: int = PER_CLASS):
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="x", weightCol="w", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt", cacheNodeIds=False
     )
-    return forest.fit(_vectors(sample.withColumn("w", weight)))
+    # Kept as files: the loaded model has no training summary, which would tie every task to this session.
+    path = f"{scratch(judged.sparkSession)}/forest-{uuid.uuid4().hex}"
+    forest.fit(_vectors(sample.withColumn("w", weight))).save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def _vectors(df: DataFrame) -> DataFrame:

@@ -63,3 +63,13 @@ def test_findings_context_and_several_in_one_token(spark):
 def test_odd_rows_and_empty_table(odd, no_docs):
     assert all(0 <= r["probability"] <= 1 for r in secrets.report(odd).collect())
     assert secrets.report(no_docs).collect() == []
+
+
+def test_scoring_works_in_a_session_that_has_used_observations(spark, corpus):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation("rows")
+    corpus.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 600
+    assert secrets.report(corpus).count() == len(secrets.report(corpus).collect())
