@@ -21,9 +21,10 @@ def plan(df, mode: str = "formatted") -> str:
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_in_the_plan(spark, name):
+def test_no_python_and_no_cross_join_in_the_plan(spark, name):
     text = plan(QUERIES[name](spark, SF_SMALL), "extended")
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", text)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 def test_year_filter_bounds_reach_the_scan(spark):
@@ -73,12 +74,6 @@ def test_joined_dimensions_are_read_not_rebuilt(spark, name):
     assert "min_by" not in text and "SortAggregate" not in text
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cross_joins(spark, name):
-    text = plan(QUERIES[name](spark, SF_SMALL), "simple")
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-
-
 def test_grand_totals_are_scalar_subqueries(spark):
     for name in ("a_above_mean", "a_pareto80", "a_customers_above_mean"):
         text = plan(QUERIES[name](spark, SF_SMALL), "simple")
