@@ -52,7 +52,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
     Only the join strategy differs, never the result. Call it on stored tables or cheap plans: counting runs a job.
     """
-    return F.broadcast(df) if len(df.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def row_key(*cols: Column) -> tuple[Column, Column]:
