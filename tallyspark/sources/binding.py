@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.rounding import MONEY, RATE
 from tallyspark.functions.text import nan_to_null
+from tallyspark.sources.files import read_delimited, text_schema
 from tallyspark.sources.persisted import location, persisted
+from tallyspark.sources.schema import align_to
 from tallyspark.sources.tables import table
 
 # Columns that order order lines totally (l_orderkey/l_linenumber alone repeat).
@@ -253,12 +255,18 @@ def _sources(sf_dir: str, names: tuple[str, ...]) -> list[str]:
     return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in names]
 
 
+def _typed_file(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """A CSV file read as text, missing-value words made NULL, then cast; a value that can't be cast fails the read."""
+    return align_to(read_delimited(spark, path, text_schema(ddl)), ddl)
+
+
 def catalog_file(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The catalogue as a CSV file (how the cleaning job receives it), written once per source version."""
-    return persisted(
+    path = location(
         spark, "catalog-csv", _sources(sf_dir, ("part",)), lambda: catalog_dirty(spark, sf_dir),
         rebuild=rebuild, csv_schema=CATALOG_FILE_SCHEMA,
     )
+    return _typed_file(spark, path, CATALOG_FILE_SCHEMA)
 
 
 RETAIL_SOURCES = ("orders", "customer", "nation", "region")
@@ -266,14 +274,12 @@ RETAIL_SOURCES = ("orders", "customer", "nation", "region")
 
 def retail_file(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The transaction file as CSV (how the cleaning job receives it), written once per source version."""
-    return persisted(
-        spark, "retail-csv", _sources(sf_dir, RETAIL_SOURCES),
-        lambda: retail_dirty(spark, sf_dir), rebuild=rebuild, csv_schema=RETAIL_FILE_SCHEMA,
-    )
+    return _typed_file(spark, retail_file_location(spark, sf_dir, rebuild), RETAIL_FILE_SCHEMA)
 
 
-def retail_file_location(spark: SparkSession, sf_dir: str) -> str:
+def retail_file_location(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
     """Folder of the transaction CSV file (written first if needed)."""
     return location(
-        spark, "retail-csv", _sources(sf_dir, RETAIL_SOURCES), lambda: retail_dirty(spark, sf_dir), csv_schema=RETAIL_FILE_SCHEMA
+        spark, "retail-csv", _sources(sf_dir, RETAIL_SOURCES), lambda: retail_dirty(spark, sf_dir),
+        rebuild=rebuild, csv_schema=RETAIL_FILE_SCHEMA,
     )
