@@ -5,7 +5,7 @@ element that is boilerplate by its name, role or class leaves ``WINDOW`` empty l
 sliding window of ``WINDOW`` lines. Where that sum rises from zero is a surge point, where it falls back to zero a dive
 point; the text between belongs together. In a page with an article or main element the blocks inside it are kept, all of
 them; without one, lines that are mostly links count as empty and the blocks kept are those that peak high enough against
-the highest.
+the highest, and those that share their container (other than the body) with one of these.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ INLINE = frozenset(
 )
 BOILERPLATE = frozenset("nav aside footer form menu dialog select button template svg canvas object audio video map datalist".split())
 MAIN = frozenset("article main".split())
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr tbody table ul ol dl figure figcaption html body".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
 # Words of class names and ids that mark boilerplate; of headers only outside the article.
 MARKS = frozenset(
@@ -42,11 +43,12 @@ MARKS = frozenset(
     "pager comment comments commentlist disqus respond reply replies toolbar skip".split()
 )
 HEADERS = frozenset("header masthead topbar".split())
+STATES = frozenset("no not has with without is".split())  # "has-sidebar" says something about a page, not what the element is
 
 _tag = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _loose_tag = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>")
 _attribute = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
-_mark_word = re.compile(r"[a-z]+")
+_mark_word = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")  # camelCase, kebab-case and snake_case names apart
 
 
 def _is_boilerplate(name: str, attributes: str, in_main: bool) -> bool:
@@ -55,18 +57,23 @@ def _is_boilerplate(name: str, attributes: str, in_main: bool) -> bool:
     if not attributes or name in ("html", "body") or name in MAIN:
         return name in MAIN and "comment" in attributes.lower()
     for kind, value in _attribute.findall(attributes):
-        words = _mark_word.findall(value.lower())
-        if kind.lower() == "role":
-            if any(w in ROLES for w in words) and not (in_main and words == ["banner"]):
+        for name_ in value.strip("\"'").split():
+            words = [w.lower() for w in _mark_word.findall(name_)]
+            if not words or words[0] in STATES:
+                continue
+            if kind.lower() == "role":
+                if words[0] in ROLES and not (in_main and words[0] == "banner"):
+                    return True
+            elif any(w in MARKS or w in HEADERS and not in_main for w in words):
                 return True
-        elif any(w in MARKS or w in HEADERS and not in_main for w in words):
-            return True
     return False
 
 
-def lines(page: str) -> list[tuple[str, int, int]]:
-    """(text, length of its link text, number of the main element it stands in or 0) of each line of a page."""
-    out: list[tuple[str, int, int]] = []
+def lines(page: str) -> list[tuple[str, int, int, int]]:
+    """Each line of a page: text, length of its link text, number of its main element and of its container (0: none)."""
+    out: list[tuple[str, int, int, int]] = []
+    boxes: list[tuple[int, int]] = []  # (stack depth, number) of the open containers
+    box_no = 0
     parts: list[str] = []
     links = 0
     stack: list[str] = []  # open elements
@@ -81,7 +88,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((text, min(links, len(text)), main_no if mains else 0))
+                out.append((text, min(links, len(text)), main_no if mains else 0, boxes[-1][1] if boxes else 0))
             parts.clear()
         links = 0
 
@@ -92,6 +99,8 @@ def lines(page: str) -> list[tuple[str, int, int]]:
             opened[gone] -= 1
             if block_at and block_at[-1] == len(stack):
                 block_at.pop()
+            if boxes and boxes[-1][0] == len(stack):
+                boxes.pop()
             if gone == "a" and link_depth:
                 link_depth -= 1
             if mains and mains[-1] == len(stack):
@@ -156,10 +165,13 @@ def lines(page: str) -> list[tuple[str, int, int]]:
             skip = 0  # a boilerplate element that was never closed doesn't hold the article
         if not skip and _is_boilerplate(name, attributes, bool(mains)):
             end_line()
-            out += [("", 0, main_no if mains else 0)] * WINDOW
+            out += [("", 0, main_no if mains else 0, 0)] * WINDOW
             skip = len(stack) + 1
         if name not in INLINE:
             block_at.append(len(stack))
+            if name not in LEAVES:
+                box_no += 1
+                boxes.append((len(stack), box_no))
         stack.append(name)
         opened[name] += 1
         if name == "a":
@@ -190,20 +202,22 @@ def main_text(page: str | None) -> str:
     """Main text of a whole page; empty if it has none (null, empty and text-free pages)."""
     rows = lines(page or "")
     by_main: dict[int, int] = {}
-    for text, _, no in rows:
+    for text, _, no, _ in rows:
         if no:
             by_main[no] = by_main.get(no, 0) + len(text)
     if any(by_main.values()):
         most = max(by_main.values())
         kept = {no for no, n in by_main.items() if n >= PEAK * most}
-        lengths = [len(text) if no in kept else 0 for text, _, no in rows]
+        lengths = [len(text) if no in kept else 0 for text, _, no, _ in rows]
         floor = 0.0
     else:
-        lengths = [0 if n and n >= LINKS * len(text) else len(text) for text, n, _ in rows]
+        lengths = [0 if n and n >= LINKS * len(text) else len(text) for text, n, _, _ in rows]
         floor = PEAK
     found = blocks(lengths)
     top = max((p for _, _, p in found), default=0)
-    return " ".join(rows[i][0] for a, b, p in found if p >= floor * top for i in range(a, b) if lengths[i])
+    high = {i for a, b, p in found if p >= floor * top for i in range(a, b)}
+    homes = {rows[i][3] for i in high if lengths[i]} - {0}
+    return " ".join(r[0] for i, r in enumerate(rows) if lengths[i] and (i in high or r[3] in homes))
 
 
 def _texts(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -62,3 +62,8 @@ def test_very_long_and_broken_pages_take_linear_time(page):
 def test_blocks_lie_between_surge_and_dive():
     assert extract.blocks([0, 5, 0, 0, 0, 7, 1, 0, 2, 0, 0, 0, 3], 3) == [(1, 2, 5), (5, 9, 8), (12, 13, 3)]
     assert extract.blocks([], 3) == []
+
+
+def test_class_names_of_many_spellings():
+    page = "<div class='layout has-sidebar'><div id=mainContent><p>One sentence of the text.</p><div class='siteFooter'>f</div><div class=\"ad_slot\">a</div><p class='shadow lead headline'>Two.</p></div></div><div class='SideBar sidebar-left'>s</div>"
+    assert T(page) == "One sentence of the text. Two."
