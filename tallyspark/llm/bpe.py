@@ -4,8 +4,8 @@ A pre-token that is a whole vocabulary entry is resolved by a minimal perfect ha
 Any other pre-token is merged: its bytes form a doubly linked list, a heap holds the rank of each adjacent pair, and the
 lowest rank (leftmost on ties) is merged until no pair is in the vocabulary.
 
-The tables are built on the driver from the rank file (bounded by the vocabulary) and broadcast; a task keeps the ids of
-the pre-tokens it has met in a bounded memo.
+The tables are built on the driver from the rank file (bounded by the vocabulary) and broadcast; a Python worker keeps
+the ids of the pre-tokens it has met in a bounded memo.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MEMO = 150_000  # pre-tokens of up to MEMO_CHARS characters in each of the two generations that a task remembers
+MEMO = 300_000  # pre-tokens of up to MEMO_CHARS characters in each of the two generations that a Python worker remembers
 MEMO_CHARS = 64
 
 
@@ -85,6 +85,8 @@ class Vocabulary:
         self.table = PerfectHash([t for _, t in entries])
         self.token = {r: t for r, t in entries}
         self.rank_of = {t: r for r, t in entries}  # for the pairs met while merging
+        self.pair = [self.rank_of.get(bytes((a, b))) for a in range(256) for b in range(256)]  # and those of single bytes
+        self.name = hashlib.sha256(lines + pattern.encode()).hexdigest()
 
     def rank(self, piece: bytes) -> int | None:
         at = self.table.get(piece)
@@ -99,7 +101,8 @@ class Vocabulary:
         n, rank_of = len(piece), self.rank_of.get
         end = list(range(1, n + 1))  # end[i]: where the part that starts at i ends; 0 once it is merged into another
         before = list(range(-1, n - 1))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
+        pair = self.pair
+        heap = [(r, i, i + 2) for i, (a, b) in enumerate(zip(piece, piece[1:], strict=False)) if (r := pair[a << 8 | b]) is not None]
         heapq.heapify(heap)
         while heap:
             _, i, stop = heapq.heappop(heap)
@@ -140,6 +143,18 @@ class _Memo(dict):
         return ids
 
 
+_worker: dict[str, _Memo] = {}  # the memo of this Python worker, kept from task to task
+
+
+def _memo(shared) -> _Memo:
+    vocabulary = shared.value
+    memo = _worker.get(vocabulary.name)
+    if memo is None:
+        _worker.clear()
+        memo = _worker[vocabulary.name] = _Memo(vocabulary)
+    return memo
+
+
 def _ids(memo: _Memo, pieces: list[str]) -> np.ndarray:
     return np.frombuffer(b"".join(map(memo.__getitem__, pieces)), "<u4")
 
@@ -151,9 +166,8 @@ def load(path: str, pattern: str) -> Vocabulary:
 
 def _encoder(shared):
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = shared.value
-        memo = _Memo(vocabulary)
-        split = regex.compile(vocabulary.pattern).findall
+        memo = _memo(shared)
+        split = regex.compile(memo.vocabulary.pattern).findall
         for batch in texts:
             yield pd.Series([_ids(memo, split(t or "")).astype(np.int32) for t in batch], dtype=object)
 
@@ -171,10 +185,9 @@ def _decoder(shared):
 
 def _digests(shared):
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocabulary = shared.value
-        memo = _Memo(vocabulary)
-        split = regex.compile(vocabulary.pattern).findall
-        token = vocabulary.token.__getitem__
+        memo = _memo(shared)
+        split = regex.compile(memo.vocabulary.pattern).findall
+        token = memo.vocabulary.token.__getitem__
         for batch in texts:
             rows = []
             for text in batch:
