@@ -121,6 +121,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         both.select(F.explode(records).alias("value"))
         .write.option("lineSep", CRLF * 2)
         .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .text(path)
     )
@@ -151,40 +152,48 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 _FIELDS = "type string, record_id string, concurrent_to string, refers_to string, target string, declared string, bytes long, digest string, head string, payload binary"
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _reader(payloads: bool):
     names = [f.split()[0] for f in _FIELDS.split(", ")]
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"], strict=True):
-            rows, size = [], 0
-            for fields, block in parse(gzip.decompress(content) if path.endswith(".gz") else content):
-                kind, head, payload = fields.get("warc-type"), block, None
-                if kind in ("response", "revisit"):
-                    head, _, payload = block.partition(b"\r\n\r\n")
-                rows.append(
-                    (
-                        kind,
-                        fields.get("warc-record-id", "").strip("<>"),
-                        fields.get("warc-concurrent-to", "").strip("<>") or None,
-                        fields.get("warc-refers-to", "").strip("<>") or None,
-                        fields.get("warc-target-uri"),
-                        fields.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                        len(payload) if kind == "response" else None,
-                        base64.b32encode(hashlib.sha1(payload).digest()).decode() if kind == "response" else None,
-                        head.decode("utf-8", "replace"),
-                        payload if kind == "response" else None,
-                    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield from _records(batch, names, payloads)
+
+    return run
+
+
+def _records(batch: pd.DataFrame, names: list[str], payloads: bool) -> Iterator[pd.DataFrame]:
+    for path, content in zip(batch["path"], batch["content"], strict=True):
+        rows, size = [], 0
+        for fields, block in parse(gzip.decompress(content) if path.endswith(".gz") else content):
+            kind, head, payload = fields.get("warc-type"), block, None
+            if kind in ("response", "revisit"):
+                head, _, payload = block.partition(b"\r\n\r\n")
+            rows.append(
+                (
+                    kind,
+                    fields.get("warc-record-id", "").strip("<>"),
+                    fields.get("warc-concurrent-to", "").strip("<>") or None,
+                    fields.get("warc-refers-to", "").strip("<>") or None,
+                    fields.get("warc-target-uri"),
+                    fields.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+                    len(payload) if kind == "response" else None,
+                    base64.b32encode(hashlib.sha1(payload).digest()).decode() if kind == "response" else None,
+                    head.decode("utf-8", "replace"),
+                    payload if payloads and kind == "response" else None,
                 )
-                size += len(block)
-                if size > 8_000_000:  # hand on in pieces
-                    yield pd.DataFrame(rows, columns=names)
-                    rows, size = [], 0
-            yield pd.DataFrame(rows, columns=names)
+            )
+            size += len(block)
+            if size > 8_000_000:  # hand on in pieces
+                yield pd.DataFrame(rows, columns=names)
+                rows, size = [], 0
+        yield pd.DataFrame(rows, columns=names)
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under ``path``."""
+def records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """One row per record of the archives under ``path``; without ``payloads`` only their sizes and digests."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInPandas(_read, _FIELDS).withColumn("bytes", F.col("bytes").cast("long"))
+    return files.mapInPandas(_reader(payloads), _FIELDS).withColumn("bytes", F.col("bytes").cast("long"))
 
 
 def transactions(recs: DataFrame) -> DataFrame:
@@ -236,4 +245,4 @@ def report(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     spark = pages.sparkSession
     path = f"{scratch(spark)}/warc-{uuid.uuid4().hex}"
     write(pages, path, id_col, url_col, html_col, min_bytes)
-    return captures(transactions(records(spark, path)))
+    return captures(transactions(records(spark, path, payloads=False)))
