@@ -24,7 +24,7 @@ from tallyspark.llm.common import stored
 PER_CLASS = 5000  # labelled documents of either class in the fit, at most
 FEATURES = 1024  # features in the model, at most
 STEMS = (4, 5, 6)  # lengths of the word beginnings
-LIFT = 12.0  # a feature is this many times as frequent in toxic documents, at least
+LIFT = 15.0  # a feature is this many times as frequent in toxic documents, at least
 CHI2 = 24.0  # and its association with the label is far beyond chance among all features tried
 MIN_DOCS = 4  # toxic documents that hold a feature, at least
 GRADES = 3  # toxic grades; 0 is clean
