@@ -32,13 +32,13 @@ def _count(pattern: str, text: str) -> int:
 
 
 def main() -> None:
-    import __spark_entry__ as E
+    from tallyspark.plans.registry import QUERIES
     from tallyspark.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 16, checkpoint_dir=tempfile.mkdtemp(prefix="plans-shared-"))
     rows = []
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf_dir)
         df.collect()  # finalises the adaptive plan held by this DataFrame
         text = _plan(df).split("== Initial Plan ==")[0]  # the final adaptive plan only
@@ -66,9 +66,9 @@ def main() -> None:
         "",
         f"Final adaptive plans of every registered query (`tools/plan_report.py`, data `{sf_dir}`, local[8]).",
         "Single-partition exchanges only feed bounded tables: one-row aggregates, offset tables with one row",
-        "per sort partition or chunk, top-k merges, calendar months, and windows over at most 2^20 rows after a",
-        "size check. Grand totals and means are scalar subqueries, so no plan has a nested-loop join. Checkpoint scans are the distributed",
-        "ordering path reading its reliably checkpointed sort.",
+        "per sort partition or chunk, top-k merges, calendar months and categories. Grand totals and means are",
+        "scalar subqueries, so no plan has a nested-loop join. Checkpoint scans are the ordering operators reading",
+        "their reliably checkpointed sort.",
         "",
         head,
         "|" + " --- |" * (head.count("|") - 1),
@@ -83,10 +83,8 @@ def main() -> None:
         "  the billions their measured size exceeds the broadcast threshold and the same plans run as shuffle",
         "  joins; only one-row aggregates and bounded offset tables stay broadcast.",
         "* Ordering keys (`a_sequence_and_rank`, `a_master_ledger`, `a_rolling3`, `a_pareto80`, `n_fact_orders`,",
-        "  `n_fact_sales`, `n_dim_geography`): here the size check finds at most 2^20 distinct values or rows per",
-        "  group and uses one bounded window. Above that bound they switch to the distributed path: a range-",
-        "  partitioned sort on a unique key, a reliable checkpoint, a broadcast offset table of at most 2^20 rows,",
-        "  and windows partitioned by chunk (tests force this path and compare).",
+        "  `n_fact_sales`, `n_dim_geography`): the plan is the same at every size, a range-partitioned sort on a",
+        "  unique key, a reliable checkpoint, broadcast offset tables, and windows partitioned by chunk.",
         "* The `sales` table and the two CSV inputs are built once per source version and read by every query,",
         "  so per-query work is scans of the needed columns plus the query's own shuffles.",
     ]
