@@ -13,7 +13,6 @@ sharding itself loses nothing.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
