@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction.
 
-Regular forms give the seeds (the base spans). Around each seed, and around every other token of the same shape, two
-lexical patterns are read: the two words to its left, and the word on either side. They form a bipartite graph of
+Regular forms give the seeds (the base spans). Around each seed, and around every other range of the same shape (digit
+groups joined by blank, dot, dash, slash or parenthesis; hex-colon runs; local@host), two lexical patterns are read: the
+two words to its left, and the word on either side. They form a bipartite graph of
 patterns and instances, which Spark scores in turns: a pattern's confidence for a kind is the confidence-weighted share
 of its distinct instances that are of that kind (seeds count 1, seeds of other kinds and tokens not believed yet count
 against it), an instance's is the noisy-or of the accepted patterns it stands in. Instances that end above the threshold
@@ -11,6 +12,7 @@ are identifiers that the regular forms don't know; all their occurrences become
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,7 +28,6 @@ ROUNDS = 3
 MIN_SEEDS = 5  # distinct believed instances that an accepted pattern has, at least
 MIN_PATTERN = 0.6  # confidence of an accepted pattern
 MIN_INSTANCE = 0.6  # confidence of an accepted instance
-TOKEN = 40  # code points of a candidate, at most (a shape limit; base spans have none)
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _domain = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,7 +35,12 @@ _ip = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _card = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _nondigit = re.compile(r"[^0-9]+")
-_anchor = re.compile(r"[0-9]{3,}|@")
+_digit = re.compile(r"[0-9]+")
+_run = re.compile(r"[0-9]++(?:[ ().+/-]++[0-9]++)*")
+_piece = re.compile(r"[0-9]++(?:[().+-]++[0-9]++)*")  # of a run, between blanks and slashes
+_hex_run = re.compile(r"[0-9A-Fa-f:]++")
+_L = r"""[^\s@<>,;:()\[\]{}|"]"""
+_address = re.compile(rf"""(?:(?<!{_L}){_L}++|"[^"@\n]++")(?:@++(?:{_L}++|\[[^\s\[\]]*+\]))+""")
 _word = re.compile(r"\S+")
 
 
@@ -78,51 +84,115 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _shapes(token: str) -> list[int]:
-    """Kinds whose shape a token has."""
-    digits, rest = len(_nondigit.sub("", token)), set(token) - set("0123456789")
-    out = [0] if 0 < token.find("@") < len(token) - 1 else []
-    if rest <= set("abcdefABCDEF:") and token.count(":") >= 2 or rest == {"."} and token.count(".") == 3:
-        out.append(1)
-    if rest <= set(" -"):
-        out += [2] if 12 <= digits <= 19 else []
-    if rest <= set(" ().-+/"):
-        out += [3] if 7 <= digits <= 15 else []
-    return out
+def _left(text: str, start: int) -> list[str]:
+    return [w.lower() for w in _word.findall(text[max(0, start - 80) : start])][-2:]
+
+
+def _right(text: str, end: int) -> list[str]:
+    return [w.lower() for w in _word.findall(text[end : end + 40])][:1]
 
 
-def _edges(text: str, start: int, end: int) -> list[str]:
-    """The lexical patterns around a span: two words to the left, one on either side."""
-    left = [w.lower() for w in _word.findall(text[max(0, start - 80) : start])][-2:]
-    right = [w.lower() for w in _word.findall(text[end : end + 40])][:1]
-    out = [f"L {left[0]} {left[1]}"] if len(left) == 2 else []
+def _edges(left: list[str], right: list[str], two: bool = True) -> list[str]:
+    """The lexical patterns around a span: two words to the left (unless not ``two``), one on either side."""
+    out = [f"L {left[0]} {left[1]}"] if two and len(left) == 2 else []
     return out + ([f"B {left[-1]} _ {right[0]}"] if left and right else [])
 
 
-def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Seeds and, outside the base spans, tokens of an identifier's shape, each with its patterns."""
-    out = [{"seed": True, "kind": k, "start": s, "end": e, "value": text[s:e].lower(), "patterns": _edges(text, s, e)} for s, k, e in base]
-    taken = sorted((s, e) for s, _, e in base)
-    at = last = 0
-    for m in _anchor.finditer(text):
-        if m.start() < last:
+def _numbers(text: str) -> Iterator[tuple[int, int, int, bool]]:
+    """(start, end, kind, two) of each range of whole pieces of a digit run that has the digits of a card or a phone.
+
+    ``two``: the words to its left speak for it: the longest range of its kind from that start, and a piece alone.
+    """
+    for m in _run.finditer(text):
+        pieces = [(p.start(), p.end()) for p in _piece.finditer(text, m.start(), m.end())]
+        sizes = [len(_nondigit.sub("", text[s:e])) for s, e in pieces]
+        for i, (first, _) in enumerate(pieces):
+            if first and text[first - 1].isalpha():
+                continue
+            here, digits = [], 0
+            signed = first - (first > 0 and text[first - 1] == "+")
+            for j in range(i, len(pieces)):
+                digits, end = digits + sizes[j], pieces[j][1]
+                if digits > 19 and j > i:
+                    break
+                if end < len(text) and text[end].isalpha():
+                    continue
+                body, start = text[first:end], signed
+                if body.count(")") > body.count("(") and start and text[start - 1] == "(":
+                    start -= 1 + (start > 1 and text[start - 2] == "+")
+                if i == j and body.count(".") == 3 and set(_digit.sub("", body)) == {"."}:
+                    here.append((start, end, 1, j))
+                if 12 <= digits <= 19 and not set(text[start:end]) - set("0123456789 -"):
+                    here.append((start, end, 2, j))
+                if 7 <= digits <= 15:
+                    here.append((start, end, 3, j))
+            last = {k: j for _, _, k, j in here}
+            for start, end, k, j in here:
+                yield start, end, k, j in (i, last[k])
+
+
+def _hex_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of hex digits and two colons at least, without parts of words and single colons at their ends."""
+    for m in _hex_run.finditer(text):
+        s, e = m.span()
+        if m[0].count(":") < 2:
             continue
-        s, e = m.start(), m.end()
-        while s > last and m.start() - s <= TOKEN and not text[s - 1].isspace():
-            s -= 1
-        while e < len(text) and e - m.start() <= TOKEN and not text[e].isspace():
-            e += 1
-        last = e
-        while s < e and not (text[s].isalnum() or text[s] in "+("):
-            s += 1
-        while e > s and not text[e - 1].isalnum():
+        if s and text[s - 1].isalnum():
+            s = text.index(":", s)
+        if e < len(text) and text[e].isalnum():
+            e = text.rindex(":", s, e) + 1
+        s += text[s : s + 1] == ":" and text[s : s + 2] != "::"
+        e -= e > s and text[e - 1] == ":" and text[max(s, e - 2) : e] != "::"
+        if text.count(":", s, e) >= 2 and text[s:e].strip(":"):
+            yield s, e
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    for m in _address.finditer(text):
+        e = m.end()
+        while not (text[e - 1].isalnum() or text[e - 1] == "]"):
             e -= 1
-        while at < len(taken) and taken[at][1] <= s:
+        s = m.start()
+        while s < e and not (text[s].isalnum() or text[s] in '+_"'):
+            s += 1
+        if 0 < text.find("@", s, e) - s:
+            yield s, e
+
+
+def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
+    """Seeds and, outside the base spans, every range of an identifier's shape, each with its patterns.
+
+    A phone number may hold a base span that is the beginning of a longer dotted run (an address has four numbers).
+    """
+    out = [
+        {"seed": True, "kind": k, "start": s, "end": e, "value": text[s:e].lower(), "patterns": _edges(_left(text, s), _right(text, e))}
+        for s, k, e in base
+    ]
+    taken: list[list] = []  # disjoint; the third says if candidates may hold it
+    for s, k, e in sorted(base):
+        if taken and s < taken[-1][1]:
+            taken[-1] = [taken[-1][0], max(e, taken[-1][1]), False]
+        else:
+            taken.append([s, e, k == 1 and text[e : e + 1] == "." and text[e + 1 : e + 2].isdecimal()])
+    ends = [e for _, e, _ in taken]
+
+    def free(s: int, e: int, k: int) -> bool:
+        at = bisect_left(ends, s + 1)
+        while at < len(taken) and taken[at][0] < e:
+            if not (k == 3 and taken[at][2] and s <= taken[at][0] and taken[at][1] < e):
+                return False
             at += 1
-        if e - s > TOKEN or e - s < 5 or at < len(taken) and taken[at][0] < e:
-            continue
-        for k in _shapes(text[s:e]):
-            out.append({"seed": False, "kind": k, "start": s, "end": e, "value": text[s:e].lower(), "patterns": _edges(text, s, e)})
+        return True
+
+    found = [(s, e, 0, True) for s, e in _addresses(text)] if "@" in text else []
+    found += [(s, e, 1, True) for s, e in _hex_runs(text)] if ":" in text else []
+    lefts: dict[int, list[str]] = {}  # ranges share their ends
+    rights: dict[int, list[str]] = {}
+    for s, e, k, two in [*found, *_numbers(text)]:
+        if free(s, e, k):
+            left = lefts[s] if s in lefts else lefts.setdefault(s, _left(text, s))
+            right = rights[e] if e in rights else rights.setdefault(e, _right(text, e))
+            out.append({"seed": False, "kind": k, "start": s, "end": e, "value": text[s:e].lower(), "patterns": _edges(left, right, two)})
     return out
 
 
@@ -135,7 +205,8 @@ _DDL = (
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    # few texts at a time: tables of numbers have many candidates
+    for b in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
         spans, found = [], []
         for text in b.column("text"):
             text = text.as_py() or ""
@@ -191,19 +262,31 @@ def learn(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return belief
 
 
+def _apart(spans: pd.Series) -> pd.Series:
+    """Of overlapping spans the likeliest, then the longest."""
+    out = []
+    for each in spans:
+        kept: list[tuple[int, int, int]] = []
+        for _, _, s, k, e in sorted((-x["belief"], x["start"] - x["end"], x["start"], x["kind"], x["end"]) for x in each):
+            at = bisect_left(kept, (s,))
+            if (at == 0 or kept[at - 1][2] <= s) and (at == len(kept) or kept[at][0] >= e):
+                kept.insert(at, (int(s), int(k), int(e)))
+        out.append([{"start": s, "kind": k, "end": e} for s, k, e in kept])
+    return pd.Series(out, dtype=object)
+
+
 def added_spans(scanned: DataFrame) -> DataFrame:
-    """(k1, k2, added): spans of learnt instances per row key; a token believed to be of two kinds gets the likelier."""
+    """(k1, k2, added): spans of learnt instances per row key, of overlapping ones the likeliest, then the longest."""
     belief = learn(scanned)
     found = scanned.select("k1", "k2", F.explode("found").alias("o")).select("k1", "k2", "o.kind", "o.start", "o.end", "o.value", "o.seed")
-    best = F.min(F.struct((-F.col("belief")).alias("b"), "kind", "end")).alias("best")
-    return (
+    spans = (
         found.filter(~F.col("seed"))
         .join(small(belief), ["kind", "value"])
-        .groupBy("k1", "k2", "start")
-        .agg(best)
         .groupBy("k1", "k2")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "best.kind", "best.end"))).alias("added"))
+        .agg(F.collect_set(F.struct("start", "kind", "end", "belief")).alias("spans"))
     )
+    apart = F.pandas_udf(_apart, "array<struct<start:int,kind:int,end:int>>")
+    return spans.select("k1", "k2", apart("spans").alias("added"))
 
 
 def _number(kind: int) -> Column:

@@ -97,3 +97,48 @@ def test_mask_keeps_columns_and_counts_characters(odd):
     got = pii.mask(odd)
     assert got.columns == odd.columns
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in got.collect())
+
+
+def _candidates(text):
+    return {(o["kind"], text[o["start"] : o["end"]]) for o in pii.occurrences(text, pii.base_spans(text)) if not o["seed"]}
+
+
+@pytest.mark.parametrize(
+    "kind, value",
+    [
+        (3, "(838) 555-7235"),
+        (2, "4111 1111 1111 1112"),
+        (3, "01.23.45.67.89"),
+        (3, "12-34-56-78-90"),
+        (3, "838/555 72 35"),
+        (1, "fe80::1:2"),
+        (1, "2001:db8::"),
+        (1, "300.1.2.3"),
+        (0, "x" * 60 + "@host"),
+        (0, "a@b"),
+    ],
+)
+def test_every_shape_is_a_candidate_as_a_whole(kind, value):
+    for text in (value, f"so it is {value} they said", f"at:{value}, then", f"({value})", f"7 {value} 9"):
+        assert (kind, value) in _candidates(text), text
+
+
+def test_words_and_digests_are_no_candidates():
+    assert _candidates("sha a1234567b std::vector feed 12 ab@ @cd e3b0c44298fc1c149afbf4c8996fb924 1 2 3") == set()
+
+
+@pytest.mark.parametrize("text", ["a:" * 100_000, "1.1.1.1." * 30_000, "a@[" * 60_000, '"' * 200_000, "(" * 100_000 + "1", "1-" * 100_000, "1(" * 100_000, "1" + " " * 200_000 + "a"])
+def test_candidates_take_linear_time(text):
+    pii.occurrences(text, pii.base_spans(text))
+
+
+def test_whole_spaced_and_short_grouped_numbers_are_masked(spark):
+    rows = [(i, f"please call me, my number is +1 555 {100 + i} 9{i:03d} thanks") for i in range(30)]
+    new = ["(838) 555-7235", "838 555 7236", "12-34-56-78-90", "01.23.45.67.89"]
+    rows += [(100 + i, f"well my number is {v} thanks") for i, v in enumerate(new)]
+    rows += [(200 + i, f"reach cell via 10.0.0.{i} now") for i in range(30)] + [(300, "reach cell via fe80::1:2 now")]
+    rows += [(400, "at noon 838 555 7236 2024 we left")]  # known from elsewhere
+    got = {r["doc_id"]: r["text"] for r in pii.mask(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[100 + i] for i in range(3)] == ["well my number is [PHONE] thanks"] * 3
+    assert got[103] == "well my number is [IP] thanks"  # the first of overlapping spans names it, all of it goes
+    assert got[300] == "reach cell via [IP] now" and got[400] == "at noon [PHONE] 2024 we left"
