@@ -4,8 +4,9 @@ Markup is stripped to lines: a block element ends a line, text inside a line kee
 element that is boilerplate by its name, role or class leaves ``WINDOW`` empty lines. Text lengths are summed over a
 sliding window of ``WINDOW`` lines. Where that sum rises from zero is a surge point, where it falls back to zero a dive
 point; the text between belongs together. In a page with an article or main element the blocks inside it are kept, all of
-them; without one, lines that are mostly links count as empty and the blocks kept are those that peak high enough against
-the highest, and those that share their container (other than the body) with one of these.
+them; without one, lines that are mostly links count as empty and the blocks kept are those that peak at ``DENSE``
+characters, all between the first and the last of these, and those that share their container (the body is one, too) with
+one of these; where no block is that dense, all are.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WINDOW = 3
-PEAK = 0.2  # of the highest window sum: a block that peaks lower isn't main text (pages without an article element)
+DENSE = 40  # window sum of a dense block (pages without an article element)
+PEAK = 0.2
 LINKS = 0.6  # share of link text from which a line counts as empty there
 
 # Element names of the HTML standard.
@@ -209,15 +211,15 @@ def main_text(page: str | None) -> str:
         most = max(by_main.values())
         kept = {no for no, n in by_main.items() if n >= PEAK * most}
         lengths = [len(text) if no in kept else 0 for text, _, no, _ in rows]
-        floor = 0.0
+        floor = 0
     else:
         lengths = [0 if n and n >= LINKS * len(text) else len(text) for text, n, _, _ in rows]
-        floor = PEAK
+        floor = DENSE
     found = blocks(lengths)
-    top = max((p for _, _, p in found), default=0)
-    high = {i for a, b, p in found if p >= floor * top for i in range(a, b)}
-    homes = {rows[i][3] for i in high if lengths[i]} - {0}
-    return " ".join(r[0] for i, r in enumerate(rows) if lengths[i] and (i in high or r[3] in homes))
+    dense = [(a, b) for a, b, p in found if p >= floor] or [(0, len(rows))]
+    first, last = dense[0][0], dense[-1][1]
+    homes = {rows[i][3] for a, b in dense for i in range(a, b) if lengths[i]}
+    return " ".join(r[0] for i, r in enumerate(rows) if lengths[i] and (first <= i < last or r[3] in homes))
 
 
 def _texts(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -67,3 +67,12 @@ def test_blocks_lie_between_surge_and_dive():
 def test_class_names_of_many_spellings():
     page = "<div class='layout has-sidebar'><div id=mainContent><p>One sentence of the text.</p><div class='siteFooter'>f</div><div class=\"ad_slot\">a</div><p class='shadow lead headline'>Two.</p></div></div><div class='SideBar sidebar-left'>s</div>"
     assert T(page) == "One sentence of the text. Two."
+
+
+@pytest.mark.parametrize("cut", ["<div class=ad>buy</div>", "<aside>by the way</aside>", "<form>q</form>"])
+@pytest.mark.parametrize("long", [5_000, 50_000])
+def test_paragraphs_are_kept_beside_a_very_long_one(cut, long):
+    a, b, c = "x" * long, "An ordinary paragraph of some words. " * 3, "End."
+    want = " ".join(f"{b}{a} {b}{c}".split())
+    assert T(f"<body><p>{b}</p>{cut}<p>{a}</p>{cut}<p>{b}</p>{cut}<p>{c}</p></body>") == want
+    assert T(f"<div><p>{b}</p></div>{cut}<div><p>{a}</p></div>{cut}<div><p>{b}</p>{cut}<p>{c}</p></div>") == want
