@@ -3,8 +3,8 @@
 Markup is stripped to lines: a block element ends a line, text inside a line keeps one space for any white space, and an
 element that is boilerplate by its name, role or class leaves ``WINDOW`` empty lines. Text lengths are summed over a
 sliding window of ``WINDOW`` lines. Where that sum rises from zero is a surge point, where it falls back to zero a dive
-point; the text between belongs together. In a page with an article or main element the blocks inside it are kept, all of
-them; without one, lines that are mostly links count as empty and the blocks kept are those that peak at ``DENSE``
+point; the text between belongs together. In a page with article or main elements the blocks inside any of them are kept, all
+of them; without one, lines that are mostly links count as empty and the blocks kept are those that peak at ``DENSE``
 characters, all between the first and the last of these, and those that share their container (the body is one, too) with
 one of these; where no block is that dense, all are.
 """
@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 
 WINDOW = 3
 DENSE = 40  # window sum of a dense block (pages without an article element)
-PEAK = 0.2
 LINKS = 0.6  # share of link text from which a line counts as empty there
 
 # Element names of the HTML standard.
@@ -203,14 +202,8 @@ def blocks(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int
 def main_text(page: str | None) -> str:
     """Main text of a whole page; empty if it has none (null, empty and text-free pages)."""
     rows = lines(page or "")
-    by_main: dict[int, int] = {}
-    for text, _, no, _ in rows:
-        if no:
-            by_main[no] = by_main.get(no, 0) + len(text)
-    if any(by_main.values()):
-        most = max(by_main.values())
-        kept = {no for no, n in by_main.items() if n >= PEAK * most}
-        lengths = [len(text) if no in kept else 0 for text, _, no, _ in rows]
+    if any(text and no for text, _, no, _ in rows):
+        lengths = [len(text) if no else 0 for text, _, no, _ in rows]
         floor = 0
     else:
         lengths = [0 if n and n >= LINKS * len(text) else len(text) for text, n, _, _ in rows]

@@ -76,3 +76,9 @@ def test_paragraphs_are_kept_beside_a_very_long_one(cut, long):
     want = " ".join(f"{b}{a} {b}{c}".split())
     assert T(f"<body><p>{b}</p>{cut}<p>{a}</p>{cut}<p>{b}</p>{cut}<p>{c}</p></body>") == want
     assert T(f"<div><p>{b}</p></div>{cut}<div><p>{a}</p></div>{cut}<div><p>{b}</p>{cut}<p>{c}</p></div>") == want
+
+
+def test_every_main_element_is_kept():
+    long = "word " * 2000
+    page = f"<p>out</p><article><p>Part one.</p></article><article>{long}</article><div role=main>Three.</div><article class=comment>no</article><main>Four.</main>"
+    assert T(page) == f"Part one. {long}Three. Four."
