@@ -4,7 +4,7 @@ Vectors get one more component, sqrt(M^2 - |x|^2) with M the largest norm, queri
 distance is the largest inner product, and the triangle inequality holds. Rows are dealt to shards by a hash of their id;
 each shard builds a vantage-point tree over its distinct vectors. A block of queries walks each tree: a child is skipped
 when ``factor`` times the lower bound of the distance to it exceeds the query's k-th nearest distance so far. Factor one
-is exact; larger factors skip more. Each shard's k best per query meet in one aggregation.
+is exact; larger factors skip more. Leaves rank by inner product and then smaller id, distances only prune. Each shard's k best per query meet in one aggregation.
 
 The answers of a shard are of vectors in that shard alone, and the k best of all are among the k best of the shards, so
 sharding itself loses nothing.
@@ -80,37 +80,63 @@ def build(ids: np.ndarray, x: np.ndarray, radius: float, k: int) -> dict:
 
 
 def search(tree: dict, q: np.ndarray, k: int, factor: float) -> np.ndarray:
-    """Positions of each query's k + 8 nearest distinct vectors (-1: fewer), by a walk of all queries together."""
+    """Positions of each query's k + 1 best distinct vectors (-1: fewer), by a walk of all queries together.
+
+    The best have the largest inner products, of equal ones the smallest ids: one more than k, as one may hold the query.
+    """
     p, order, nodes = tree["p"], tree["order"], tree["nodes"]
-    keep = min(k + 8, len(p))  # some more than k: ties in rounding are settled by exact scores
-    best = np.full((len(q), keep), np.inf)
+    x = np.ascontiguousarray(p[:, :-1])
+    first = np.array([own[0] for own in tree["own"]])
+    keep = min(k + 1, len(p))
+    best = np.full((len(q), keep), -np.inf)  # in order, the worst last
     held = np.full((len(q), keep), -1)
-    ql = np.concatenate([q, np.zeros((len(q), 1))], axis=1)
-    qq = (ql * ql).sum(axis=1)
-    pp = (p * p).sum(axis=1)
+    qq, pp = (q * q).sum(axis=1), (p * p).sum(axis=1)
+    unit = 8 * (p.shape[1] + 1) * np.finfo(float).eps  # bounds the relative error of a sum of products
+    qn, xn = np.sqrt(qq), np.sqrt((x * x).sum(axis=1))
+    radius2 = float(pp.max()) if len(pp) else 0.0
+    error = unit * (qq + radius2)  # of a squared distance
+
+    def leaf(at: np.ndarray, active: np.ndarray) -> None:
+        s = q[active] @ x[at].T
+        e = unit * qn[active, None] * xn[None, at]
+        least = best[active, -1]
+        if len(at) >= keep:
+            least = np.maximum(least, np.partition(s - e, len(at) - keep, axis=1)[:, len(at) - keep])
+        high = s + e >= least[:, None]
+        hit = high.any(axis=1)
+        rows, high = active[hit], high[hit]
+        if not len(rows):
+            return
+        # Few vectors are left: their products are taken one by one, so that equal vectors' products are equal.
+        some = np.argsort(~high, axis=1, kind="stable")[:, : int(high.sum(axis=1).max())]
+        own, col = np.nonzero(np.take_along_axis(high, some, 1))
+        where = at[some]
+        exact = np.full(some.shape, -np.inf)
+        for i in range(0, len(own), 65_536):
+            r, c = own[i : i + 65_536], col[i : i + 65_536]
+            exact[r, c] = np.einsum("ij,ij->i", x[where[r, c]], q[rows[r]])
+        both = np.concatenate([best[rows], exact], axis=1)
+        who = np.concatenate([held[rows], where], axis=1)
+        pick = np.lexsort((first[who], -both), axis=1)[:, :keep]
+        best[rows] = np.take_along_axis(both, pick, 1)
+        held[rows] = np.where(best[rows] == -np.inf, -1, np.take_along_axis(who, pick, 1))
 
     def visit(node: int, active: np.ndarray) -> None:
         kind, *rest = nodes[node]
         if kind == "leaf":
-            at = order[rest[0] : rest[1]]
-            d = np.sqrt(np.maximum(qq[active, None] + pp[None, at] - 2 * (ql[active] @ p[at].T), 0.0))
-            hit = (d < best[active].max(axis=1)[:, None]).any(axis=1)
-            rows, d = active[hit], d[hit]
-            if len(rows):
-                both = np.concatenate([best[rows], d], axis=1)
-                who = np.concatenate([held[rows], np.broadcast_to(at, d.shape)], axis=1)
-                pick = np.argpartition(both, keep - 1, axis=1)[:, :keep]
-                best[rows], held[rows] = np.take_along_axis(both, pick, 1), np.take_along_axis(who, pick, 1)
+            leaf(order[rest[0] : rest[1]], active)
             return
         v, inner, outer = rest
-        d = np.sqrt(np.maximum(qq[active] + pp[v] - 2 * (ql[active] @ p[v]), 0.0))
+        d = np.sqrt(np.maximum(qq[active] + pp[v] - 2 * (q[active] @ x[v]), 0.0))
         near = np.abs(d - 0.5 * (inner[0] + inner[1])) <= np.abs(d - 0.5 * (outer[0] + outer[1]))
         # Each query goes to its nearer side first; the other side is judged with the distances found there.
         for group, sides in ((near, (inner, outer)), (~near, (outer, inner))):
             rows, dist = active[group], d[group]
             for lo, hi, child in sides:
                 bound = np.maximum(np.maximum(lo - dist, dist - hi), 0.0)
-                go = factor * bound <= best[rows].max(axis=1) + 1e-9
+                worst = np.sqrt(np.maximum(qq[rows] + radius2 - 2 * best[rows, -1], 0.0))
+                slack = 4 * error[rows] / np.maximum(np.minimum(dist, worst), np.sqrt(error[rows]))
+                go = factor * bound <= worst + factor * slack
                 if go.any():
                     visit(child, rows[go])
 

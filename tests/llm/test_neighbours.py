@@ -70,3 +70,34 @@ def test_ties_go_to_the_smaller_id_and_few_rows_give_all(spark):
 
 def test_empty_table(spark):
     assert neighbours.report(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def _ids(ids, v, queries, k):
+    tree = neighbours.build(ids, v, float(np.sqrt((v * v).sum(axis=1)).max()), k)
+    out = []
+    for held, q in zip(neighbours.search(tree, v[queries], k, 1.0), queries, strict=True):
+        at = held[held >= 0]
+        near = [(-s, i) for s, j in zip(np.einsum("ij,j->i", tree["p"][at, :-1], v[q]), at, strict=True) for i in tree["own"][j] if i != ids[q]]
+        out.append([int(i) for _, i in sorted(near)[:k]])
+    return out
+
+
+def _brute_ids(ids, v, queries, k):
+    scores = [np.einsum("ij,j->i", v, v[q]) for q in queries]
+    return [[int(ids[j]) for j in np.lexsort((ids, -s)) if j != q][:k] for s, q in zip(scores, queries, strict=True)]
+
+
+def test_ties_of_many_distinct_vectors_go_to_the_smaller_ids():
+    rng = np.random.default_rng(6)
+    v = np.unique(rng.integers(0, 2, size=(6000, 16)), axis=0).astype(float)
+    v = v[v.any(axis=1)]
+    ids, queries = rng.permutation(len(v)), np.arange(0, len(v), 100)
+    assert _ids(ids, v, queries, 20) == _brute_ids(ids, v, queries, 20)
+
+
+def test_one_row_of_a_huge_norm_hides_no_others():
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(3000, 8))
+    v[17] *= 1e8
+    ids, queries = rng.permutation(len(v)), np.arange(0, len(v), 50)
+    assert _ids(ids, v, queries, 20) == _brute_ids(ids, v, queries, 20)
