@@ -1,6 +1,7 @@
 """Secret scan with a random forest that removes false positives.
 
-Every unbroken run of 16 or more key-like characters is a finding. A random forest, trained on labelled findings, judges it
+Every unbroken run of 16 or more key-like characters is a finding, and so is the whole value assigned to a key word,
+whatever its length and characters. A random forest, trained on labelled findings, judges it
 by its length, the transitions between character classes, how much of it dictionary words cover (words that enough of the
 documents hold), the path or address it stands in, and the words beside it. Only DataFrame functions and the JVM's
 random forest are used.
@@ -29,6 +30,15 @@ KEEP = 0.5  # probability from which a finding is a secret
 FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|glpat-[A-Za-z0-9_-]{20})$"
 KEY_WORDS = r"(?i)(passw|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer)"
 OTHER_WORDS = r"(?i)(sha\d*|md5|commit|hash|uuid|guid|checksum|digest|version|isbn|order|card|phone)"
+_ASSIGNS = KEY_WORDS + r"""\w*+['"]?\s*+[:=]"""
+# An assignment in a token: its head (a mark stands for a key word in the tokens before) and its value, which ends at its
+# closing quote, before the next assignment, or with the token.
+_MARK = "\x01"
+_HEAD = rf"""(?:{_MARK}|{KEY_WORDS[4:]}\w*+['"]?[:=])[:=>]*+"""
+_VALUE = rf"""(?i)({_HEAD})("[^"]++"|'[^']++'|.+?(?=[;&,]\w++['"]?[:=]|[;,]*+$))"""
+# A value that is a list of named runs only: the runs are findings already.
+_NAMED_RUN = r"\w++[:=][A-Za-z0-9+/_-]{16,}+={0,2}(?:[;&,]|$)"
+PHRASE = 64  # tokens behind its first one in which the closing quote of a quoted value is looked for
 
 FEATURES = (
     "length class_runs vowel_runs distinct digits uppers coverage slashes dots in_url in_address key_beside other_beside assigned quoted".split()
@@ -42,12 +52,23 @@ def _tokens(text: Column) -> Column:
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, place, ord, value, before, beside, after): each run, its token number, what stands before it in its token,
-    the two tokens to its left and the one to its right. Null and empty texts have none.
+    the two tokens to its left and the one to its right; then (``assigned_whole``) each value assigned to a key word that
+    is more or less than a run, without its quotes. Null and empty texts have none.
     """
-    tok = docs.select(F.col(id_col).alias("doc_id"), _tokens(F.col(text_col)).alias("t"))
-    hits = F.filter(
-        F.transform("t", lambda x, i: F.when((F.length(x) >= 16) & x.rlike(RUN), i)), lambda i: i.isNotNull()
+    tok = docs.select(
+        F.col(id_col).alias("doc_id"), _tokens(F.col(text_col)).alias("t"), F.coalesce(F.col(text_col).rlike(_ASSIGNS), F.lit(False)).alias("assigns")
     )
+    run = lambda x: (F.length(x) >= 16) & x.rlike(RUN)
+    named = lambda i: F.when(i >= 1, F.get("t", i - 1)).otherwise("")
+    valued = lambda z: z["x"].rlike(rf"(?i){_HEAD}.") | _assigned_before(z["x"], z["l"], z["l2"])
+    odd = lambda x, quote: (F.length(x) - F.length(F.translate(x, quote, ""))) % 2 == 1
+    # Tokens with the two before them: a look at another token inside the lambda would split the text anew for each token.
+    blank = F.array(F.lit(""))
+    pairs = F.zip_with("t", F.concat(blank, "t"), lambda x, l: F.struct(x.alias("x"), l.alias("l")))
+    threes = F.zip_with(pairs, F.concat(blank, blank, "t"), lambda z, l2: F.struct(z["x"].alias("x"), z["l"].alias("l"), l2.alias("l2")))
+    valued_at = F.filter(F.transform(threes, lambda z, i: F.when(valued(z), i)), lambda i: i.isNotNull())
+    runs_at = F.filter(F.transform("t", lambda x, i: F.when(run(x), i)), lambda i: i.isNotNull())
+    hits = F.array_sort(F.array_union(runs_at, F.when(F.col("assigns"), valued_at).otherwise(F.array().cast("array<int>"))))
     held = tok.withColumn("hits", hits).filter(F.size("hits") > 0)
     near = F.transform(
         "hits",
@@ -56,20 +77,61 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             F.get("t", i).alias("token"),
             F.concat_ws(" ", F.when(i >= 2, F.get("t", i - 2)), F.when(i >= 1, F.get("t", i - 1))).alias("beside"),
             F.coalesce(F.get("t", i + 1), F.lit("")).alias("after"),
+            F.when(F.col("assigns"), F.coalesce(_assigned_before(F.get("t", i), named(i), F.when(i >= 2, F.get("t", i - 2)).otherwise("")), F.lit(False)))
+            .otherwise(False)
+            .alias("marked"),
+            F.when(
+                F.col("assigns") & (odd(F.get("t", i), '"') | odd(F.get("t", i), "'")),
+                F.array_join(F.slice("t", i + 2, F.lit(PHRASE)), " "),
+            )
+            .otherwise("")
+            .alias("more"),
         ),
     )
-    one = held.select("doc_id", F.explode(near).alias("n")).select("doc_id", "n.*")
-    runs = one.select("*", F.posexplode(F.regexp_extract_all("token", F.lit(RUN), F.lit(0))).alias("ord", "value"))
-    return runs.withColumn("before", F.substring("token", F.lit(1), F.instr("token", F.col("value")) - 1))
+    one = held.select("doc_id", "assigns", F.explode(near).alias("n")).select("doc_id", "assigns", "n.*")
+    runs = F.when(run(F.col("token")), F.regexp_extract_all("token", F.lit(RUN), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    # The closing quote in the tokens behind; without one the value ends with the token.
+    open_quote = F.regexp_extract("token", rf"""(?i)(?:{_HEAD}|^[:=>]*+)(["'])(?!.*\2)""", 2)
+    phrase = F.when(open_quote == '"', F.regexp_extract("more", r'^[^"]*+"', 0)).when(open_quote == "'", F.regexp_extract("more", r"^[^']*+'", 0)).otherwise("")
+    whole = F.concat(F.when(F.col("marked"), F.lit(_MARK)).otherwise(""), "token", F.when(phrase != "", F.concat(F.lit(" "), phrase)).otherwise(""))
+    values = F.when(F.col("assigns"), F.regexp_extract_all(whole, F.lit(_VALUE), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    one = one.withColumn("runs", runs).withColumn("values", values)
+    bare = lambda x: F.regexp_replace(x, rf"""(?i)^{_HEAD}""", "")
+    plain = lambda x: F.regexp_replace(bare(x), r"""^["'`]|["'`]$""", "")
+    head = lambda x: F.translate(F.substring(x, F.lit(1), F.length(x) - F.length(bare(x))), _MARK, "")
+    parts = F.transform(
+        "values",
+        lambda x: F.struct(plain(x).alias("value"), F.concat(head(x), F.regexp_extract(bare(x), r"""^["'`]""", 0)).alias("before")),
+    )
+    parts = F.filter(parts, lambda x: (x["value"] != "") & ~F.array_contains("runs", x["value"]) & (F.regexp_replace(x["value"], _NAMED_RUN, "") != ""))
+    own = F.transform(
+        "runs", lambda x: F.struct(x.alias("value"), F.substring("token", F.lit(1), F.instr("token", x) - 1).alias("before"), F.lit(False).alias("assigned_whole"))
+    )
+    more = F.transform("parts", lambda x: F.struct(x["value"].alias("value"), x["before"].alias("before"), F.lit(True).alias("assigned_whole")))
+    out = one.withColumn("parts", parts).select(
+        "doc_id", "place", "token", "beside", "after", F.posexplode(F.concat(own, more)).alias("ord", "one")
+    )
+    return out.select("doc_id", "place", "token", "beside", "after", "ord", "one.value", "one.before", "one.assigned_whole")
+
+
+def _assigned_before(token: Column, left: Column, left2: Column) -> Column:
+    """Does the token hold a value whose key word, or key word and sign, are the tokens before it?"""
+    key = rf"""(?i){KEY_WORDS[4:]}\w*+['"]?"""
+    sign = left.rlike(r"^[:=]+$")
+    ends = left.rlike(key + r"[:=]+$") | sign & left2.rlike(key + "$")
+    return ends & ~token.rlike(r"^[:=]+$") | token.rlike(r"^[:=]+[^:=]") & left.rlike(key + "$")
 
 
 def labelled(found: DataFrame) -> DataFrame:
     """Findings with ``label``: 1 for a published credential format or a value assigned to a key word, else 0.
 
+    A whole assigned value that is no run needs letters and other characters besides ("author: Smith" is none).
+
     This stands in for reviewed findings where there are none; :func:`fit` takes any table with such a column.
     """
     assigned = F.concat_ws(" ", "beside", "before").rlike(KEY_WORDS + r"""\w*['"]?\s*[:=]\s*['"]?$""")
-    return found.withColumn("label", (F.col("value").rlike(FORMATS) | assigned).cast("int"))
+    mixed = (F.length("value") >= 6) & F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]|[a-z][^A-Za-z0-9]+[A-Z]")
+    return found.withColumn("label", (F.col("value").rlike(FORMATS) | F.when(F.col("assigned_whole"), mixed).otherwise(assigned)).cast("int"))
 
 
 def _runs_of(classes: Column) -> Column:

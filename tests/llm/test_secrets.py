@@ -73,3 +73,26 @@ def test_scoring_works_in_a_session_that_has_used_observations(spark, corpus):
     corpus.observe(seen, F.count(F.lit(1)).alias("n")).collect()
     assert seen.get["n"] == 600
     assert secrets.report(corpus).count() == len(secrets.report(corpus).collect())
+
+
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("password=hunter2xyz", "hunter2xyz"),
+        ("pwd: Tr0ub4dor&3!kX.9z", "Tr0ub4dor&3!kX.9z"),
+        ("the token = ab.cd.ef, then", "ab.cd.ef"),
+        ("secret :a:b:c", "a:b:c"),
+        ('"api_key":"k$1",', "k$1"),
+        ("x=1;password=abcdefgh12345678!$z;y=2", "abcdefgh12345678!$z"),
+        ("auth_token='two words here' next", "two words here"),
+        ("PASSWORD=x", "x"),
+    ],
+)
+def test_whole_values_assigned_to_key_words_are_findings(spark, text, value):
+    rows = secrets.findings(spark.createDataFrame([(1, f"so {text}")], "doc_id long, text string")).collect()
+    assert [r["value"] for r in rows if r["assigned_whole"]] == [value]
+
+
+def test_other_words_give_no_findings(spark):
+    rows = secrets.findings(spark.createDataFrame([(1, "the password was lost: no one = x knows"), (2, "secret: "), (3, "a=b")], "doc_id long, text string"))
+    assert rows.collect() == []
