@@ -182,10 +182,13 @@ def features(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataF
 def fit(judged: DataFrame, per_class: int = PER_CLASS):
     """A random forest on a bounded sample of the findings with features and ``label``; None without both classes.
 
-    The sample takes distinct rows by a hash of value and place, ``per_class`` of either class at most.
+    The sample takes distinct rows (a value with the same words and features counts once, however often it is copied) by a
+    hash of value and context, ``per_class`` of either class at most.
     """
     cols = ["label", *FEATURES]
-    order = [F.xxhash64("value", "beside", "after"), "value", "beside", "after", "doc_id", "place", "ord"]
+    context = ["value", "beside", "after", "before"]
+    order = [F.xxhash64(*context), *context, *FEATURES]
+    judged = judged.select(*cols, *context).distinct()
     sample = None
     for c in (0, 1):
         own = judged.filter(F.col("label") == c).orderBy(*order).limit(per_class).select(*cols)

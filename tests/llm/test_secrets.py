@@ -96,3 +96,22 @@ def test_whole_values_assigned_to_key_words_are_findings(spark, text, value):
 def test_other_words_give_no_findings(spark):
     rows = secrets.findings(spark.createDataFrame([(1, "the password was lost: no one = x knows"), (2, "secret: "), (3, "a=b")], "doc_id long, text string"))
     assert rows.collect() == []
+
+
+def test_copies_do_not_push_distinct_findings_out_of_the_fit(corpus, monkeypatch):
+    from pyspark.sql import functions as F
+
+    judged = secrets.features(corpus, secrets.labelled(secrets.findings(corpus))).cache()
+    n = {r["label"]: r["count"] for r in judged.groupBy("label").count().collect()}
+    copied = judged.limit(40).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(99)))).drop("copy")
+    sizes = []
+    kept = secrets.stored
+
+    def seen(df):
+        out = kept(df)
+        sizes.append({r["label"]: r["count"] for r in out.groupBy("label").count().collect()})
+        return out
+
+    monkeypatch.setattr(secrets, "stored", seen)
+    assert secrets.fit(judged.unionByName(copied), per_class=10_000) is not None
+    assert sizes[0] == n
