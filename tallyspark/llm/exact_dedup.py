@@ -78,7 +78,7 @@ def mark(
         again = again.join(F.broadcast(repeated), "k", "left_semi")
     collided = stored(again.groupBy("k", "t").agg(F.lit(1).alias("one")).groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k"))
     if collided.isEmpty():
-        return _decided(thin.join(small(groups, broadcast_keys), "k", "left"))
+        return _decided(thin.join(small(groups), "k", "left"))
     true_groups = groups.join(collided, "k", "left_anti")
     single = thin.join(collided, "k", "left_anti").join(true_groups, "k", "left")
     mixed = _placed(stored(texts.join(collided, "k", "left_semi").select("doc_id", "k", "t", digest, *(["row"] if whole else []))))
