@@ -7,7 +7,6 @@ whole tables. Output money is DOUBLE, counts BIGINT.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from tallyspark.plans import params as P
 from tallyspark.plans import views
 from tallyspark.sources import binding, files, runlog, schema, staging
 from tallyspark.sources.binding import LINE_ORDER
-from tallyspark.sources.persisted import prune, tables_root
+from tallyspark.sources.shared import fresh
 from tallyspark.sources.tables import table
 from tallyspark.streaming import copy as stream_copy
 
@@ -52,10 +51,13 @@ def _named(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda spark, d: build(_sales(spark, d), binding.dimension_table(spark, d, "customers", model.customers))
 
 
+def _star_customers(s: DataFrame) -> DataFrame:
+    return model.dim_customers(s, created_at=F.lit(P.LOAD_TIME).cast("timestamp_ntz"))
+
+
 def _star_dims(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    stamp = F.lit(P.LOAD_TIME).cast("timestamp_ntz")
     return (
-        binding.dimension_table(spark, d, "star-customers", lambda s: model.dim_customers(s, created_at=stamp)),
+        binding.dimension_table(spark, d, "star-customers", _star_customers),
         binding.dimension_table(spark, d, "star-products", model.dim_products),
     )
 
@@ -74,9 +76,7 @@ def _hot_geographies(s: DataFrame) -> DataFrame:
 
 def _scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder; those of earlier runs go after a day."""
-    root = f"{tables_root(spark)}/files"
-    prune(spark, root)
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return fresh(spark, "files", name)
 
 
 def _f_metadata(spark: SparkSession, d: str) -> DataFrame:

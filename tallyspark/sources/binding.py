@@ -92,18 +92,28 @@ def sales_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Data
     Reading the written table also gives reports a scan that splits by
     file, and keeps the join out of every report's plan.
     """
-    return spark.read.parquet(_sales_location(spark, sf_dir, rebuild)).select(*SALES_COLUMNS)
+    return persisted(spark, "sales", **_sales_options(spark, sf_dir, rebuild)).select(*SALES_COLUMNS)
 
 
-def _sales_location(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
-    sources = _sources(sf_dir, SALES_SOURCES)
-    return location(spark, "sales", sources, lambda: sales(spark, sf_dir), rebuild=rebuild, sort_within=("order_date",))
+def _sales_options(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> dict:
+    return {
+        "sources": _sources(sf_dir, SALES_SOURCES),
+        "build": lambda: sales(spark, sf_dir),
+        "rebuild": rebuild,
+        "sort_within": ("order_date",),
+        "remember": sf_dir,
+    }
 
 
 def dimension_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A dimension of ``sales`` written once per version of that table, for the queries that join it."""
-    path = _sales_location(spark, sf_dir)
-    return persisted(spark, f"dim-{name}", [path], lambda: build(spark.read.parquet(path).select(*SALES_COLUMNS)))
+    """A dimension of ``sales`` written once per version of that table, for the queries that join it.
+
+    A ``build`` that is a function of a module (not one made on the way) is remembered by its name.
+    """
+    path = location(spark, "sales", **_sales_options(spark, sf_dir))
+    own = getattr(build, "__qualname__", "<")
+    remember = None if "<" in own else (build.__module__, own)
+    return persisted(spark, f"dim-{name}", [path], lambda: build(spark.read.parquet(path).select(*SALES_COLUMNS)), remember=remember)
 
 
 # Foreign keys of the given tables, child column and parent column.
@@ -264,7 +274,7 @@ def catalog_file(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Dat
     """The catalogue as a CSV file (how the cleaning job receives it), written once per source version."""
     path = location(
         spark, "catalog-csv", _sources(sf_dir, ("part",)), lambda: catalog_dirty(spark, sf_dir),
-        rebuild=rebuild, csv_schema=CATALOG_FILE_SCHEMA,
+        rebuild=rebuild, csv_schema=CATALOG_FILE_SCHEMA, remember=sf_dir,
     )
     return _typed_file(spark, path, CATALOG_FILE_SCHEMA)
 
@@ -281,5 +291,5 @@ def retail_file_location(spark: SparkSession, sf_dir: str, rebuild: bool = False
     """Folder of the transaction CSV file (written first if needed)."""
     return location(
         spark, "retail-csv", _sources(sf_dir, RETAIL_SOURCES), lambda: retail_dirty(spark, sf_dir),
-        rebuild=rebuild, csv_schema=RETAIL_FILE_SCHEMA,
+        rebuild=rebuild, csv_schema=RETAIL_FILE_SCHEMA, remember=sf_dir,
     )

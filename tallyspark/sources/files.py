@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyspark.functions.text import NULL_TOKENS, null_tokens_to_null
+from tallyspark.sources import records
 from tallyspark.sources.schema import layout
+from tallyspark.sources.shared import file_rows, hadoop_fs, written
 
 # Standard quoting: a quote inside a quoted value is doubled, a quoted value may span lines, text is kept verbatim.
-# Files with values over several lines are not split: one task reads one file, so writers bound the rows of a file.
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
@@ -22,6 +23,7 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 MAX_ROWS_PER_FILE = 5_000_000
+ONE_LINE = "_ONE_LINE"  # marker in a folder whose files hold one record a line; kept by those who write the folder
 
 
 def text_schema(schema: StructType | str) -> StructType:
@@ -38,6 +40,7 @@ def read_delimited(
     encoding: str = "UTF-8",
     normalise_nulls: bool = True,
     mode: str = "FAILFAST",
+    one_line: bool | None = None,
 ) -> DataFrame:
     """Delimited text scan with header and standard quoting.
 
@@ -46,13 +49,37 @@ def read_delimited(
     (exploration only). A record that doesn't fit the schema fails the scan;
     pass ``mode="PERMISSIVE"`` to get NULLs instead. String columns get
     pandas-style missing-value tokens turned into NULL.
+
+    Files are split however large they are. Whether a record is one line is told by
+    ``one_line`` or a marker of the writer, else found by a scan; then Spark's
+    scan splits them. Files with line breaks inside values are cut into records
+    by ranges (:mod:`tallyspark.sources.records`). One task reads a whole file
+    only without ``schema``, in encodings not like ASCII, with single carriage
+    returns outside quotes, and with ``mode="DROPMALFORMED"``.
     """
+    if one_line is None and schema is not None and records.splittable(encoding):
+        if (lambda p, fs: fs.exists(p))(*hadoop_fs(spark, f"{path.rstrip('/')}/{ONE_LINE}")):
+            one_line = True
+        else:
+            found = records.shape(spark, path, sep, encoding)
+            one_line = found.lines_are_records
+            if not one_line and not found.stray_returns and mode != "DROPMALFORMED":
+                df = records.read_records(
+                    spark, path, layout(schema), CSV_OPTIONS, lambda x: written(x, "records"), sep, header, encoding, mode
+                )
+                return normalised(df) if normalise_nulls else df
     reader = spark.read.options(**CSV_OPTIONS).option("header", header).option("sep", sep).option("encoding", encoding)
-    reader = reader.option("mode", mode)
+    reader = reader.option("mode", mode).option("multiLine", not one_line)
     df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
     return normalised(df) if normalise_nulls else df
 
 
+def mark_one_line(spark: SparkSession, path: str) -> None:
+    """Say that every file in the folder holds one record a line."""
+    p, fs = hadoop_fs(spark, f"{path.rstrip('/')}/{ONE_LINE}")
+    fs.create(p, True).close()
+
+
 def normalised(df: DataFrame) -> DataFrame:
     """String columns with missing-value tokens as NULL."""
     return df.select(
@@ -78,8 +105,7 @@ def file_metadata(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
     Only metadata columns are selected, so file contents are never read.
     """
-    scan = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    return scan.load(path).select("path", "length", "modificationTime")
+    return file_rows(spark, [path], glob)
 
 
 def _row_hash(df: DataFrame, cols: list[str]) -> Column:

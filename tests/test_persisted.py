@@ -92,3 +92,64 @@ def test_csv_table_round_trip(spark, tmp_path, name):
     spark.createDataFrame([(1, " a "), (2, None), (3, 'say "hi", ok'), (4, "two\nlines")], "id int, t string").write.parquet(src)
     out = persisted.persisted(spark, name, [src], lambda: spark.read.parquet(src), csv_schema="id int, t string")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, spark.read.parquet(src).collect()))
+
+
+def test_plans_that_differ_past_the_columns_that_are_printed(spark, src, name):
+    """Forty columns: builders that differ in the 36th, as a column and inside one expression of forty arguments."""
+
+    def wide(value):
+        return lambda: spark.range(3).select(*[(F.lit(value) * F.col("id") if i == 36 else F.col("id") + i).alias(f"c{i}") for i in range(40)])
+
+    def deep(value):
+        return lambda: spark.range(3).select(F.array(*[F.col("id") * (value if i == 36 else i) for i in range(40)]).alias("a"))
+
+    sums = [persisted.persisted(spark, name, [src], wide(v)).agg(F.sum("c36")).first()[0] for v in (2, 99)]
+    assert sums == [6, 297]
+    sums = [persisted.persisted(spark, f"{name}-deep", [src], deep(v)).agg(F.sum(F.col("a")[36])).first()[0] for v in (2, 99)]
+    assert sums == [6, 297]
+    assert persisted.location(spark, name, [src], wide(2)) == persisted.location(spark, name, [src], wide(2))
+
+
+def test_a_remembered_builder_is_planned_once_per_version_of_its_sources(spark, src, name):
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(src)
+
+    for _ in range(3):
+        assert persisted.persisted(spark, name, [src], build, remember="region").count() == 5
+    assert len(calls) == 1
+    spark.read.parquet(f"{SF_SMALL}/nation.parquet").write.mode("overwrite").parquet(src)
+    assert persisted.persisted(spark, name, [src], build, remember="region").count() == 25
+    assert persisted.persisted(spark, name, [src], build, remember="region", rebuild=True).count() == 25
+    assert len(calls) == 3
+
+
+def test_many_source_files_are_digested_by_a_job(spark, tmp_path):
+    from tallyspark.sources import shared
+
+    deep = tmp_path / "a" / "p=1"
+    deep.mkdir(parents=True)
+    for i in range(5):
+        (deep / f"f-{i}").write_text(str(i))
+        os.utime(deep / f"f-{i}", (1_000_000, 1_000_000))
+    for listed in (10, 2):
+        kept = shared.source_digest(spark, [str(tmp_path / "a")], listed)
+        assert shared.source_digest(spark, [str(tmp_path / "a")], listed) == kept
+        os.utime(deep / "f-3", (2_000_000 + listed, 2_000_000))
+        changed = shared.source_digest(spark, [str(tmp_path / "a")], listed)
+        (deep / "f-9").write_text("x")
+        assert len({kept, changed, shared.source_digest(spark, [str(tmp_path / "a")], listed)}) == 3
+        (deep / "f-9").unlink()
+        os.utime(deep / "f-3", (1_000_000, 1_000_000))
+
+
+def test_csv_tables_say_whether_a_record_is_a_line(spark, tmp_path, name):
+    from tallyspark.sources.files import ONE_LINE
+
+    src = str(tmp_path / "src")
+    for rows, one_line in ((["a", "b,c", 'd"'], True), (["a", "b\nc"], False), (["a", "b\rc"], False), (["a", " "], False), (["a", None], False)):
+        spark.createDataFrame([(r,) for r in rows], "t string").write.mode("overwrite").parquet(src)
+        path = persisted.location(spark, name, [src], lambda: spark.read.parquet(src), csv_schema="t string")
+        assert os.path.exists(f"{path.removeprefix('file:')}/{ONE_LINE}") == one_line
