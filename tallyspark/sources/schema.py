@@ -91,14 +91,21 @@ def align_to(df: DataFrame, schema: str | StructType, defaults: Mapping[str, Col
     return df.select(*cols)
 
 
-def append_by_name(df: DataFrame, path: str, schema: str | StructType, defaults: Mapping[str, Column] | None = None) -> None:
-    """Insert by name; a NULL in a NOT NULL column fails the insert, and nothing of it is committed."""
+def checked_rows(df: DataFrame, schema: str | StructType, defaults: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows aligned to a layout by name; a NULL in a NOT NULL column fails the job that reads them."""
     schema = layout(schema)
-    aligned = align_to(df, schema, defaults)
     checked = [
         F.coalesce(F.col(f.name), F.raise_error(F.lit(f"NULL in NOT NULL column {f.name}")).cast(f.dataType)).alias(f.name)
         if not f.nullable
         else F.col(f.name)
         for f in schema.fields
     ]
-    aligned.select(*checked).write.mode("append").parquet(path)
+    return align_to(df, schema, defaults).select(*checked)
+
+
+def append_by_name(df: DataFrame, path: str, schema: str | StructType, defaults: Mapping[str, Column] | None = None) -> None:
+    """Insert by name; a NULL in a NOT NULL column fails the insert, and nothing of it is committed.
+
+    A second call adds the rows again; :func:`tallyspark.sources.ledger.append_batch` adds a batch once.
+    """
+    checked_rows(df, schema, defaults).write.mode("append").parquet(path)

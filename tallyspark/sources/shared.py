@@ -8,7 +8,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.session import ensure_checkpoint_dir
@@ -69,6 +69,11 @@ def file_rows(spark: SparkSession, paths: Sequence[str], glob: str = "*") -> Dat
     return scan.load(list(paths)).select("path", "length", "modificationTime")
 
 
+def scanned_file() -> Column:
+    """The path of the file that a scan's row comes from, as listings name it (the metadata column escapes it)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def _listing(spark: SparkSession, path: str) -> list[str]:
     """Path, length and time of the files under ``path`` as texts."""
     p, fs = hadoop_fs(spark, path)
