@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.rounding import round_money, round_ratio
 from tallyspark.functions.text import DATE_FORMATS, clean_text, keyed_int, parse_timestamp, parse_timestamp_multi
 from tallyspark.operators.model import first_by_ordinal
+from tallyspark.operators.rowkeys import distinct_rows, row_counts
 from tallyspark.sources.binding import CATALOG_TEXT_COLUMNS, RETAIL_COLUMNS
 
 # Fill-ins of the catalogue clean-up.
@@ -168,7 +169,7 @@ def price_stats(retail: DataFrame, column: str = "unit_price") -> DataFrame:
 
 def region_revenue(retail: DataFrame) -> DataFrame:
     """Exact-duplicate drop, missing amounts as 0, clean region, revenue per region."""
-    rows = retail_rows(retail).dropDuplicates()
+    rows = distinct_rows(retail_rows(retail))
     filled = fill_missing(rows, {"purchase_amount": 0})
     return (
         filled.groupBy(clean_text("region").alias("region_clean"))
@@ -188,14 +189,7 @@ def row_audit(retail: DataFrame, id_column: str = "transaction_id") -> DataFrame
     """Total rows, exact duplicate rows (beyond the first copy) and rows blank except the id."""
     rows = retail_rows(retail)
     others = [c for c in rows.columns if c != id_column]
-    blank = F.coalesce(*[F.col(c).cast("string") for c in others]).isNull()
-    groups = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"), F.max(blank.cast("int")).alias("_blank"))
-    return groups.agg(
-        F.sum("_n").cast("bigint").alias("total_rows"),
-        (F.sum("_n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"),
-        F.sum(F.col("_n") * F.col("_blank")).cast("bigint").alias("blank_rows"),
-    )
-
+    return row_counts(rows, F.coalesce(*[F.col(c).cast("string") for c in others]).isNull())
 
 
 # ------------------------------------------------------------- exploration

@@ -30,3 +30,5 @@ LOAD_TIME = "2025-01-01 00:00:00"  # fixed created_at so repeated loads compare
 PREVIEW_ROWS = 5
 MIN_NON_NULL = 10  # of the catalogue's 11 data columns
 LOST_EVERY = 10  # customers left out of the load that must not verify
+DAMAGED_EVERY = 199  # order keys whose lines are damaged in the copy that must not verify
+ORACLE_DIR = "/root/testdata/sf0.01"  # where the correctness run finds the given tables

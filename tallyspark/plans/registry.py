@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tallyspark.operators import analytics, checks, clean, model, reports
+from tallyspark.operators import analytics, checks, clean, hashtree, keybits, model, partials, reports
 from tallyspark.plans import params as P
 from tallyspark.plans import views
-from tallyspark.sources import binding, files, runlog, schema, staging
+from tallyspark.sources import binding, files, ledger, manifest, runlog, schema, staging
 from tallyspark.sources.binding import LINE_ORDER
-from tallyspark.sources.shared import fresh
+from tallyspark.sources.shared import fresh, hadoop_fs
+from tallyspark.sources.statistics import read_footers
 from tallyspark.sources.tables import table
 from tallyspark.streaming import copy as stream_copy
 
@@ -80,6 +81,13 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def _f_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Path, length and time (whole seconds) of every file of the given tables."""
+    listed = files.file_metadata(spark, d, "*.parquet")
+    path = F.regexp_replace("path", "^file:/+", "/")
+    return listed.select(path.alias("path"), "length", F.date_trunc("second", "modificationTime").cast("timestamp_ntz").alias("modificationTime"))
+
+
+def _f_parts_listed(spark: SparkSession, d: str) -> DataFrame:
     """The transaction file: rows in its parts, and whether the file listing names every part that has rows."""
     path = binding.retail_file_location(spark, d)
     listed = files.file_metadata(spark, path, "*.csv").filter("length > 0").select(F.element_at(F.split("path", "/"), -1).alias("part"))
@@ -91,6 +99,103 @@ def _f_metadata(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _order_files(spark: SparkSession, d: str, path: str, keep) -> None:
+    """Orders as text files, a folder per priority; only the folders of the rows that are kept are written."""
+    named = F.concat_ws(",", "o_orderkey", "o_custkey", "o_totalprice").alias("value")
+    rows = table(spark, d, "orders").withColumn("kind", F.substring("o_orderpriority", 1, 1)).filter(keep)
+    rows = rows.select(named, "kind").repartition("kind").sortWithinPartitions("kind", "value")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind").text(path)
+
+
+def _f_copy_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Two copies of a file set; in between one file changes, one comes and one goes. Files and lines per status."""
+    source, dest, snaps = (_scratch(spark, f"changes-{x}") for x in ("src", "dst", "snapshots"))
+    kind = F.col("kind")
+    _order_files(spark, d, source, kind != "5")
+    manifest.copy_changes(spark, source, dest, snaps, "*.txt", contents=True)
+    p, fs = hadoop_fs(spark, f"{source}/kind=1")
+    fs.delete(p, True)
+    _order_files(spark, d, source, (kind == "5") | ((kind == "2") & (F.col("o_orderkey") % 2 == 0)))
+    rows = manifest.copy_changes(spark, source, dest, snaps, "*.txt", contents=True)
+    # A file that is written again has a new name: the old one has vanished, the new one is new.
+    folder = F.regexp_extract("path", "kind=([^/]*)", 1)
+    return rows.groupBy(folder.alias("kind"), "status").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("source_lines").alias("source_lines"), F.sum("dest_lines").alias("dest_lines"), F.min("matched").alias("matched")
+    )
+
+
+LINE_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
+
+def _f_copy_damage(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines against a copy with a few damaged values: the keys of the damaged lines, found by digest trees."""
+    lines = table(spark, d, "lineitem")
+    hit = F.col("l_orderkey") % P.DAMAGED_EVERY == 0
+    path = _scratch(spark, "damaged")
+    lines.withColumn("l_quantity", F.when(hit, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))).write.parquet(path)
+    return hashtree.locate(lines, spark.read.schema(lines.schema).parquet(path), list(LINE_KEYS))
+
+
+def _append_once(spark: SparkSession, d: str) -> DataFrame:
+    """Two batches, the first inserted twice: rows per batch."""
+    path = _scratch(spark, "once")
+    layout = "customer_key BIGINT NOT NULL, customer_name STRING NOT NULL, loyalty_tier STRING"
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("customer_key"), F.col("c_name").alias("customer_name"))
+    even = F.col("customer_key") % 2 == 0
+    for rows, batch in ((c.filter(even), "even"), (c.filter(~even), "odd"), (c.filter(even), "even")):
+        ledger.append_batch(rows, path, layout, batch, {"loyalty_tier": F.lit("Standard")})
+    return ledger.read_table(spark, path, layout).groupBy("batch_id", "loyalty_tier").agg(F.count(F.lit(1)).alias("rows"), F.sum("customer_key").alias("key_sum"))
+
+
+def _refreshed_states(spark: SparkSession, d: str) -> DataFrame:
+    """Partial states of the sales table by month, refreshed after rows have come to its first month."""
+    source, state, snaps = (_scratch(spark, f"states-{x}") for x in ("rows", "state", "snapshots"))
+    rows = _sales(spark, d).withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
+    first = rows.agg(F.min("order_month")).scalar()
+    late = (F.col("order_month") == first) & (F.col("line_number") > 1)
+
+    def put(part: DataFrame) -> None:
+        part.repartitionByRange("order_month").write.mode("append").partitionBy("order_month").parquet(source)
+
+    for part in (rows.filter(~late), rows.filter(late)):
+        put(part)
+        done = partials.refresh(spark, source, rows.schema, "order_month", state, snaps, partials.SALES, partials.with_losses)
+    return done.state
+
+
+def _distinct_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct counts from merged sketches beside the exact ones: whether they agree within four standard errors."""
+    state = partials.states(partials.with_losses(_sales(spark, d)).withColumn("order_month", F.date_format("order_date", "yyyy-MM")), "order_month", partials.SALES)
+    exact = reports.distinct_profile(_sales(spark, d))
+    names = dict(zip(partials.SALES.distinct, ("unique_customers", "unique_orders", "unique_products", "regions", "categories", "states"), strict=True))
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(out).alias("exact")) for c, out in names.items()]
+    both = exact.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").join(partials.distinct_estimates(state), "column_name")
+    return both.select("column_name", "exact", (F.abs(F.col("estimate") - F.col("exact")) <= F.lit(4 * partials.SKETCH_ERROR) * F.col("exact")).alias("within_bound"))
+
+
+def _orphans(spark: SparkSession, d: str) -> DataFrame:
+    """Foreign keys of the given tables, and of orders with a known share of broken keys, through key bitmaps."""
+    t = {name: table(spark, d, name) for name in ("customer", "orders", "lineitem")}
+    k = F.col("o_orderkey")
+    broken = t["orders"].withColumn("o_custkey", F.when(k % 17 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey")))
+    return checks.union_checks(
+        [
+            keybits.orphans(t["lineitem"], t["orders"], "l_orderkey", "o_orderkey", "lineitem"),
+            keybits.orphans(t["orders"], t["customer"], "o_custkey", "c_custkey", "orders"),
+            keybits.orphans(broken, t["customer"], "o_custkey", "c_custkey", "orders_broken"),
+        ]
+    )
+
+
+def _drop_any(spark: SparkSession, d: str) -> DataFrame:
+    """One whole row per customer, whichever: each survivor must be a row of the file."""
+    rows = clean.retail_rows(binding.retail_file(spark, d))
+    survivors = clean.drop_duplicates_any(rows, ["customer_id"])
+    found = survivors.withColumn("survivor", F.lit(True)).unionByName(rows.withColumn("survivor", F.lit(False)))
+    per_row = found.groupBy(*rows.columns).agg(F.count_if("survivor").alias("kept"), F.count_if(~F.col("survivor")).alias("rows"))
+    return per_row.filter("kept > 0").select("customer_id", F.col("kept").alias("rows_kept"), (F.col("rows") > 0).alias("is_a_row_of_the_file"))
+
+
 def _f_copy_verify(spark: SparkSession, d: str) -> DataFrame:
     """Copy the transaction CSV file to a fresh folder and compare both sides."""
     source = binding.retail_file_location(spark, d)
@@ -110,10 +215,10 @@ def _queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # ---------------------------------------------------------- reports
         "q_distinct_profile": _report(reports.distinct_profile),
-        "q_date_range": _report(reports.date_range),
+        "q_date_range": lambda s, d: reports.date_range(read_footers(s, binding.sales_location(s, d))),
         "q_region_filter": _report(reports.region_filter, region=P.REGION),
         "q_category_filter": _report(reports.category_filter, category=P.CATEGORY),
-        "q_year_filter": _report(reports.year_filter, year=P.YEAR),
+        "q_year_filter": lambda s, d: reports.year_filter(binding.sales_table(s, d, with_year=True), P.YEAR),
         "q_high_value": _report(reports.high_value, min_sales=P.MIN_SALES, k=P.TOP_K, tiebreak=LINE_ORDER),
         "q_full_price_profit": _report(reports.full_price_profit),
         "q_region_summary": _report(reports.region_summary),
@@ -174,6 +279,14 @@ def _queries() -> dict[str, Query]:
         "f_metadata": _f_metadata,
         "f_copy_verify": _f_copy_verify,
         "f_copy_stream": _f_copy_stream,
+        "f_parts_listed": _f_parts_listed,
+        "f_copy_changes": _f_copy_changes,
+        "f_copy_damage": _f_copy_damage,
+        # ------------------------------- kept states, sketches, key bitmaps
+        "q_region_incremental": lambda s, d: partials.region_summary(_refreshed_states(s, d)),
+        "q_distinct_sketch": _distinct_sketch,
+        "n_append_once": _append_once,
+        "n_orphans_bitmap": _orphans,
         # -------------------------------------------------------- catalogue
         "c_catalog_clean": lambda s, d: clean.catalog_clean(binding.catalog_file(s, d), seed=P.SEED),
         "c_catalog_nulls": lambda s, d: clean.catalog_nulls(binding.catalog_file(s, d)),
@@ -217,7 +330,7 @@ def _queries() -> dict[str, Query]:
         "n_run_log": _run_log,
         "n_stage_flat": _on_sales(_stage_flat),
         "v_fact_view": _fact_view,
-        "r_drop_any": lambda s, d: clean.drop_duplicates_any(binding.retail_file(s, d).select("customer_id"), ["customer_id"]),
+        "r_drop_any": _drop_any,
     }
     return q
 

@@ -86,20 +86,28 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 SALES_SOURCES = ("lineitem", "orders", "customer", "nation", "region", "part")
 
 
-def sales_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+def sales_table(spark: SparkSession, sf_dir: str, rebuild: bool = False, with_year: bool = False) -> DataFrame:
     """``sales`` as a table written once per version of its source files.
 
     Reading the written table also gives reports a scan that splits by
-    file, and keeps the join out of every report's plan.
+    file, and keeps the join out of every report's plan. It stands in folders by
+    year of the order date; ``with_year`` adds that column, ``order_year``.
     """
-    return persisted(spark, "sales", **_sales_options(spark, sf_dir, rebuild)).select(*SALES_COLUMNS)
+    return persisted(spark, "sales", **_sales_options(spark, sf_dir, rebuild)).select(*SALES_COLUMNS, *(["order_year"] if with_year else []))
+
+
+def sales_location(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the written ``sales`` table (written first if needed)."""
+    return location(spark, "sales", **_sales_options(spark, sf_dir))
 
 
 def _sales_options(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> dict:
     return {
         "sources": _sources(sf_dir, SALES_SOURCES),
-        "build": lambda: sales(spark, sf_dir),
+        "build": lambda: sales(spark, sf_dir).withColumn("order_year", F.year("order_date")),
         "rebuild": rebuild,
+        "partition_by": ("order_year",),
+        "range_by": ("order_date",),
         "sort_within": ("order_date",),
         "remember": sf_dir,
     }
@@ -110,7 +118,7 @@ def dimension_table(spark: SparkSession, sf_dir: str, name: str, build: Callable
 
     A ``build`` that is a function of a module (not one made on the way) is remembered by its name.
     """
-    path = location(spark, "sales", **_sales_options(spark, sf_dir))
+    path = sales_location(spark, sf_dir)
     own = getattr(build, "__qualname__", "<")
     remember = None if "<" in own else (build.__module__, own)
     return persisted(spark, f"dim-{name}", [path], lambda: build(spark.read.parquet(path).select(*SALES_COLUMNS)), remember=remember)

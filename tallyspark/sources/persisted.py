@@ -72,6 +72,7 @@ def persisted(
     max_records_per_file: int | None = None,
     csv_schema: str | None = None,
     remember: Hashable = None,
+    range_by: Sequence[str] = (),
 ) -> DataFrame:
     """Read ``name`` from the shared folder, writing it with ``build()`` first if needed (or always, with ``rebuild``).
 
@@ -80,11 +81,13 @@ def persisted(
     files near a gigabyte however large the shuffle partitions are. With
     ``csv_schema`` the table is a delimited text file with a header instead,
     written verbatim and read back with that declared schema, failing on any
-    malformed record. ``remember`` names the builder with all that it depends
+    malformed record. ``range_by`` deals rows to tasks by ranges of these columns,
+    so that folders of a ``partition_by`` column that follows them get few files
+    each. ``remember`` names the builder with all that it depends
     on besides the sources: this process then builds its plan once per version
     of the sources, not per call.
     """
-    folder, schema = _located(spark, name, sources, build, partition_by, rebuild, sort_within, max_records_per_file, csv_schema, remember)
+    folder, schema = _located(spark, name, sources, build, partition_by, rebuild, sort_within, max_records_per_file, csv_schema, remember, range_by)
     path = _versions(spark, folder)[-1]
     if csv_schema is None:
         return spark.read.schema(schema).parquet(path)
@@ -102,16 +105,17 @@ def location(
     max_records_per_file: int | None = None,
     csv_schema: str | None = None,
     remember: Hashable = None,
+    range_by: Sequence[str] = (),
 ) -> str:
     """The folder of the newest version of the table (see :func:`persisted`), built first if there is none."""
-    folder, _ = _located(spark, name, sources, build, partition_by, rebuild, sort_within, max_records_per_file, csv_schema, remember)
+    folder, _ = _located(spark, name, sources, build, partition_by, rebuild, sort_within, max_records_per_file, csv_schema, remember, range_by)
     return _versions(spark, folder)[-1]
 
 
-def _located(spark, name, sources, build, partition_by, rebuild, sort_within, max_records_per_file, csv_schema, remember) -> tuple[str, StructType]:
+def _located(spark, name, sources, build, partition_by, rebuild, sort_within, max_records_per_file, csv_schema, remember, range_by) -> tuple[str, StructType]:
     """The folder that holds the table's versions, one at least, and the table's schema."""
     rows = max_records_per_file or (20_000_000 if csv_schema is None else MAX_ROWS_PER_FILE)
-    options = (tuple(partition_by), tuple(sort_within), rows, csv_schema)
+    options = (tuple(partition_by), tuple(sort_within), rows, csv_schema, tuple(range_by))
     sources_now = source_digest(spark, sources)
     known = (tables_root(spark), name, tuple(sources), options, remember, sources_now)
     if remember is not None and not rebuild and known in _KNOWN and _versions(spark, _KNOWN[known][0]):
@@ -122,6 +126,8 @@ def _located(spark, name, sources, build, partition_by, rebuild, sort_within, ma
     schema = data.schema
     if rebuild or not _versions(spark, folder):
         target = f"{folder}/{time.time_ns():020d}-{uuid.uuid4().hex}"
+        if range_by:
+            data = data.repartitionByRange(*range_by)
         if sort_within:
             data = data.sortWithinPartitions(*sort_within)
         if csv_schema is not None:
@@ -138,11 +144,11 @@ def _located(spark, name, sources, build, partition_by, rebuild, sort_within, ma
                 mark_one_line(spark, target)
         prune(spark, folder, keep=[target])
         prune(spark, f"{tables_root(spark)}/{name}", keep=[folder])
+    # Columns that the table is partitioned by come back last.
+    found = folder, StructType([f for f in schema.fields if f.name not in partition_by] + [schema[c] for c in partition_by])
     if remember is not None:
-        # A file table's columns come back in this order, those it is partitioned by last; all may hold nulls.
-        written = StructType([f for f in schema.fields if f.name not in partition_by] + [schema[c] for c in partition_by])
-        _KNOWN[known] = (folder, written)
-    return folder, StructType([f for f in schema.fields if f.name not in partition_by] + [schema[c] for c in partition_by])
+        _KNOWN[known] = found
+    return found
 
 
 def _breaks_lines(df: DataFrame):

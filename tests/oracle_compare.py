@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
+from tallyspark.plans.params import ORACLE_DIR  # noqa: E402
 from tallyspark.sources.tables import TABLES  # noqa: E402
 
 
@@ -75,7 +76,7 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
     if sql is None:
         out["status"] = "rows-only"
         return out
-    res = con.execute(sql)
+    res = con.execute(sql.replace(ORACLE_DIR, sf_dir))
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     out["oracle_rows"] = len(drows)
