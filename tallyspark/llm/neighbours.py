@@ -4,7 +4,12 @@ Vectors get one more component, sqrt(M^2 - |x|^2) with M the largest norm, queri
 distance is the largest inner product, and the triangle inequality holds. Rows are dealt to shards by a hash of their id;
 each shard builds a vantage-point tree over its distinct vectors. A block of queries walks each tree: a child is skipped
 when ``factor`` times the lower bound of the distance to it exceeds the query's k-th nearest distance so far. Factor one
-is exact; larger factors skip more. Leaves rank by inner product and then smaller id, distances only prune. Each shard's k best per query meet in one aggregation.
+is exact; larger factors skip more. Leaves rank by inner product and then smaller id, distances only prune. Each shard's
+k best per query meet in one aggregation.
+
+What a factor costs depends on the lengths: one long vector makes M large and all distances nearly equal, and then a
+factor a little over one skips most of the tree. So unless a factor is given, ``FACTOR`` is tried on ``SAMPLE`` queries
+against factor one, over all rows, and used only if it finds ``RECALL`` of their neighbours; else the search is exact.
 
 The answers of a shard are of vectors in that shard alone, and the k best of all are among the k best of the shards, so
 sharding itself loses nothing.
@@ -25,6 +30,8 @@ from tallyspark.llm.common import stored
 K = 20
 QUERY_EVERY = 20
 FACTOR = 1.25
+SAMPLE = 64  # queries, the first by a hash, that a factor is tried on
+RECALL = 0.95  # of their neighbours that it must find
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 8192  # queries of a block
 WALK_ROWS = 1024  # queries that walk a tree together
@@ -168,47 +175,70 @@ def _answer(tree_rows: pd.DataFrame, queries: pd.DataFrame, k: int, factor: floa
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
-def search_all(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = FACTOR, shard_rows: int = SHARD_ROWS) -> DataFrame:
+class Forest:
+    """Vectors (vec_id, v), v doubles as :func:`usable` gives them, in shards with a vantage-point tree each."""
+
+    def __init__(self, vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> None:
+        self.k = k
+        vectors = stored(vectors.dropDuplicates(["vec_id", "v"]).withColumn("dim", F.size("v")))
+        norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+        extent = vectors.groupBy("dim").agg(F.count("*").alias("rows"), F.max(norm).alias("radius"))
+        extent = extent.select("dim", "radius", F.ceil(F.col("rows") / F.lit(shard_rows)).cast("int").alias("shards"))
+        radius = float(extent.agg(F.max("radius")).first()[0] or 1.0)  # of all lengths: any common radius keeps the order
+        self.dims = F.broadcast(extent.select("dim", "shards"))  # one row per vector length
+        self.trees = stored(
+            vectors.join(self.dims, "dim")
+            .withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
+            .groupBy("dim", "shard")
+            .applyInPandas(lambda key, pdf: _build(key, pdf, radius, k), "dim int, shard int, tree binary")
+        )
+
+    def ask(self, queries: DataFrame, factor: float) -> DataFrame:
+        """(query_id, rank, vec_id, score) for queries (vec_id, v, dim)."""
+        k = self.k
+        blocks = max(1, -(-queries.count() // BLOCK_ROWS))
+        # A stated query set, in blocks, against every shard: a task holds one tree and one block.
+        at = ["dim", "shard", "block"]
+        dealt = queries.join(self.dims, "dim").select(
+            "dim",
+            F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
+            F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int").alias("block"),
+            "vec_id",
+            "v",
+        )
+        spread = self.trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        found = (
+            spread.groupBy(*at)
+            .cogroup(dealt.groupBy(*at))
+            .applyInPandas(lambda t, q: _answer(t, q, k, factor), "query_id long, vec_id long, score double")
+        )
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def recall(self, queries: DataFrame, factor: float, sample: int = SAMPLE) -> float:
+        """The share of neighbours that ``factor`` finds for the first queries by a hash; 1 if they have none."""
+        some = stored(queries.orderBy(F.xxhash64(F.lit("sample"), "vec_id"), "vec_id").limit(sample))
+        both = self.ask(some, 1.0).join(self.ask(some, factor).select("query_id", "vec_id", F.lit(1).alias("hit")), ["query_id", "vec_id"], "left")
+        found, wanted = both.agg(F.count("hit"), F.count(F.lit(1))).first()
+        return found / wanted if wanted else 1.0
+
+
+def search_all(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products of each query among the other rows.
 
     Both tables hold (vec_id, v), v doubles as :func:`usable` gives them. Queries meet vectors of their own length only,
     and never rows of their own id; ties go to the smaller id; repeated rows count
-    once, and a query id with several vectors asks with the smallest.
+    once, and a query id with several vectors asks with the smallest. Without a ``factor`` the recall of ``FACTOR``
+    decides between it and one.
     """
-    vectors = stored(vectors.dropDuplicates(["vec_id", "v"]).withColumn("dim", F.size("v")))
+    forest = Forest(vectors, k, shard_rows)
     queries = queries.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    extent = vectors.groupBy("dim").agg(F.count("*").alias("rows"), F.max(norm).alias("radius"))
-    extent = extent.select("dim", "radius", F.ceil(F.col("rows") / F.lit(shard_rows)).cast("int").alias("shards"))
-    radius = float(extent.agg(F.max("radius")).first()[0] or 1.0)  # of all lengths: any common radius keeps the order
-    dims = F.broadcast(extent.select("dim", "shards"))  # one row per vector length
-    trees = stored(
-        vectors.join(dims, "dim")
-        .withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
-        .groupBy("dim", "shard")
-        .applyInPandas(lambda key, pdf: _build(key, pdf, radius, k), "dim int, shard int, tree binary")
-    )
-    blocks = max(1, -(-queries.count() // BLOCK_ROWS))
-    # A stated query set, in blocks, against every shard: a task holds one tree and one block.
-    at = ["dim", "shard", "block"]
-    dealt = queries.join(dims, "dim").select(
-        "dim",
-        F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
-        F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int").alias("block"),
-        "vec_id",
-        "v",
-    )
-    spread = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = (
-        spread.groupBy(*at)
-        .cogroup(dealt.groupBy(*at))
-        .applyInPandas(lambda t, q: _answer(t, q, k, factor), "query_id long, vec_id long, score double")
-    )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    if factor is None:
+        factor = FACTOR if forest.recall(queries, FACTOR) >= RECALL else 1.0
+    return forest.ask(queries, factor)
 
 
-def report(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = QUERY_EVERY, k: int = K, factor: float = FACTOR) -> DataFrame:
+def report(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = QUERY_EVERY, k: int = K, factor: float | None = None) -> DataFrame:
     """Every row whose id is divisible by ``every`` against all rows."""
     vectors = usable(df, id_col, vec_col)
     return search_all(vectors, vectors.filter(F.col("vec_id") % every == 0), k, factor)

@@ -101,3 +101,42 @@ def test_one_row_of_a_huge_norm_hides_no_others():
     v[17] *= 1e8
     ids, queries = rng.permutation(len(v)), np.arange(0, len(v), 50)
     assert _ids(ids, v, queries, 20) == _brute_ids(ids, v, queries, 20)
+
+
+def lengths(kind, dim, n=3000, seed=7):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(30, dim))
+    v = centres[rng.integers(30, size=n)] + rng.normal(size=(n, dim)) * 0.3
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    size = rng.lognormal(sigma=1.0, size=n) if kind == "log-normal" else 1 + rng.pareto(1.5, size=n)
+    v = (v * size[:, None]).astype(np.float32).astype(np.float64)
+    return rng.permutation(n), v
+
+
+@pytest.mark.parametrize("kind", ["log-normal", "pareto"])
+@pytest.mark.parametrize("dim", [4, 64])
+def test_recall_on_unequal_lengths_with_the_production_settings(spark, kind, dim):
+    ids, v = lengths(kind, dim)
+    got = {(r["query_id"], r["vec_id"]) for r in _run(spark, ids, v)}
+    want = {(q, i) for q, _, i in brute(ids, v, 20, 20)}
+    assert len(got & want) / len(want) >= 0.9
+
+
+def test_a_factor_that_loses_neighbours_is_measured_and_not_used(spark):
+    ids, v = lengths("log-normal", 64)
+    rows = neighbours.usable(spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], SCHEMA))
+    forest = neighbours.Forest(rows, 20)
+    queries = rows.filter("vec_id % 20 = 0").selectExpr("vec_id", "v", "size(v) AS dim")
+    assert forest.recall(queries, neighbours.FACTOR) < neighbours.RECALL
+    assert forest.recall(queries, 1.0) == 1.0
+    chosen = {(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search_all(rows, rows.filter("vec_id % 20 = 0")).collect()}
+    assert chosen == brute(ids, v, 20, 20)
+
+
+def test_columns_of_clashing_names(spark, clusters):
+    from pyspark.sql import functions as F
+
+    ids, v = clusters
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids[:300], v[:300], strict=True)], SCHEMA)
+    more = df.withColumns({c: F.lit(f"extra {c}") for c in ("v", "dim", "shard", "block", "rank", "score", "query_id", "tree")})
+    assert sorted(map(tuple, neighbours.report(more).collect())) == sorted(map(tuple, neighbours.report(df).collect()))
