@@ -62,3 +62,22 @@ def row_key(*cols: Column) -> tuple[Column, Column]:
     """
     parts = [p for c in cols for p in (c.isNull(), c)]
     return F.xxhash64(F.lit("a"), *parts), F.xxhash64(F.lit("b"), F.lit(len(cols)), *parts)
+
+
+BITS = 1 << 27  # 16 MB at most
+_RANGE = 1 << 15  # bits of one bitmap of Spark's bitmap functions
+
+
+def may_hold(rows: DataFrame, keys: DataFrame, key: str, bits: int = BITS) -> DataFrame:
+    """``rows`` with a boolean ``_may``: False where the row's ``key`` (a hash) surely isn't in ``keys``.
+
+    A bitmap of the keys' lowest bits is broadcast, of ``bits`` bits however many keys there are, so rows that can't meet
+    a partner needn't be shuffled to find that out. Those that may are for an exact join.
+    """
+    place = F.pmod(F.col(key), F.lit(bits))
+    number, at = F.floor(place / F.lit(_RANGE)), F.pmod(place, F.lit(_RANGE))
+    maps = keys.select(number.alias("_number"), at.alias("_bit")).groupBy("_number").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    met = rows.withColumn("_number", number).join(F.broadcast(maps), "_number", "left")
+    byte = F.conv(F.hex(F.substring("_map", (F.floor(at / F.lit(8)) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1
+    return met.withColumn("_may", F.coalesce(hit, F.lit(False))).drop("_number", "_map")

@@ -1,8 +1,9 @@
 """WARC archives: write captures as request, response or revisit, and metadata records; read them back as transactions.
 
 Writing is a Spark text job whose line separator is the blank line that ends a WARC record, so files are committed like any
-other Spark output. Reading takes whole files and follows Content-Length, so payloads may hold anything, record headers
-included. Transactions are assembled by joining the three record types through WARC-Concurrent-To, one nested row each.
+other Spark output; files are bounded by the bytes of their records. Reading inflates a file as a stream and follows
+Content-Length, so payloads may hold anything, record headers included, and a task holds a compressed file and a few
+records. Spark's text writer makes one gzip member of a file, not one of each record. Transactions are assembled by joining the three record types through WARC-Concurrent-To, one nested row each.
 """
 
 from __future__ import annotations
@@ -10,18 +11,21 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import row_key, scratch, small, stored
+from tallyspark.llm.common import may_hold, row_key, scratch, small, stored
 
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
-ROWS_PER_FILE = 20_000  # records of one file, at most; a reading task holds one file
+FILE_BYTES = 64_000_000  # of the records of one file before compression, about
+BATCH_BYTES = 8_000_000  # of records that a reading task hands on at once
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # RFC 4648
 BASE32HEX = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
@@ -48,7 +52,9 @@ def _urn(k1: Column, k2: Column, part: str) -> Column:
     return F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *cut))
 
 
-def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0) -> None:
+def write(
+    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, file_bytes: int = FILE_BYTES
+) -> None:
     """Write every row of ``pages`` as a capture under ``path``.
 
     Of captures with equal payloads of ``min_bytes`` or more, that with the largest id is a response and the others are
@@ -75,7 +81,14 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         .select("k1", "k2", F.col("of.k1").alias("o1"), F.col("of.k2").alias("o2"))
         .distinct()
     )
-    both = rows.join(revisits, ["k1", "k2"], "left")
+    # Rows that surely aren't revisits needn't be shuffled to find no partner.
+    told = may_hold(rows, revisits, "k1")
+    none = F.lit(None).cast("long")
+    alone = told.filter("NOT _may").drop("_may").withColumns({"o1": none, "o2": none})
+    both = alone.unionByName(told.filter("_may").drop("_may").join(revisits, ["k1", "k2"], "left"))
+    # Records of a file follow from the mean bytes of a capture, which adds some 1,500 of its own.
+    captures_all, total = thin.agg(F.count(F.lit(1)), F.sum(F.col("bytes") + 1500)).first()
+    per_file = max(3, int(3 * file_bytes * captures_all / total)) if captures_all else 3
     own, of = _urn(F.col("k1"), F.col("k2"), "response"), _urn(F.col("o1"), F.col("o2"), "response")
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("bytes").cast("string"), F.lit(CRLF * 2)
@@ -122,31 +135,33 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         .write.option("lineSep", CRLF * 2)
         .option("compression", "gzip")
         .option("zlib.compress.level", "BEST_SPEED")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .option("maxRecordsPerFile", per_file)
         .text(path)
     )
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields in lower case, block) of each record of one uncompressed WARC file."""
-    at = 0
+def parse(data: bytes | BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header fields in lower case, block) of each record of one uncompressed WARC file, read as a stream."""
+    stream = io.BytesIO(data) if isinstance(data, bytes) else data
     while True:
-        while data.startswith(b"\r\n", at):
-            at += 2
-        if at >= len(data):
+        line = stream.readline()
+        while line == b"\r\n":
+            line = stream.readline()
+        if not line:
             return
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at byte {at}")
+        if not line.startswith(b"WARC/"):
+            raise ValueError("no WARC record where one should begin")
         fields = {}
-        for line in data[at:end].decode("utf-8").split(CRLF)[1:]:
-            name, _, value = line.partition(":")
+        while (line := stream.readline()) != b"\r\n":
+            if not line.endswith(b"\r\n"):
+                raise ValueError("a WARC record ends early")
+            name, _, value = line.decode("utf-8").partition(":")
             fields[name.strip().lower()] = value.strip()
-        start = end + 4
-        at = start + int(fields["content-length"])
-        if at > len(data):
+        size = int(fields["content-length"])
+        block = stream.read(size)
+        if len(block) < size:
             raise ValueError("a WARC record ends early")
-        yield fields, data[start:at]
+        yield fields, block
 
 
 _FIELDS = "type string, record_id string, concurrent_to string, refers_to string, target string, declared string, bytes long, digest string, head string, payload binary"
@@ -165,7 +180,9 @@ def _reader(payloads: bool):
 def _records(batch: pd.DataFrame, names: list[str], payloads: bool) -> Iterator[pd.DataFrame]:
     for path, content in zip(batch["path"], batch["content"], strict=True):
         rows, size = [], 0
-        for fields, block in parse(gzip.decompress(content) if path.endswith(".gz") else content):
+        raw = io.BytesIO(content)
+        stream = io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 20) if path.endswith(".gz") else raw
+        for fields, block in parse(stream):
             kind, head, payload = fields.get("warc-type"), block, None
             if kind in ("response", "revisit"):
                 head, _, payload = block.partition(b"\r\n\r\n")
@@ -184,7 +201,7 @@ def _records(batch: pd.DataFrame, names: list[str], payloads: bool) -> Iterator[
                 )
             )
             size += len(block)
-            if size > 8_000_000:  # hand on in pieces
+            if size > BATCH_BYTES:
                 yield pd.DataFrame(rows, columns=names)
                 rows, size = [], 0
         yield pd.DataFrame(rows, columns=names)
@@ -215,7 +232,8 @@ def transactions(recs: DataFrame) -> DataFrame:
 def captures(trans: DataFrame) -> DataFrame:
     """Per transaction: the page id of its metadata, payload size and digest, type, and the page id that it refers to.
 
-    A revisit has the size and digest of the response it refers to (null if that record is missing).
+    Size and digest are those of the payload in the nested row, or of the record where payloads were left out when it was
+    read. A revisit has those of the response it refers to (null if that record is missing).
     """
     page = F.regexp_extract(F.col("metadata.head"), r"(?:^|\r\n)page-id: (-?\d+)", 1)
     flat = stored(
@@ -224,8 +242,8 @@ def captures(trans: DataFrame) -> DataFrame:
             F.when(page != "", page.cast("long")).alias("page_id"),
             F.col("response.type").alias("record_type"),
             F.col("response.refers_to").alias("of"),
-            F.col("response.bytes").alias("payload_bytes"),
-            F.col("response.digest").alias("payload_digest"),
+            F.coalesce(F.octet_length("response.payload").cast("long"), "response.bytes").alias("payload_bytes"),
+            F.coalesce(base32_sha1(F.col("response.payload")), "response.digest").alias("payload_digest"),
         )
     )
     own, revisits = flat.filter("record_type = 'response'"), flat.filter("record_type = 'revisit'")
@@ -245,4 +263,4 @@ def report(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     spark = pages.sparkSession
     path = f"{scratch(spark)}/warc-{uuid.uuid4().hex}"
     write(pages, path, id_col, url_col, html_col, min_bytes)
-    return captures(transactions(records(spark, path, payloads=False)))
+    return captures(transactions(records(spark, path)))

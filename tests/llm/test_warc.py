@@ -81,3 +81,59 @@ def test_damaged_archives_are_refused():
         list(warc.parse(b"nonsense\r\n\r\n"))
     with pytest.raises(ValueError):
         list(warc.parse(b"WARC/1.1\r\nContent-Length: 90\r\n\r\nshort"))
+
+
+def test_payloads_reach_the_nested_rows_of_the_report(spark, monkeypatch):
+    """The digest columns come from the payloads of the nested rows: change those and the columns follow."""
+    real = warc.transactions
+    from pyspark.sql import functions as F
+
+    def shortened(recs):
+        return real(recs).withColumn("response", F.col("response").withField("payload", F.substring("response.payload", 1, 2)))
+
+    rows = [(i, "u", h) for i, h in enumerate(("abcd", "xyz", "q"))]
+    monkeypatch.setattr(warc, "transactions", shortened)
+    got = sorted(map(tuple, warc.report(spark.createDataFrame(rows, SCHEMA)).select("page_id", "payload_bytes").collect()))
+    assert got == [(0, 2), (1, 2), (2, 1)]
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i, f"http://a/{i}", f"{i} " * 20_000) for i in range(60)]
+    path = tmp_path / "archive"
+    warc.write(spark.createDataFrame(rows, SCHEMA), f"file://{path}", file_bytes=500_000)
+    files = [p for p in path.iterdir() if p.name.startswith("part-")]
+    total = sum(len(h) + 1500 for _, _, h in rows)
+    assert len(files) > total / 500_000 / 2
+    import gzip
+
+    assert max(len(gzip.decompress(p.read_bytes())) for p in files) < 4 * 500_000
+    assert warc.records(spark, f"file://{path}").count() == 180
+
+
+def test_large_pages_are_read_as_a_stream(tmp_path):
+    """Forty pages of four megabytes in one file: the parser holds a few records, not the file."""
+    import gzip
+    import tracemalloc
+
+    import pandas as pd
+
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + b"page text " * 400_000
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+    batch = pd.DataFrame({"path": ["a.gz"], "content": [gzip.compress(record * 40, 1)]})
+    names = [f.split()[0] for f in warc._FIELDS.split(", ")]
+    tracemalloc.start()
+    seen = 0
+    for out in warc._records(batch, names, True):
+        seen += len(out)
+        del out
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 40 and peak < 60_000_000 < 40 * len(block)
+
+
+def test_columns_of_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(ODD, SCHEMA)
+    more = df.withColumns({c: F.lit(f"extra {c}") for c in ("k1", "k2", "digest", "bytes", "of", "o1", "value", "record_id", "type", "no_url")})
+    assert sorted(map(tuple, warc.report(more).collect())) == brute(ODD)
