@@ -80,8 +80,32 @@ def test_no_python_in_the_plan(spark, real):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 
 
-def test_hits_keep_all_columns(spark, odd):
-    kept = decontaminate.hits(odd, spark.createDataFrame([(1, "same text here")], "item_id long, text string")).filter("n_hit = 0")
-    rows = kept.select("row.*")
-    assert rows.columns == odd.columns
-    assert sorted(str(r["doc_id"]) for r in rows.collect()) == ["1", "2", "3", "4", "7", "8"]
+def test_rows_that_stay_keep_all_columns(spark, odd):
+    kept = decontaminate.keep_clean(odd, spark.createDataFrame([(1, "same text here")], "item_id long, text string"))
+    assert kept.columns == odd.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "4", "7", "8"]
+    assert decontaminate.keep_clean(odd, spark.createDataFrame([], "item_id long, text string")).count() == odd.count()
+
+
+def test_more_than_a_hundred_thousand_item_shingles(spark, real, monkeypatch):
+    """Results are the same whether the shingles are broadcast or a bitmap holds back the others."""
+    texts = [r["text"] for r in real.select("text").collect() if len(_words(r["text"])) > 30]
+    items = [(i, " ".join(f"word{i} of{j} item{i * 31 + j}" for j in range(8))) for i in range(5000)]
+    items += [(10_000 + i, " ".join(_words(t)[i % 9 : i % 9 + 14])) for i, t in enumerate(texts[:20])]
+    assert sum(max(0, len(_words(t)) - 2) for _, t in items) > 100_000
+    want = _check(spark, real, items)
+    assert sum(r[-1] for r in want) >= 20
+    monkeypatch.setattr(decontaminate, "LISTED", 10)
+    assert _check(spark, real, items) == want
+
+
+def test_a_bitmap_lets_every_partner_through(spark):
+    from tallyspark.llm.common import may_hold
+
+    rows = spark.range(-3000, 3000).selectExpr("xxhash64(id) AS k", "id")
+    keys = rows.filter("id % 37 = 0").select("k")
+    for bits in (1 << 27, 1 << 15):
+        told = may_hold(rows, keys, "k", bits)
+        assert told.filter("id % 37 = 0 AND NOT _may").count() == 0
+        assert told.filter("id % 37 <> 0 AND _may").count() < 60
+    assert may_hold(rows, keys.filter("false"), "k").filter("_may").count() == 0
