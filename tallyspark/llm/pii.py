@@ -7,13 +7,19 @@ patterns and instances, which Spark scores in turns: a pattern's confidence for
 of its distinct instances that are of that kind (seeds count 1, seeds of other kinds and tokens not believed yet count
 against it), an instance's is the noisy-or of the accepted patterns it stands in. Instances that end above the threshold
 are identifiers that the regular forms don't know; all their occurrences become spans of that kind.
+
+Occurrences leave the scan one by one in small batches, so a text of numbers, which has nearly a candidate per digit and
+length, costs disk but not memory. Context words are found however far away they stand; a word counts by the ``WORD``
+code points nearest to the span, so that a text that is one long word keeps short patterns.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -28,6 +34,8 @@ ROUNDS = 3
 MIN_SEEDS = 5  # distinct believed instances that an accepted pattern has, at least
 MIN_PATTERN = 0.6  # confidence of an accepted pattern
 MIN_INSTANCE = 0.6  # confidence of an accepted instance
+WORD = 256  # code points of a context word, those nearest to the span
+BATCH = 2000  # occurrences that leave the scan at once
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _domain = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -84,12 +92,37 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _left(text: str, start: int) -> list[str]:
-    return [w.lower() for w in _word.findall(text[max(0, start - 80) : start])][-2:]
+class _Words:
+    """The words of a text by position, for contexts."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+
+    def __getattr__(self, name: str) -> array:
+        # Most texts have no candidate: words are looked for when the first context is asked for.
+        self.starts, self.ends = array("q"), array("q")
+        for m in _word.finditer(self.text):
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+        return self.__dict__[name]
 
+    def left(self, at: int) -> list[str]:
+        """The last two words, or parts of words, that begin before a position, nearest last."""
+        i = bisect_left(self.starts, at) - 1
+        out = []
+        for j in (i, i - 1):
+            if j >= 0:
+                end = min(self.ends[j], at)
+                out.append(self.text[max(self.starts[j], end - WORD) : end].lower())
+        return out[::-1]
 
-def _right(text: str, end: int) -> list[str]:
-    return [w.lower() for w in _word.findall(text[end : end + 40])][:1]
+    def right(self, at: int) -> list[str]:
+        """The first word, or rest of a word, after a position."""
+        i = bisect_right(self.ends, at)
+        if i == len(self.ends):
+            return []
+        start = max(self.starts[i], at)
+        return [self.text[start : min(self.ends[i], start + WORD)].lower()]
 
 
 def _edges(left: list[str], right: list[str], two: bool = True) -> list[str]:
@@ -159,15 +192,14 @@ def _addresses(text: str) -> Iterator[tuple[int, int]]:
             yield s, e
 
 
-def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Seeds and, outside the base spans, every range of an identifier's shape, each with its patterns.
+def occurrences(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple]:
+    """(seed, kind, start, end, value, patterns) of seeds and, outside the base spans, of every range of an identifier's shape.
 
     A phone number may hold a base span that is the beginning of a longer dotted run (an address has four numbers).
     """
-    out = [
-        {"seed": True, "kind": k, "start": s, "end": e, "value": text[s:e].lower(), "patterns": _edges(_left(text, s), _right(text, e))}
-        for s, k, e in base
-    ]
+    words = _Words(text)
+    for s, k, e in base:
+        yield True, k, s, e, text[s:e].lower(), _edges(words.left(s), words.right(e))
     taken: list[list] = []  # disjoint; the third says if candidates may hold it
     for s, k, e in sorted(base):
         if taken and s < taken[-1][1]:
@@ -184,52 +216,60 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
             at += 1
         return True
 
-    found = [(s, e, 0, True) for s, e in _addresses(text)] if "@" in text else []
-    found += [(s, e, 1, True) for s, e in _hex_runs(text)] if ":" in text else []
-    lefts: dict[int, list[str]] = {}  # ranges share their ends
+    shapes = [((s, e, 0, True) for s, e in _addresses(text))] if "@" in text else []
+    shapes += [((s, e, 1, True) for s, e in _hex_runs(text))] if ":" in text else []
+    lefts: dict[int, list[str]] = {}  # ranges that follow each other share their ends
     rights: dict[int, list[str]] = {}
-    for s, e, k, two in [*found, *_numbers(text)]:
+    for s, e, k, two in chain(*shapes, _numbers(text)):
         if free(s, e, k):
-            left = lefts[s] if s in lefts else lefts.setdefault(s, _left(text, s))
-            right = rights[e] if e in rights else rights.setdefault(e, _right(text, e))
-            out.append({"seed": False, "kind": k, "start": s, "end": e, "value": text[s:e].lower(), "patterns": _edges(left, right, two)})
-    return out
+            if len(lefts) + len(rights) > 1000:
+                lefts.clear()
+                rights.clear()
+            left = lefts[s] if s in lefts else lefts.setdefault(s, words.left(s))
+            right = rights[e] if e in rights else rights.setdefault(e, words.right(e))
+            yield False, k, s, e, text[s:e].lower(), _edges(left, right, two)
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-_FOUND = pa.struct([("seed", pa.bool_()), ("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))])
-_DDL = (
-    "k1 long, k2 long, base array<struct<start:int,kind:int,end:int>>, "
-    "found array<struct<seed:boolean,kind:int,start:int,end:int,value:string,patterns:array<string>>>"
-)
+_BASE = "base array<struct<start:int,kind:int,end:int>>"
+_FOUND = "k1 long, k2 long, seed boolean, kind int, start int, end int, value string, patterns array<string>"
+_FOUND_ARROW = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string())]
+
+
+def _bases(texts: pd.Series) -> pd.Series:
+    spans = ([{"start": s, "kind": k, "end": e} for s, k, e in base_spans(text or "")] for text in texts)
+    return pd.Series(list(spans), dtype=object)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    # few texts at a time: tables of numbers have many candidates
-    for b in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
-        spans, found = [], []
-        for text in b.column("text"):
+    names = [c.split()[0] for c in _FOUND.split(", ")]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _FOUND_ARROW, strict=True)], names)
+
+    rows: list[tuple] = []
+    for b in batches:
+        for k1, k2, text in zip(*(b.column(c) for c in ("k1", "k2", "text")), strict=True):
             text = text.as_py() or ""
-            base = base_spans(text)
-            spans.append([{"start": s, "kind": k, "end": e} for s, k, e in base])
-            found.append(occurrences(text, base))
-        rest = [b.column(i) for i, name in enumerate(b.schema.names) if name != "text"]
-        names = [name for name in b.schema.names if name != "text"]
-        yield pa.RecordBatch.from_arrays([*rest, pa.array(spans, pa.list_(_SPAN)), pa.array(found, pa.list_(_FOUND))], [*names, "base", "found"])
+            for found in occurrences(text, base_spans(text)):
+                rows.append((k1.as_py(), k2.as_py(), *found))
+                if len(rows) == BATCH:
+                    yield batch(rows)
+                    rows = []
+    if rows:
+        yield batch(rows)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, k1, k2, base, found) per row, stored: row key, base spans, and occurrences for the graph."""
+    """Occurrences for the graph, stored, a row each with the key of the document's row; repeated rows share a key."""
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
-    kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text"))
-    return stored(rows.mapInArrow(_scan, f"doc_id {kind}, {_DDL}"))
+    rows = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text"))
+    return stored(rows.mapInArrow(_scan, _FOUND))
 
 
 def learn(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(kind, value, belief): the instances found by accepted patterns, seeds left out."""
-    found = scanned.select(F.explode("found").alias("o")).select("o.*")
-    edges = stored(found.select("kind", "value", "seed", F.explode("patterns").alias("pattern")).distinct())
+    edges = stored(scanned.select("kind", "value", "seed", F.explode("patterns").alias("pattern")).distinct())
     belief = None
     for _ in range(rounds):
         known = edges.withColumn("belief", F.col("seed").cast("double"))
@@ -278,9 +318,8 @@ def _apart(spans: pd.Series) -> pd.Series:
 def added_spans(scanned: DataFrame) -> DataFrame:
     """(k1, k2, added): spans of learnt instances per row key, of overlapping ones the likeliest, then the longest."""
     belief = learn(scanned)
-    found = scanned.select("k1", "k2", F.explode("found").alias("o")).select("k1", "k2", "o.kind", "o.start", "o.end", "o.value", "o.seed")
     spans = (
-        found.filter(~F.col("seed"))
+        scanned.filter(~F.col("seed"))
         .join(small(belief), ["kind", "value"])
         .groupBy("k1", "k2")
         .agg(F.collect_set(F.struct("start", "kind", "end", "belief")).alias("spans"))
@@ -303,9 +342,12 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     Null and empty texts have no spans; repeated rows get the same result each; other columns are left out.
     """
-    scanned = scan(docs, id_col, text_col)
+    k1, k2 = row_key(F.col(id_col), F.col(text_col))
+    bases = F.pandas_udf(_bases, _BASE.split(" ", 1)[1])(F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("doc_id"), k1.alias("k1"), k2.alias("k2"), bases.alias("base"))
+    more = small(stored(added_spans(scan(docs, id_col, text_col))))
     added = F.coalesce("added", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
-    return scanned.join(small(stored(added_spans(scanned))), ["k1", "k2"], "left").select(
+    return rows.join(more, ["k1", "k2"], "left").select(
         "doc_id",
         *[_number(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter, deque
+
 import hashlib
 import random
 import re
@@ -46,7 +48,7 @@ def test_base_spans_are_those_of_the_plain_forms():
 
 @pytest.mark.parametrize("text", ["a" * 300_000, "1" * 300_000, "1." * 100_000, "@" * 200_000, "+" * 200_000, "a@" * 100_000, "+1 " * 60_000, "1 " * 100_000])
 def test_very_long_texts_take_linear_time(text):
-    pii.occurrences(text, pii.base_spans(text))
+    deque(pii.occurrences(text, pii.base_spans(text)), maxlen=0)
 
 
 def _listed(spans):
@@ -100,7 +102,7 @@ def test_mask_keeps_columns_and_counts_characters(odd):
 
 
 def _candidates(text):
-    return {(o["kind"], text[o["start"] : o["end"]]) for o in pii.occurrences(text, pii.base_spans(text)) if not o["seed"]}
+    return {(kind, text[start:end]) for seed, kind, start, end, *_ in pii.occurrences(text, pii.base_spans(text)) if not seed}
 
 
 @pytest.mark.parametrize(
@@ -129,7 +131,7 @@ def test_words_and_digests_are_no_candidates():
 
 @pytest.mark.parametrize("text", ["a:" * 100_000, "1.1.1.1." * 30_000, "a@[" * 60_000, '"' * 200_000, "(" * 100_000 + "1", "1-" * 100_000, "1(" * 100_000, "1" + " " * 200_000 + "a"])
 def test_candidates_take_linear_time(text):
-    pii.occurrences(text, pii.base_spans(text))
+    deque(pii.occurrences(text, pii.base_spans(text)), maxlen=0)
 
 
 def test_whole_spaced_and_short_grouped_numbers_are_masked(spark):
@@ -142,3 +144,85 @@ def test_whole_spaced_and_short_grouped_numbers_are_masked(spark):
     assert [got[100 + i] for i in range(3)] == ["well my number is [PHONE] thanks"] * 3
     assert got[103] == "well my number is [IP] thanks"  # the first of overlapping spans names it, all of it goes
     assert got[300] == "reach cell via [IP] now" and got[400] == "at noon [PHONE] 2024 we left"
+
+
+def test_contexts_are_two_whole_words_however_far_away():
+    far = "w" * 100
+    text = f"alpha {far}  {' ' * 300} 10.0.0.1 {' ' * 90} omega tail"
+    (_, _, _, _, value, patterns), *_ = pii.occurrences(text, pii.base_spans(text))
+    assert value == "10.0.0.1" and patterns == [f"L alpha {far}", f"B {far} _ omega"]
+    glued = "x" * 2000 + ":10.0.0.1/" + "y" * 2000
+    (*_, patterns), *_ = pii.occurrences(glued, pii.base_spans(glued))
+    assert patterns == [f"B {'x' * (pii.WORD - 1)}: _ /{'y' * (pii.WORD - 1)}"]
+
+
+def test_a_text_of_numbers_keeps_memory_bounded():
+    """Two megabytes of digits: the candidates leave in small batches."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = "7 3 " * 25_000
+    batch = pa.RecordBatch.from_pydict({"k1": [1], "k2": [2], "text": [text]}, schema=pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("text", pa.string())]))
+    tracemalloc.start()
+    n = sum(b.num_rows for b in pii._scan(iter([batch])))
+    small = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 8 * 50_000  # nothing is left out
+    # A hundred thousand characters take a few tens of megabytes, in proportion to the digits, not to the candidates.
+    assert small < 45_000_000
+    whole = "7 3 " * 500_000
+    stream = pii.occurrences(whole, pii.base_spans(whole))
+    tracemalloc.start()
+    for _ in range(200_000):
+        next(stream)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 600_000_000
+
+
+def _score(edges, rounds=3):
+    """The scorer in plain Python: (kind, value, pattern) edges with a seed flag."""
+    belief = {}
+    for _ in range(rounds):
+        good, n, seeds = Counter(), Counter(), Counter()
+        for kind, value, pattern, seed in edges:
+            good[pattern, kind] += 1.0 if seed else belief.get((kind, value), 0.0)
+            n[pattern, kind] += 1
+            seeds[pattern, kind] += seed
+        confidence = {}
+        for pattern, kind in n:
+            others = sum(c for (p, k), c in seeds.items() if p == pattern and k != kind)
+            share = good[pattern, kind] / (n[pattern, kind] + others)
+            if good[pattern, kind] >= pii.MIN_SEEDS and share >= pii.MIN_PATTERN:
+                confidence[pattern, kind] = share
+        doubt = {}
+        for kind, value, pattern, seed in edges:
+            if not seed and (pattern, kind) in confidence:
+                doubt[kind, value] = doubt.get((kind, value), 1.0) * max(1.0 - confidence[pattern, kind], 1e-6)
+        belief = {x: round(1.0 - d, 6) for x, d in doubt.items() if round(1.0 - d, 6) >= pii.MIN_INSTANCE}
+    return belief
+
+
+def test_the_graph_scores_equal_a_plain_scorer(spark):
+    texts = []
+    for i in range(40):
+        texts.append(f"please call me on +1 555 010 {1000 + i} today")
+        texts.append(f"server address is 10.0.{i}.7 today")
+    for i in range(12):
+        texts.append(f"please call me on 838-555-{7200 + i} today")  # no plus sign: learnt from the context
+        texts.append(f"ring soon at 838-555-{7200 + i} again")  # and this context from those
+    texts += [f"ring soon at 838-555-{8300 + i} again" for i in range(6)]
+    texts += [f"order number 444-555-{8300 + i} shipped" for i in range(30)]
+    texts += [f"order number +1 555 020 {1000 + i} shipped" for i in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    edges = set()
+    for t in texts:
+        for seed, kind, _, _, value, patterns in pii.occurrences(t, pii.base_spans(t)):
+            edges |= {(kind, value, p, seed) for p in patterns}
+    want = _score(edges)
+    got = {(r["kind"], r["value"]): r["belief"] for r in pii.learn(pii.scan(docs)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-5 for x in want)
+    assert (3, "838-555-7205") in got and (3, "838-555-8301") in got and (3, "444-555-8301") not in got
+    learnt = {r["doc_id"]: r["n_learnt"] for r in pii.report(docs).collect()}
+    assert sum(learnt.values()) >= 30
