@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.sources.shared import written
+
 FANOUT = 16
 DEPTH = 4
 TREE = "level int, node long, rows long, sum_a string, sum_b string"
@@ -84,6 +86,7 @@ def differing_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], leave
 
 
 def locate(left: DataFrame, right: DataFrame, keys: Sequence[str], fanout: int = FANOUT, depth: int = DEPTH) -> DataFrame:
-    """Keys whose rows differ between the two tables, through their trees."""
-    leaves = differing_leaves(tree(left, keys, fanout, depth), tree(right, keys, fanout, depth), fanout, depth)
+    """Keys whose rows differ between the two tables, through their trees, each built once and written."""
+    trees = [written(tree(df, keys, fanout, depth), "tree") for df in (left, right)]
+    leaves = written(differing_leaves(*trees, fanout, depth), "leaves")
     return differing_rows(left, right, keys, leaves, fanout, depth)
