@@ -54,12 +54,14 @@ def main() -> None:
                 _count(r"\bWindow \[", text),
                 _count(r"TakeOrderedAndProject", text),
                 _count(r"PushedFilters: \[[^\]]+\]", text),
+                _count(r"PartitionFilters: \[[^\]]+\]", text),
+                _count(r"PushedAggregation: \[[^\]]+\]", text),
                 _count(r"Scan ExistingRDD", text),
             )
         )
     head = (
         "| query | hash/range shuffles | single-partition exchanges | broadcasts | broadcast hash joins | "
-        "shuffle joins | one-row nested-loop joins | windows | top-k | scans with pushed filters | checkpoint scans |"
+        "shuffle joins | one-row nested-loop joins | windows | top-k | scans with pushed filters | scans of some folders | scans of footers only | checkpoint scans |"
     )
     lines = [
         "# Physical plans",
