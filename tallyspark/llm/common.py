@@ -13,6 +13,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BROADCAST_ROWS = 100_000  # a small row each; larger sides are joined by shuffle
+BROADCAST_BYTES = 16 << 20  # of a text column, where its texts may be long
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,12 +48,16 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, text: str | None = None) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows (counted); otherwise as it is, for a shuffle join.
 
+    The values of the column ``text``, where named, must also have at most ``BROADCAST_BYTES`` bytes together.
     Only the join strategy differs, never the result. Call it on stored tables or cheap plans: counting runs a job.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    if text is None:
+        return F.broadcast(df) if df.count() <= rows else df
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= rows and size["b"] <= BROADCAST_BYTES else df
 
 
 def row_key(*cols: Column) -> tuple[Column, Column]:

@@ -26,6 +26,15 @@ def test_small_changes_only_the_join_strategy(spark):
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
 
 
+def test_small_counts_the_bytes_of_long_texts(spark, monkeypatch):
+    words = spark.createDataFrame([("a" * 40,), ("ö" * 40,), (None,)], "word string")
+    hinted = lambda: "ResolvedHint" in common.small(words, text="word")._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 120)
+    assert hinted()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 119)
+    assert not hinted()
+
+
 def test_row_keys_tell_nulls_from_values(spark):
     rows = [(None, "a"), ("a", None), (None, None), ("", "a"), ("a", ""), ("a", "a"), ("a", "a")]
     df = spark.createDataFrame(rows, "x string, y string")

@@ -32,11 +32,45 @@ def corpus(spark):
 
 
 def test_held_out_findings_are_judged_right(corpus):
-    judged = secrets.features(corpus, secrets.labelled(secrets.findings(corpus)))
-    model = secrets.fit(judged.filter("doc_id % 12 < 6"))
-    rows = secrets.judge(judged.filter("doc_id % 12 >= 6"), model).collect()
+    from pyspark.sql import functions as F
+
+    judged = secrets.stored(secrets.features(corpus, secrets.stored(secrets.planted(corpus))))
+    mine = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    model = secrets.fit(judged.filter(mine))
+    rows = secrets.judge(judged.filter(~mine), model).collect()
     right = sum((r["probability"] >= secrets.KEEP) == bool(r["label"]) for r in rows)
-    assert len(rows) >= 250 and right / len(rows) >= 0.97
+    assert len(rows) >= 2000 and right / len(rows) >= 0.97
+    beside = [r["label"] for r in rows if r["key_beside"]]  # the key word does not give the label away
+    assert 0.2 <= sum(beside) / len(beside) <= 0.8
+    rule = sum(bool(r["key_beside"]) == bool(r["label"]) for r in rows)
+    assert right >= rule + 0.1 * len(rows)
+
+
+def test_look_alikes_beside_key_words_are_removed(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abdeiklmnorstu") for _ in range(rng.randrange(4, 9))) for _ in range(200)]
+    name = lambda sep: sep.join(rng.choice(words) for _ in range(3))
+    rows = []
+    for i in range(400):
+        look = [f"password={name('-')}", f'secret = "{name("_")}"', f"token: get_{name('_')}()", "api_key=${" + name("_").upper() + "}"][i % 4]
+        key = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        prose = " ".join(rng.choice(words) for _ in range(40))
+        rows.append((i, f"{prose} {look if i % 2 or i % 4 == 0 else 'password=' + key} {prose}"))
+    got = secrets.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    said = {r["doc_id"]: r["is_secret"] for r in got}
+    look = [i for i in range(400) if i % 4 != 2]
+    assert len(said) == 400 and all(said[i] for i in range(2, 400, 4))
+    assert sum(said[i] for i in look) <= 0.03 * len(look)
+
+
+def test_labelled_findings_of_the_caller(spark, corpus):
+    from pyspark.sql import functions as F
+
+    hexed = secrets.findings(corpus).withColumn("label", F.col("value").rlike("^[0-9a-f]+$").cast("int"))
+    got = secrets.report(corpus, labelled=hexed).filter("is_secret").collect()
+    assert {r["doc_id"] % 6 for r in got} <= {0, 1, 4} and len(got) >= 200
+    none = secrets.report(corpus, labelled=hexed.limit(0)).collect()
+    assert none and all(r["probability"] == 1.0 for r in none)
 
 
 def test_report_and_plan(corpus):
@@ -45,7 +79,7 @@ def test_report_and_plan(corpus):
     rows = got.collect()
     found = {r["doc_id"] for r in rows if r["is_secret"]}
     want = {i for i in range(600) if i % 6 < 3}
-    assert len(found & want) >= 0.97 * len(want) and len(found - want) <= 10
+    assert len(found & want) >= 0.97 * len(want) and len(found - want) <= 10, (len(found & want), len(found - want))
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
@@ -86,6 +120,13 @@ def test_scoring_works_in_a_session_that_has_used_observations(spark, corpus):
         ("x=1;password=abcdefgh12345678!$z;y=2", "abcdefgh12345678!$z"),
         ("auth_token='two words here' next", "two words here"),
         ("PASSWORD=x", "x"),
+        ("postgres://admin:Tr0ub4dor@db.example/x", "Tr0ub4dor"),
+        ("curl -u admin:S3cr3t! host", "S3cr3t!"),
+        ("the passphrase is Xk9!pQ2z ok", "Xk9!pQ2z"),
+        ("Authorization: Basic dXNlcjpwYXNz end", "dXNlcjpwYXNz"),
+        ('"Authorization": "Bearer abc.def" x', "abc.def"),
+        ("secret='a b \"c' d", 'a b "c'),
+        ('token = "' + " ".join(f"word{i}" for i in range(3000)) + '" "tail"', " ".join(f"word{i}" for i in range(3000))),
     ],
 )
 def test_whole_values_assigned_to_key_words_are_findings(spark, text, value):
@@ -98,10 +139,23 @@ def test_other_words_give_no_findings(spark):
     assert rows.collect() == []
 
 
+def test_several_quoted_values_end_at_their_own_quotes(spark):
+    text = 'api_key="one" secret="two three" pwd=\'four "five six\' token="open end'
+    rows = secrets.findings(spark.createDataFrame([(1, text)], "doc_id long, text string")).orderBy("place").collect()
+    assert [r["value"] for r in rows] == ["one", "two three", 'four "five six', "open"]
+
+
+def test_many_open_quotes_in_a_long_text(spark):
+    text = " ".join(f"password=\"a{i} b{i}\" it's" for i in range(20_000))
+    found = secrets.findings(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert found.filter("assigned_whole and value rlike '^a[0-9]+ b[0-9]+$'").count() == 20_000
+
+
 def test_copies_do_not_push_distinct_findings_out_of_the_fit(corpus, monkeypatch):
     from pyspark.sql import functions as F
 
-    judged = secrets.features(corpus, secrets.labelled(secrets.findings(corpus))).cache()
+    own = secrets.findings(corpus).withColumn("label", (F.col("doc_id") % 6 < 3).cast("int"))
+    judged = secrets.features(corpus, own).cache()
     n = {r["label"]: r["count"] for r in judged.groupBy("label").count().collect()}
     copied = judged.limit(40).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(99)))).drop("copy")
     sizes = []
