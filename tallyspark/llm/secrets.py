@@ -38,7 +38,7 @@ SCHEMES = "basic|bearer|digest|negotiate|apikey"
 _USER_INFO = r"://[^/\s:@]*+:([^/\s]+)@"  # a password in an address
 _USER_OPTION = r"""^["']?[^:\s"']++:(.+?)["']?$"""  # the token behind -u or --user
 _ASKS = r"|(?:^|\s)(?:-u|--user|--proxy-user)\s|://[^/\s:@]*+:$"  # context of such a password
-_ASSIGNS = KEY_WORDS + rf"""\w*+['"]?(?:\s*+[:=]|\s++is\s)|{_USER_INFO}|(?:^|\s)(?:-u|--user|--proxy-user)\s"""
+_ASSIGNS = KEY_WORDS + r"""\w*+['"]?(?:\s*+[:=]|\s++is\s)"""
 # An assignment in a token: its head (a mark stands for a key word in the tokens before) and its value, which ends at its
 # closing quote, before the next assignment, or with the token.
 _MARK = "\x01"
@@ -84,9 +84,9 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     each password of an address or user option that is more or less than a run, without its quotes. A quoted value ends at
     its closing quote however far away that is. Null and empty texts have none.
     """
-    tok = docs.select(
-        F.col(id_col).alias("doc_id"), _tokens(F.col(text_col)).alias("t"), F.coalesce(F.col(text_col).rlike(_ASSIGNS), F.lit(False)).alias("assigns")
-    )
+    text = F.col(text_col)  # plain searches first: few texts need the other two patterns
+    assigns = text.rlike(_ASSIGNS) | (text.contains("://") & text.rlike(_USER_INFO)) | (text.contains("-u") & text.rlike(r"(?:^|\s)(?:-u|--user|--proxy-user)\s"))
+    tok = docs.select(F.col(id_col).alias("doc_id"), _tokens(text).alias("t"), F.coalesce(assigns, F.lit(False)).alias("assigns"))
     run = lambda x: (F.length(x) >= 16) & x.rlike(RUN)
     named = lambda i: F.when(i >= 1, F.get("t", i - 1)).otherwise("")
     valued = lambda z: z["x"].rlike(rf"(?i){_HEAD}.|{_USER_INFO}") | _assigned_before(z["x"], z["l"], z["l2"]) | _user_option(z["x"], z["l"])
