@@ -2,7 +2,7 @@
 
 P(grade > k) = sigmoid(w . x - theta_k) with one weight vector for all ordered thresholds theta_1 < theta_2 < ...; the
 expected severity is the sum over k. Features are words and word beginnings that labelled toxic documents hold more
-often than clean ones; x is log(1 + count). Feature counts and the fit use a bounded sample of labelled documents
+often than clean ones, every one that passes the tests below; x is log(1 + count). Feature counts and the fit use a bounded sample of labelled documents
 (``per_class`` of either class, chosen by a hash of the id); scoring covers whole texts of every row.
 """
 
@@ -19,10 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.llm.common import stored
+from tallyspark.llm.common import small, stored
 
 PER_CLASS = 5000  # labelled documents of either class in the fit, at most
-FEATURES = 1024  # features in the model, at most
+ENTRIES = 2_000_000  # (document, feature) pairs of the fit that the driver takes; more is an error, none is left out
 STEMS = (4, 5, 6)  # lengths of the word beginnings
 LIFT = 15.0  # a feature is this many times as frequent in toxic documents, at least
 CHI2 = 24.0  # and its association with the label is far beyond chance among all features tried
@@ -61,12 +61,13 @@ def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["id", "toxic", "feature", "n"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS, features: int = FEATURES) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> Model:
     """Model from the labelled documents; without both classes it has no features and calls nothing toxic.
 
     Labels are 0 and 1 (the table grades no finer): toxic rows are graded 1..GRADES by how many occurrences of toxic
     features they hold, cut at the quantiles of the sample. Ids with several labels count as toxic if one says so; null
-    ids and labels are left out.
+    ids and labels are left out. Of rows that share an id, the largest count of a feature holds. A sample with more than
+    ``ENTRIES`` pairs of a document and a chosen feature raises ValueError: fit it with a smaller ``per_class``.
     """
     marked = (
         labels.select(F.col(id_col).cast("string").alias("id"), F.col(label_col).cast("int").alias("toxic"))
@@ -99,45 +100,45 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .filter((F.col("a") >= MIN_DOCS) & (F.col("a") / bad >= LIFT * (F.col("b") + 0.5) / good))
         .withColumn("chi2", chi2)
         .filter(F.col("chi2") >= CHI2)
-        .orderBy(F.desc("chi2"), "feature")
-        .limit(features)
         .select("feature")
     )
-    held = rows.join(F.broadcast(chosen), "feature").toPandas()  # at most 2 * per_class * features entries, sparse
+    entries = stored(rows.join(small(stored(chosen), text="feature"), "feature").select("id", "feature", "n"))
+    if (held := entries.count()) > ENTRIES:
+        raise ValueError(f"{held} pairs of a document and a feature in the fit; the driver takes {ENTRIES}: lower per_class")
     everyone = rows.select("id", "toxic").distinct().toPandas()
-    return _fit(everyone, held)
+    return _fit(everyone, entries.toPandas())
 
 
 def _fit(everyone: pd.DataFrame, held: pd.DataFrame, steps: int = 400, rate: float = 0.1, l2: float = 5e-4) -> Model:
     everyone = everyone.sort_values("id").reset_index(drop=True)
-    vocab = sorted(held["feature"].unique())
-    if not vocab:
+    held = held.sort_values(["feature", "id"])  # sums in one order, so that the model doesn't depend on partitions
+    vocab, c = np.unique(held["feature"].to_numpy(str), return_inverse=True)
+    if not len(vocab):
         return Model([])
-    row = pd.Series(np.arange(len(everyone)), index=everyone["id"])
-    col = pd.Series(np.arange(len(vocab)), index=vocab)
-    raw = np.zeros((len(everyone), len(vocab)), np.float32)
-    raw[row[held["id"]].to_numpy(), col[held["feature"]].to_numpy()] = held["n"].to_numpy()
+    r = np.searchsorted(everyone["id"].to_numpy(str), held["id"].to_numpy(str))
+    count = held["n"].to_numpy(float)
+    by_doc = lambda values: np.bincount(r, values, minlength=len(everyone))
     toxic = everyone["toxic"].to_numpy() > 0
-    amount = raw.sum(axis=1)
+    amount = by_doc(count)
     cuts = np.quantile(amount[toxic], np.arange(1, GRADES) / GRADES)
     y = np.where(toxic, 1 + (amount[:, None] > cuts[None, :]).sum(axis=1), 0)
-    x = np.log1p(raw)
-    above = (y[:, None] > np.arange(GRADES)[None, :]).astype(np.float32)  # column k: grade > k
-    share = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())[:, None].astype(np.float32)  # classes weigh alike
+    x = np.log1p(count)  # of the entries (r, c)
+    above = (y[:, None] > np.arange(GRADES)[None, :]).astype(float)  # column k: grade > k
+    share = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())[:, None]  # classes weigh alike
     w = np.zeros(len(vocab))
     theta0, gap = 1.0, np.zeros(GRADES - 1)  # theta_k = theta0 + sum of exp(gap): ordered by construction
     m, v = np.zeros(len(w) + GRADES), np.zeros(len(w) + GRADES)
     for t in range(1, steps + 1):
         theta = theta0 + np.concatenate([[0.0], np.cumsum(np.exp(gap))])
-        p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30)[:, None] + theta[None, :]))
+        p = 1 / (1 + np.exp(-np.clip(by_doc(x * w[c]), -30, 30)[:, None] + theta[None, :]))
         d = (p - above) * share
         by_theta = -d.sum(axis=0)
-        g = np.concatenate([x.T @ d.sum(axis=1).astype(np.float32) + l2 * w, [by_theta.sum()], [by_theta[k + 1 :].sum() * np.exp(gap[k]) for k in range(GRADES - 1)]])
+        g = np.concatenate([np.bincount(c, x * d.sum(axis=1)[r], minlength=len(w)) + l2 * w, [by_theta.sum()], [by_theta[k + 1 :].sum() * np.exp(gap[k]) for k in range(GRADES - 1)]])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         w, theta0, gap = w - step[: len(w)], theta0 - step[len(w)], gap - step[len(w) + 1 :]
     theta = theta0 + np.concatenate([[0.0], np.cumsum(np.exp(gap))])
-    return Model([round(float(c), 6) for c in theta], {f: round(float(c), 6) for f, c in zip(vocab, w, strict=True) if abs(c) > 1e-4})
+    return Model([round(float(z), 6) for z in theta], {str(f): round(float(z), 6) for f, z in zip(vocab, w, strict=True) if abs(z) > 1e-4})
 
 
 def _scorer(model: Model):
@@ -173,7 +174,11 @@ def severity(text: Column, model: Model) -> Column:
 
 
 def report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", reject: float = REJECT) -> DataFrame:
-    """Per row of ``docs``: expected severity, most probable grade, and whether the document is rejected."""
+    """Per row of ``docs``: expected severity, most probable grade, and whether the document is rejected.
+
+    Repeated rows are each scored. Null and empty texts hold no feature and get the severity of such a text, null ids stay.
+    Without labelled documents of both classes every severity is 0. Other columns of ``docs`` play no part.
+    """
     model = fit(docs, labels, id_col, text_col)
     return docs.select(F.col(id_col).alias("doc_id"), severity(F.col(text_col), model).alias("s")).select(
         "doc_id", F.col("s.severity").alias("expected_severity"), "s.grade", (F.col("s.severity") >= reject).alias("toxic")
