@@ -81,10 +81,13 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def _f_metadata(spark: SparkSession, d: str) -> DataFrame:
-    """Path, length and time (whole seconds) of every file of the given tables."""
+    """Path, length and time (whole seconds) of every file of the given tables, beside what the transaction file's parts hold."""
     listed = files.file_metadata(spark, d, "*.parquet")
     path = F.regexp_replace("path", "^file:/+", "/")
-    return listed.select(path.alias("path"), "length", F.date_trunc("second", "modificationTime").cast("timestamp_ntz").alias("modificationTime"))
+    parts = _f_parts_listed(spark, d)
+    retail = parts.select(F.struct(*parts.columns).alias("parts")).scalar()
+    named = listed.select(path.alias("path"), "length", F.date_trunc("second", "modificationTime").cast("timestamp_ntz").alias("modificationTime"))
+    return named.withColumn("_parts", retail).select(*named.columns, *[F.col(f"_parts.{c}").alias(c) for c in parts.columns])
 
 
 def _f_parts_listed(spark: SparkSession, d: str) -> DataFrame:

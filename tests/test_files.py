@@ -133,3 +133,13 @@ def test_registered_stream_copy_matches(spark):
 
     r = E.queries()["f_copy_stream"](spark, SF_SMALL).first()
     assert r.matched and r.source_rows == r.dest_rows > 0
+
+
+def test_metadata_reads_the_transaction_file_too(spark):
+    from tallyspark.plans.registry import QUERIES
+    from tallyspark.sources import binding
+
+    rows = QUERIES["f_metadata"](spark, SF_SMALL).collect()
+    lines = binding.retail_file(spark, SF_SMALL).count()
+    assert len(rows) == 14 and all(r.length > 0 for r in rows)
+    assert {(r.file_set, r.every_part_listed, r.total_rows) for r in rows} == {("retail", True, lines)}
