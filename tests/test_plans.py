@@ -91,3 +91,19 @@ def test_windows_over_rows_are_partitioned_by_chunk(spark, name):
         if re.search(r"\bWindow \[", line):
             spec = re.findall(r"windowspecdefinition\((.*?),? ?specifiedwindowframe", line)
             assert spec and all("_chunk" in x or "_pid" in x or x == "" for x in spec), line
+
+
+def test_sales_build_shuffles_narrow_lines_and_writes_from_the_last_join(spark):
+    from tallyspark.sources import binding
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(binding.sales(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\(l_(?:order|part)key", text)
+    assert len(shuffled) == 2
+    assert not any(c in s for s in shuffled for c in ("p_name", "n_name", "r_name"))
+    options = binding._sales_options(spark, SF_SMALL)
+    assert not options.get("range_by") and options["sort_within"][0] == options["partition_by"][0]
