@@ -19,6 +19,7 @@ from tallyspark.sources.binding import LINE_ORDER
 
 # Fixed value: the default loyalty tier of a new customer.
 DEFAULT_LOYALTY_TIER = "Standard"
+BROADCAST_KEYS = 100_000  # keys with several attribute sets, up to which they are broadcast
 
 
 def first_by_ordinal(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
@@ -43,8 +44,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns
     for h in held[1:]:
         same = same & h
     single = sets.join(of.filter("_sets = 1"), same, "left_semi")
-    # Keys with several attribute sets: the earliest line decides.
-    lines = df.join(of.filter("_sets > 1"), same, "left_semi")
+    # Keys with several attribute sets: the earliest line decides. They are counted first, as a few are broadcast and no
+    # line is shuffled; the planner, which doesn't know how few they are, would shuffle every line for the semi-join.
+    several = of.filter("_sets > 1")
+    few = several.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    lines = df.join(F.broadcast(several) if few else several, same, "left_semi")
     picked = lines.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
     return single.unionByName(picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])).select(*columns)
 

@@ -107,3 +107,24 @@ def test_sales_build_shuffles_narrow_lines_and_writes_from_the_last_join(spark):
     assert not any(c in s for s in shuffled for c in ("p_name", "n_name", "r_name"))
     options = binding._sales_options(spark, SF_SMALL)
     assert not options.get("range_by") and options["sort_within"][0] == options["partition_by"][0]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_dimension_lines_are_not_shuffled_for_a_few_conflicting_keys(spark, monkeypatch, few):
+    from tallyspark.operators import model
+
+    rows = [(k, f"n{k if i < 2 or k % 7 else i}", i) for k in range(50) for i in range(4)] + [(None, "x", 9), (None, "w", 8)]
+    df = spark.createDataFrame(rows, "k long, name string, line long")
+    if not few:
+        monkeypatch.setattr(model, "BROADCAST_KEYS", 1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = model.keep_first(df, ["k"], ["line"], ["k", "name"])
+        text = plan(out, "simple")
+        got = {tuple(r) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    pick = text[text.index("partial_min_by") :]
+    assert re.search(r"(\w+) \[.*LeftSemi", pick)[1] == ("BroadcastHashJoin" if few else "SortMergeJoin")
+    assert got == {(k, f"n{k}") for k in range(50)} | {(None, "w")}
